@@ -133,6 +133,12 @@ class Dialect:
     def count_if(self, cond: str) -> str:
         return f"coalesce(sum(CASE WHEN {cond} THEN 1 ELSE 0 END), 0)"
 
+    def let(self, value: str, name: str, body: str) -> str:
+        """body, in which `name` is a value computed once: keeps rules that use a value often from growing with each use."""
+        if self.spark:
+            return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+        return f"list_extract(list_transform([{value}], lambda {name}: {body}), 1)"
+
     def last(self, x: str, over: str) -> str:
         """The last value of x that isn't null, up to the row, in a window."""
         frame = f"OVER ({over} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"

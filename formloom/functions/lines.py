@@ -26,7 +26,7 @@ INSTRUCTION_STARTS = (
 RISK_TERMS = ("may include", "may result in", "possible risks", "complications", "not limited to", "include but", "such as", "alternative treatment", "necessitating", "have been explained")
 EXPLAINING = ("this means that", "it is important to", "you should", "please note", "be aware that", "keep in mind", "it is your responsibility")
 METADATA = (
-    r"\brev *[a-z0-9]\b", r"[a-z][0-9]{4,6}_rev_[a-z0-9]", r"\bv[0-9]+\.[0-9]+\b", r"\bversion +[0-9]+", r"all +rights +reserved", r"©|copyright +[0-9]{4}", r"^ *\([0-9]{3}\) *[0-9]{3}-[0-9]{4} *$",
+    r"(^|[^\p{L}\p{N}])rev *[a-z0-9]($|[^\p{L}\p{N}])", r"[a-z][0-9]{4,6}_rev_[a-z0-9]", r"\bv[0-9]+\.[0-9]+\b", r"\bversion +[0-9]+", r"all +rights +reserved", r"©|copyright +[0-9]{4}", r"^ *\([0-9]{3}\) *[0-9]{3}-[0-9]{4} *$",
     r"www\.[a-z0-9_]+\.com", r"^ *[a-z][0-9]{4,6} *$", r"\b(inc|llc|ltd|corp|corporation)\b.*\([0-9]{3}\)",
 )
 STREET = r"\b[0-9]+ +[NSEW]?\.? *[A-Za-z]+ +(ave|avenue|st|street|rd|road|blvd|boulevard|dr|drive|ln|lane|way|ct|court)\b"
@@ -53,11 +53,10 @@ def has_box(d: Dialect, x: str) -> str:
 
 def is_heading(d: Dialect, x: str) -> str:
     """A section's heading, by rules in order: no box, one colon at most, a known start, capitals, no known label ..."""
-    t = d.squeeze(x)
-    low = d.sub(f"lower({t})", r":+$", "")
+    t, low = "t", "low"
     upper = f"({t} = upper({t}) AND {d.has(t, '[A-Z]')})"
     multi = f"length({t}) <= 120 AND {d.words(t)} >= 2 AND {d.has(t, '^[A-Z]')} AND NOT {d.ends(t, '.')}"
-    return d.case(
+    rules = d.case(
         [
             (f"{t} = ''", "false"), (has_box(d, t), "false"), (f"{d.count(t, ':')} >= 2", "false"),
             (" OR ".join(d.starts(low, h) for h in STRONG_HEADINGS), "true"), (f"{upper} AND {d.words(t)} BETWEEN 3 AND 5", "true"),
@@ -65,6 +64,7 @@ def is_heading(d: Dialect, x: str) -> str:
             (d.has(low, "^(comments|notes|explanation|details|remarks)$"), "false"), (multi, "true"), (f"length({t}) <= 120 AND {upper}", "true"),
         ], "false",
     )
+    return d.let(d.squeeze(x), "t", d.let(d.sub("lower(t)", r":+$", ""), "low", rules))
 
 
 def is_category_header(d: Dialect, x: str, following: str) -> str:
@@ -188,11 +188,10 @@ def is_junk(d: Dialect, key: str, title: str) -> str:
 
 def weak_label(d: Dialect, x: str) -> str:
     """Class of a line by rules, for training: question, option, field_label, value or noise."""
-    t = d.trim(x)
-    low = f"lower({t})"
+    t, low = "t", "lower(t)"
     half = f"length({d.first(t, '^[^:]*')}) > length({t}) / 2"
     before = d.trim(d.first(t, "^[^_]*"))
-    return d.case(
+    rules = d.case(
         [
             (f"{t} = ''", "'noise'"), (f"{d.contains(t, '?')} AND {d.has(low, '^(are you|do you|have you|is|does|can)')}", "'question'"), (f"{has_box(d, t)} AND length({t}) < 50", "'option'"), (has_box(d, t), "'question'"),
             (f"{d.ends(t, ':')} OR ({d.contains(t, ':')} AND {half})", "'field_label'"), (f"{d.count(x, '_')} >= 5 AND length({before}) BETWEEN 1 AND 29", "'field_label'"), (f"{d.count(x, '_')} >= 5", "'value'"),
@@ -200,6 +199,7 @@ def weak_label(d: Dialect, x: str) -> str:
             (f"length({t}) > 100", "'noise'"), (f"length({t}) < 50", "'field_label'"),
         ], "'noise'",
     )
+    return d.let(d.trim(x), "t", rules)
 
 
 def features(d: Dialect, x: str, before: str, after: str, pos: str, total: str) -> dict[str, str]:
@@ -208,7 +208,7 @@ def features(d: Dialect, x: str, before: str, after: str, pos: str, total: str)
     flag = lambda c: f"cast(coalesce({c}, false) as int)"
     return {
         "has_colon": flag(d.contains(t, ":")), "has_underscore": flag(d.contains(t, "_")), "has_box": flag(has_box(d, t)), "has_question": flag(d.contains(t, "?")), "has_parentheses": flag(d.has(t, r"\(.*\)")),
-        "n_words": d.words(t), "n_chars": f"length({t})", "relative_pos": f"round({pos} * 1.0 / greatest({total}, 1), 6)", "in_first_third": flag(f"{pos} * 3 < {total}"), "in_last_third": flag(f"{pos} * 3 >= 2 * {total}"),
+        "n_words": d.words(t), "n_chars": f"length({t})", "relative_pos": f"cast(round({pos} * 1.0 / greatest({total}, 1), 6) as double)", "in_first_third": flag(f"{pos} * 3 < {total}"), "in_last_third": flag(f"{pos} * 3 >= 2 * {total}"),
         "leading": f"length({x}) - length({d.sub(x, '^[ ]+', '')})", "underscores": d.count(x, "_"), "before_colon": flag(d.contains(before, ":")), "after_colon": flag(d.contains(after, ":")),
         "before_short": flag(f"length({before}) < 20"), "after_short": flag(f"length({after}) < 20"), "capital_start": flag(d.has(t, "^[A-Z]")), "all_capitals": flag(f"{t} = upper({t}) AND {d.has(t, '[A-Z]')}"),
         "dates": flag(d.has(t, r"\b(date|dob|birth)\b", ci=True)), "phones": flag(d.has(t, r"\b(phone|cell|mobile)\b", ci=True)), "emails": flag(d.has(t, r"\be-?mail\b", ci=True)), "insurance": flag(d.has(t, "insurance", ci=True)),

@@ -130,11 +130,9 @@ def correction_counts(d: Dialect, x: str) -> dict[str, str]:
 
 def section_name(d: Dialect, x: str) -> str:
     """The section whose keywords a heading has most of; of equals the first; without any General."""
-    low = f"lower({collapse_spaced(d, x)})"
-    scores = {s: d.hits(low, k) for s, k in SECTIONS.items()}
-    most = "greatest(" + ", ".join(scores.values()) + ")"
-    rules = [(d.contains(low, "signature"), "'Signature'"), (f"{most} = 0", "'General'")]
-    return d.case(rules + [(f"{v} = {most}", d.lit(s)) for s, v in scores.items()], "'General'")
+    scores = {s: d.hits("low", k) for s, k in SECTIONS.items()}
+    best = d.let("greatest(" + ", ".join(scores.values()) + ")", "most", d.case([("most = 0", "'General'"), *((f"{v} = most", d.lit(s)) for s, v in scores.items())], "'General'"))
+    return d.let(f"lower({collapse_spaced(d, x)})", "low", d.case([(d.contains("low", "signature"), "'Signature'")], best))
 
 
 def separate_blanks(d: Dialect, x: str) -> str:
@@ -188,10 +186,11 @@ def tokens(d: Dialect, x: str) -> str:
 def key_shape(d: Dialect, s: str, most: int) -> str:
     """A text of words as a key: one underscore between words, not empty, not starting with a digit, cut at a word."""
     s = d.sub(d.sub(d.sub(s, r"[^A-Za-z0-9_ \t\r\n]", ""), r"[ \t\r\n_]+", "_"), r"^_+|_+$", "")
-    s = f"CASE WHEN {s} = '' THEN 'q' WHEN {d.has(s, '^[0-9]')} THEN concat('q_', {s}) ELSE {s} END"
-    head = f"substr({s}, 1, {most})"
+    named = f"CASE WHEN w = '' THEN 'q' WHEN {d.has('w', '^[0-9]')} THEN concat('q_', w) ELSE w END"
+    head = f"substr(k, 1, {most})"
     at_word = d.sub(head, r"_[^_]*$", "")
-    return f"CASE WHEN length({s}) <= {most} THEN {s} WHEN {d.contains(head, '_')} AND length({at_word}) > {most // 2} THEN {at_word} ELSE {head} END"
+    cut = f"CASE WHEN length(k) <= {most} THEN k WHEN {d.contains(head, '_')} AND length({at_word}) > {most // 2} THEN {at_word} ELSE {head} END"
+    return d.let(s, "w", d.let(named, "k", cut))
 
 
 def slugify(d: Dialect, x: str, most: int = 64) -> str:
