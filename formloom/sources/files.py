@@ -17,7 +17,7 @@ EXTRACTED = "path string, model string, text string, success boolean, error stri
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
     """path, text of each file below a folder; bytes that are no UTF-8 are replaced."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(path)
-    return files.select("path", F.decode("content", F.lit("UTF-8")).alias("text")).filter(usable("text"))
+    return files.select("path", F.decode("content", "UTF-8").alias("text")).filter(usable("text"))
 
 
 def usable(column: str) -> F.Column:
