@@ -9,6 +9,8 @@ A shard file, little-endian throughout:
 
 from __future__ import annotations
 
+import json
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -22,8 +24,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import TwoGenerations, shared_path, slices, text_bytes
+from .token_counts import byte_letters
 
 MAGIC, HEAD, BLOCK = b"FLTP", struct.Struct("<4sHHQQII"), 4096
+#: Fixed value: the split of word_bpe_49k.json, after lower-casing.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: A letter of the Latin-1 block, in UTF-8.
+LATIN = rb"\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]"
+#: The same split in lower-case bytes, but that a word with bytes beyond ASCII and these letters stays whole.
+PARTS = rb"[^\s\x80-\xff]*+(?:LATIN[^\s\x80-\xff]*+)*+[\x80-\xff]\S*|'(?:s|t|re|ve|m|ll|d)|[a-z]+(?:LATIN[a-z]*)*|(?:LATIN[a-z]*)+|[0-9]|[^a-z0-9\s\x80-\xff]+".replace(b"LATIN", LATIN)
+#: A piece of printable ASCII or of such letters.
+PLAIN = rb"[!-~]+|(?:[a-z]|LATIN)+".replace(b"LATIN", LATIN)
 
 
 def pack(ids: np.ndarray, bits: int) -> bytes:
@@ -90,33 +101,66 @@ class Shard:
 
 
 class Encoder:
-    """Ids of texts by the tokenizers library. Parts between ASCII white space are encoded once and remembered.
+    """Ids of texts by the tokenizers library. Parts of texts are encoded once and remembered.
 
-    This holds for tokenizers that drop white space and never join what it parts, as words of word_bpe_49k.json.
+    Parts are what ASCII white space parts, which holds for tokenizers that drop white space and never join what it parts.
+    Where the file has the split of word_bpe_49k.json, ASCII words are parted further into its pieces, of which there are
+    far fewer than words. Texts that hold a special token's string are encoded whole.
     """
 
-    def __init__(self, path: str, memo: int = 400_000):
+    def __init__(self, path: str, memo: int = 100_000):
         from tokenizers import Tokenizer
 
         self.own = Tokenizer.from_file(path)
         self.own.no_truncation()
         self.own.no_padding()
         self.memo = TwoGenerations(memo)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        first = ((spec["pre_tokenizer"] or {}).get("pretokenizers") or [{}])[0]
+        names = [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])]
+        self.known = first.get("pattern") == {"Regex": SPLIT} and first["behavior"] == "Removed" and first["invert"] and names == ["NFC", "Replace", "Lowercase"]
+        self.parts = re.compile(PARTS).findall
+        self.special = re.compile(b"|".join(re.escape(t["content"].encode()) for t in spec["added_tokens"]) or b"(?!)").search
+        self.model, self.letters, self.plain = self.own.model, "".join(byte_letters()), re.compile(PLAIN).fullmatch
+
+    def _ids(self, words: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.own.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _learn(self, parts: list[bytes]) -> None:
+        """Ids of parts. Pieces of plain letters and marks need neither normalisation nor a split, so the model has them at once."""
+        known, whole, tokenize = self.memo.young, [], self.model.tokenize
+        for p in parts:
+            if not (self.known and self.plain(p)):
+                whole.append(p)
+                continue
+            word = p.decode()
+            if len(word) != len(p):
+                word = word.lower().encode().decode("latin-1").translate(self.letters)
+            known[p] = np.array([t.id for t in tokenize(word)], "<u4").tobytes()
+        for at in range(0, len(whole), 20_000):
+            some = whole[at : at + 20_000]
+            known.update(zip(some, self._ids([p.decode() for p in some]), strict=True))
 
     def encode(self, texts: list[bytes], end: int) -> list[bytes]:
         """The ids of each text and then `end`, as little-endian 32-bit integers."""
-        words = [t.split() for t in texts]
-        known, unknown = self.memo.young, set()
-        for w in words:
-            if None in (found := list(map(known.get, w))):
-                unknown.update([x for x, v in zip(w, found, strict=True) if v is None])
-        missing = self.memo.missing(unknown)
-        for at in range(0, len(missing), 20_000):
-            part = missing[at : at + 20_000]
-            for w, e in zip(part, self.own.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, "<u4").tobytes()
         last = np.array([end], "<u4").tobytes()
-        out = [b"".join(map(known.__getitem__, w)) + last for w in words]
+        out: list[bytes | None] = [None] * len(texts)
+        known, unknown, later = self.memo.young, set(), []
+        for i, t in enumerate(texts):
+            if self.special(t):
+                out[i] = self._ids([t.decode()])[0] + last
+                continue
+            parts = self.parts(t.lower()) if self.known else t.split()
+            found = list(map(known.get, parts))
+            if None in found:
+                unknown.update([x for x, v in zip(parts, found, strict=True) if v is None])
+                later.append((i, parts))
+            else:
+                out[i] = b"".join(found) + last
+        self._learn(self.memo.missing(unknown))
+        for i, parts in later:
+            out[i] = b"".join(map(known.__getitem__, parts)) + last
         self.memo.turn()
         return out
 
@@ -142,7 +186,7 @@ def write_packed(docs: DataFrame, tokenizer: str, *, end: int, vocabulary: int,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, rows, task = encoder(tokenizer), [], TaskContext.get()
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", 1 << 20):
             rows += zip(b.column("doc_id").to_pylist(), own.encode(text_bytes(b.column("text")), end), strict=True)
         if not rows:
             return
