@@ -126,9 +126,9 @@ def filled(d: Dialect, value: str) -> str:
 
 def best_section(d: Dialect, title: str, key: str) -> str:
     """The section with most words in a title or key, the first of equals; null without any."""
-    scores = {s: d.hits("both", w) for s, w in SECTION_WORDS.items()}
+    scores = {s: d.hits("words", w) for s, w in SECTION_WORDS.items()}
     best = d.let("greatest(" + ", ".join(scores.values()) + ")", "most", d.case([("most = 0", "NULL"), *((f"{v} = most", d.lit(s)) for s, v in scores.items())], "NULL"))
-    return d.let(f"concat(lower({title}), ' ', lower({key}))", "both", best)
+    return d.let(f"concat(lower({title}), ' ', lower({key}))", "words", best)
 
 
 def home_section(d: Dialect, key: str, title: str, section: str) -> str:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions import fields as D
 from ..functions import lines as L
@@ -211,7 +212,7 @@ def streamed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """event_windows as a stream over the same file."""
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    return stream.run_all(source, "streamed_windows", stream.event_windows)
+    return stream.run_all(source, "streamed_windows", stream.event_windows).withColumn("start", F.col("start").cast("timestamp_ntz"))
 
 
 def event_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
