@@ -13,28 +13,34 @@ import json
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import TwoGenerations, shared_path, slices, text_bytes
+from .common import TwoGenerations, shared_path, slices
 from .token_counts import byte_letters
 
 MAGIC, HEAD, BLOCK = b"FLTP", struct.Struct("<4sHHQQII"), 4096
 #: Fixed value: the split of word_bpe_49k.json, after lower-casing.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Stands after each word's ids while words are looked up; no vocabulary has it.
+NO_ID = 0xFFFFFFFF
+WORD_END = struct.pack("<I", NO_ID)
 #: A letter of the Latin-1 block, in UTF-8.
 LATIN = rb"\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]"
-#: The same split in lower-case bytes, but that a word with bytes beyond ASCII and these letters stays whole.
-PARTS = rb"[^\s\x80-\xff]*+(?:LATIN[^\s\x80-\xff]*+)*+[\x80-\xff]\S*|'(?:s|t|re|ve|m|ll|d)|[a-z]+(?:LATIN[a-z]*)*|(?:LATIN[a-z]*)+|[0-9]|[^a-z0-9\s\x80-\xff]+".replace(b"LATIN", LATIN)
-#: A piece of printable ASCII or of such letters.
-PLAIN = rb"[!-~]+|(?:[a-z]|LATIN)+".replace(b"LATIN", LATIN)
+#: The same split in lower-case bytes, but that a word with bytes beyond ASCII and these letters stays whole;
+#: a line feed, which ends each word here, is a part.
+PARTS = rb"[^\s\x80-\xff]*+(?:LATIN[^\s\x80-\xff]*+)*+[\x80-\xff]\S*|'(?:s|t|re|ve|m|ll|d)|[a-z]+(?:LATIN[a-z]*)*|(?:LATIN[a-z]*)+|[0-9]|[^a-z0-9\s\x80-\xff]+|\n".replace(b"LATIN", LATIN)
+#: A piece of such letters.
+PLAIN = rb"(?:[a-z]|LATIN)+".replace(b"LATIN", LATIN)
 
 
 def pack(ids: np.ndarray, bits: int) -> bytes:
@@ -101,14 +107,14 @@ class Shard:
 
 
 class Encoder:
-    """Ids of texts by the tokenizers library. Parts of texts are encoded once and remembered.
+    """Ids of texts by the tokenizers library. Distinct words are parted once for each slice; parts are encoded once and remembered.
 
     Parts are what ASCII white space parts, which holds for tokenizers that drop white space and never join what it parts.
     Where the file has the split of word_bpe_49k.json, ASCII words are parted further into its pieces, of which there are
     far fewer than words. Texts that hold a special token's string are encoded whole.
     """
 
-    def __init__(self, path: str, memo: int = 100_000):
+    def __init__(self, path: str, memo: int = 50_000):
         from tokenizers import Tokenizer
 
         self.own = Tokenizer.from_file(path)
@@ -121,47 +127,68 @@ class Encoder:
         names = [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])]
         self.known = first.get("pattern") == {"Regex": SPLIT} and first["behavior"] == "Removed" and first["invert"] and names == ["NFC", "Replace", "Lowercase"]
         self.parts = re.compile(PARTS).findall
-        self.special = re.compile(b"|".join(re.escape(t["content"].encode()) for t in spec["added_tokens"]) or b"(?!)").search
+        self.special = [t["content"] for t in spec["added_tokens"]]
         self.model, self.letters, self.plain = self.own.model, "".join(byte_letters()), re.compile(PLAIN).fullmatch
 
     def _ids(self, words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.own.encode_batch_fast(words, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.own.encode_batch_fast(words, add_special_tokens=False)]
 
     def _learn(self, parts: list[bytes]) -> None:
         """Ids of parts. Pieces of plain letters and marks need neither normalisation nor a split, so the model has them at once."""
         known, whole, tokenize = self.memo.young, [], self.model.tokenize
         for p in parts:
-            if not (self.known and self.plain(p)):
+            if not self.known:
                 whole.append(p)
                 continue
             word = p.decode()
-            if len(word) != len(p):
+            if not (word.isascii() and word.isprintable()):
+                if not self.plain(p):
+                    whole.append(p)
+                    continue
                 word = word.lower().encode().decode("latin-1").translate(self.letters)
-            known[p] = np.array([t.id for t in tokenize(word)], "<u4").tobytes()
+            known[p] = array("I", [t.id for t in tokenize(word)]).tobytes()
         for at in range(0, len(whole), 20_000):
             some = whole[at : at + 20_000]
             known.update(zip(some, self._ids([p.decode() for p in some]), strict=True))
 
-    def encode(self, texts: list[bytes], end: int) -> list[bytes]:
-        """The ids of each text and then `end`, as little-endian 32-bit integers."""
-        last = np.array([end], "<u4").tobytes()
-        out: list[bytes | None] = [None] * len(texts)
-        known, unknown, later = self.memo.young, set(), []
-        for i, t in enumerate(texts):
-            if self.special(t):
-                out[i] = self._ids([t.decode()])[0] + last
-                continue
-            parts = self.parts(t.lower()) if self.known else t.split()
-            found = list(map(known.get, parts))
-            if None in found:
-                unknown.update([x for x, v in zip(parts, found, strict=True) if v is None])
-                later.append((i, parts))
-            else:
-                out[i] = b"".join(found) + last
-        self._learn(self.memo.missing(unknown))
-        for i, parts in later:
-            out[i] = b"".join(map(known.__getitem__, parts)) + last
+    def _of_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words in one array, and where each word's begin in it (and the last one's end)."""
+        parts = self.parts(b"\n".join([*words, b""])) if self.known else [x for w in words for x in (w, b"\n")]
+        known = self.memo.young
+        known[b"\n"] = WORD_END
+        found = list(map(known.get, parts))
+        if None in found:
+            self._learn(self.memo.missing({x for x, v in zip(parts, found, strict=True) if v is None}))
+            found = list(map(known.__getitem__, parts))
+        ids = np.frombuffer(b"".join(found), "<u4")
+        ends = np.flatnonzero(ids == NO_ID)
         self.memo.turn()
+        return np.delete(ids, ends), np.concatenate((np.zeros(1, np.int64), ends - np.arange(len(ends))))
+
+    def encode(self, texts: pa.Array, end: int) -> list[bytes]:
+        """The ids of each text (null: empty) and then `end`, as little-endian 32-bit integers.
+
+        Each distinct word of the texts is parted and looked up once; numpy then gathers the ids of all words.
+        """
+        last = np.array([end], "<u4").tobytes()
+        texts = texts.cast(pa.string()).fill_null("")
+        special = np.zeros(len(texts), bool)
+        for s in self.special:
+            special |= pa.compute.match_substring(texts, s).to_numpy(zero_copy_only=False)
+        plain = pa.compute.if_else(pa.array(special), "", texts) if special.any() else texts
+        split = pa.compute.ascii_split_whitespace(pa.compute.ascii_lower(plain) if self.known else plain)
+        words = split.flatten().dictionary_encode()
+        ids, at = self._of_words(words.dictionary.cast(pa.binary()).to_pylist())
+        each = words.indices.to_numpy()
+        lengths = np.diff(at)[each]
+        upto = np.concatenate((np.zeros(1, np.int64), np.cumsum(lengths)))
+        place = np.arange(upto[-1], dtype=np.int64 if upto[-1] > 1 << 30 else np.int32)
+        place += np.repeat((at[:-1][each] - upto[:-1]).astype(place.dtype), lengths)
+        all_ids = ids[place]
+        bounds = upto[split.offsets.to_numpy() - split.offsets[0].as_py()].tolist()
+        out = [all_ids[a:z].tobytes() + last for a, z in zip(bounds[:-1], bounds[1:], strict=True)]
+        for i in np.flatnonzero(special).tolist():
+            out[i] = self._ids([texts[i].as_py()])[0] + last
         return out
 
 
@@ -186,8 +213,9 @@ def write_packed(docs: DataFrame, tokenizer: str, *, end: int, vocabulary: int,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, rows, task = encoder(tokenizer), [], TaskContext.get()
-        for b in slices(batches, "text", 1 << 20):
-            rows += zip(b.column("doc_id").to_pylist(), own.encode(text_bytes(b.column("text")), end), strict=True)
+        for b in slices(batches, "text", 4 << 20):
+            rows += zip(b.column("doc_id").to_pylist(), own.encode(b.column("text"), end), strict=True)
+            pa.default_memory_pool().release_unused()
         if not rows:
             return
         data = shard_bytes(rows, bits)
