@@ -269,3 +269,20 @@ def test_bottomk(spark, docs, none):
     parts = docs.select(F.lit(1).alias("g"), bottomk.sketch(F.coalesce("text", F.lit(""))).alias("s"))
     whole = sorted({x for v in t.values() for x in sketch(v)})[:128]
     assert bottomk.merge_all(parts, ["g"], "s").first()["s"] == whole
+
+
+def test_encoder_is_the_library():
+    """Distinct words go through another path than the library's; the ids are the same, in any script, and for null, blank and special texts."""
+    import random
+
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    own, library, rnd = token_pack.Encoder(path, memo=50), Tokenizer.from_file(path), random.Random(5)
+    letters = "aAbz'sStTdD  \n\t09!?.éÉñÑü×÷ÿ日İ́ \x85\x1c-"
+    texts = [None, "", " ", "\n\n a\n", "<|endoftext|> hi", "WE'LL 12'd", "x" * 3000, " lead", "tail  "]
+    texts += ["".join(rnd.choice(letters) for _ in range(rnd.randrange(40))) for _ in range(2000)]
+    for some in (texts, texts[:1], []):
+        got = own.encode(pa.array(some, pa.string()), 2)
+        assert [np.frombuffer(g, "<u4").tolist() for g in got] == [library.encode(t or "", add_special_tokens=False).ids + [2] for t in some]
