@@ -1,4 +1,4 @@
-"""python -m formloom extract|convert|run SOURCE OUT [--model auto|all|NAME]: jobs from files to records and reports."""
+"""python -m formloom extract|convert|run SOURCE OUT [--model auto|all|NAME] [--dictionary FILE]: jobs from files to records and reports."""
 
 import argparse
 
@@ -13,14 +13,15 @@ def main() -> None:
     p.add_argument("source")
     p.add_argument("out")
     p.add_argument("--model", default="auto")
+    p.add_argument("--dictionary")
     a = p.parse_args()
     spark = SparkSession.builder.appName("formloom").getOrCreate()
     if a.job == "extract":
         jobs.extract_folder(spark, a.source, a.out, a.model)
     elif a.job == "convert":
-        jobs.convert_folder(spark, a.source, a.out).show()
+        jobs.convert_folder(spark, a.source, a.out, a.dictionary).show()
     else:
-        jobs.run_all(spark, a.source, a.out, a.model).show()
+        jobs.run_all(spark, a.source, a.out, a.model, dictionary=a.dictionary).show()
 
 
 if __name__ == "__main__":

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -31,74 +32,91 @@ def values(d: Dialect, rows: tuple[tuple[str, ...], ...], names: str) -> str:
     return f"SELECT * FROM (VALUES {', '.join('(' + ', '.join([*map(d.lit, r), str(i)]) + ')' for i, r in enumerate(rows))}) v({names}, ord)"
 
 
-def templates(d: Dialect) -> str:
-    """Templates, the first of each key and title."""
-    return f"SELECT key AS t_key, {T.match_text(d, 'title')} AS t_title, section AS t_section, ord FROM ({values(d, TEMPLATES, 'key, title, section')}) t"
+class Catalog(NamedTuple):
+    """Queries of a catalogue: templates (key, title, section, ord) and aliases (phrase, key, ord)."""
 
+    templates: str
+    aliases: str
 
-def aliases(d: Dialect) -> str:
-    return f"SELECT {T.match_text(d, 'phrase')} AS alias, key AS a_key, {T.tokens(d, 'phrase')} AS a_tokens, ord FROM ({values(d, ALIASES, 'phrase, key')}) a"
 
+def templates(d: Dialect, own: Catalog | None = None) -> str:
+    """Templates of a catalogue; without one those fixed here."""
+    source = own.templates if own else values(d, TEMPLATES, "key, title, section")
+    return f"SELECT key AS t_key, {T.match_text(d, 'title')} AS t_title, section AS t_section, ord FROM ({source}) t"
 
-def cascade(d: Dialect, source: str) -> str:
+
+def aliases(d: Dialect, own: Catalog | None = None) -> str:
+    source = own.aliases if own else values(d, ALIASES, "phrase, key")
+    return f"SELECT {T.match_text(d, 'phrase')} AS alias, key AS a_key, {T.tokens(d, 'phrase')} AS a_tokens, ord FROM ({source}) a"
+
+
+def register(known: DataFrame, phrases: DataFrame, prefix: str = "_catalog") -> Catalog:
+    """A catalogue of DataFrames: templates (key, title, section, ord), aliases (alias, key). The first of equal keys stays."""
+    once = known.groupBy("key").agg(F.min_by(F.struct("title", "section", "ord"), "ord").alias("t")).select("key", "t.*")
+    once.select("key", F.coalesce("title", F.lit("")).alias("title"), F.coalesce("section", F.lit("General")).alias("section"), "ord").createOrReplaceTempView(f"{prefix}_templates")
+    phrases.select(F.col("alias").alias("phrase"), "key", F.lit(0).alias("ord")).filter("phrase IS NOT NULL").createOrReplaceTempView(f"{prefix}_aliases")
+    return Catalog(f"SELECT * FROM {prefix}_templates", f"SELECT * FROM {prefix}_aliases")
+
+
+def cascade(d: Dialect, source: str, own: Catalog | None = None) -> str:
     """Each field with its template: the stages in order, of a stage the first alias or template.
 
     key_exact 1, key_base 0.98, title_exact 0.95, alias_exact 0.96, alias_contains 0.93; 0.05 more in the template's own
     section, 0.1 less if one of both is insurance. Titles over 120 characters are matched exactly or not at all. Stages are
-    equi-joins with broadcast tables, alias_contains a join on one token of the alias and a check of the others.
+    equi-joins, whose catalogue side Spark broadcasts if its size allows, alias_contains a join on one token of the alias and a check of the others.
     """
     f = f"SELECT doc_id, pos, sub, key, section, {T.match_text(d, 'title')} AS norm, {T.tokens(d, 'title')} AS tokens FROM ({source}) f"
     cols = "f.doc_id, f.pos, f.sub, f.section"
     first = d.item("a.a_tokens", 1)
     words = d.exploded(f"({f}) w", "tokens", "doc_id, pos, sub, section, norm, tokens", "token", pos="k")
     stages = [
-        f"SELECT {cols}, t.t_key, t.t_section, 1 AS stage, t.ord, 1.0 AS base FROM ({f}) f JOIN ({templates(d)}) t ON f.key = t.t_key",
-        f"SELECT {cols}, t.t_key, t.t_section, 2, t.ord, 0.98 FROM ({f}) f JOIN ({templates(d)}) t ON {D.strip_scope(d, 'f.key')} = t.t_key",
-        f"SELECT {cols}, t.t_key, t.t_section, 3, t.ord, 0.95 FROM ({f}) f JOIN ({templates(d)}) t ON f.norm = t.t_title",
-        f"SELECT {cols}, t.t_key, t.t_section, 4, a.ord, 0.96 FROM ({f}) f JOIN ({aliases(d)}) a ON f.norm = a.alias JOIN ({templates(d)}) t ON a.a_key = t.t_key",
-        f"SELECT {cols}, t.t_key, t.t_section, 5, a.ord, 0.93 FROM ({words}) f JOIN ({aliases(d)}) a ON f.token = {first} JOIN ({templates(d)}) t ON a.a_key = t.t_key"
+        f"SELECT {cols}, t.t_key, t.t_section, 1 AS stage, t.ord, 1.0 AS base FROM ({f}) f JOIN ({templates(d, own)}) t ON f.key = t.t_key",
+        f"SELECT {cols}, t.t_key, t.t_section, 2, t.ord, 0.98 FROM ({f}) f JOIN ({templates(d, own)}) t ON {D.strip_scope(d, 'f.key')} = t.t_key",
+        f"SELECT {cols}, t.t_key, t.t_section, 3, t.ord, 0.95 FROM ({f}) f JOIN ({templates(d, own)}) t ON f.norm = t.t_title",
+        f"SELECT {cols}, t.t_key, t.t_section, 4, a.ord, 0.96 FROM ({f}) f JOIN ({aliases(d, own)}) a ON f.norm = a.alias JOIN ({templates(d, own)}) t ON a.a_key = t.t_key",
+        f"SELECT {cols}, t.t_key, t.t_section, 5, a.ord, 0.93 FROM ({words}) f JOIN ({aliases(d, own)}) a ON f.token = {first} JOIN ({templates(d, own)}) t ON a.a_key = t.t_key"
         f" WHERE length(f.norm) <= 120 AND {d.size(d.common('a.a_tokens', 'f.tokens'))} = {d.size('a.a_tokens')} AND (t.t_section <> 'Insurance' OR f.section = 'Insurance') AND NOT {d.contains('f.norm', 'hear about us')}",
     ]
     reason = d.case([(f"stage = {i}", f"'{r}'") for i, r in enumerate(("key_exact", "key_base_exact", "title_exact", "alias_exact", "alias_contains"), 1)], "''")
     context = "CASE WHEN stage < 3 THEN 0 WHEN section = t_section THEN 0.05 WHEN (section = 'Insurance') <> (t_section = 'Insurance') THEN -0.1 ELSE 0 END"
     return f"""SELECT doc_id, pos, sub, t_key, {reason} AS reason, cast(round(base + {context}, 4) as double) AS score FROM (
-  SELECT *, row_number() OVER (PARTITION BY doc_id, pos, sub ORDER BY stage, ord) AS n FROM ({" UNION ALL ".join(stages)}) s) r WHERE n = 1"""
+  SELECT *, row_number() OVER (PARTITION BY doc_id, pos, sub ORDER BY stage, ord, t_key) AS n FROM ({" UNION ALL ".join(stages)}) s) r WHERE n = 1"""
 
 
-def coverage(d: Dialect, source: str) -> str:
+def coverage(d: Dialect, source: str, own: Catalog | None = None) -> str:
     """Jaccard similarity and coverage of each distinct title and the templates that share a token with it."""
     titles = f"SELECT DISTINCT {T.match_text(d, 'title')} AS norm, {T.tokens(d, 'title')} AS tokens FROM ({source}) f"
     words = d.exploded(f"({titles}) w", "tokens", "norm, tokens", "token", pos="k")
-    t = f"SELECT t_key, t_title, {T.tokens(d, 't_title')} AS t_tokens FROM ({templates(d)}) t"
+    t = f"SELECT t_key, t_title, {T.tokens(d, 't_title')} AS t_tokens FROM ({templates(d, own)}) t"
     t_words = d.exploded(f"({t}) t", "t_tokens", "t_key, t_tokens", "t_token", pos="k")
     pairs = f"SELECT DISTINCT w.norm, w.tokens, t.t_key, t.t_tokens FROM ({words}) w JOIN ({t_words}) t ON w.token = t.t_token"
     common = d.size(d.common("tokens", "t_tokens"))
     return f"SELECT norm, t_key, cast(round({common} * 1.0 / ({d.size('tokens')} + {d.size('t_tokens')} - {common}), 6) as double) AS jaccard, cast(round({common} * 1.0 / {d.size('t_tokens')}, 6) as double) AS coverage FROM ({pairs}) p"
 
 
-def merged(d: Dialect, source: str) -> str:
+def merged(d: Dialect, source: str, own: Catalog | None = None) -> str:
     """Fields overlaid on their templates: title and section stay, the key is the template's, a scope is put back."""
     scope = d.first("f.key", "(__(primary|secondary))$", 1)
     return f"""SELECT f.doc_id, f.pos, f.sub, CASE WHEN m.t_key IS NULL THEN f.key WHEN {d.contains('m.t_key', '__')} THEN m.t_key ELSE concat(m.t_key, {scope}) END AS key, f.title, f.section, m.t_key IS NOT NULL AS reused
-  FROM ({source}) f LEFT JOIN ({cascade(d, source)}) m ON f.doc_id = m.doc_id AND f.pos = m.pos AND f.sub = m.sub"""
+  FROM ({source}) f LEFT JOIN ({cascade(d, source, own)}) m ON f.doc_id = m.doc_id AND f.pos = m.pos AND f.sub = m.sub"""
 
 
-def fuzzy(titles: DataFrame, column: str = "title") -> DataFrame:
+def fuzzy(titles: DataFrame, column: str = "title", own: Catalog | None = None) -> DataFrame:
     """title, t_key, score, verdict of each distinct title near a template: 0.45 Jaccard and 0.45 Ratcliff-Obershelp and 0.1.
 
     Only pairs with enough coverage by shared tokens reach the one Python function, in Arrow batches.
     """
     spark = titles.sparkSession
     titles.select(F.col(column).alias("title")).createOrReplaceTempView("_fuzzy_titles")
-    near = spark.sql(coverage(SPARK, "SELECT title FROM _fuzzy_titles")).filter("coverage >= 0.65")
-    known = spark.sql(templates(SPARK))
+    near = spark.sql(coverage(SPARK, "SELECT title FROM _fuzzy_titles", own)).filter("coverage >= 0.65")
+    known = spark.sql(templates(SPARK, own))
 
     @F.pandas_udf("double")
     def ratio(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for a, b in pairs:
             yield pd.Series([SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
 
-    scored = near.join(F.broadcast(known), "t_key").withColumn("score", 0.45 * F.col("jaccard") + 0.45 * ratio("norm", "t_title") + 0.1)
+    scored = near.join(known, "t_key").withColumn("score", 0.45 * F.col("jaccard") + 0.45 * ratio("norm", "t_title") + 0.1)
     best = scored.groupBy("norm").agg(F.max_by(F.struct("t_key", "score"), F.struct("score", -F.col("ord"))).alias("b"))
     verdict = F.when(F.col("b.score") >= 0.82, "fuzzy").when(F.col("b.score") >= 0.75, "near").otherwise("none")
     return best.select("norm", "b.t_key", F.round("b.score", 6).alias("score"), verdict.alias("verdict"))

@@ -19,16 +19,18 @@ def saved(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def convert_texts(spark: SparkSession, texts: DataFrame, out: str) -> DataFrame:
+def convert_texts(spark: SparkSession, texts: DataFrame, out: str, dictionary: str | None = None) -> DataFrame:
     """Texts (doc_id, text) to folders below `out`: fields, matched and stats (Parquet), records (JSON), and the reports
     rates, suggestions and violations (CSV). Returns the rates, one row. doc_id may be of any type, such as a path.
 
+    dictionary: a JSON file of templates and aliases, see files.read_catalog(); without one the fixed catalogue is used.
     Documents without text or with a marker of a failed extraction have no records; of none there are empty reports.
     """
     saved(texts.select("doc_id", "text").filter(files.usable("text")), f"{out}/texts").createOrReplaceTempView("_job_texts")
     source = lines.lines(SPARK, "_job_texts")
+    own = catalog.register(*files.read_catalog(spark, dictionary)) if dictionary else None
     saved(spark.sql(records.fields(SPARK, source)), f"{out}/fields").createOrReplaceTempView("_job_fields")
-    saved(spark.sql(catalog.merged(SPARK, "SELECT * FROM _job_fields")), f"{out}/matched").createOrReplaceTempView("_job_matched")
+    saved(spark.sql(catalog.merged(SPARK, "SELECT * FROM _job_fields", own)), f"{out}/matched").createOrReplaceTempView("_job_matched")
     converted = saved(spark.sql(records.converted(SPARK, source)), f"{out}/converted")
     converted.createOrReplaceTempView("_job_converted")
     files.write_records(converted, f"{out}/records")
@@ -66,11 +68,13 @@ def extract_folder(spark: SparkSession, source: str, out: str, mode: str = "auto
     return saved(done.select("doc_id", "model", "score", "text", "success", "error"), f"{out}/extracted")
 
 
-def convert_folder(spark: SparkSession, source: str, out: str) -> DataFrame:
+def convert_folder(spark: SparkSession, source: str, out: str, dictionary: str | None = None) -> DataFrame:
     """The .txt files below a folder through convert_texts(); a document's id is its path."""
-    return convert_texts(spark, files.read_texts(spark, source).withColumnRenamed("path", "doc_id"), out)
+    return convert_texts(spark, files.read_texts(spark, source).withColumnRenamed("path", "doc_id"), out, dictionary)
 
 
-def run_all(spark: SparkSession, source: str, out: str, mode: str = "auto", extractors: dict[str, Callable[[bytes], str]] | None = None) -> DataFrame:
+def run_all(
+    spark: SparkSession, source: str, out: str, mode: str = "auto", extractors: dict[str, Callable[[bytes], str]] | None = None, dictionary: str | None = None
+) -> DataFrame:
     """From PDF and DOCX files to records and reports."""
-    return convert_texts(spark, extract_folder(spark, source, f"{out}/extraction", mode, extractors), out)
+    return convert_texts(spark, extract_folder(spark, source, f"{out}/extraction", mode, extractors), out, dictionary)

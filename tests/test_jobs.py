@@ -19,6 +19,15 @@ def test_convert_folder(spark, tmp_path):
     assert {"first_name", "last_name", "date_of_birth"} <= set(keys) and len(keys) == len(set(keys))
 
 
+def test_own_dictionary(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("Patient Information\nShoe size: ____\nPet: ____\nFirst Name: ____")
+    (tmp_path / "d.json").write_text(json.dumps({"basic": [{"key": "shoe_size", "title": "Size"}, {"key": "animal", "title": "Animal"}], "aliases": {"pet": "animal"}}))
+    jobs.convert_folder(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "d.json"))
+    got = {r["title"]: (r["key"], r["reused"]) for r in spark.read.parquet(str(tmp_path / "out" / "matched")).collect()}
+    assert got == {"Shoe size": ("shoe_size", True), "Pet": ("animal", True), "First Name": ("first_name", False)}
+
+
 def test_extraction_tries_models_in_order(spark, tmp_path):
     (tmp_path / "in").mkdir()
     for n in ("good.pdf", "scan.pdf", "broken.docx", "left.doc"):
