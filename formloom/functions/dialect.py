@@ -47,6 +47,11 @@ class Dialect:
         p = self.lit("(?i)" * ci + pattern)
         return f"regexp_count({x}, {p})" if self.spark else f"len(regexp_extract_all({x}, {p}))"
 
+    def chars_of(self, x: str, kind: str) -> str:
+        """How many characters are of a class, such as `\\p{L}`: what is left once the runs of all others are gone, which
+        costs a match for each run where count() has one for each character."""
+        return f"length({self.sub(x, f'[^{kind}]+', '')})"
+
     def all(self, x: str, pattern: str, group: int = 0, ci: bool = False) -> str:
         return f"regexp_extract_all({x}, {self.lit('(?i)' * ci + pattern)}, {group})"
 
