@@ -190,6 +190,22 @@ def test_decontamination(spark, none):
     assert decontam.contamination(docs, bench.limit(0)).count() == 0 and decontam.contamination(none.select("doc_id", "text"), bench).count() == 0
 
 
+def test_decontamination_of_common_items(spark):
+    """An item is found though all its words are in over a fifth of the documents, or there are few documents at all."""
+    r = random.Random(9)
+    word = lambda: "".join(r.choices("abcdefghijklmnop", k=6))
+    items = [" ".join(word() for _ in range(n)) + "." for n in (24, 40, 5)]
+    clean = [" ".join(word() for _ in range(r.randint(1, 120))) for _ in range(60)]
+    hot = " ".join([clean[0], items[0], clean[1], items[2], clean[2]])
+    for rows in ([*clean, *[hot] * 30, items[0] + " " + clean[5], items[1]], [items[0], items[2], clean[3]], [items[2]]):
+        docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+        for some in (items, items[:1], items[2:]):
+            bench = spark.createDataFrame(list(enumerate(some)), "item_id long, text string")
+            got = sorted((x["doc_id"], x["item_id"]) for x in decontam.contamination(docs, bench).collect())
+            assert got == [(d, i) for d, t in enumerate(rows) for i, x in enumerate(some) if x.rstrip(".") in t]
+            assert decontam.decontaminate(docs, bench).count() == len(rows) - len({d for d, _ in got})
+
+
 def test_revisits(spark):
     m = lambda **h: {k.replace("_", "-"): v for k, v in h.items()}
     rows = [
