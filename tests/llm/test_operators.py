@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from formloom.llm import bottomk, decontam, lattice_lm, mixing, quality, revisit, simhash, token_counts, token_pack, url_reputation
+from formloom.llm import bottomk, decontam, lattice_lm, mixing, near_copies, quality, revisit, simhash, token_counts, token_pack, url_reputation
 from formloom.llm.queries import RULES
 
 WORDS = "the of and red blue green stone river tree house light dark over under again never always maybe Ünder naïve 日本 x1 don't".split()
@@ -122,6 +122,38 @@ def test_simhash_chains(spark):
     assert {s: got.get(s, s) for s in signed} == label
 
 
+def test_near_copies(spark, docs, none):
+    """Edited copies go, by brute force over five-word shingles; what stays has no near copy, what goes has one that stays."""
+    import corpus_pipeline
+
+    def shingles(t):
+        w = (t or "").encode().lower().split()
+        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+    def alike(a, b):
+        return a == b or bool(a | b) and len(a & b) / len(a | b) >= 0.8
+
+    r = random.Random(11)
+    long = [r.choices([f"w{i}" for i in range(500)], k=r.randint(40, 300)) for _ in range(25)]
+    rows = [(i, " ".join(w)) for i, w in enumerate(long)]
+    for k in range(120):  # copies with some words changed, near the threshold on either side, and copies of copies
+        w = r.choice(rows)[1].split()
+        for at in r.sample(range(len(w)), r.randint(1, max(1, len(w) // 40))):
+            w[at] = "edited"
+        rows.append((100 + k, " ".join(w)))
+    rows += [(300, rows[0][1].upper()), (None, rows[1][1]), (301, "a b"), (302, "A  b"), (303, "a c"), (304, ""), (305, None), (300, rows[0][1].upper())]
+    given = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, key string")
+    got = corpus_pipeline.near_dedup(spark, given, "")
+    assert got.columns == given.columns
+    stays = [shingles(x["text"]) for x in got.collect()]
+    assert not any(alike(a, b) for i, a in enumerate(stays) for b in stays[:i])
+    assert all(any(alike(shingles(t), b) for b in stays) for _, t in rows)
+    by_leads = [shingles(x["text"]) for x in near_copies.keep_one(given, limit=20).collect()]
+    assert not any(alike(a, b) for i, a in enumerate(by_leads) for b in by_leads[:i]) and all(any(alike(shingles(t), b) for b in by_leads) for _, t in rows)
+    kept = near_copies.keep_one(docs)
+    assert kept.columns == docs.columns and near_copies.keep_one(none).count() == 0
+
+
 def test_mixing(spark, docs, none):
     got = mixing.mix(docs).collect()
     assert len(got) == docs.count() and all(r["taken"] <= 2 * r["size"] for r in got)
