@@ -238,6 +238,37 @@ def test_decontamination_of_common_items(spark):
             assert decontam.decontaminate(docs, bench).count() == len(rows) - len({d for d, _ in got})
 
 
+def test_decontamination_recall(spark):
+    """Paraphrases without an item's rarest words, and short items, against brute force over the regions of all windows."""
+    r, s = random.Random(13), decontam.Settings()
+    vocabulary = ["".join(r.choices("abcdefghijklmnop", k=6)) for _ in range(800)]
+    draw = lambda n: r.choices(vocabulary, [1 / (i + 1) for i in range(800)], k=n)
+    items = [draw(n) for n in [*range(12, 60, 2), 3, 5, 7]]
+    rank = {w: i for i, w in enumerate(vocabulary)}
+    rows = []
+    for k, w in enumerate(items * 2):
+        n, w = len(w), list(w)
+        places = sorted(range(n), key=lambda i: -rank[w[i]])[: 0 if n < s.short else n // 5]
+        for i in places:
+            w[i] = f"new{i}"
+        rows.append(" ".join([*draw(r.randint(0, 90)), *w, *draw(r.randint(0, 90))]))
+    rows += [" ".join(draw(r.randint(1, 200))) for _ in range(60)]
+    want = set()
+    for d, t in enumerate(rows):
+        words = t.encode().split()
+        for i, w in enumerate(items):
+            item = [x.encode() for x in w]
+            regions = (words[max(0, lo - len(item)) : lo + s.window + len(item)] for lo, _ in decontam.windows(len(words), s))
+            if any(decontam.verify(item, item, x, s)[0] for x in regions):
+                want.add((d, i))
+    assert len(want) >= 2 * len(items)
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    got = {(x["doc_id"], x["item_id"]) for x in decontam.contamination(docs, bench).collect()}
+    print(f"recall {len(got & want)} of {len(want)}")
+    assert got == want
+
+
 def test_revisits(spark):
     m = lambda **h: {k.replace("_", "-"): v for k, v in h.items()}
     rows = [
