@@ -21,9 +21,11 @@ PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: `spark.checkpoint.dir`; a temporary one only where that is unset."""
+    """The folder that driver and executors share: `spark.checkpoint.dir`; a temporary one only in a single local process."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="formloom-")
         spark.sparkContext.setCheckpointDir(base)
         base = spark.sparkContext.getCheckpointDir() or base
@@ -52,6 +54,22 @@ def discard(df: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Settings of batches: Spark's default, made for narrow rows, and what suits rows of whole texts.
+TEXT_BATCHES = {
+    "spark.sql.parquet.columnarReaderBatchSize": ("4096", "256"),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"),
+    "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "8388608b"),
+}
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound what a task holds of a table of whole texts at once, in the reader, in Arrow and in Python, where the session
+    has Spark's defaults."""
+    for key, (default, ours) in TEXT_BATCHES.items():
+        if spark.conf.get(key, default) == default:
+            spark.conf.set(key, ours)
+
+
 def lower_ascii(col: Column | str) -> Column:
     """Lower-case A-Z and nothing else."""
     upper = "".join(map(chr, range(65, 91)))

@@ -11,8 +11,9 @@ from .common import WORD_PATTERN, materialize
 
 
 def word_count(text: Column) -> Column:
-    """Number of words; 0 for null."""
-    return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
+    """Number of words; 0 for null. Each word becomes one mark, which are counted by length; no array of words is made."""
+    marks = F.regexp_replace(text, WORD_PATTERN, "w")
+    return F.coalesce(F.length(marks) - F.length(F.replace(marks, F.lit("w"), F.lit(""))), F.lit(0)).cast("long")
 
 
 def water_fill(sizes: DataFrame, *, budget: float, max_epochs: int = 2) -> DataFrame:
@@ -52,7 +53,8 @@ def mix(
     the last, and in that the documents by digest, as long as at least half of one fits; so a source comes within half of
     a document of its target. Sums of bins, not documents, are put in order, so a source of any size is spread over all
     tasks. Repeated rows have one place and are taken in the order of their sizes; texts that are null or blank have size
-    0 and are taken 0 words; an empty table gives an empty result. Reruns agree.
+    0 and are taken 0 words, and are repeated `max_epochs` times at most like all others; other columns are ignored; an
+    empty table gives an empty result. Reruns agree.
     """
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))).cast("binary"))
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), digest.alias("digest"))
@@ -69,7 +71,7 @@ def mix(
     at = bins.withColumn("before", F.coalesce(F.sum("size").over(up_to), F.lit(0))).withColumnRenamed("size", "bin_size")
     same = lambda a, b, *names: [a[n].eqNullSafe(b[n]) for n in names]
     at = at.join(targets, same(at, targets, "source"), "inner").drop(targets["source"])
-    at = at.withColumn("kind", F.when(F.col("before") + F.col("bin_size") <= F.col("rest"), 2).when(F.col("before") >= F.col("rest"), 0).otherwise(1))
+    at = at.withColumn("kind", F.when(F.col("rest") <= 0, 0).when(F.col("before") + F.col("bin_size") <= F.col("rest"), 2).when(F.col("before") >= F.col("rest"), 0).otherwise(1))
     all_ = d.join(at, same(d, at, "source", "bin"), "inner").drop(at["source"], at["bin"])
     edge = Window.partitionBy("source").orderBy("digest", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     last = all_.filter("kind = 1").withColumn("fits", F.col("before") + F.sum("size").over(edge) - F.col("size") / 2 <= F.col("rest"))
@@ -79,10 +81,10 @@ def mix(
 
 
 def repeat(docs: DataFrame, mixed: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
-    """The mix itself: each row of docs as often as `mixed` says for its id, with the columns of docs.
+    """The mix itself: each row of docs as often as `mixed` says for its id, with the columns of docs, whatever their names.
 
-    Rows of docs that share an id are each repeated as often as the most taken of them.
+    Rows of docs that share an id are each repeated as often as the most taken of them; a null id is one like any other.
     """
-    times = mixed.groupBy(F.col("doc_id").alias("_id")).agg(F.max("repetitions").alias("_times"))
-    joined = docs.join(times, docs[id_col].eqNullSafe(times["_id"])).filter("_times > 0")
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))).select(*(docs[c] for c in docs.columns))
+    times = mixed.groupBy(F.col("doc_id").alias("id")).agg(F.max("repetitions").cast("int").alias("times"))
+    both = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row")).join(times, F.col(f"row.`{id_col}`").eqNullSafe(F.col("id"))).filter("times > 0")
+    return both.select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bottomk, decontam, lattice_lm, mixing, quality, revisit, simhash, token_counts, token_pack, url_reputation
-from .common import lower_ascii, remainder_of_id
+from .common import lower_ascii, remainder_of_id, small_batches
 
 RULES = tuple(url_reputation.Rule(a, t) for a, t in (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")))
 #: Ids of word_bpe_49k.json.
@@ -18,6 +18,7 @@ END = 2
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -150,7 +151,7 @@ WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\
   e AS (SELECT d.doc_id, d.source, d.size, d.digest, t.source_size, t.target, t.whole, t.target - t.whole * t.source_size AS rest, k.before, k.bin_size, k.bin
     FROM d JOIN k ON d.source IS NOT DISTINCT FROM k.source AND substr(d.digest, 1, 3) = k.bin JOIN t ON d.source IS NOT DISTINCT FROM t.source),
   q AS (SELECT *, sum(size) OVER (PARTITION BY source, bin ORDER BY digest, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS up_to FROM e),
-  r AS (SELECT *, whole + CASE WHEN before + bin_size <= rest THEN 1 WHEN before >= rest THEN 0 WHEN before + up_to - size / 2 <= rest THEN 1 ELSE 0 END AS repetitions FROM q)
+  r AS (SELECT *, whole + CASE WHEN rest <= 0 THEN 0 WHEN before + bin_size <= rest THEN 1 WHEN before >= rest THEN 0 WHEN before + up_to - size / 2 <= rest THEN 1 ELSE 0 END AS repetitions FROM q)
 SELECT doc_id, source, size, source_size, target, repetitions, repetitions * size AS taken FROM r
 """
 
