@@ -19,8 +19,8 @@ def sketch(text: Column, *, k: int = K, words: int = WORDS) -> Column:
     split = F.split(F.trim(F.translate(lower_ascii(F.coalesce(text, F.lit(""))), "\t\n\x0b\x0c\r", "     ")), " +")
 
     def of(parts: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.size(parts) - words + 1, F.lit(1)))
-        hashes = F.transform(starts, lambda i: F.xxhash64(F.array_join(F.slice(parts, i, F.lit(words)), " ")))
+        starts = F.sequence(F.lit(0), F.greatest(F.size(parts) - words, F.lit(0)))
+        hashes = F.transform(starts, lambda i: F.xxhash64(F.concat_ws(" ", *(F.get(parts, i + k) for k in range(words)))))  # beyond the end null, which adds nothing
         return F.when(F.element_at(parts, 1) == "", F.array().cast("array<bigint>")).otherwise(F.slice(F.sort_array(F.array_distinct(hashes)), 1, k))
 
     return let(split, of)
