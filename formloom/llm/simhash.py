@@ -11,11 +11,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import near_copies
 from .common import discard, materialize, slices, text_bytes
+from .fingerprint import by_group, hamming, majority, pairs_within, spanning
 
-#: Bits of the five blocks of a fingerprint. Three differing bits leave at least two blocks alike.
-BLOCKS = (13, 13, 13, 13, 12)
-BITS = np.array([bin(i).count("1") for i in range(1 << 16)], np.uint8)
+#: Rows of a bucket that are compared pair by pair; larger ones are searched from one fingerprint to all.
+SMALL = 256
 
 
 def fingerprint(text: bytes, words: int = 3) -> int:
@@ -28,12 +29,7 @@ def fingerprint(text: bytes, words: int = 3) -> int:
     starts = [0, *ends[:-1].tolist()]
     stops = (ends[words - 1 :] - 1).tolist() if len(parts) >= words else [len(joined)]
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[a:b], 42) for a, b in zip(starts, stops)], np.uint64)  # noqa: B905  as many as stops
-    ones = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), 1 << 16):
-        part = hashes[at : at + (1 << 16)]
-        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
+    return majority(np.array([digest(joined[a:b], 42) for a, b in zip(starts, stops)], np.uint64))  # noqa: B905  as many as stops
 
 
 def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
@@ -45,29 +41,28 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("h"), pa.array(fp)], ["doc_id", "h", "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"))
+    own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("h"))
     return own.mapInArrow(run, f"doc_id {kind}, h long, fp long")
 
 
-def hamming(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    x = a ^ b
-    return sum(BITS[(x >> np.uint64(s)) & np.uint64(0xFFFF)].astype(np.int16) for s in (0, 16, 32, 48))
-
-
 def reference_fingerprints(n: int, seed: int = 42) -> np.ndarray:
     """The pivots: n seeded random fingerprints."""
     return np.random.default_rng(seed).integers(0, 1 << 64, n, dtype=np.uint64)
 
 
-def linked_roots(values: np.ndarray, pivots: np.ndarray, most: int) -> np.ndarray:
+def pivot_table(values: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """Distances of all values to each pivot, a row for each."""
+    return np.stack([hamming(values, p) for p in pivots]).astype(np.int8) if len(pivots) else np.zeros((0, len(values)), np.int8)
+
+
+def linked_roots(values: np.ndarray, table: np.ndarray, most: int) -> np.ndarray:
     """For each of some distinct fingerprints the index of the first one that it is linked to by steps of `most` bits.
 
-    Precomputes the table of distances to the pivots. By the triangle inequality two fingerprints whose distances to some
-    pivot differ by more than `most` aren't linked; only the pairs that all pivots leave are verified. A fingerprint
-    leaves the search once it is reached, so a group of near copies costs about one comparison a member.
+    By the triangle inequality two fingerprints whose distances to some pivot differ by more than `most` aren't linked;
+    only the pairs that all pivots leave are verified. A fingerprint leaves the search once it is reached, so a group of
+    near copies costs about one comparison a member.
     """
     n = len(values)
-    table = np.stack([hamming(values, p) for p in pivots]) if n > 8 else None
     root = np.full(n, -1)
     open_ = np.arange(n)
     for i in range(n):
@@ -79,11 +74,10 @@ def linked_roots(values: np.ndarray, pivots: np.ndarray, most: int) -> np.ndarra
         while todo and len(open_):
             x = todo.pop()
             left = open_
-            if table is not None:
-                for row in table:
-                    left = left[np.abs(row[left] - row[x]) <= most]
-                    if not len(left):
-                        break
+            for row in table:
+                left = left[np.abs(row[left] - row[x]) <= most]
+                if not len(left):
+                    break
             found = left[hamming(values[left], values[x]) <= most]
             if len(found):
                 root[found] = i
@@ -92,52 +86,61 @@ def linked_roots(values: np.ndarray, pivots: np.ndarray, most: int) -> np.ndarra
     return root
 
 
+def bucket_masks(n: int, most: int) -> list[int]:
+    """Masks of the bits in which two fingerprints must agree to meet, of which any pair within `most` bits has one.
+
+    64 bits are cut into blocks, one more than `most` or several; `most` differing bits leave at least that many blocks
+    less alike. For n random fingerprints the fewest blocks are taken whose buckets hold about SMALL rows at most.
+    """
+    for blocks in range(most + 1, most + 5):
+        alike = blocks - most
+        if n >> (64 * alike // blocks) <= SMALL:
+            break
+    edges = [64 * i // blocks for i in range(blocks + 1)]
+    own = [((1 << (b - a)) - 1) << a for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    return [sum(some) for some in combinations(own, alike)]
+
+
 def links(distinct: DataFrame, *, most: int = 3, pivots: int = 24) -> DataFrame:
-    """Edges `a`, `b` between distinct fingerprints that join all that `most` (3 at most) differing bits link.
+    """Edges `a`, `b` between distinct fingerprints that join all that `most` differing bits link.
 
-    distinct: a column `fp` of distinct values. A fingerprint goes into ten buckets, one for each two of its five blocks;
-    two fingerprints with three differing bits at most share both blocks of at least one of them. The rows of a bucket
-    arrive together, sorted, and are compared by linked_roots(); what leaves is a star for each linked set, at most one
-    edge a row, never the pairs. A bucket holds distinct fingerprints alike in 25 or 26 bits, 8 bytes each.
+    distinct: a column `fp` of distinct values. A fingerprint goes into a bucket for each of bucket_masks(), four of 16 bits
+    up to 16 million rows, so that any two within `most` bits meet in one. The table of distances to the pivots is
+    computed for all rows of the buckets; in each bucket pairs are discarded by their largest difference in it, and the
+    Hamming distances of the survivors verified. What leaves joins each linked set, at most one edge a row and bucket, never
+    all pairs. A bucket holds distinct fingerprints, 8 bytes each and a byte for each pivot.
     """
-    if most > 3:
-        raise ValueError("five blocks of which two are alike find three differing bits at most")
-    lows = np.cumsum((0, *BLOCKS[:-1]))
-    masks = [((1 << b) - 1) << int(lo) for b, lo in zip(BLOCKS, lows, strict=True)]
-    pairs = [masks[i] | masks[j] for i, j in combinations(range(len(BLOCKS)), 2)]
     signed = lambda x: x - (1 << 64) if x >> 63 else x
-    keys = F.array(*(F.struct(F.lit(k).cast("byte").alias("part"), F.col("fp").bitwiseAND(F.lit(signed(m)).cast("long")).alias("key")) for k, m in enumerate(pairs)))
-    spread = distinct.select("fp", F.inline(keys))
-    spread = spread.repartition("part", "key").sortWithinPartitions("part", "key", "fp")
+    masks = bucket_masks(distinct.count(), most)
+    keys = F.array(*(F.struct(F.lit(k).cast("byte").alias("part"), F.col("fp").bitwiseAND(F.lit(signed(m)).cast("long")).alias("key")) for k, m in enumerate(masks)))
+    spread = distinct.select("fp", F.inline(keys)).select(F.xxhash64("part", "key").alias("bucket"), "fp")
+    spread = spread.repartition("bucket").sortWithinPartitions("bucket", "fp")
     reference = reference_fingerprints(pivots)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros(0, np.int64)] * 3
-
-        def edges(part: np.ndarray, key: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
-            new = np.flatnonzero(np.concatenate(([True], (part[1:] != part[:-1]) | (key[1:] != key[:-1]))))
-            size = np.diff(np.append(new, len(part)))
-            a, b = [], []
-            for at, n in zip(new[size > 1].tolist(), size[size > 1].tolist(), strict=True):
-                group = np.unique(fp[at : at + n])
-                root = linked_roots(group.view(np.uint64), reference, most)
-                other = np.flatnonzero(root != np.arange(len(group)))
-                a.append(group[root[other]])
-                b.append(group[other])
-            ends = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b)]
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in ends], ["a", "b"])
-
-        for batch in batches:
-            cols = [np.concatenate((h, batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64))) for h, c in zip(held, ("part", "key", "fp"), strict=True)]
-            part, key, _ = cols
-            if not len(part):
-                continue
-            last = int(np.flatnonzero((part != part[-1]) | (key != key[-1]))[-1]) + 1 if (part[0] != part[-1] or key[0] != key[-1]) else 0
-            held = [c[last:] for c in cols]
-            if last:
-                yield edges(*(c[:last] for c in cols))
-        if len(held[0]):
-            yield edges(*held)
+        values, group, n = [], [], 0
+
+        def edges() -> pa.RecordBatch:
+            fp = np.concatenate(values)
+            i, j, _, _ = pairs_within(fp, np.repeat(np.arange(len(group)), [len(v) for v in values]), pivot_table(fp, reference), most)
+            some = np.array(spanning(zip(i.tolist(), j.tolist(), strict=True)), np.int64).reshape(-1, 2)
+            return pa.RecordBatch.from_arrays([pa.array(fp[some[:, k]].view(np.int64)) for k in (0, 1)], ["a", "b"])
+
+        for g in by_group(batches, ("bucket",)):
+            fp = g["fp"].view(np.uint64)
+            if len(fp) > SMALL:
+                root = linked_roots(fp, pivot_table(fp, reference), most)
+                other = np.flatnonzero(root != np.arange(len(fp)))
+                yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (fp[root[other]], fp[other])], ["a", "b"])
+            elif len(fp) > 1:
+                values.append(fp)
+                group.append(g["bucket"][0])
+                n += len(fp)
+                if n > 1 << 15:
+                    yield edges()
+                    values, group, n = [], [], 0
+        if n:
+            yield edges()
 
     return spread.mapInArrow(run, "a long, b long").distinct()
 
@@ -191,10 +194,35 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     return fps.join(of_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("first.doc_id").alias("component_id"))
 
 
-def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 3, most: int = 3, pivots: int = 24) -> DataFrame:
-    """One row of docs of each component, that with the least doc_id (of several texts the least by hash), with all columns."""
+def rows_of(docs: DataFrame, kept: DataFrame, all_rows: DataFrame, id_col: str, text: F.Column) -> DataFrame:
+    """The rows of docs, with all columns whatever their names, that `kept` (first.doc_id, first.h) names; of repeated rows one.
+
+    all_rows: doc_id and h of all rows, which tell whether any is repeated at all; if none is, nothing is grouped."""
+    own = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"), F.col(id_col).alias("id"), F.xxhash64(text).alias("h"))
+    names = kept.select(F.col("first.doc_id").alias("kept_id"), F.col("first.h").alias("kept_h"))
+    own = own.join(names, own["id"].eqNullSafe(names["kept_id"]) & (own["h"] == names["kept_h"]), "left_semi")
+    if all_rows.groupBy("doc_id", "h").count().filter("count > 1").limit(1).count():
+        own = own.dropDuplicates(["id", "h"])
+    return own.select("row.*")
+
+
+def keep_one(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 3, most: int = 3, pivots: int = 24,
+    alike: float | None = None, bands: int = 32, rows: int = 5, limit: int = 2048,
+) -> DataFrame:
+    """One row of docs of each component, that with the least doc_id (of several texts the least by hash), with all columns.
+
+    Fingerprints link at `most` differing bits; or, with `alike`, texts whose sets of shingles have that Jaccard similarity
+    or more. Then texts meet in `bands` buckets of `rows` least hashes (two texts of similarity 0.8 share none of 32 buckets
+    of 5 in 1 of 300,000 cases), and of a bucket of over `limit` texts those that are like its leader leave with it, see
+    near_copies. In both ways no two rows that stay are linked, and each row that goes is linked, by a chain, to one that stays.
+
+    Equal texts, repeated rows and all blank or null texts are one component each; null ids come last; an empty table gives
+    an empty result.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    if alike is not None:
+        kept, found = near_copies.groups(docs, id_col, text_col, words, alike, bands, rows, limit)
+        return rows_of(docs, kept, found, id_col, text)
     fps, of_fp = _grouped(docs, id_col, text_col, words, most, pivots)
-    kept = of_fp.select(F.col("first.doc_id").alias("_id"), F.col("first.h").alias("_h")).distinct()
-    own = docs.withColumn("_text", F.xxhash64(text_col))
-    own = own.join(kept, own[id_col].eqNullSafe(kept["_id"]) & (own["_text"] == kept["_h"]), "left_semi")
-    return own.dropDuplicates([id_col, "_text"]).drop("_text")
+    return rows_of(docs, of_fp.select("first").distinct(), fps.select("doc_id", "h"), id_col, text)

@@ -100,6 +100,8 @@ def test_simhash(spark, docs, none):
     assert all(r["component_id"] == root[r["doc_id"]] for r in got if r["doc_id"] is not None)
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted(set(root.values()))
+    clashing = docs.select("*", F.col("text").alias("_text"), F.lit(1).alias("row"), F.lit(2).alias("kept_id"))
+    assert simhash.keep_one(clashing).columns == clashing.columns
     assert simhash.near_duplicates(none).count() == 0
 
 
@@ -122,8 +124,27 @@ def test_simhash_chains(spark):
     assert {s: got.get(s, s) for s in signed} == label
 
 
+def test_pivots_discard():
+    """In one bucket the pivots discard most pairs and lose none; both ways of searching a bucket find the same sets."""
+    rng = np.random.default_rng(3)
+    values = rng.integers(0, 1 << 64, 300, dtype=np.uint64)
+    near = values[:150] ^ (np.uint64(1) << rng.integers(0, 64, 150).astype(np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, 150).astype(np.uint64))
+    values = np.unique(np.concatenate((values, near, near ^ np.uint64(5))))
+    table = simhash.pivot_table(values, simhash.reference_fingerprints(24))
+    i, j, met, left = simhash.pairs_within(values, np.zeros(len(values), int), table, 3)
+    brute = {(a, b) for b in range(len(values)) for a in range(b) if bin(int(values[a]) ^ int(values[b])).count("1") <= 3}
+    assert set(zip(i.tolist(), j.tolist(), strict=True)) == brute and len(brute) > 200
+    assert met == len(values) * (len(values) - 1) // 2 and len(brute) <= left < met // 100
+    roots, joined = simhash.linked_roots(values, table, 3), list(range(len(values)))
+    for _ in range(10):
+        for a, b in brute:
+            joined[a] = joined[b] = min(joined[a], joined[b])
+    assert roots.tolist() == joined
+    assert all(len(simhash.bucket_masks(n, 3)) == k for n, k in ((0, 4), (1 << 20, 4), (1 << 30, 10), (1 << 36, 20)))
+
+
 def test_near_copies(spark, docs, none):
-    """Edited copies go, by brute force over five-word shingles; what stays has no near copy, what goes has one that stays."""
+    """One text of each group stays, by brute force over five-word shingles."""
     import corpus_pipeline
 
     def shingles(t):
@@ -142,16 +163,46 @@ def test_near_copies(spark, docs, none):
             w[at] = "edited"
         rows.append((100 + k, " ".join(w)))
     rows += [(300, rows[0][1].upper()), (None, rows[1][1]), (301, "a b"), (302, "A  b"), (303, "a c"), (304, ""), (305, None), (300, rows[0][1].upper())]
-    given = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, key string")
+    given = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, row string, h int")
     got = corpus_pipeline.near_dedup(spark, given, "")
     assert got.columns == given.columns
-    stays = [shingles(x["text"]) for x in got.collect()]
-    assert not any(alike(a, b) for i, a in enumerate(stays) for b in stays[:i])
-    assert all(any(alike(shingles(t), b) for b in stays) for _, t in rows)
-    by_leads = [shingles(x["text"]) for x in near_copies.keep_one(given, limit=20).collect()]
-    assert not any(alike(a, b) for i, a in enumerate(by_leads) for b in by_leads[:i]) and all(any(alike(shingles(t), b) for b in by_leads) for _, t in rows)
-    kept = near_copies.keep_one(docs)
-    assert kept.columns == docs.columns and near_copies.keep_one(none).count() == 0
+    sets, group = [shingles(t) for _, t in rows], list(range(len(rows)))
+    for _ in range(10):
+        for i, a in enumerate(sets):
+            group[i] = min(group[j] for j, b in enumerate(sets) if alike(a, b))
+    least = {}
+    for (i, _), g in zip(rows, group, strict=True):
+        least[g] = min(least.get(g, 1 << 60), 1 << 60 if i is None else i)
+    assert 10 < len(least) < 100 and sorted(x["doc_id"] for x in got.collect()) == sorted(least.values())
+    led = simhash.keep_one(given, words=5, alike=0.8, limit=20).collect()  # leaders first: what stays is unlike, what goes is linked to it
+    stays = [shingles(x["text"]) for x in led]
+    assert not any(alike(a, b) for i, a in enumerate(stays) for b in stays[:i]) and {group[sets.index(s)] for s in stays} == set(group)
+    kept = simhash.keep_one(docs, words=5, alike=0.8)
+    assert kept.columns == docs.columns and simhash.keep_one(none, words=5, alike=0.8).count() == 0
+
+
+def test_tiles(monkeypatch):
+    """Pairs are left to the first bucket that they share, and verified there in whatever tiles."""
+    rng = np.random.default_rng(2)
+    base = [rng.integers(0, 1 << 62, n).astype(np.uint64) for n in rng.integers(20, 400, 30)]
+    sets = [np.unique(np.concatenate((b[rng.random(len(b)) > 0.06], rng.integers(0, 1 << 62, 3).astype(np.uint64)))) for b in base for _ in range(9)]
+    sets.sort(key=len)
+    sig, n = near_copies.band_keys(sets, 32, 5), np.array([len(s) for s in sets])
+    fp = np.array([near_copies.majority(s) for s in sets], np.uint64)
+    brute = {(i, j) for j in range(len(sets)) for i in range(j) if len(np.intersect1d(sets[i], sets[j])) >= 0.8 * len(np.union1d(sets[i], sets[j]))}
+    for most in (256, 7):
+        monkeypatch.setattr(near_copies.chunks, "__defaults__", (most, 400_000))
+        root = list(range(len(sets)))
+        for band in range(32):
+            _, bucket = np.unique(sig[:, band], return_inverse=True)
+            for b in range(bucket.max() + 1):
+                rows = np.flatnonzero(bucket == b)
+                for _, _, some in near_copies.tiles(band, n[rows], fp[rows], sig[rows], 0.8):
+                    for i, j in near_copies.alike_pairs([sets[k] for k in rows[some]], 0.8):
+                        i, j = int(rows[some[i]]), int(rows[some[j]])
+                        assert (min(i, j), max(i, j)) in brute
+                        root = [root[i] if x == root[j] else x for x in root]
+        assert len(brute) > 100 and all(root[i] == root[j] for i, j in brute)
 
 
 def test_mixing(spark, docs, none):
