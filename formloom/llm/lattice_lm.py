@@ -1,9 +1,11 @@
 """LM scoring: the likelihood of a text, summed over all segmentations of its words in a subword lattice.
 
 The arcs of a word's lattice are the pieces of an existing tokenizer's vocabulary that match at each place; their unigram
-scores weight every segmentation and a forward recursion in log space sums them. A word of the training texts is an arc
-of its own as well. Scores start from those of the vocabulary and are fitted to the training texts by expectation
-maximisation over the same lattices.
+scores weight every segmentation and a forward recursion in log space sums them. In the model of a corpus a word of the
+training texts is an arc of its own as well, from the word's start to its end.
+
+Scores of a vocabulary of merges are ranks (0, -1, -2, ...). They stand for probabilities by Zipf's law: the piece of rank
+r has a probability in proportion to 1 / (r + 2). Scores that are log probabilities stay as they are.
 """
 
 from __future__ import annotations
@@ -156,28 +158,6 @@ class Lattice:
                 a[i] = top + math.log(sum([math.exp(t - top) for t in terms]))
         return float(a[n])
 
-    def expected(self, words: list[bytes], log_p: np.ndarray) -> np.ndarray:
-        """How often each piece is used by the words, each word once, in expectation over segmentations.
-
-        Words of over LONG bytes, of which each would count like a text, are left to the pieces' other uses."""
-        scores = np.append(log_p, -np.inf)
-        total = np.zeros(len(self.pieces) + 1)
-        for part, x in self.groups(words) if words else ():
-            n = x.shape[1]
-            if n > LONG:
-                continue
-            arcs = self.arcs(x)
-            a = self.forward(arcs, n, len(part), scores)
-            b = np.full((n + 1, len(part)), -np.inf)
-            b[n] = 0
-            for j, i in sorted(arcs, reverse=True):
-                b[j] = np.logaddexp(b[j], scores[arcs[j, i]] + b[i])
-            ids = np.concatenate([p for p in arcs.values()])
-            with np.errstate(invalid="ignore"):
-                share = np.concatenate([np.exp(a[j] + scores[p] + b[i] - a[n]) for (j, i), p in arcs.items()])
-            total += np.bincount(ids, np.nan_to_num(share), len(total))
-        return total[:-1]
-
 
 @cache
 def lattice(path: str) -> Lattice:
@@ -185,7 +165,7 @@ def lattice(path: str) -> Lattice:
     return Lattice(path)
 
 
-def word_counts(docs: DataFrame, flush: int = 400_000) -> DataFrame:
+def word_counts(docs: DataFrame, flush: int = 200_000) -> DataFrame:
     """docs: text, train (boolean). Every word of any text with its number in training texts: word (binary), c."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,7 +177,7 @@ def word_counts(docs: DataFrame, flush: int = 400_000) -> DataFrame:
             counts.clear(), others.clear()
             return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(n, pa.int64())], ["word", "c"])
 
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", 1 << 20):
             for t, train in zip(text_bytes(b.column("text")), b.column("train").to_pylist(), strict=True):
                 (counts if train else others).update(t.lower().split())
             if len(counts) + len(others) > flush:
@@ -208,46 +188,23 @@ def word_counts(docs: DataFrame, flush: int = 400_000) -> DataFrame:
     return docs.select("text", "train").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def fit_pieces(words: DataFrame, vocabulary: str, rounds: int = 2) -> np.ndarray:
-    """Log probabilities of the pieces by expectation maximisation over the training vocabulary, each word counted once.
-
-    Counting types rather than tokens fits the pieces to rare and new words, which the lattice is for. A round is one pass
-    over the distinct words; its result has one row for each piece.
-    """
-    own = lattice(vocabulary)
-    log_p = own.initial
-    for _ in range(rounds):
-        given = words.sparkSession.sparkContext.broadcast(log_p)
-
-        def run(batches: Iterator[pa.RecordBatch], given=given) -> Iterator[pa.RecordBatch]:
-            model, total = lattice(vocabulary), 0
-            for b in batches:
-                total = total + model.expected(b.column("word").to_pylist(), given.value)
-            if not isinstance(total, int):
-                used = np.flatnonzero(total)
-                yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], ["piece", "n"])
-
-        rows = words.select("word").mapInArrow(run, "piece int, n double").groupBy("piece").agg(F.sum("n").alias("n")).toArrow()
-        n = np.full(len(own.pieces), 0.1)
-        n[rows["piece"].to_numpy()] += rows["n"].to_numpy()
-        log_p = np.log(n / n.sum())
-    return log_p
-
-
-def score_texts(
-    docs: DataFrame, vocabulary: str, *, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_out: int = 1, hot: int = 150_000, rounds: int = 2,
-) -> DataFrame:
-    """One row for each row of docs: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
+def score_texts(docs: DataFrame, vocabulary: str, *, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_out: int = 1, hot: int = 150_000) -> DataFrame:
+    """One row for each row of docs: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, lattice_score.
 
     Tokens are the words, A-Z lower-cased, and one end for each text; null and blank texts have the end alone. Rows whose
     crc32(doc_id) mod `folds` is `held_out` aren't learned from; a null id counts as the empty text there.
-    base_score: log10 likelihood of unigrams with half a count added. score: log10 probability of the text, where a word has
-    (1 - e) ((1 - u) c / W + u L). e: share of ends in the training tokens, W: training words, u: the share of training
-    words that are seen once (Good and Turing's estimate for new words), L: the sum over the word's segmentations.
-    With nothing to learn from, u is 1 and the pieces keep their initial scores.
-
-    The `hot` most frequent words, a fixed number, go to all tasks; all other words of a text are joined with the table of
-    words by a shuffle. Counts are exact, and no word is left out.
+    base_score: log10 likelihood of unigrams with half a count added.
+    lattice_score: log10 of the product over the words of L, the sum over all segmentations into the vocabulary's pieces.
+    score: log10 probability of the text, where a word's lattice has the pieces, weighed by u, and, if it is a training word,
+    one arc over the whole word: (1 - e) ((1 - u) c / W + u L), and an end e. e: share of ends in the training tokens, W:
+    training words, u: the share of training words that are seen once (Good and Turing's estimate for new words). With
+    nothing to learn from, u is 1.
+
+    Words of any length and script are scored. Repeated rows count as often as they stand and have equal scores; other
+    columns are ignored; an empty table gives an empty result.
+
+    The `hot` most frequent words of 64 bytes at most, a fixed number, go to all tasks; all other words of a text are joined
+    with the table of words by a shuffle. Counts are exact, and no word is left out.
     """
     spark = docs.sparkSession
     flag = remainder_of_id(id_col, folds) == held_out
@@ -258,47 +215,48 @@ def score_texts(
     n, v, w = total["w"] + ends, total["v"] + (ends > 0), total["w"]
     u = min(max(total["once"] / w, 1e-4), 0.9) if w else 1.0
     e = (ends + 0.5) / (n + 1)
-    log_p = fit_pieces(counts.filter("c > 0"), vocabulary, rounds)
-    given = spark.sparkContext.broadcast(log_p)
     bottom = n + 0.5 * (v + 1)
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = lattice(vocabulary)
         for b in batches:
             c = b.column("c").to_numpy()
-            inside = math.log(u) + model.log_likelihood(b.column("word").to_pylist(), given.value)
+            inside = model.log_likelihood(b.column("word").to_pylist(), model.initial)
             with np.errstate(divide="ignore"):
                 whole = np.log((1 - u) * c / max(w, 1))
-            lp = (np.logaddexp(inside, whole) + math.log(1 - e)) / math.log(10)
-            base = np.log10((c + 0.5) / bottom)
-            yield pa.RecordBatch.from_arrays([b.column("word"), b.column("c"), pa.array(base), pa.array(lp)], ["word", "c", "base", "lp"])
+            lp = (np.logaddexp(math.log(u) + inside, whole) + math.log(1 - e)) / math.log(10)
+            cols = [b.column("word"), b.column("c"), *map(pa.array, (np.log10((c + 0.5) / bottom), lp, inside / math.log(10)))]
+            yield pa.RecordBatch.from_arrays(cols, ["word", "c", "base", "lp", "pieces"])
 
-    table = materialize(counts.mapInArrow(weigh, "word binary, c long, base double, lp double"), "weighed")
-    top = table.orderBy(F.col("c").desc(), "word").limit(hot).toArrow()
-    known = (top["c"].to_numpy() > 0).astype(np.int64)
-    shared = spark.sparkContext.broadcast(({x: i for i, x in enumerate(top["word"].to_pylist())}, np.append(top["base"].to_numpy(), 0), np.append(top["lp"].to_numpy(), 0), np.append(known, 0)))
+    table = materialize(counts.mapInArrow(weigh, "word binary, c long, base double, lp double, pieces double"), "weighed")
+    top = table.filter(F.length("word") <= 64).orderBy(F.col("c").desc(), "word").limit(hot).toArrow()
+    sums = {"n_known": (top["c"].to_numpy() > 0).astype(np.int64), **{name: top[c].to_numpy() for name, c in (("base_score", "base"), ("score", "lp"), ("lattice_score", "pieces"))}}
+    shared = spark.sparkContext.broadcast(({x: i for i, x in enumerate(top["word"].to_pylist())}, {k: np.append(x, np.zeros(1, x.dtype)) for k, x in sums.items()}))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, base, lp, seen = shared.value
-        get, none = place.get, len(base) - 1
-        for b in slices(batches, "text"):
+        place, values = shared.value
+        get, none = place.get, len(place)
+        for b in slices(batches, "text", 1 << 20):
             words = [t.lower().split() for t in text_bytes(b.column("text"))]
             lengths = np.array([len(x) for x in words])
             flat = [x for y in words for x in y]
             at = np.array([get(x, none) for x in flat], np.int64)
             edges = np.concatenate(([0], np.cumsum(lengths)))
-            sums = lambda a: (s := np.concatenate((np.zeros(1, a.dtype), np.cumsum(a[at]))))[edges[1:]] - s[edges[:-1]]  # noqa: B023, E731
+            sum_of = lambda a: (s := np.concatenate((np.zeros(1, a.dtype), np.cumsum(a[at]))))[edges[1:]] - s[edges[:-1]]  # noqa: B023, E731
             cold = np.flatnonzero(at == none)
             rest = pa.ListArray.from_arrays(pa.array(np.searchsorted(cold, edges).astype(np.int32)), pa.array([flat[i] for i in cold], pa.binary()))
-            cols = [b.column("rid"), b.column("doc_id"), b.column("held_out"), pa.array(lengths + 1), *(pa.array(sums(a)) for a in (seen, base, lp)), rest]
-            yield pa.RecordBatch.from_arrays(cols, ["rid", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rest"])
+            cols = [b.column("rid"), b.column("doc_id"), b.column("held_out"), pa.array(lengths + 1), *(pa.array(sum_of(a)) for a in values.values()), rest]
+            yield pa.RecordBatch.from_arrays(cols, ["rid", "doc_id", "held_out", "n_tokens", *values, "rest"])
 
     kind = d.schema["doc_id"].dataType.simpleString()
-    schema = f"rid long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double, rest array<binary>"
+    schema = f"rid long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double, lattice_score double, rest array<binary>"
     parts = materialize(d.withColumn("rid", F.monotonically_increasing_id()).mapInArrow(split, schema), "parts")
     cold = parts.select("rid", F.explode("rest").alias("word")).join(table, "word")
-    cold = cold.groupBy("rid").agg(F.count_if(F.col("c") > 0).alias("k"), F.sum("base").alias("b"), F.sum("lp").alias("l"))
+    cold = cold.groupBy("rid").agg(F.count_if(F.col("c") > 0).alias("k"), F.sum("base").alias("b"), F.sum("lp").alias("l"), F.sum("pieces").alias("p"))
     both = parts.drop("rest").join(cold, "rid", "left")
     end_base, end_score = math.log10((ends + 0.5) / bottom), math.log10(e)
     add = lambda x, y, z: (F.col(x) + F.coalesce(y, F.lit(0)) + F.lit(z)).alias(x)
-    return both.select("doc_id", "held_out", "n_tokens", add("n_known", "k", int(ends > 0)), F.lit(n).cast("long").alias("train_tokens"), add("base_score", "b", end_base), add("score", "l", end_score))
+    return both.select(
+        "doc_id", "held_out", "n_tokens", add("n_known", "k", int(ends > 0)), F.lit(n).cast("long").alias("train_tokens"), add("base_score", "b", end_base), add("score", "l", end_score),
+        add("lattice_score", "p", 0.0),
+    )
