@@ -197,42 +197,56 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def write_packed(docs: DataFrame, tokenizer: str, *, end: int, vocabulary: int, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> tuple[str, DataFrame]:
+def write_packed(
+    docs: DataFrame, tokenizer: str, *, end: int, vocabulary: int, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", shard_ids: int = 8 << 20,
+) -> tuple[str, DataFrame]:
     """Encode every document, append `end`, and write all ids in ascending doc_id order as shard files.
 
     Returns the folder and the manifest (shard, file, n_docs, n_ids, base: the ids in all shards before), whose rows are
     as many as the shards. vocabulary: the number of ids; its bits are the width. A null text is encoded as empty; a null
-    doc_id comes first; rows with one doc_id follow each other in the order of their texts.
+    doc_id comes first; rows with one doc_id, repeated ones too, follow each other in the order of their texts' hashes.
+    Other columns are ignored; an empty table has no shards.
 
-    A shard is a range of the sorted documents, whose number follows spark.sql.shuffle.partitions. Its file has a name of
-    its own until it is complete and is then renamed, so a task that is run again just writes the same file once more.
+    A task has a range of the sorted documents and begins a new file after `shard_ids` ids, 32 MB as they are held, or a
+    document that is longer; so neither a task's memory nor a file's size depends on the number of partitions. A file's name
+    has the number of the attempt that wrote it and only finished attempts are in the manifest: a task that is run again or
+    twice at once leaves files that nothing reads.
     """
     spark = docs.sparkSession
     path = path or shared_path(spark, "packed")
     bits = max(1, (max(vocabulary, end + 1) - 1).bit_length())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, rows, task = encoder(tokenizer), [], TaskContext.get()
-        for b in slices(batches, "text", 4 << 20):
-            rows += zip(b.column("doc_id").to_pylist(), own.encode(b.column("text"), end), strict=True)
-            pa.default_memory_pool().release_unused()
-        if not rows:
-            return
-        data = shard_bytes(rows, bits)
+        own, task = encoder(tokenizer), TaskContext.get()
         store, folder = fs.FileSystem.from_uri(path)
-        name, part = f"shard-{task.partitionId():06d}.fltp", f"{folder}/_writing-{task.taskAttemptId()}"
         store.create_dir(folder, recursive=True)
-        with store.open_output_stream(part) as f:
-            f.write(data)
-        store.move(part, f"{folder}/{name}")
-        yield pa.RecordBatch.from_pydict({"shard": pa.array([task.partitionId()], pa.int32()), "file": [name], "n_docs": [len(rows)], "n_ids": [sum(len(x) for _, x in rows) // 4]})
-
-    ordered = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    ordered = ordered.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-    rows = ordered.mapInArrow(run, "shard int, file string, n_docs long, n_ids long").collect()  # one row for each shard
+        rows, held, k = [], 0, 0
+
+        def shard() -> pa.RecordBatch:
+            name = f"shard-{task.partitionId():06d}-{k:05d}-{task.taskAttemptId()}.fltp"
+            with store.open_output_stream(f"{folder}/{name}") as f:
+                f.write(shard_bytes(rows, bits))
+            columns = {"part": pa.array([task.partitionId()], pa.int32()), "k": pa.array([k], pa.int32()), "file": [name], "n_docs": [len(rows)], "n_ids": [held // 4]}
+            return pa.RecordBatch.from_pydict(columns)
+
+        for b in slices(batches, "text", 4 << 20):
+            for doc_id, ids in zip(b.column("doc_id").to_pylist(), own.encode(b.column("text"), end), strict=True):
+                rows.append((doc_id, ids))
+                held += len(ids)
+                if held >= 4 * shard_ids:
+                    yield shard()
+                    rows, held, k = [], 0, k + 1
+            pa.default_memory_pool().release_unused()
+        if rows:
+            yield shard()
+
+    ordered = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn("h", F.xxhash64("text"))
+    order = [F.col("doc_id").asc_nulls_first(), F.col("h")]
+    ordered = ordered.repartitionByRange(*order).sortWithinPartitions(*order).drop("h")
+    rows = ordered.mapInArrow(run, "part int, k int, file string, n_docs long, n_ids long").collect()  # one row for each shard
     base, out = 0, []
-    for r in sorted(rows, key=lambda r: r["shard"]):
-        out.append((*r, base))
+    for i, r in enumerate(sorted(rows, key=lambda r: (r["part"], r["k"]))):
+        out.append((i, r["file"], r["n_docs"], r["n_ids"], base))
         base += r["n_ids"]
     return path, spark.createDataFrame(out, "shard int, file string, n_docs long, n_ids long, base long").coalesce(1)
 
