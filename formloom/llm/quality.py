@@ -23,12 +23,14 @@ IS_WORD = np.array([b not in WORD_SEPARATORS for b in range(256)], np.int8)
 
 @dataclass(frozen=True)
 class Settings:
-    """bits: of the hashed table. grams: lengths of n-grams in bytes. sample: the bound on labelled rows that are fitted."""
+    """bits: of the hashed table. grams: lengths of n-grams in bytes. sample: the bound on labelled rows that are fitted.
+    most: the bound on distinct features of one of them; of a text with more those with the least hashes are fitted."""
 
     bits: int = 17
     dim: int = 8
     grams: tuple[int, ...] = (3, 4)
     sample: int = 3000
+    most: int = 4096
     epochs: int = 12
     rate: float = 0.4
     batch: int = 16
@@ -132,32 +134,44 @@ def train(texts_ids: list[np.ndarray], texts_counts: list[np.ndarray], labels: n
     return Model(s, vectors @ delta, float(bias[1] - bias[0]))
 
 
-def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), *, folds: int = 5, held_out: int = 0) -> Model:  # noqa: B008  frozen
+def fit(
+    docs: DataFrame, labels: DataFrame, s: Settings = Settings(), *, folds: int = 5, held_out: int = 0, id_col: str = "doc_id", text_col: str = "text",  # noqa: B008  frozen
+) -> Model:
     """Fit on at most s.sample labelled rows, those with the least hashes of their ids, never on the held-out fold.
 
-    docs: doc_id, text. labels: doc_id, quality (0 or 1; nulls are no label; of several rows of an id the least counts).
-    Only the sampled documents' hashed features reach the driver, whose number is bounded by s.sample.
+    labels: doc_id, quality (0 or 1; nulls are no label; of several rows of an id the least counts). A null id has no
+    label. Of several rows of docs with one id that with the least features counts. Only the sampled documents' hashed
+    features reach the driver: s.sample rows of s.most features, 8 bytes each. Other columns are ignored.
     """
     own = labels.filter("quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
     own = own.filter(remainder_of_id("doc_id", folds) != held_out).orderBy(F.xxhash64("doc_id"), "doc_id").limit(s.sample)
 
+    def chosen(ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if len(ids) <= s.most:
+            return ids, counts
+        some = np.sort(np.argsort(ids * np.uint32(0x9E3779B1), kind="stable")[: s.most])
+        return ids[some], counts[some]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", 1 << 20):
-            pairs = feature_counts(text_bytes(b.column("text")), s)
+            pairs = [chosen(*p) for p in feature_counts(text_bytes(b.column("text")), s)]
             cols = [b.column("doc_id"), b.column("quality"), *(pa.array([p[k].astype(t).tobytes() for p in pairs], pa.binary()) for k, t in enumerate(("<u4", "<f4")))]
             yield pa.RecordBatch.from_arrays(cols, ["doc_id", "quality", "ids", "counts"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", "text").join(F.broadcast(own), "doc_id").mapInArrow(run, f"doc_id {kind}, quality int, ids binary, counts binary").collect()
-    rows.sort(key=lambda r: (r["doc_id"], bytes(r["ids"])))
-    return train([np.frombuffer(r["ids"], "<u4") for r in rows], [np.frombuffer(r["counts"], "<f4") for r in rows], np.array([r["quality"] for r in rows], np.int64), s)
+    kind = docs.schema[id_col].dataType.simpleString()
+    given = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(own), "doc_id").select("doc_id", "text", "quality")
+    found = given.mapInArrow(run, f"doc_id {kind}, quality int, ids binary, counts binary")
+    rows = [(r["doc_id"], *r["f"]) for r in found.groupBy("doc_id").agg(F.min(F.struct("ids", "counts", "quality")).alias("f")).collect()]
+    rows.sort(key=lambda r: r[0])
+    return train([np.frombuffer(r[1], "<u4") for r in rows], [np.frombuffer(r[2], "<f4") for r in rows], np.array([r[3] for r in rows], np.int64), s)
 
 
 def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", cut: float = 0.3) -> DataFrame:
     """One row for each row of docs: doc_id, score (0 to 1), predicted (1 if score >= cut).
 
     Only the text is read. Null and empty texts have no features and get the score of the bias, the share of label 1 in
-    the sample; so have all texts if nothing is labelled, when it is 1/2.
+    the sample; so have all texts if nothing is labelled, when it is 1/2. Equal texts have equal scores; other columns are
+    ignored; an empty table gives an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -171,7 +185,7 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
 
 
 def keep_good(docs: DataFrame, model: Model, *, text_col: str = "text", cut: float = 0.3) -> DataFrame:
-    """The rows of docs, with all their columns, whose score is at least `cut`."""
+    """The rows of docs, with all their columns whatever their names, whose score() is at least `cut`; repeated rows alike."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
