@@ -129,11 +129,11 @@ class Dialect:
             return f"SELECT {columns}, cast({pos} as bigint) AS {pos}, {name} FROM {source} LATERAL VIEW posexplode({array}) AS {pos}, {name}"
         return f"SELECT {columns}, unnest(range(len({array}))) AS {pos}, unnest({array}) AS {name} FROM {source}"
 
-    def ordered_join(self, x: str, order: str, sep: str) -> str:
-        """Aggregate: the values of x, in an order, as one text."""
+    def ordered_join(self, x: str, order: str, sep: str, over: str = "") -> str:
+        """Aggregate, or over a window: the values of x that aren't null, in an order, as one text."""
         if self.spark:
-            return f"array_join(transform(array_sort(collect_list(struct({order} AS o, {x} AS v))), e -> e.v), {self.lit(sep)})"
-        return f"string_agg({x}, {self.lit(sep)} ORDER BY {order})"
+            return f"array_join(transform(array_sort(collect_list(struct({order} AS o, {x} AS v)) {over}), e -> e.v), {self.lit(sep)})"
+        return f"coalesce(string_agg({x}, {self.lit(sep)} ORDER BY {order}) {over}, '')"
 
     def count_if(self, cond: str) -> str:
         return f"coalesce(sum(CASE WHEN {cond} THEN 1 ELSE 0 END), 0)"

@@ -162,19 +162,20 @@ def signature_type(d: Dialect, title: str, kind: str) -> str:
     return d.case([(d.has(f"lower({title})", r"\bsign(ature)?\b|witness"), "'block_signature'")], kind)
 
 
-def confidence(d: Dialect, key: str, title: str, kind: str, section: str, input_kind: str) -> str:
-    """0 to 1: completeness, quality of the title, fit of type and title, and a fixed share for the match."""
+def confidence(d: Dialect, key: str, title: str, kind: str, section: str, input_kind: str, match: str = "0.75") -> str:
+    """0 to 1: completeness, quality of the title, fit of type and title, and 0.2 times the score of the match, which is 0.75
+    where none was tried."""
     given = lambda x: f"cast(coalesce({x}, '') <> '' as int)"
     whole = f"({given(key)} + {given(title)} + {given(kind)} + {given(section)}) / 4.0 * 0.4"
     good = d.case([(f"length({title}) BETWEEN 3 AND 100 AND {d.words(title)} BETWEEN 1 AND 15", "0.2"), (f"length({title}) BETWEEN 3 AND 100", "0.1")], "0.0")
     off = f"({kind} = 'date' AND NOT {d.has(f'lower({title})', 'date|birth|dob|when|day|month|year')}) OR ({kind} = 'input' AND {input_kind} = 'phone' AND NOT {d.has(f'lower({title})', 'phone|cell|mobile|tel|contact')})"
     fit = d.case([(f"coalesce({kind}, '') = ''", "0.0"), (off, "0.1")], "0.2")
-    return f"round(cast(least(1.0, {whole} + {good} + {fit} + 0.15) as double), 6)"
+    return f"round(cast(least(1.0, {whole} + {good} + {fit} + 0.2 * coalesce({match}, 0)) as double), 6)"
 
 
 def clean_overflow(d: Dialect, title: str) -> str:
-    """A title without a label that ran into it from the next column."""
-    return d.trim(d.sub(title, r" +(Patient Name|Date of Birth|Date|Signature|Phone|Relationship|Address):?$", ""))
+    """A title without a label that ran into it from the next column; short titles, such as "Mobile Phone", stay."""
+    return f"CASE WHEN {d.words(title)} >= 5 THEN {d.trim(d.sub(title, r' +(Patient Name|Date of Birth|Date|Signature|Phone|Relationship|Address):?$', ''))} ELSE {title} END"
 
 
 def is_document_title(d: Dialect, title: str, kind: str) -> str:

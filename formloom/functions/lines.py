@@ -20,8 +20,9 @@ CATEGORY_WORDS = (
 )
 INSTRUCTION_STARTS = (
     r"^i +(hereby +)?(understand|certify|acknowledge|consent|agree|authorize|give)", r"^(the +)?patient +(understands?|acknowledges?|consents?|agrees?)", r"^by +signing", r"^i +have +(read|been +(informed|given))",
-    r"^(this|it) +is +(understood|acknowledged)", r"^we +(understand|acknowledge)", r"^do +not +(consume|take|eat|drink|smoke)", r"^please +(arrive|bring|remove|wear|leave)", r"^ensure +(you|that)",
+    r"^(this|it) +is +(understood|acknowledged)", r"^we +(understand|acknowledge)", r"^do +not +(consume|take|eat|drink|smoke)", r"^please +(arrive|bring|remove|wear|leave)", r"^ensure +(you|that)", r"^your +escort +must",
     r"^we +reserve +the +right", r"^if +you +do +not", r"^(take|wear|remove|bring|arrive) +(any|your|all|the|short)",
+    r"^this +(consent +)?form +(should|must|is|will)", r"^this +(document|consent) +(should|must|is|will)",
 )
 RISK_TERMS = ("may include", "may result in", "possible risks", "complications", "not limited to", "include but", "such as", "alternative treatment", "necessitating", "have been explained")
 EXPLAINING = ("this means that", "it is important to", "you should", "please note", "be aware that", "keep in mind", "it is your responsibility")
@@ -67,6 +68,22 @@ def is_heading(d: Dialect, x: str) -> str:
     return d.let(d.squeeze(x), "t", d.let(d.sub("lower(t)", r":+$", ""), "low", rules))
 
 
+def is_heading_in_place(d: Dialect, x: str, following: str, pos: str) -> str:
+    """A heading by itself, or by what stands around it: an underlined next line, a centred short line, or an early one in
+    title case. Lines with a box, a blank or a question never are."""
+    bare = f"NOT {has_box(d, 't')} AND NOT {d.contains('t', '?')} AND NOT {d.contains('t', '__')} AND NOT {d.contains('t', ':')} AND length(t) BETWEEN 3 AND 60 AND {d.has('t', '^[A-Z]')} AND NOT {d.ends('t', '.')}"
+    underlined = f"coalesce({d.has(following, r'^ *[-=_]{3,} *$')}, false)"
+    known = d.has("t", KNOWN_LABELS, ci=True)
+    centred = f"({d.has(x, '^ {8,}[A-Z]')} AND {d.words('t')} BETWEEN 2 AND 8 AND NOT {known})"
+    early = f"({pos} < 3 AND {d.has('t', '^[A-Z][a-z]+( [A-Z][a-z]+)+$')} AND NOT {known})"
+    return f"({is_heading(d, x)} OR {d.let(d.squeeze(x), 't', f'({bare} AND ({underlined} OR {centred} OR {early}))')})"
+
+
+def is_underline(d: Dialect, x: str) -> str:
+    """A line that only underlines the one before."""
+    return d.has(x, r"^ *[-=]{3,} *$")
+
+
 def is_category_header(d: Dialect, x: str, following: str) -> str:
     """A short line above a line of boxes, which isn't a field's label."""
     t = d.squeeze(x)

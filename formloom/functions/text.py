@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from .dialect import Dialect
 
 # What each rule replaces.
@@ -76,15 +78,17 @@ def preprocess(d: Dialect, x: str, label: bool = False) -> str:
 
 
 def clean_checkboxes(d: Dialect, x: str) -> str:
-    """Boxes that OCR garbled, as `[ ]`; line ends stay. Whether a box was checked is read beforehand by is_checked()."""
+    """Boxes that OCR garbled, as `[ ]`; a checked box is `[x]`; line ends stay."""
     x = d.sub(x, r"\b[OoCc][yj](Yes)", "[ ] $1")
     x = d.sub(x, r"\[[JCL](Yes)", "[ ] $1", ci=True)
     x = d.sub(x, r"\b[Cc][lI](Yes)", "[ ] $1")
     x = d.sub(x, r"(Yes)[ \t]*[\]\[JL\-]+[ \t]*(No)", "$1 [ ] $2")
     x = d.sub(x, r"\[\[+", "[ ]")
     x = d.sub(x, r"\[(Yes|No)\b", "[ ] $1", ci=True)
-    x = d.sub(x, r"\[[ \t]*[A-Za-z]{1,2}[ \t]*\]", "[ ]")
-    x = d.sub(x, r"[ \t]*\[[ \t]*\][ \t]*", " [ ] ")
+    x = d.sub(x, r"\[[ \t]*[xX][ \t]*\]", "[x]")
+    x = d.sub(x, r"\[[ \t]*([A-Za-wyzA-WYZ]|[A-Za-z]{2})[ \t]*\]", "[ ]")
+    x = d.sub(x, r"[ \t]*\[[ \t]*(x?)\][ \t]*", " [$1] ")
+    x = d.sub(x, r"\[\]", "[ ]")
     return d.sub(x, r"[ \t]{2,}", " ")
 
 
@@ -100,17 +104,26 @@ def fix_terms(d: Dialect, x: str) -> str:
 
 
 def fix_phones(d: Dialect, x: str) -> str:
-    """O, I and l within telephone numbers, as digits: one at the end of each group may be misread."""
-    for bad, good in (("[Oo]", "0"), ("[Il]", "1")):
-        x = d.sub(x, rf"(\([0-9]{{2}}){bad}(\) ?)", f"${{1}}{good}$2".replace("${1}", "$1"))
-        x = d.sub(x, rf"(\([0-9]{{3}}\) ?[0-9]{{2}}){bad}(-)", f"$1{good}$2")
-        x = d.sub(x, rf"(\([0-9]{{3}}\) ?[0-9]{{3}}-[0-9]{{3}}){bad}", f"$1{good}")
-    return x
+    """O, I and l within telephone numbers, as digits, wherever they stand in a number."""
+    shape = r"\(?[0-9OoIl]{3}\)?[-. ]?[0-9OoIl]{3}[-. ][0-9OoIl]{4}"
+    return in_matches(d, x, shape, lambda m: f"CASE WHEN {d.count(m, '[0-9]')} >= 6 THEN translate({m}, 'OoIl', '0011') ELSE {m} END")
 
 
 def fix_dates(d: Dialect, x: str) -> str:
-    """Slashes read as I, between groups of digits that make a date."""
-    return d.sub(x, r"\b([0-9]{1,2})[/I]([0-9]{1,2})[/I]([0-9]{2,4})\b", "$1/$2/$3")
+    """Slashes read as I between groups of digits that make a date, and O, I and l within a date's groups."""
+    x = d.sub(x, r"\b([0-9]{1,2})[/I]([0-9]{1,2})[/I]([0-9]{2,4})\b", "$1/$2/$3")
+    return in_matches(d, x, r"\b[0-9OoIl]{1,2}[/-][0-9OoIl]{1,2}[/-][0-9OoIl]{4}\b", lambda m: f"CASE WHEN {d.count(m, '[0-9]')} >= 4 THEN translate({m}, 'OoIl', '0011') ELSE {m} END")
+
+
+def in_matches(d: Dialect, x: str, pattern: str, change: Callable[[str], str]) -> str:
+    """x with each match of a pattern changed: matches are marked, the text cut at the marks, and every other part changed."""
+    mark = chr(2)
+    parts = d.split(d.sub(x, f"({pattern})", f"{mark}$1{mark}"), mark)
+    if d.spark:
+        changed = f"transform({parts}, (m, i) -> CASE WHEN i % 2 = 1 THEN {change('m')} ELSE m END)"
+    else:
+        changed = f"list_transform({parts}, lambda m, i: CASE WHEN i % 2 = 0 THEN {change('m')} ELSE m END)"
+    return f"CASE WHEN {d.has(x, pattern)} THEN {d.join(changed, '')} ELSE {x} END"
 
 
 def normalize_glyphs(d: Dialect, x: str) -> str:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 from typing import NamedTuple
@@ -9,17 +10,19 @@ from typing import NamedTuple
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from ..functions import fields as D
+from ..functions import questions as Q
 from ..functions import text as T
 from ..functions.dialect import SPARK, Dialect
 
-#: A small catalogue of templates (key, title, section) and of aliases (phrase, key), in order.
+#: A small catalogue of templates (key, title, section, options with `|` between) and of aliases (phrase, key), in order.
 TEMPLATES = (
-    ("full_name", "Name", "Patient Information"), ("first_name", "First Name", "Patient Information"), ("last_name", "Last Name", "Patient Information"), ("date_of_birth", "Date of Birth", "Patient Information"),
-    ("mobile_phone", "Mobile Phone", "Patient Information"), ("home_phone", "Home Phone", "Patient Information"), ("work_phone", "Work Phone", "Patient Information"), ("zipcode", "Zip Code", "Patient Information"),
-    ("gender", "Gender", "Patient Information"), ("country", "Country", "Patient Information"), ("insurance_id_number", "Insurance ID Number", "Insurance"), ("insurance_company", "Insurance Company", "Insurance"),
-    ("taking_medications", "Are you taking any medications", "Medical History"), ("had_conditions", "Do you have any of the following conditions", "Medical History"), ("signature", "Signature", "Signature"), ("date_signed", "Date Signed", "Signature"),
+    ("full_name", "Name", "Patient Information", ""), ("first_name", "First Name", "Patient Information", ""), ("last_name", "Last Name", "Patient Information", ""), ("date_of_birth", "Date of Birth", "Patient Information", ""),
+    ("mobile_phone", "Mobile Phone", "Patient Information", ""), ("home_phone", "Home Phone", "Patient Information", ""), ("work_phone", "Work Phone", "Patient Information", ""), ("zipcode", "Zip Code", "Patient Information", ""),
+    ("gender", "Gender", "Patient Information", "Male|Female"), ("country", "Country", "Patient Information", ""), ("insurance_id_number", "Insurance ID Number", "Insurance", ""), ("insurance_company", "Insurance Company", "Insurance", ""),
+    ("taking_medications", "Are you taking any medications", "Medical History", "Yes|No"), ("had_conditions", "Do you have any of the following conditions", "Medical History", "Diabetes|Asthma|Heart Disease|Stroke"), ("signature", "Signature", "Signature", ""), ("date_signed", "Date Signed", "Signature", ""),
 )
 ALIASES = (
     ("patient name", "full_name"), ("printed name", "full_name"), ("dob", "date_of_birth"), ("birthdate", "date_of_birth"), ("cell phone", "mobile_phone"), ("mobile", "mobile_phone"), ("zip", "zipcode"), ("sex", "gender"),
@@ -33,7 +36,7 @@ def values(d: Dialect, rows: tuple[tuple[str, ...], ...], names: str) -> str:
 
 
 class Catalog(NamedTuple):
-    """Queries of a catalogue: templates (key, title, section, ord) and aliases (phrase, key, ord)."""
+    """Queries of a catalogue: templates (key, title, section, options, ord) and aliases (phrase, key, ord)."""
 
     templates: str
     aliases: str
@@ -41,8 +44,8 @@ class Catalog(NamedTuple):
 
 def templates(d: Dialect, own: Catalog | None = None) -> str:
     """Templates of a catalogue; without one those fixed here."""
-    source = own.templates if own else values(d, TEMPLATES, "key, title, section")
-    return f"SELECT key AS t_key, {T.match_text(d, 'title')} AS t_title, section AS t_section, ord FROM ({source}) t"
+    source = own.templates if own else values(d, TEMPLATES, "key, title, section, options")
+    return f"SELECT key AS t_key, {T.match_text(d, 'title')} AS t_title, section AS t_section, options AS t_options, ord FROM ({source}) t"
 
 
 def aliases(d: Dialect, own: Catalog | None = None) -> str:
@@ -50,37 +53,82 @@ def aliases(d: Dialect, own: Catalog | None = None) -> str:
     return f"SELECT {T.match_text(d, 'phrase')} AS alias, key AS a_key, {T.tokens(d, 'phrase')} AS a_tokens, ord FROM ({source}) a"
 
 
-def register(known: DataFrame, phrases: DataFrame, prefix: str = "_catalog") -> Catalog:
-    """A catalogue of DataFrames: templates (key, title, section, ord), aliases (alias, key). The first of equal keys stays."""
-    once = known.groupBy("key").agg(F.min_by(F.struct("title", "section", "ord"), "ord").alias("t")).select("key", "t.*")
-    once.select("key", F.coalesce("title", F.lit("")).alias("title"), F.coalesce("section", F.lit("General")).alias("section"), "ord").createOrReplaceTempView(f"{prefix}_templates")
+def register(known: DataFrame, phrases: DataFrame, prefix: str | None = None) -> Catalog:
+    """A catalogue of DataFrames: templates (key, title, section, options, ord), aliases (alias, key). The first of equal
+    keys stays. Its views have a name of their own, so several catalogues in a session don't meet."""
+    prefix = prefix or f"_catalog_{uuid.uuid4().hex}"
+    once = known.groupBy("key").agg(F.min_by(F.struct("title", "section", "options", "ord"), "ord").alias("t")).select("key", "t.*")
+    text = lambda c, other: F.coalesce(c, F.lit(other)).alias(c)
+    once.select("key", text("title", ""), text("section", "General"), text("options", ""), "ord").createOrReplaceTempView(f"{prefix}_templates")
     phrases.select(F.col("alias").alias("phrase"), "key", F.lit(0).alias("ord")).filter("phrase IS NOT NULL").createOrReplaceTempView(f"{prefix}_aliases")
     return Catalog(f"SELECT * FROM {prefix}_templates", f"SELECT * FROM {prefix}_aliases")
 
 
-def cascade(d: Dialect, source: str, own: Catalog | None = None) -> str:
-    """Each field with its template: the stages in order, of a stage the first alias or template.
+FIELD_COLUMNS = "doc_id, pos, sub, key, title, section, options"
+REASONS = ("key_exact", "key_base_exact", "title_exact", "alias_exact", "alias_contains")
+
+
+def overlap(d: Dialect, a: str, b: str) -> str:
+    """Jaccard similarity of two lists of options (`|` between); 1 if either is empty."""
+    names = lambda x: d.filter(d.distinct(d.map(d.split(x, r"\|"), "o", T.option_name(d, "o"))), "o", "o <> ''")
+    common, sizes = d.size(d.common(names(a), names(b))), f"{d.size(names(a))} + {d.size(names(b))}"
+    return f"CASE WHEN coalesce({a}, '') = '' OR coalesce({b}, '') = '' THEN 1.0 ELSE {common} * 1.0 / greatest({sizes} - {common}, 1) END"
+
+
+def lookups(d: Dialect, own: Catalog | None = None) -> str:
+    """What titles and keys are looked up by: probe (`stage|value`), the template, and the tokens that must be there too."""
+    t, a = templates(d, own), aliases(d, own)
+    none = "cast(array() as array<string>)" if d.spark else "[]::VARCHAR[]"
+    cols = "t.t_key, t.t_section, t.t_options"
+    rows = [f"SELECT concat('{i}|', t.t_key) AS probe, {i} AS stage, {cols}, t.ord, {none} AS needs FROM ({t}) t" for i in (1, 2)]
+    rows.append(f"SELECT concat('3|', t.t_title) AS probe, 3 AS stage, {cols}, t.ord, {none} AS needs FROM ({t}) t")
+    rows.append(f"SELECT concat('4|', a.alias) AS probe, 4 AS stage, {cols}, a.ord, {none} AS needs FROM ({a}) a JOIN ({t}) t ON a.a_key = t.t_key")
+    rows.append(f"SELECT concat('5|', {d.item('a.a_tokens', 1)}) AS probe, 5 AS stage, {cols}, a.ord, a.a_tokens AS needs FROM ({a}) a JOIN ({t}) t ON a.a_key = t.t_key")
+    return " UNION ALL ".join(rows)
+
+
+def best(d: Dialect, source: str, own: Catalog | None = None, columns: str = FIELD_COLUMNS) -> str:
+    """Every field once, with the template that the first stage that knows one gives it (t_key, reason, score), or nulls.
 
-    key_exact 1, key_base 0.98, title_exact 0.95, alias_exact 0.96, alias_contains 0.93; 0.05 more in the template's own
-    section, 0.1 less if one of both is insurance. Titles over 120 characters are matched exactly or not at all. Stages are
-    equi-joins, whose catalogue side Spark broadcasts if its size allows, alias_contains a join on one token of the alias and a check of the others.
+    key_exact 1, key_base 0.98, title_exact 0.95, alias_exact 0.96, alias_contains 0.93, the last three times the overlap of
+    options; 0.05 more in the template's own section, 0.1 less if one of both is insurance. Titles over 120 characters or 15
+    words without options are matched exactly or not at all; so are questions how one heard of the practice.
+
+    The fields are read once: each is looked up by all its probes (both keys, the title, its tokens) in one join with the
+    lookups, whose size is the catalogue's and which Spark broadcasts if that allows, and one window picks the first stage.
     """
-    f = f"SELECT doc_id, pos, sub, key, section, {T.match_text(d, 'title')} AS norm, {T.tokens(d, 'title')} AS tokens FROM ({source}) f"
-    cols = "f.doc_id, f.pos, f.sub, f.section"
-    first = d.item("a.a_tokens", 1)
-    words = d.exploded(f"({f}) w", "tokens", "doc_id, pos, sub, section, norm, tokens", "token", pos="k")
-    stages = [
-        f"SELECT {cols}, t.t_key, t.t_section, 1 AS stage, t.ord, 1.0 AS base FROM ({f}) f JOIN ({templates(d, own)}) t ON f.key = t.t_key",
-        f"SELECT {cols}, t.t_key, t.t_section, 2, t.ord, 0.98 FROM ({f}) f JOIN ({templates(d, own)}) t ON {D.strip_scope(d, 'f.key')} = t.t_key",
-        f"SELECT {cols}, t.t_key, t.t_section, 3, t.ord, 0.95 FROM ({f}) f JOIN ({templates(d, own)}) t ON f.norm = t.t_title",
-        f"SELECT {cols}, t.t_key, t.t_section, 4, a.ord, 0.96 FROM ({f}) f JOIN ({aliases(d, own)}) a ON f.norm = a.alias JOIN ({templates(d, own)}) t ON a.a_key = t.t_key",
-        f"SELECT {cols}, t.t_key, t.t_section, 5, a.ord, 0.93 FROM ({words}) f JOIN ({aliases(d, own)}) a ON f.token = {first} JOIN ({templates(d, own)}) t ON a.a_key = t.t_key"
-        f" WHERE length(f.norm) <= 120 AND {d.size(d.common('a.a_tokens', 'f.tokens'))} = {d.size('a.a_tokens')} AND (t.t_section <> 'Insurance' OR f.section = 'Insurance') AND NOT {d.contains('f.norm', 'hear about us')}",
-    ]
-    reason = d.case([(f"stage = {i}", f"'{r}'") for i, r in enumerate(("key_exact", "key_base_exact", "title_exact", "alias_exact", "alias_contains"), 1)], "''")
-    context = "CASE WHEN stage < 3 THEN 0 WHEN section = t_section THEN 0.05 WHEN (section = 'Insurance') <> (t_section = 'Insurance') THEN -0.1 ELSE 0 END"
-    return f"""SELECT doc_id, pos, sub, t_key, {reason} AS reason, cast(round(base + {context}, 4) as double) AS score FROM (
-  SELECT *, row_number() OVER (PARTITION BY doc_id, pos, sub ORDER BY stage, ord, t_key) AS n FROM ({" UNION ALL ".join(stages)}) s) r WHERE n = 1"""
+    f = f"SELECT {columns}, {T.match_text(d, 'title')} AS norm, {T.tokens(d, 'title')} AS tokens FROM ({source}) f"
+    probes = d.map("tokens", "t", "concat('5|', t)")
+    exact = ", ".join(("concat('1|', key)", f"concat('2|', {D.strip_scope(d, 'key')})", "concat('3|', norm)", "concat('4|', norm)"))
+    exact = f"array({exact})" if d.spark else f"[{exact}]"
+    all_ = f"concat({exact}, {probes})" if d.spark else f"list_concat({exact}, {probes})"
+    rows = d.exploded(f"({f}) w", all_, f"{columns}, norm, tokens", "probe", pos="k")
+    own_ = ", ".join(f"r.{c.strip()}" for c in columns.split(","))
+    long_ = "(length(norm) > 120 OR " + d.words("norm") + " > 15) AND coalesce(options, '') = ''"
+    parent = d.has("title", r"\b(parent|guardian|mother|father)", ci=True)
+    fits = f"""(m.stage < 4 OR NOT (m.t_key = 'ssn' AND {parent.replace('title', 'r.title')})) AND (m.stage < 5 OR (NOT ({long_}) AND {d.size(d.common('m.needs', 'r.tokens'))} = {d.size('m.needs')}
+      AND (m.t_section <> 'Insurance' OR r.section = 'Insurance') AND NOT {Q.is_hear_about(d, 'r.title')}))"""
+    context = "CASE WHEN stage < 3 OR coalesce(section, '') = '' THEN 0 WHEN section = t_section THEN 0.05 WHEN (section = 'Insurance') <> (t_section = 'Insurance') THEN -0.1 ELSE 0 END"
+    base = "CASE stage WHEN 1 THEN 1.0 WHEN 2 THEN 0.98 WHEN 3 THEN 0.95 WHEN 4 THEN 0.96 ELSE 0.93 END"
+    shared = f"CASE WHEN stage < 3 THEN 1.0 ELSE {overlap(d, 'options', 't_options')} END"
+    reason = d.case([(f"stage = {i}", f"'{r}'") for i, r in enumerate(REASONS, 1)], "NULL")
+    return f"""SELECT {columns}, norm, stage, t_key, t_section, {reason} AS reason, CASE WHEN stage IS NOT NULL THEN cast(round({base} * {shared} + {context}, 4) as double) END AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, pos, sub ORDER BY coalesce(stage, 9), ord, t_key) AS n FROM (
+    SELECT {own_}, r.norm, r.tokens, CASE WHEN {fits} THEN m.stage END AS stage, CASE WHEN {fits} THEN m.t_key END AS t_key, CASE WHEN {fits} THEN m.t_section END AS t_section, CASE WHEN {fits} THEN m.t_options END AS t_options,
+      CASE WHEN {fits} THEN m.ord END AS ord FROM ({rows}) r LEFT JOIN ({lookups(d, own)}) m ON r.probe = m.probe) c) p WHERE n = 1"""
+
+
+def cascade(d: Dialect, source: str, own: Catalog | None = None) -> str:
+    """The fields that have a template."""
+    return f"SELECT doc_id, pos, sub, t_key, reason, score FROM ({best(d, source, own)}) b WHERE t_key IS NOT NULL"
+
+
+def merged(d: Dialect, source: str, own: Catalog | None = None, columns: str = FIELD_COLUMNS) -> str:
+    """Fields overlaid on their templates: title and section stay, the key is the template's, a scope is put back."""
+    scope = d.first("key", "(__(primary|secondary))$", 1)
+    rest = ", ".join(c.strip() for c in columns.split(",") if c.strip() != "key")
+    return f"""SELECT CASE WHEN t_key IS NULL THEN key WHEN {d.contains('t_key', '__')} THEN t_key ELSE concat(t_key, {scope}) END AS key, {rest}, t_key IS NOT NULL AS reused, reason, score
+  FROM ({best(d, source, own, columns)}) b"""
 
 
 def coverage(d: Dialect, source: str, own: Catalog | None = None) -> str:
@@ -94,29 +142,93 @@ def coverage(d: Dialect, source: str, own: Catalog | None = None) -> str:
     return f"SELECT norm, t_key, cast(round({common} * 1.0 / ({d.size('tokens')} + {d.size('t_tokens')} - {common}), 6) as double) AS jaccard, cast(round({common} * 1.0 / {d.size('t_tokens')}, 6) as double) AS coverage FROM ({pairs}) p"
 
 
-def merged(d: Dialect, source: str, own: Catalog | None = None) -> str:
-    """Fields overlaid on their templates: title and section stay, the key is the template's, a scope is put back."""
-    scope = d.first("f.key", "(__(primary|secondary))$", 1)
-    return f"""SELECT f.doc_id, f.pos, f.sub, CASE WHEN m.t_key IS NULL THEN f.key WHEN {d.contains('m.t_key', '__')} THEN m.t_key ELSE concat(m.t_key, {scope}) END AS key, f.title, f.section, m.t_key IS NOT NULL AS reused
-  FROM ({source}) f LEFT JOIN ({cascade(d, source, own)}) m ON f.doc_id = m.doc_id AND f.pos = m.pos AND f.sub = m.sub"""
+# What a title never means, however like it is; and the words of keys that a section makes likelier.
+NEVER = (
+    (r"name.*of +(employer|insurance|company|practice)", ("first_name", "last_name", "middle_name")), (r"employer|company|practice|business", ("first_name", "last_name", "patient_name")),
+    (r"relationship", ("first_name", "last_name", "full_name")), (r"group|policy|plan.*number", ("ssn", "patient_id")), (r"mobile|cell", ("home_phone", "work_phone", "fax")),
+    (r"home.*phone", ("mobile_phone", "work_phone", "cell_phone")), (r"work.*phone", ("mobile_phone", "home_phone", "cell_phone")),
+)
+SECTION_BOOSTS = (("insurance", ("insurance", "policy", "group", "member", "subscriber")), ("emergency", ("emergency", "contact", "notify")), ("patient", ("patient", "name", "birth", "address")))
 
 
-def fuzzy(titles: DataFrame, column: str = "title", own: Catalog | None = None) -> DataFrame:
-    """title, t_key, score, verdict of each distinct title near a template: 0.45 Jaccard and 0.45 Ratcliff-Obershelp and 0.1.
+def smart(d: Dialect, source: str, own: Catalog | None = None) -> str:
+    """The best template of each distinct title and section by a scorer that knows its context: equal keys 1, titles 0.95,
+    aliases 0.9, tokens alike by 0.7 or more up to 0.85; 0.05 more where the section speaks for it; some pairs never match.
 
-    Only pairs with enough coverage by shared tokens reach the one Python function, in Arrow batches.
+    Only a template that shares a key, an alias or a token with a title can score, so pairs meet by equality, not crossed.
     """
-    spark = titles.sparkSession
-    titles.select(F.col(column).alias("title")).createOrReplaceTempView("_fuzzy_titles")
-    near = spark.sql(coverage(SPARK, "SELECT title FROM _fuzzy_titles", own)).filter("coverage >= 0.65")
-    known = spark.sql(templates(SPARK, own))
+    titles = f"SELECT DISTINCT title, section, {T.match_text(d, 'title')} AS norm, {T.catalog_key(d, 'title')} AS slug, {T.tokens(d, 'title')} AS tokens FROM ({source}) f"
+    ways = lambda exact, tokens: f"concat(array({exact}), {d.map(tokens, 't', 'concat(' + d.lit('t|') + ', t)')})" if d.spark else f"list_concat([{exact}], {d.map(tokens, 't', 'concat(' + d.lit('t|') + ', t)')})"
+    left = d.exploded(f"({titles}) w", ways("concat('k|', slug), concat('a|', norm)", "tokens"), "title, section, norm, slug, tokens", "way", pos="k")
+    t = f"SELECT t_key, t_title, t_section, ord, {T.tokens(d, 't_title')} AS t_tokens FROM ({templates(d, own)}) t"
+    right = d.exploded(f"({t}) t", ways("concat('k|', t_key)", "t_tokens"), "t_key, t_title, ord, t_tokens", "t_way", pos="k")
+    named = f"SELECT t.t_key, t.t_title, t.ord, t.t_tokens, concat('a|', a.alias) AS t_way FROM ({aliases(d, own)}) a JOIN ({t}) t ON a.a_key = t.t_key"
+    pairs = f"SELECT l.title, l.section, l.norm, l.slug, l.tokens, r.t_key, r.t_title, r.ord, r.t_tokens, max(CASE WHEN {d.starts('l.way', 'a|')} THEN 1 ELSE 0 END) AS by_alias FROM ({left}) l JOIN (SELECT t_key, t_title, ord, t_tokens, t_way FROM ({right}) x UNION ALL SELECT t_key, t_title, ord, t_tokens, t_way FROM ({named}) y) r ON l.way = r.t_way GROUP BY l.title, l.section, l.norm, l.slug, l.tokens, r.t_key, r.t_title, r.ord, r.t_tokens"
+    common = d.size(d.common("tokens", "t_tokens"))
+    ratio = f"({common} * 1.0 / greatest({d.size('tokens')} + {d.size('t_tokens')} - {common}, 1))"
+    never = " OR ".join(f"({d.has('norm', p)} AND t_key IN ({', '.join(map(d.lit, keys))}))" for p, keys in NEVER)
+    base = d.case([(never, "0.0"), ("slug = t_key", "1.0"), ("norm = t_title", "0.95"), ("by_alias = 1", "0.9"), (f"{ratio} >= 0.7", f"0.7 + ({ratio} - 0.7) * 0.5")], "0.0")
+    boost = d.case([(f"{d.contains('lower(section)', s)} AND {d.any_of('t_key', words)}", "0.05") for s, words in SECTION_BOOSTS], "0.0")
+    return f"""SELECT title, section, t_key, score FROM (SELECT *, row_number() OVER (PARTITION BY title, section ORDER BY score DESC, ord) AS n FROM (
+  SELECT title, section, t_key, ord, cast(round(least(1.0, base + CASE WHEN base > 0 THEN {boost} ELSE 0 END), 4) as double) AS score FROM (SELECT *, {base} AS base FROM ({pairs}) p) b) s WHERE score >= 0.7) r WHERE n = 1"""
+
+
+@F.pandas_udf(DoubleType())
+def ratio(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    """Ratcliff-Obershelp similarity of two texts."""
+    for a, b in pairs:
+        yield pd.Series([SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
 
-    @F.pandas_udf("double")
-    def ratio(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for a, b in pairs:
-            yield pd.Series([SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
 
-    scored = near.join(known, "t_key").withColumn("score", 0.45 * F.col("jaccard") + 0.45 * ratio("norm", "t_title") + 0.1)
-    best = scored.groupBy("norm").agg(F.max_by(F.struct("t_key", "score"), F.struct("score", -F.col("ord"))).alias("b"))
-    verdict = F.when(F.col("b.score") >= 0.82, "fuzzy").when(F.col("b.score") >= 0.75, "near").otherwise("none")
-    return best.select("norm", "b.t_key", F.round("b.score", 6).alias("score"), verdict.alias("verdict"))
+# Sections where a lower score is enough, and words that count more where both sides have them.
+LENIENT = r"medical|health|patient|insurance|emergency"
+KEYWORDS = ("physician", "hospitalized", "medication", "allergy", "surgery")
+
+
+def fuzzy(fields: DataFrame, own: Catalog | None = None) -> DataFrame:
+    """title, section, options, t_key, score, verdict (`fuzzy`, `near`, `none`) of each distinct title that is near a template.
+
+    0.45 Jaccard of tokens and 0.45 Ratcliff-Obershelp decide which template; 0.1 times the overlap of options, the context
+    and 0.05 for each keyword on both sides are added. Of templates of over three tokens 0.8 must be covered, else 0.65; a
+    score of 0.82, or 0.85 in sections that aren't about the patient, is a match, from 0.75 it is near.
+    Only pairs with enough coverage by shared tokens reach the one Python function, in Arrow batches.
+    """
+    spark, view = fields.sparkSession, f"_fuzzy_{uuid.uuid4().hex}"
+    fields.select("title", "section", F.coalesce("options", F.lit("")).alias("options")).distinct().createOrReplaceTempView(view)
+    near = spark.sql(coverage(SPARK, f"SELECT title FROM {view}", own))
+    known = spark.sql(templates(SPARK, own))
+    pairs = near.join(known, "t_key").filter(F.col("coverage") >= F.when(F.size(F.expr(T.tokens(SPARK, "t_title"))) > 3, 0.8).otherwise(0.65))
+    pairs = pairs.withColumn("alike", 0.45 * F.col("jaccard") + 0.45 * ratio("norm", "t_title"))
+    best_ = pairs.groupBy("norm").agg(F.max_by(F.struct("t_key", "t_title", "t_section", "t_options", "alike"), F.struct("alike", -F.col("ord"))).alias("b")).select("norm", "b.*")
+    titles = spark.table(view).withColumn("norm", F.expr(T.match_text(SPARK, "title")))
+    both = titles.join(best_, "norm")
+    same = F.col("section") == F.col("t_section")
+    context = F.when(F.coalesce("section", F.lit("")) == "", 0.0).when(same, 0.05).when((F.col("section") == "Insurance") != (F.col("t_section") == "Insurance"), -0.1).otherwise(0.0)
+    boost = sum((F.when(F.col("norm").contains(k) & F.col("t_title").contains(k), 0.05).otherwise(0.0) for k in KEYWORDS), F.lit(0.0))
+    score = F.round(F.col("alike") + 0.1 * F.expr(overlap(SPARK, "options", "t_options")) + context + boost, 6)
+    enough = F.when(F.lower("t_section").rlike(LENIENT), 0.82).otherwise(0.85)
+    verdict = F.when(F.col("score") >= enough, "fuzzy").when(F.col("score") >= 0.75, "near").otherwise("none")
+    return both.withColumn("score", score).select("title", "section", "options", "t_key", "score", verdict.alias("verdict"))
+
+
+def match(fields: DataFrame, own: Catalog | None = None) -> DataFrame:
+    """The whole cascade: best(), and for fields that no stage knows the fuzzy one. One row a field: doc_id, pos, sub, key,
+    title, section, t_key, reason, score; reason is `near` where a template almost fits, and null without any."""
+    spark, view = fields.sparkSession, f"_match_{uuid.uuid4().hex}"
+    fields.select(*(c.strip() for c in FIELD_COLUMNS.split(","))).createOrReplaceTempView(view)
+    exact = spark.sql(best(SPARK, f"SELECT * FROM {view}", own))
+    left = exact.filter("t_key is null").filter(f"NOT {Q.is_hear_about(SPARK, 'title')}")
+    near = fuzzy(left, own).filter("verdict <> 'none'").select(*(F.col(c).alias(f"f_{c}") for c in ("title", "section", "options", "t_key", "score")), "verdict")
+    on = (F.col("title") == F.col("f_title")) & F.col("section").eqNullSafe(F.col("f_section")) & (F.coalesce("options", F.lit("")) == F.col("f_options")) & F.col("t_key").isNull()
+    key = F.coalesce("t_key", F.when(F.col("verdict") == "fuzzy", F.col("f_t_key")))
+    out = exact.join(near, on, "left")
+    return out.select("doc_id", "pos", "sub", "key", "title", "section", key.alias("t_key"), F.coalesce("reason", "verdict").alias("reason"), F.coalesce("score", "f_score").alias("score"))
+
+
+def match_log(d: Dialect, source: str, own: Catalog | None = None) -> str:
+    """What the matching did, as rows: kind `match`, `near` (a template covers a title by half or more, yet none was taken)
+    or `gate` (nothing is near), with the reason, how many fields, and the best coverage."""
+    near = f"SELECT norm, max(coverage) AS coverage FROM ({coverage(d, source, own)}) c GROUP BY norm"
+    kind = "CASE WHEN b.t_key IS NOT NULL THEN 'match' WHEN n.coverage >= 0.5 THEN 'near' ELSE 'gate' END"
+    return f"""SELECT title, section, kind, reason, count(*) AS n, max(coverage) AS coverage FROM (SELECT b.title, b.section, {kind} AS kind, coalesce(b.reason, '') AS reason, coalesce(n.coverage, 0) AS coverage
+  FROM ({best(d, source, own)}) b LEFT JOIN ({near}) n ON b.norm = n.norm) l GROUP BY title, section, kind, reason"""

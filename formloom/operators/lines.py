@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ..functions import lines as L
+from ..functions import questions as Q
 from ..functions import text as T
 from ..functions.dialect import Dialect
 
@@ -28,7 +29,7 @@ def blocks(d: Dialect, source: str) -> str:
 
 def block_summary(d: Dialect, source: str) -> str:
     """Blocks with the hits that tell a practice's address block from form content."""
-    form = d.has("line", r"\b((last|first|patient) name|birth date|dob|address|city|state|zip( code)?|phone|email|gender|marital|emergency|ssn|insurance) *:", ci=True)
+    form = d.has("line", FORM_LABELS, ci=True)
     return f"""SELECT *, n_lines >= 3 AND (streets >= 2 OR practices >= 1) AND labels < 3 AS is_address FROM (
   SELECT doc_id, block, count(*) AS n_lines, {d.count_if(d.has("line", L.STREET, ci=True))} AS streets, {d.count_if(d.has("line", L.PRACTICE, ci=True))} AS practices, {d.count_if(form)} AS labels
   FROM ({blocks(d, source)}) b GROUP BY doc_id, block) s"""
@@ -40,18 +41,44 @@ def repeated(d: Dialect, source: str, least: int = 3, most: int = 80) -> str:
     return f"SELECT doc_id, {t} AS norm, count(*) AS n FROM ({source}) l WHERE {t} <> '' AND length({t}) <= {most} GROUP BY doc_id, {t} HAVING count(*) >= {least}"
 
 
+# Practice headers, notices and page numbers that aren't form content.
+JUNK = (r"^page +[0-9]+", r"\bcontinued on back side\b|\brev *[0-9]{1,2} */ *[0-9]{2}\b|^(<<<|>>>)$|\bOC[0-9]+\b")
+PRACTICE_WORDS = r"\b(dental|care|center|clinic|office|practice)\b"
+PRACTICE_HEADER = (r"\b(dental|dentistry|orthodontics|family|cosmetic|implant)\b", r"\b(suite|ste|ave|avenue|rd|road|st|street|blvd)\b", r"@|phone|tel|fax|[0-9]{3}[-. ]?[0-9]{3}[-. ]?[0-9]{4}")
+FORM_LABELS = r"\b((last|first|patient) name|birth date|dob|address|city|state|zip( code)?|phone|email|gender|marital|emergency|ssn|insurance) *:"
+
+
 def scrubbed(d: Dialect, source: str) -> str:
-    """Lines without address blocks, repeats, page numbers, practice headers and notices; two anti joins and a filter."""
+    """Lines without address blocks, repeats, page numbers, practice headers and notices. The lines are read once: repeats
+    and blocks are counted by windows within the document."""
     s = "norm"
     junk = [
-        d.has(s, r"^page +[0-9]+", ci=True), f"{d.count(s, L.CITY_STATE_ZIP)} >= 2", f"length({s}) > 80 AND {d.count(s, r'\b(dental|care|center|clinic|office|practice)\b', ci=True)} >= 2", f"{d.count(s, r'\b[0-9]{5}\b')} >= 2",
-        d.has(s, r"\bcontinued on back side\b|\brev *[0-9]{1,2} */ *[0-9]{2}\b|^(<<<|>>>)$|\bOC[0-9]+\b", ci=True),
-        f"pos < 20 AND length({s}) > 40 AND {d.matches(s, (r'\b(dental|dentistry|orthodontics|family|cosmetic|implant)\b', r'\b(suite|ste|ave|avenue|rd|road|st|street|blvd)\b', r'@|phone|tel|fax|[0-9]{3}[-. ]?[0-9]{3}[-. ]?[0-9]{4}'), ci=True)} >= 2",
+        *(d.has(s, j, ci=True) for j in JUNK), f"{d.count(s, L.CITY_STATE_ZIP)} >= 2", f"length({s}) > 80 AND {d.count(s, PRACTICE_WORDS, ci=True)} >= 2", f"{d.count(s, r'\b[0-9]{5}\b')} >= 2",
+        f"pos < 20 AND length({s}) > 40 AND {d.matches(s, PRACTICE_HEADER, ci=True)} >= 2",
     ]
-    return f"""SELECT l.doc_id, l.pos, l.line FROM (SELECT doc_id, pos, line, block, {d.squeeze("line")} AS norm FROM ({blocks(d, source)}) k) l
-  LEFT JOIN (SELECT doc_id, norm FROM ({repeated(d, source)}) r) r ON l.doc_id = r.doc_id AND l.norm = r.norm
-  LEFT JOIN (SELECT doc_id, block FROM ({block_summary(d, source)}) b WHERE is_address) a ON l.doc_id = a.doc_id AND l.block = a.block
-  WHERE r.norm IS NULL AND a.block IS NULL AND NOT ({" OR ".join(f"({j.replace(s, 'l.norm')})" for j in junk).replace("pos <", "l.pos <")})"""
+    of_block = lambda p, name: f"sum(CASE WHEN {d.has('line', p, ci=True)} THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, block) AS {name}"
+    counted = f"""SELECT doc_id, pos, line, norm, count(*) OVER (PARTITION BY doc_id, norm) AS times, count(*) OVER (PARTITION BY doc_id, block) AS n_lines,
+    {of_block(L.STREET, "streets")}, {of_block(L.PRACTICE, "practices")}, {of_block(FORM_LABELS, "labels")} FROM (SELECT *, {d.squeeze("line")} AS norm FROM ({blocks(d, source)}) b) k"""
+    address = "(n_lines >= 3 AND (streets >= 2 OR practices >= 1) AND labels < 3)"
+    return f"SELECT doc_id, pos, line FROM ({counted}) c WHERE NOT (times >= 3 AND length(norm) <= 80) AND NOT {address} AND NOT ({' OR '.join(f'({j})' for j in junk)})"
+
+
+def gathered_options(d: Dialect, source: str) -> str:
+    """Lines of options, joined to the prompt above them: `Allergic to?`, `[ ] Latex`, `- Sulfa`, `[ ] Iodine  [ ] Metals` is
+    one line."""
+    several = f"{d.has('line', f'^ *({L.BOX})')} AND {d.count('line', L.BOX)} >= 2"
+    option = f"coalesce({Q.bullet_option(d, 'line')}, CASE WHEN {several} THEN line END)"
+    prompt = lambda x: f"(coalesce({x}, '') <> '' AND NOT {L.has_box(d, x)} AND ({d.has(x, '[?:] *$')} OR {d.has(x, 'following', ci=True)}))"
+    part = f"CASE WHEN option IS NULL THEN line WHEN {L.has_box(d, 'line')} THEN {d.trim('line')} ELSE concat('[ ] ', option) END"
+    return f"""SELECT doc_id, min(pos) AS pos, {d.ordered_join("part", "pos", " ")} AS line FROM (
+    SELECT doc_id, pos, {part} AS part, sum(CASE WHEN option IS NOT NULL AND (before_option IS NOT NULL OR {prompt("before")}) THEN 0 ELSE 1 END) {OVER} AS island FROM (
+      SELECT *, lag(option) {OVER} AS before_option, lag(line) {OVER} AS before FROM (SELECT doc_id, pos, line, {option} AS option FROM ({source}) l) o) p) i GROUP BY doc_id, island"""
+
+
+def prepared(d: Dialect, source: str) -> str:
+    """Lines as fields are read from them: scrubbed, unwrapped, with options at their prompts, garbled boxes and glyphs mended."""
+    clean = f"SELECT doc_id, pos, {T.restore_ligatures(d, T.normalize_glyphs(d, 'line'))} AS line FROM ({scrubbed(d, source)}) s"
+    return gathered_options(d, f"SELECT doc_id, pos, line FROM ({soft_wraps(d, clean)}) w")
 
 
 def soft_wraps(d: Dialect, source: str) -> str:
@@ -76,10 +103,27 @@ def sections(d: Dialect, source: str) -> str:
     coalesce(scope, '') AS scope FROM (
     SELECT doc_id, pos, line, heading, {last("CASE WHEN heading <> 'General' THEN heading END")} AS named, {last("CASE WHEN heading <> 'General' THEN pos END")} AS named_at,
       {last("CASE WHEN heading = 'General' THEN pos END")} AS general, {last(scope)} AS scope FROM (
-      SELECT doc_id, pos, line, CASE WHEN {L.is_heading(d, "line")} THEN {T.section_name(d, "line")} END AS heading FROM ({source}) l) h) s"""
+      SELECT doc_id, pos, line, CASE WHEN {L.is_heading_in_place(d, "line", "following", "pos")} THEN {T.section_name(d, "line")} END AS heading FROM (
+        SELECT doc_id, pos, line, lead(line) {OVER} AS following FROM ({source}) l) n) h) s"""
+
+
+# What tells fields, and what tells sheets that only inform.
+FIELD_SIGNS = (r": *_{2,}", r"^ *\[ *\]", r"\b(name|address|phone|email|date|signature|birth|ssn):")
+INFO_SIGNS = (r"^(congratulations|welcome|thank you|important|note|remember)", r"\bhooray\b|beautiful smile|party.*over")
+
+
+def is_information_sheet(d: Dialect) -> str:
+    """Over a document's lines, as windows: at most one sign of a field and two of information in the first 30 of five lines
+    or more, or none and one in a document of fewer than 20 lines."""
+    low = f"lower({d.trim('line')})"
+    over = "OVER (PARTITION BY doc_id)"
+    total = lambda e: f"sum(CASE WHEN pos < 30 THEN {e} ELSE 0 END) {over}"
+    fields = total(d.matches(low, FIELD_SIGNS))
+    info = total(f"{d.matches(low, INFO_SIGNS)} + CASE WHEN {d.contains(low, 'retainer')} AND {d.any_of(low, ('#', 'guide'))} THEN 2 ELSE 0 END")
+    n = f"count(*) {over}"
+    return f"({n} >= 5 AND (({fields} <= 1 AND {info} >= 2) OR ({n} < 20 AND {fields} = 0 AND {info} >= 1)))"
 
 
 def information_sheets(d: Dialect, source: str) -> str:
-    """Documents that only inform: few signs of fields and several of prose in their first 30 lines."""
-    return f"""SELECT doc_id FROM ({source}) l WHERE pos < 30 GROUP BY doc_id
-  HAVING {d.count_if(d.has("line", r"_{3,}|\[ *\]|^[A-Za-z ]{2,30}:", ci=True))} <= 1 AND {d.count_if(f"{d.words('line')} >= 8")} >= 2"""
+    """Documents that only inform."""
+    return f"SELECT DISTINCT doc_id FROM (SELECT doc_id, {is_information_sheet(d)} AS informs FROM ({source}) l) i WHERE informs"

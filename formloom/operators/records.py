@@ -4,27 +4,28 @@ from __future__ import annotations
 
 from ..functions import fields as D
 from ..functions import lines as L
+from ..functions import questions as Q
 from ..functions import text as T
 from ..functions.dialect import Dialect
+from . import grids as G
 from . import lines as O
 from . import splits as S
 
-COLUMNS = "doc_id, pos, sub, key, title, section, type, input_type, n_options"
+COLUMNS = "doc_id, pos, sub, key, title, section, type, input_type, n_options, options, follow_up"
 
 
 def fields(d: Dialect, source: str) -> str:
-    """The fields of some lines: labels with colon or blank, boxes and tabbed signatures, typed, with section and key."""
-    parts = f"SELECT doc_id, pos, line, section, scope FROM ({O.sections(d, source)}) s WHERE heading IS NULL AND NOT {L.is_metadata(d, 'line')} AND NOT {L.is_numbered_item(d, 'line')}"
-    kept = f"SELECT p.doc_id, p.pos, p.line, p.section, p.scope FROM ({parts}) p LEFT JOIN ({O.information_sheets(d, source)}) i ON p.doc_id = i.doc_id WHERE i.doc_id IS NULL"
-    array = d.case([(L.is_tabulated_signature(d, "line"), S.tab_parts(d, "line")), (f"{d.size(S.subfields(d, 'line'))} > 0", S.subfields(d, "line"))], S.labelled_parts(d, "line"))
-    expanded = d.exploded(f"({kept}) k", array, "doc_id, pos, section, scope", "part", pos="sub")
+    """The fields of some lines: labels with colon or blank, boxes and signatures in columns, typed, with section, key, options
+    and whether a follow-up is asked for. The lines are read once and dealt once, by document."""
+    kept = f"SELECT doc_id, pos, line, section, scope FROM (SELECT *, {O.is_information_sheet(d)} AS informs FROM ({O.sections(d, source)}) s) i WHERE NOT informs AND heading IS NULL AND NOT {L.is_metadata(d, 'line')} AND NOT {L.is_numbered_item(d, 'line')} AND NOT {L.is_underline(d, 'line')}"
+    expanded = d.exploded(f"({kept}) k", S.field_parts(d, "line"), "doc_id, pos, section, scope", "part", pos="sub")
     title = T.clean_title(d, f"CASE WHEN {L.has_box(d, 'part')} THEN {S.option_label(d, 'part')} WHEN {d.contains('part', ':')} THEN {d.first('part', '^([^:]*):', 1)} ELSE part END")
-    n = d.size(S.options(d, "part"))
-    named = f"SELECT doc_id, pos, sub, section, scope, part, {title} AS title, {n} AS n_options FROM ({expanded}) e"
-    typed = f"""SELECT *, CASE WHEN {L.is_signature(d, 'title')} THEN 'block_signature' ELSE {D.field_type(d, 'title', 'n_options')} END AS type, {D.input_type(d, 'title')} AS input_type
-    FROM ({named}) n WHERE length(title) > 1"""
+    follows = f"cast({S.yes_no_follow_up(d, 'part')} as int)"
+    named = f"SELECT doc_id, pos, sub, section, scope, part, {title} AS title, {S.options_text(d, 'part')} AS options, {follows} AS follow_up FROM ({expanded}) e"
+    counted = f"SELECT *, CASE WHEN options = '' THEN 0 ELSE {d.count('options', '[|]')} + 1 END AS n_options FROM ({named}) n WHERE length(title) > 1"
+    typed = f"SELECT *, CASE WHEN {L.is_signature(d, 'title')} THEN 'block_signature' ELSE {D.field_type(d, 'title', 'n_options')} END AS type, {D.input_type(d, 'title')} AS input_type FROM ({counted}) c"
     key = D.scoped_key(d, D.guardian_key(d, "title", T.slugify(d, "title")), "section", "scope")
-    return f"SELECT doc_id, pos, sub, {key} AS key, title, section, type, input_type, n_options FROM ({typed}) t"
+    return f"SELECT doc_id, pos, sub, {key} AS key, title, section, type, input_type, n_options, options, follow_up FROM ({typed}) t"
 
 
 def numbered_keys(d: Dialect, source: str) -> str:
@@ -104,9 +105,37 @@ def one_signature(d: Dialect, source: str) -> str:
     return f"{first} UNION ALL {missing}"
 
 
-def merged_options(d: Dialect, source: str, like: str) -> str:
-    """Rows of a document whose title is like a pattern, as one, at the first one's place, with all options."""
-    return f"SELECT doc_id, min(pos) AS pos, count(*) AS n_merged, sum(n_options) AS n_options FROM ({source}) f WHERE {d.has('lower(title)', like)} GROUP BY doc_id"
+def all_options(d: Dialect, over: str) -> str:
+    """Options of several rows as one text, each once, in order. over: the aggregate's rows, or a window's."""
+    if d.spark:
+        return f"array_join(filter(array_sort(array_distinct(split(array_join(collect_list(options) {over}, '|'), '[|]'))), o -> o <> ''), '|')"
+    return f"array_to_string(list_filter(list_sort(list_distinct(string_split(coalesce(string_agg(options, '|') {over}, ''), '|'))), lambda o: o <> ''), '|')"
+
+
+def merged_options(d: Dialect, source: str) -> str:
+    """All "how did you hear about us" rows of a document as one, at the first one's place, with the options of all."""
+    return f"""SELECT doc_id, min(pos) AS pos, count(*) AS n_merged, {all_options(d, "")} AS options FROM ({source}) f WHERE {Q.is_hear_about(d, "title")} GROUP BY doc_id"""
+
+
+def merged_conditions(d: Dialect, source: str) -> str:
+    """Condition fields of a section as one drop-down: those that hold a grid's options, and five single ones or more."""
+    single = f"type IN ('checkbox', 'radio', 'input', 'dropdown') AND n_options <= 1 AND {Q.is_condition(d, 'title')}"
+    kind = d.case([(L.is_option_dump(d, "title"), "'grid'"), (f"n_options >= 5 AND {d.size(d.filter(d.split('options', r'[|]'), 'o', Q.is_condition(d, 'o')))} >= 3", "'grid'"), (single, "'single'")], "NULL")
+    classed = f"SELECT doc_id, section, pos, kind, CASE WHEN kind = 'single' THEN title ELSE options END AS options FROM (SELECT *, {kind} AS kind FROM ({source}) f WHERE section IN ('Medical History', 'Dental History', 'General', 'Allergies')) k WHERE kind IS NOT NULL"
+    return f"""SELECT doc_id, section, min(pos) AS pos, count(*) AS n_merged, 'medical_conditions' AS key, {all_options(d, "")} AS options FROM ({classed}) c
+  GROUP BY doc_id, section HAVING {d.count_if("kind = 'grid'")} >= 1 OR {d.count_if("kind = 'single'")} >= 5"""
+
+
+def continued_options(d: Dialect, source: str) -> str:
+    """A row whose title is made of its option names goes into the selection question before it, with its options."""
+    own = d.filter(d.split("options", r"[|]"), "o", "o <> '' AND contains(title, o)" if d.spark else "o <> '' AND contains(title, o)")
+    dumps = f"{d.count('title', '(^| )[A-Z]')} >= 3 AND NOT {d.contains('title', '?')} AND type IN ('dropdown', 'radio', 'checkbox') AND {d.size(own)} >= 2"
+    asks = lambda x: d.any_of(f"lower({x})", ("allergic", "any of the following", "select", "choose", "check", "mark"))
+    order = "OVER (PARTITION BY doc_id, section ORDER BY pos, sub)"
+    return f"""SELECT doc_id, min(pos) AS pos, {d.ordered_join("CASE WHEN joins THEN NULL ELSE title END", "pos * 100 + sub", "")} AS title, count(*) AS n_merged, {all_options(d, "")} AS options FROM (
+    SELECT *, sum(CASE WHEN joins THEN 0 ELSE 1 END) {order} AS island FROM (
+      SELECT *, coalesce({dumps} AND {asks("before")} AND before_options > 0, false) AS joins FROM (SELECT *, lag(title) {order} AS before, lag(n_options) {order} AS before_options FROM ({source}) f) b) j) i
+  GROUP BY doc_id, section, island HAVING count(*) > 1"""
 
 
 def final_types(d: Dialect, source: str) -> str:
@@ -115,16 +144,62 @@ def final_types(d: Dialect, source: str) -> str:
 
 
 def scored(d: Dialect, source: str, least: float = 0.3) -> str:
-    """Fields with their confidence, without those below a threshold."""
-    return f"SELECT * FROM (SELECT doc_id, pos, sub, key, {D.confidence(d, 'key', 'title', 'type', 'section', 'input_type')} AS confidence FROM ({source}) f) c WHERE confidence >= {least}"
+    """Matched fields (`score`: of the match) with their confidence, without those below a threshold."""
+    return f"SELECT * FROM (SELECT doc_id, pos, sub, key, {D.confidence(d, 'key', 'title', 'type', 'section', 'input_type', 'score')} AS confidence FROM ({source}) f) c WHERE confidence >= {least}"
 
 
 def converted(d: Dialect, source: str) -> str:
-    """The whole chain: fields in preferred sections, junk and excluded titles gone, keys numbered, typed, ordered, scored."""
-    kept = f"SELECT * FROM ({fields(d, source)}) f WHERE NOT {L.is_junk(d, 'key', 'title')} AND NOT {D.excluded(d, 'title')} AND NOT {D.is_document_title(d, 'title', 'type')}"
-    homed = f"SELECT doc_id, pos, sub, key, {D.clean_overflow(d, 'title')} AS title, {D.home_section(d, 'key', 'title', 'section')} AS section, type, input_type, n_options FROM ({kept}) k"
-    single = semantic_duplicates(d, homed)
-    return f"""SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY {D.section_rank(d, 'section')}, pos, sub) AS place, CASE WHEN n > 1 THEN concat(key, '_', cast(n as varchar(10))) ELSE key END AS key, title, section,
-    CASE WHEN type IN ('block_signature', 'terms', 'date') OR n_options = 0 THEN type ELSE {D.radio_or_checkbox(d, 'title', 'n_options', 'false')} END AS type, CASE WHEN type = 'input' THEN input_type END AS input_type,
-    {D.confidence(d, 'key', 'title', 'type', 'section', 'input_type')} AS confidence FROM (
-    SELECT *, row_number() OVER (PARTITION BY doc_id, key ORDER BY pos, sub) AS n, row_number() OVER (PARTITION BY doc_id, CASE WHEN type = 'block_signature' THEN 'sign' ELSE concat(cast(pos as varchar(20)), '.', cast(sub as varchar(20))) END ORDER BY pos, sub) AS s FROM ({single}) d) r WHERE s = 1"""
+    """The whole chain from raw lines: scrubbed, unwrapped and gathered lines, their fields and those of grids, junk and
+    excluded titles gone, fields in preferred sections, duplicates once, runs of consent text as one terms field, one
+    signature, keys numbered."""
+    grid = f"SELECT doc_id, head_pos AS pos, 100 + col AS sub, key, title, coalesce({D.best_section(d, 'title', 'key')}, 'Medical History') AS section, 'checkbox' AS type, 'text' AS input_type, cast(n_options as int) AS n_options, options, 0 AS follow_up FROM ({G.questions(d, G.table_lines(d, source))}) g"
+    raw = f"{fields(d, O.prepared(d, source))} UNION ALL {grid}"
+    kept = f"SELECT * FROM ({raw}) f WHERE NOT {L.is_junk(d, 'key', 'title')} AND NOT {D.excluded(d, 'title')} AND NOT {D.is_document_title(d, 'title', 'type')}"
+    homed = f"SELECT doc_id, pos, sub, key, {D.clean_overflow(d, 'title')} AS title, {D.home_section(d, 'key', 'title', 'section')} AS section, type, input_type, n_options, options, follow_up FROM ({kept}) k"
+    order = "OVER (PARTITION BY doc_id ORDER BY pos, sub)"
+    is_in = f"(type = 'terms' OR {L.is_consent_paragraph(d, 'title')} OR {L.is_procedure_text(d, 'title')} OR {L.is_risk_item(d, 'title')})"
+    marked = f"SELECT *, {is_in} AS is_in FROM ({semantic_duplicates(d, homed)}) h"
+    runs = f"SELECT *, sum(CASE WHEN is_in AND was_in THEN 0 ELSE 1 END) {order} AS island FROM (SELECT *, coalesce(lag(is_in) {order}, false) AS was_in FROM ({marked}) m) w"
+    in_run = "OVER (PARTITION BY doc_id, island ORDER BY pos, sub)"
+    text = d.ordered_join("title", "pos * 1000 + sub", "</p><p>", over="OVER (PARTITION BY doc_id, island)")
+    sized = f"SELECT *, row_number() {in_run} AS run_place, count(*) OVER (PARTITION BY doc_id, island) AS run_size, {text} AS run_text FROM ({runs}) r"
+    terms = "(is_in AND run_size > 1)"
+    final = f"CASE WHEN {terms} THEN 'terms' WHEN type IN ('block_signature', 'terms', 'date') OR n_options = 0 THEN type ELSE {D.radio_or_checkbox(d, 'title', 'n_options', 'false')} END"
+    joined = f"""SELECT doc_id, pos, sub, CASE WHEN {terms} THEN 'terms_and_conditions' ELSE key END AS key, CASE WHEN {terms} THEN 'Terms and Conditions' ELSE title END AS title, section, {final} AS type, input_type, n_options, options, follow_up,
+    CASE WHEN {terms} OR type = 'terms' THEN concat('<p>', run_text, '</p>') ELSE '' END AS html FROM ({sized}) z WHERE NOT {terms} OR run_place = 1"""
+    return f"""SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY {D.section_rank(d, 'section')}, pos, sub) AS place, pos, sub, CASE WHEN n > 1 THEN concat(key, '_', cast(n as varchar(10))) ELSE key END AS key, title, section,
+    type, CASE WHEN type = 'input' THEN input_type END AS input_type, n_options, options, follow_up, html FROM (
+    SELECT *, row_number() OVER (PARTITION BY doc_id, key ORDER BY pos, sub) AS n, row_number() OVER (PARTITION BY doc_id, CASE WHEN type = 'block_signature' THEN 'sign' ELSE concat(cast(pos as varchar(20)), '.', cast(sub as varchar(20))) END ORDER BY pos, sub) AS s FROM ({joined}) d) r WHERE s = 1"""
+
+
+def quoted(d: Dialect, x: str) -> str:
+    """A text as JSON."""
+    return f"""concat('"', replace(replace({x}, {d.lit(chr(92))}, {d.lit(chr(92) * 2)}), '"', {d.lit(chr(92) + '"')}), '"')"""
+
+
+def records(d: Dialect, source: str) -> str:
+    """Output records of converted fields: with the type's control as JSON (input type; options with values and whether
+    several may be chosen; text of terms), and a second row for each follow-up, asked `if` its question is answered yes."""
+    value = lambda o: f"CASE WHEN lower({o}) IN ('yes', 'no') THEN {D.option_value(d, o)} ELSE {quoted(d, D.option_value(d, o))} END"
+    one = lambda o: f"""concat('{{"name":', {quoted(d, o)}, ',"value":', {value(o)}, '}}')"""
+    listed = f"concat('[', {d.join(d.map(d.filter(d.split('options', r'[|]'), 'o', chr(111) + ' <> ' + d.lit('')), 'o', one('o')), ',')}, ']')"
+    multi = f"CASE WHEN type = 'checkbox' OR {D.is_multi(d, 'title', 'n_options')} THEN 'true' ELSE 'false' END"
+    control = d.case(
+        [
+            ("k = 1", """'{"input_type":"text","hint":"Please provide details"}'"""), ("type IN ('radio', 'checkbox', 'dropdown')", f"""concat('{{"options":', {listed}, ',"multi":', {multi}, '}}')"""),
+            ("type = 'terms'", f"""concat('{{"agree_text":"I have read and agree to the terms.","html_text":', {quoted(d, 'html')}, '}}')"""), ("type = 'date'", f"""concat('{{"input_type":"', {D.date_type(d, 'title')}, '"}}')"""),
+            ("type = 'input'", """concat('{"input_type":"', coalesce(input_type, 'text'), '"}')"""),
+        ], "'{}'",
+    )
+    copies = "sequence(0, follow_up)" if d.spark else "range(follow_up + 1)"
+    rows = d.exploded(f"({source}) c", copies, "doc_id, place, key, title, section, type, input_type, n_options, options, html", "again", pos="k")
+    return f"""SELECT doc_id, place, k, CASE WHEN k = 1 THEN concat(key, '_explanation') ELSE key END AS key, CASE WHEN k = 1 THEN 'Please explain' ELSE title END AS title, section, CASE WHEN k = 1 THEN 'input' ELSE type END AS type,
+  {control} AS control, CASE WHEN k = 1 THEN concat('[{{"key":', {quoted(d, "key")}, ',"value":"yes"}}]') END AS condition FROM ({rows}) r"""
+
+
+def section_matrix(d: Dialect, source: str) -> str:
+    """How many fields each section has of each type, with zeros: the sections and types that there are, crossed."""
+    counts = f"SELECT section, type, count(*) AS n FROM ({source}) f GROUP BY section, type"
+    sections = " UNION ALL ".join(f"SELECT {d.lit(s)} AS section" for s in D.SECTION_RANK)
+    types = " UNION ALL ".join(f"SELECT {d.lit(t)} AS type" for t in ("input", "date", "radio", "checkbox", "dropdown", "terms", "block_signature"))
+    return f"SELECT s.section, t.type, coalesce(c.n, 0) AS n FROM ({sections}) s CROSS JOIN ({types}) t LEFT JOIN ({counts}) c ON s.section = c.section AND t.type = c.type"

@@ -5,11 +5,23 @@ from __future__ import annotations
 from ..functions.dialect import Dialect
 
 
+def as_json(d: Dialect, key: str, value: str) -> str:
+    """Aggregate: a JSON object of keys and numbers, keys in order; nulls are left out."""
+    pair = f"""CASE WHEN {key} IS NOT NULL THEN concat('"', {key}, '":', cast({value} as varchar(20))) END"""
+    return f"concat('{{', {d.ordered_join(pair, key, ',')}, '}}')"
+
+
 def stats(d: Dialect, source: str) -> str:
-    """Per document: fields, how many came from the catalogue, whether it is signed, and counts by type as JSON-like text."""
-    by_type = f"SELECT doc_id, {d.ordered_join('concat(type, chr(61), cast(n as varchar(10)))', 'type', ',')} AS by_type FROM (SELECT doc_id, type, count(*) AS n FROM ({source}) f GROUP BY doc_id, type) g GROUP BY doc_id"
-    return f"""SELECT s.doc_id, n_fields, n_sections, has_signature, by_type FROM (SELECT doc_id, count(*) AS n_fields, count(DISTINCT section) AS n_sections, bool_or(type = 'block_signature') AS has_signature
-  FROM ({source}) f GROUP BY doc_id) s JOIN ({by_type}) t ON s.doc_id = t.doc_id"""
+    """Per document: fields, sections, whether it is signed, and counts by type and by section as JSON, in one pass."""
+    sets = f"SELECT doc_id, type, section, count(*) AS n FROM ({source}) f GROUP BY GROUPING SETS ((doc_id, type), (doc_id, section))"
+    return f"""SELECT doc_id, cast(sum(CASE WHEN type IS NOT NULL THEN n ELSE 0 END) as bigint) AS n_fields, count(section) AS n_sections, max(CASE WHEN type = 'block_signature' THEN 1 ELSE 0 END) = 1 AS has_signature,
+  {as_json(d, "type", "n")} AS by_type, {as_json(d, "section", "n")} AS by_section FROM ({sets}) g GROUP BY doc_id"""
+
+
+def input_sizes(d: Dialect, source: str) -> str:
+    """Bytes, characters and lines of each text."""
+    size = "octet_length(text)" if d.spark else "strlen(text)"
+    return f"SELECT doc_id, cast({size} as bigint) AS n_bytes, cast(length(text) as bigint) AS n_chars, cast({d.count('text', chr(10))} + 1 as bigint) AS n_lines FROM ({source}) t"
 
 
 def rates(d: Dialect, source: str) -> str:
@@ -53,6 +65,53 @@ def indicators(d: Dialect, source: str) -> str:
     return f"SELECT doc_id, cast({s(r'\[ *\]')} as bigint) AS boxes, cast({s('_{3,}')} as bigint) AS blanks, cast(least({s('date', True)}, 3) as bigint) AS dates, cast(least({s('signature', True)}, 2) as bigint) AS signatures, {d.count_if('length(line) > 80')} AS long_lines FROM ({source}) l GROUP BY doc_id"
 
 
-def improvement(d: Dialect, base: str, current: str) -> str:
-    """Change of the rates between two runs, each one row of rates()."""
-    return f"SELECT cast(round(c.micro_rate - b.micro_rate, 4) as double) AS micro_delta, cast(round((c.micro_rate - b.micro_rate) * 100.0 / nullif(b.micro_rate, 0), 4) as double) AS micro_change, c.items - b.items AS items_delta, c.matched - b.matched AS matched_delta FROM (SELECT *, 1 AS k FROM ({current}) x) c JOIN (SELECT *, 1 AS k FROM ({base}) y) b ON c.k = b.k"
+def improvement(d: Dialect, best: str) -> str:
+    """Change of the rates from a catalogue without aliases to the whole one, over all fields in one pass of the cascade."""
+    per = f"SELECT count(*) AS items, {d.count_if('stage <= 3')} AS base, {d.count_if('stage IS NOT NULL')} AS current FROM ({best}) b"
+    rate = lambda x: f"{x} * 100.0 / greatest(items, 1)"
+    return f"""SELECT items, cast(base as bigint) AS base_matched, cast(current as bigint) AS matched, cast(round({rate('current')} - {rate('base')}, 4) as double) AS micro_delta,
+  cast(round((current - base) * 100.0 / nullif(base, 0), 4) as double) AS micro_change FROM ({per}) p"""
+
+
+# Kinds of patterns that a report looks for, with the context that it shows and how many of each.
+PATTERNS = (("date", 20, 3), ("signature", 20, 2), ("name", 30, 2))
+
+
+def missing_patterns(d: Dialect, lines: str, fields: str) -> str:
+    """doc_id, kind, place, snippet: contexts of dates, signatures and names in documents whose fields name none. Lines and
+    fields are read once for all kinds."""
+    word = lambda k: rf"\b{k}\b"
+    captured = f"SELECT doc_id, {', '.join(f'max(CASE WHEN {d.has("title", word(k), ci=True)} THEN 1 ELSE 0 END) AS has_{k}' for k, *_ in PATTERNS)} FROM ({fields}) f GROUP BY doc_id"
+    items = ", ".join(f"CASE WHEN {d.has('line', word(k), ci=True)} THEN '{k}' END" for k, *_ in PATTERNS)
+    kinds = d.filter(f"array({items})" if d.spark else f"[{items}]", "k", "k IS NOT NULL")
+    rows = d.exploded(f"(SELECT * FROM ({lines}) l WHERE length({d.trim('line')}) >= 3) l", kinds, "doc_id, pos, line", "kind", pos="i")
+    snippet = d.case([(f"kind = '{k}'", d.trim(d.first("line", rf"[^.]{{0,50}}\b{k}\b[^.]{{0,{after}}}", 0, ci=True))) for k, after, _ in PATTERNS], "''")
+    have, most = d.case([(f"kind = '{k}'", f"coalesce(has_{k}, 0)") for k, *_ in PATTERNS], "0"), d.case([(f"kind = '{k}'", str(n)) for k, _, n in PATTERNS], "0")
+    return f"""SELECT doc_id, kind, place, snippet FROM (SELECT doc_id, kind, {snippet} AS snippet, row_number() OVER (PARTITION BY doc_id, kind ORDER BY pos) AS place, {most} AS most
+  FROM (SELECT r.doc_id, r.pos, r.line, r.kind, {have.replace('kind', 'r.kind').replace('has_', 'c.has_')} AS captured FROM ({rows}) r LEFT JOIN ({captured}) c ON r.doc_id = c.doc_id) j WHERE captured = 0) n WHERE place <= most"""
+
+
+def detailed(d: Dialect, merged: str) -> str:
+    """Per document: fields, matched ones, the rate, and the titles of those that weren't, in order."""
+    titles = d.ordered_join("CASE WHEN NOT reused THEN title END", "pos * 1000 + sub", "; ")
+    return f"SELECT doc_id, count(*) AS n, cast({d.count_if('reused')} as bigint) AS matched, cast(round({d.count_if('reused')} * 100.0 / count(*), 4) as double) AS rate, {titles} AS unmatched FROM ({merged}) m GROUP BY doc_id"
+
+
+# What makes a line look like a field.
+INDICATORS = (r"_{3,}", r"\[ *\]", r"^ *[A-Z][^:]{1,60}: *$")
+
+
+def text_coverage(d: Dialect, lines: str, fields: str) -> str:
+    """Per document: lines that look like fields, fields, and their ratio."""
+    t = d.trim("line")
+    likely = f"SELECT doc_id, {d.count_if(f'length({t}) >= 3 AND {d.matches(t, INDICATORS)} > 0')} AS potential FROM ({lines}) l GROUP BY doc_id"
+    got = f"SELECT doc_id, count(*) AS actual FROM ({fields}) f GROUP BY doc_id"
+    return f"SELECT p.doc_id, cast(potential as bigint) AS potential, coalesce(actual, 0) AS actual, cast(round(CASE WHEN potential = 0 THEN 1.0 ELSE coalesce(actual, 0) * 1.0 / potential END, 6) as double) AS coverage FROM ({likely}) p LEFT JOIN ({got}) g ON p.doc_id = g.doc_id"
+
+
+def subfields_missing(d: Dialect, lines: str, fields: str) -> str:
+    """Titles that `Label: Part ___ Part ___` lines promise and no field of the document has, by an anti join."""
+    from . import splits
+
+    wanted = d.exploded(f"(SELECT doc_id, pos, line FROM ({lines}) l) g", splits.subfields(d, "line"), "doc_id, pos", "title", pos="sub")
+    return f"SELECT w.doc_id, w.pos, w.title FROM ({wanted}) w LEFT JOIN (SELECT DISTINCT doc_id, lower(title) AS got FROM ({fields}) f) f ON w.doc_id = f.doc_id AND lower(w.title) = f.got WHERE f.got IS NULL"

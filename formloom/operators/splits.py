@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ..functions import lines as L
+from ..functions import questions as Q
 from ..functions import text as T
 from ..functions.dialect import Dialect
 
@@ -58,9 +59,9 @@ def colon_fields(d: Dialect, x: str) -> str:
 
 
 def options(d: Dialect, x: str) -> str:
-    """Names after boxes, ten at most by the form's rule, cleaned."""
+    """Names after boxes, cleaned, all of them."""
     names = d.map(d.all(x, r"\[[ xX]?\] *([^\[\]]+)", 1), "o", T.clean_token(d, "o"))
-    return d.slice(d.filter(names, "o", "o <> ''"), 1, 10)
+    return d.filter(names, "o", "o <> ''")
 
 
 def option_label(d: Dialect, x: str) -> str:
@@ -112,3 +113,20 @@ def parenthetical_label(d: Dialect, x: str) -> str:
 def generated(d: Dialect, source: str, array: str, name: str = "part") -> str:
     """The rows that a splitter makes of the lines of `source`, numbered within their line."""
     return d.exploded(f"(SELECT doc_id, pos, line FROM ({source}) g) g", array, "doc_id, pos", name, pos="sub")
+
+
+def field_parts(d: Dialect, x: str) -> str:
+    """The fields of a line, by the first splitter that makes several of it; else the line."""
+    several = [
+        (f"{d.has(x, '^[A-Za-z]+:.*_')} AND {d.size(subfields(d, x))} > 0", subfields(d, x)), (f"{d.has(x, ' {10}')} AND {d.size(Q.spaced_labels(d, x))} > 0", Q.spaced_labels(d, x)),
+        (f"{d.has(x, '^[A-Za-z]+/.*___')} AND {d.size(slash_parts(d, x))} > 0", slash_parts(d, x)),
+        (d.has(x, r"\bif +[^:]{5,40}:", ci=True), Q.conditional_parts(d, x)), (f"{L.has_box(d, x)} AND {d.has(x, ' {4,}')}", Q.boxed_parts(d, x)), (d.has(x, "^[A-Za-z#]+ ?[A-Za-z#]+$"), Q.compound_label(d, x)),
+    ]
+    return d.case([(L.is_tabulated_signature(d, x), tab_parts(d, x)), *several], labelled_parts(d, x))
+
+
+def options_text(d: Dialect, x: str) -> str:
+    """Names of the options after boxes, or else of the choices in words, `|` between them; a follow-up (`If yes, explain`) is
+    no part of the last one."""
+    boxed = d.join(options(d, d.sub(d.sub(x, r"\bif (yes|so|no)\b.*$", "", ci=True), r"\|", "/")), "|")
+    return f"CASE WHEN {L.has_box(d, x)} THEN {boxed} ELSE {d.join(inline_choices(d, x), '|')} END"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,14 +10,16 @@ from pyspark.sql import functions as F
 
 from ..functions import fields as D
 from ..functions import lines as L
+from ..functions import questions as Q
 from ..functions import text as T
 from ..functions.dialect import DUCK, SPARK, Dialect
-from ..operators import catalog, classifier, grids, quality, records, reports, splits, validate
+from ..operators import catalog, classifier, dictionary, grids, quality, records, reports, splits, validate
 from ..operators import lines as O
 from ..sources.forms import forms
 from ..streaming import stream
 
 TABLES = "region nation customer supplier part orders lineitem events documents pages benchmark labels conversations".split()
+SMALLEST = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
 Make = Callable[[Dialect], str]
 
 
@@ -28,6 +31,18 @@ def form_fields(d: Dialect) -> str:
     return records.fields(d, form_lines(d))
 
 
+def form_converted(d: Dialect) -> str:
+    return records.converted(d, form_lines(d))
+
+
+def form_tables(d: Dialect) -> str:
+    return grids.table_lines(d, form_lines(d))
+
+
+def form_best(d: Dialect) -> str:
+    return catalog.best(d, form_fields(d))
+
+
 def around(d: Dialect) -> str:
     return O.around(d, form_lines(d))
 
@@ -94,7 +109,7 @@ RULES: dict[str, Make] = {
     "slugify_keys": lambda d: f"SELECT p_partkey, {T.slugify(d, 'p_name')} AS slug, {T.repair_key(d, 'p_type')} AS repaired, {T.catalog_key(d, 'p_name')} AS catalog_key FROM part",
     "match_text": lambda d: f"SELECT doc_id, pos, {T.match_text(d, 'line')} AS t, {d.join(T.tokens(d, 'line'), ' ')} AS tokens FROM ({form_lines(d)}) l",
     "html_rows": lambda d: d.exploded("pages", T.html_rows(d, "html"), "page_id", "item"),
-    "language_list": lambda d: d.exploded("(SELECT 1 AS id, 'eng, deu,fra ,, spa' AS langs) l" if d.spark else "(SELECT 1 AS id, 'eng, deu,fra ,, spa' AS langs) l", T.language_list(d, "langs"), "id", "lang"),
+    "language_list": lambda d: d.exploded("(SELECT doc_id, concat(lang, ' , ,', source, ',', lang) AS langs FROM documents) l", T.language_list(d, "langs"), "doc_id", "item"),
     # predicates
     "headings": per_line(heading=lambda d: L.is_heading(d, "line"), category=lambda d: L.is_category_header(d, "line", "following")),
     "numbered_items": per_line(numbered=lambda d: L.is_numbered_item(d, "line"), orphan=lambda d: L.has_orphan_boxes(d, "line"), specify=lambda d: L.is_other_specify(d, "line")),
@@ -106,7 +121,10 @@ RULES: dict[str, Make] = {
     "signature_lines": per_line(signature=lambda d: L.is_signature(d, "line"), on_line=lambda d: L.is_signature_line(d, "line"), tabbed=lambda d: L.is_tabulated_signature(d, "line")),
     "weak_labels": per_line(label=lambda d: L.weak_label(d, "line")),
     "line_features": lambda d: f"SELECT doc_id, pos, {', '.join(f'{e} AS {n}' for n, e in L.features(d, 'line', chr(99) + 'oalesce(before, ' + d.lit('') + ')', 'coalesce(following, ' + d.lit('') + ')', 'pos', 'total').items())} FROM ({around(d)}) a",
-    "information_sheets": lambda d: O.information_sheets(d, O.lines(d, "documents")),
+    "information_sheets": lambda d: O.information_sheets(d, O.lines(d, "(SELECT doc_id, CASE WHEN doc_id % 50 = 3 THEN concat('Welcome to the practice.', chr(10), 'Important: read this.', chr(10), text, chr(10), 'Thank you', chr(10), 'Note well') ELSE text END AS text FROM documents) n")),
+    "placed_headings": per_line(heading=lambda d: L.is_heading_in_place(d, "line", "following", "pos"), underline=lambda d: L.is_underline(d, "line"), split=lambda d: Q.should_split(d, "line")),
+    "conditions": lambda d: f"SELECT doc_id, pos, sub, {Q.is_condition(d, 'title')} AS condition, {Q.is_conditions_field(d, 'type', 'options')} AS control, {L.is_option_dump(d, 'title')} AS dump FROM ({form_fields(d)}) f",
+    "known_questions": per_line(sex=lambda d: Q.sex_gender(d, "line"), marital=lambda d: Q.marital_status(d, "line"), contact=lambda d: Q.preferred_contact(d, "line"), hear=lambda d: Q.is_hear_about(d, "line"), boxed=lambda d: Q.inline_box_text(d, "line"), bullet=lambda d: Q.bullet_option(d, "line")),
     # lines
     "document_lines": lambda d: O.lines(d, "documents"),
     "line_context": lambda d: f"SELECT conv_id, turn, lag(text) OVER w AS before, lead(role) OVER w AS next_role FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)",
@@ -130,16 +148,29 @@ RULES: dict[str, Make] = {
     "inline_choices": parts(lambda d: splits.inline_choices(d, "line")),
     "orphan_pairs": lambda d: d.exploded(f"({around(d)}) a", splits.orphan_pairs(d, "line", "following"), "doc_id, pos", "label", pos="sub"),
     "fill_in_labels": per_line(label=lambda d: splits.fill_in_label(d, "line", "before", "following"), inside=lambda d: splits.parenthetical_label(d, "line"), follow_up=lambda d: splits.yes_no_follow_up(d, "line")),
-    "grid_boxes": over(grids.boxes, grids.sample),
-    "grid_columns": over(grids.columns, grids.sample),
-    "grid_cells": over(grids.cells, grids.sample),
-    "grid_headers": lambda d: f"SELECT pos, {grids.is_header(d, 'line')} AS is_header FROM ({grids.sample(d)}) s",
+    "compound_fields": parts(lambda d: Q.compound_fields(d, "line")),
+    "boxed_parts": parts(lambda d: Q.boxed_parts(d, "line")),
+    "conditional_parts": parts(lambda d: Q.conditional_parts(d, "line")),
+    "compound_labels": parts(lambda d: Q.compound_label(d, "line")),
+    "spaced_labels": parts(lambda d: Q.spaced_labels(d, "line")),
+    "id_and_ssn": parts(lambda d: Q.id_and_ssn(d, "line")),
+    "gathered_options": over(O.gathered_options),
+    "prepared_lines": over(O.prepared),
+    "grid_tables": form_tables,
+    "grid_boxes": over(grids.boxes, form_tables),
+    "grid_columns": over(grids.columns, form_tables),
+    "grid_cells": over(grids.cells, form_tables),
+    "grid_text_only": over(grids.text_only, form_tables),
+    "grid_questions": over(grids.questions, form_tables),
+    "grid_conditions": over(grids.conditions),
+    "grid_headers": per_line(is_header=lambda d: grids.is_header(d, "line")),
+    "grid_chunks": lambda d: f"SELECT doc_id, pos, {d.join(grids.chunks(d, 'line', 3), '|')} AS cells FROM ({form_tables(d)}) t",
     # fields
     "fields": form_fields,
     "field_types": per_field(kind=lambda d: D.field_type(d, "title", "n_options"), control=lambda d: D.label_control(d, "title"), multi=lambda d: D.is_multi(d, "title", "n_options"), date=lambda d: D.date_type(d, "title")),
-    "pii_typing": lambda d: f"SELECT doc_id, pos, {D.input_type(d, 'line')} AS input_type FROM ({O.lines(d, 'documents')}) l WHERE {D.input_type(d, 'line')} <> 'text'",
+    "pii_typing": lambda d: f"SELECT doc_id, pos, {D.input_type(d, 'line')} AS input_type FROM ({form_lines(d)}) l WHERE {D.input_type(d, 'line')} <> 'text'",
     "option_values": lambda d: f"SELECT doc_id, pos, sub, part, {D.option_value(d, 'part')} AS value FROM ({splits.generated(d, form_lines(d), splits.options(d, 'line'))}) o",
-    "date_keys": per_line(key=lambda d: D.date_key(d, "line", "concat_ws(' ', before3, before2, before)", "''")),
+    "date_keys": lambda d: f"SELECT doc_id, pos, {D.date_key(d, 'line', 'concat_ws(' + d.lit(' ') + ', before3, before2, before)', 'section')} AS key FROM (SELECT *, lag(line) {O.OVER} AS before, lag(line, 2) {O.OVER} AS before2, lag(line, 3) {O.OVER} AS before3 FROM ({O.sections(d, form_lines(d))}) s) a",
     "meanings": per_field(meaning=lambda d: D.meaning(d, "title"), in_section=lambda d: D.title_in_section(d, "title", "section"), filled=lambda d: D.filled(d, "title")),
     "guardian_keys": per_field(key=lambda d: D.guardian_key(d, "title", "key"), base=lambda d: D.strip_scope(d, "key"), signature=lambda d: D.signature_type(d, "title", "type"), valid=lambda d: L.is_valid_key(d, "key")),
     "numbered_keys": over(records.numbered_keys, form_fields),
@@ -154,14 +185,31 @@ RULES: dict[str, Make] = {
     "unique_titles": over(records.unique_titles, form_fields),
     "ordered_sections": over(records.ordered_sections, form_fields),
     "one_signature": over(records.one_signature, form_fields),
-    "merged_options": lambda d: records.merged_options(d, form_fields(d), "segment|gender"),
+    "merged_options": over(records.merged_options, form_fields),
+    "merged_conditions": over(records.merged_conditions, form_fields),
+    "continued_options": over(records.continued_options, form_fields),
+    "records": lambda d: records.records(d, form_converted(d)),
+    "section_matrix": over(records.section_matrix, form_fields),
+    "sorted_options": lambda d: f"SELECT doc_id, pos, sub, {d.join(d.distinct(d.split('options', '[|]')), '|')} AS options FROM ({form_fields(d)}) f WHERE n_options > 0",
+    "labels_by_length": lambda d: f"SELECT doc_id, title, row_number() OVER (PARTITION BY doc_id ORDER BY length(title) DESC, title, pos, sub) AS place FROM ({form_fields(d)}) f",
+    "sections_by_count": lambda d: f"SELECT doc_id, section, n, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, section) AS place FROM (SELECT doc_id, section, count(*) AS n FROM ({form_fields(d)}) f GROUP BY doc_id, section) c",
+    "pages_by_url": lambda d: "SELECT page_id, url FROM pages ORDER BY url, page_id",
     "final_types": over(records.final_types, form_fields),
-    "confidence": over(records.scored, form_fields),
+    "confidence": lambda d: records.scored(d, catalog.merged(d, form_fields(d), None, f"{catalog.FIELD_COLUMNS}, type, input_type")),
     "convert": over(records.converted),
     # catalogue
     "template_cascade": over(catalog.cascade, form_fields),
     "template_coverage": over(catalog.coverage, form_fields),
     "template_merge": matched,
+    "template_smart": over(catalog.smart, form_fields),
+    "template_log": over(catalog.match_log, form_fields),
+    "template_keys_symmetric": lambda d: f"SELECT key, 'field' AS side FROM (SELECT key FROM ({form_fields(d)}) f EXCEPT SELECT t_key FROM ({catalog.templates(d)}) t) a UNION ALL SELECT key, 'template' AS side FROM (SELECT t_key AS key FROM ({catalog.templates(d)}) t EXCEPT SELECT key FROM ({form_fields(d)}) f) b",
+    "template_keys_common": lambda d: f"SELECT key FROM ({form_fields(d)}) f INTERSECT SELECT t_key FROM ({catalog.templates(d)}) t",
+    "names_union": lambda d: "SELECT lang AS name FROM documents UNION SELECT n_name FROM nation UNION SELECT r_name FROM region",
+    "dictionary_violations": over(dictionary.violations, dictionary.from_parts),
+    "dictionary_structure": over(dictionary.structure, dictionary.from_parts),
+    "dictionary_aliases": lambda d: dictionary.expanded_aliases(d, f"SELECT {T.catalog_key(d, 'p_name')} AS phrase, min({T.catalog_key(d, 'p_type')}) AS key FROM part GROUP BY {T.catalog_key(d, 'p_name')} UNION ALL SELECT 'medical_history' AS phrase, 'own' AS key"),
+    "dictionary_versions": lambda d: f"SELECT idx, {dictionary.next_version(d, 'version')} AS version FROM ({dictionary.from_parts(d)}) p",
     "template_unmatched": lambda d: f"SELECT key, title FROM ({matched(d)}) m WHERE NOT reused",
     "options_jaccard": lambda d: f"SELECT b.item_id, count(*) AS n FROM ({d.exploded('(SELECT item_id, ' + T.tokens(d, 'text') + ' AS t FROM benchmark) b', 't', 'item_id', 'token')}) b JOIN ({d.exploded('(SELECT page_id, ' + T.tokens(d, 'url') + ' AS t FROM pages) p', 't', 'page_id', 'token')}) p ON b.token = p.token GROUP BY b.item_id",
     # reports
@@ -173,25 +221,44 @@ RULES: dict[str, Make] = {
     "parity": lambda d: reports.parity(d, form_lines(d), matched(d)),
     "suggestions": lambda d: reports.suggestions(d, f"SELECT key, title FROM ({matched(d)}) m WHERE NOT reused"),
     "indicators": over(reports.indicators),
-    "improvement": lambda d: reports.improvement(d, reports.rates(d, f"SELECT doc_id, reused FROM ({matched(d)}) m WHERE doc_id % 2 = 0"), reports.rates(d, f"SELECT doc_id, reused FROM ({matched(d)}) m")),
+    "improvement": over(reports.improvement, form_best),
+    "input_sizes": lambda d: reports.input_sizes(d, "documents"),
+    "missing_patterns": lambda d: reports.missing_patterns(d, form_lines(d), f"SELECT * FROM ({form_fields(d)}) f WHERE doc_id % 3 <> 0 OR NOT {d.has('title', 'date', ci=True)}"),
+    "detailed": over(reports.detailed, matched),
+    "text_coverage": lambda d: reports.text_coverage(d, form_lines(d), form_fields(d)),
+    "subfields_missing": lambda d: reports.subfields_missing(d, form_lines(d), f"SELECT doc_id, title FROM ({form_fields(d)}) f WHERE doc_id % 2 = 0 OR title <> 'Home Phone'"),
     # validation
-    "violations": over(validate.violations, lambda d: records.converted(d, form_lines(d))),
+    "violations": over(validate.violations, form_fields),
+    "structure_violations": lambda d: validate.structure(d, records.records(d, f"SELECT *, pos AS place, '' AS html FROM ({form_fields(d)}) f")),
+    "option_violations": over(validate.option_quality, form_fields),
     "violation_summary": lambda d: validate.summary(d, validate.violations(d, form_fields(d))),
     "general_share": over(validate.general_share, form_fields),
     "orphan_orders": lambda d: validate.orphans(d, "orders", "o_custkey", "(SELECT * FROM customer WHERE c_acctbal > 0)", "c_custkey"),
+    "event_maps": lambda d: f"SELECT user_id, {'cardinality(m)' if d.spark else 'cardinality(m)'} AS kinds, coalesce({'try_element_at(m, ' if d.spark else 'map_extract_value(m, '}'purchase'), 0) AS purchases FROM (SELECT user_id, map_from_entries({'collect_list(struct(event_type, n))' if d.spark else 'list(row(event_type, n))'}) AS m FROM (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY user_id, event_type) e GROUP BY user_id) u",
+    "event_json": lambda d: f"SELECT event_id, {'from_json(props, ' + d.lit('k INT') + ').k' if d.spark else 'cast(json_extract_string(props, ' + d.lit('$.k') + ') as int)'} AS k, {'to_json(named_struct(' + d.lit('type') + ', event_type, ' + d.lit('user') + ', user_id))' if d.spark else 'cast(to_json(struct_pack(type := event_type, ' + chr(34) + 'user' + chr(34) + ' := user_id)) as varchar)'} AS made FROM events",
+    "events_in_hour": lambda d: """SELECT p.event_id, count(e.event_id) AS n FROM (SELECT event_id, user_id, ts, h.hour AS hour FROM (SELECT event_id, user_id, ts, date_trunc('hour', ts) AS h0, date_trunc('hour', ts) - INTERVAL 1 HOUR AS h1 FROM events WHERE event_type = 'purchase') q
+  CROSS JOIN LATERAL (SELECT q.h0 AS hour UNION ALL SELECT q.h1) h) p LEFT JOIN (SELECT event_id, user_id, ts, date_trunc('hour', ts) AS hour FROM events) e ON p.user_id = e.user_id AND p.hour = e.hour AND e.ts < p.ts AND e.ts >= p.ts - INTERVAL 1 HOUR GROUP BY p.event_id""",
+    "last_before": lambda d: f"SELECT event_id, user_id, last_id FROM (SELECT event_id, user_id, event_type, {d.last('CASE WHEN event_type <> ' + d.lit('purchase') + ' THEN event_id END', 'PARTITION BY user_id ORDER BY ts, event_id')} AS last_id FROM events) w WHERE event_type = 'purchase'",
+    "open_orders": lambda d: "SELECT o_custkey, count(*) AS n, max(open) AS most_open FROM (SELECT o_custkey, sum(step) OVER (PARTITION BY o_custkey ORDER BY at, step ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS open FROM (SELECT o_custkey, o_orderdate AS at, 1 AS step FROM orders UNION ALL SELECT o_custkey, o_orderdate + INTERVAL 60 DAY, -1 FROM orders) s) w GROUP BY o_custkey",
     "event_windows": lambda d: "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY date_trunc('hour', ts), event_type",
 }
 
 
-def views(spark: SparkSession, sf_dir: str) -> None:
+def views(spark: SparkSession, sf_dir: str, sql: str = "") -> None:
+    """The tables that a query names, or all of them. Rules cost seconds a megabyte of lines, so small partitions are put
+    together up to 64 KB only, where the session has Spark's default of a megabyte."""
+    if spark.conf.get(SMALLEST) == "1048576b":
+        spark.conf.set(SMALLEST, "64k")
     for t in TABLES:
-        spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
+        if not sql or re.search(rf"\b{t}\b", sql):
+            spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
 
 
 def run(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        views(spark, sf_dir)
-        return spark.sql(RULES[name](SPARK))
+        sql = RULES[name](SPARK)
+        views(spark, sf_dir, sql)
+        return spark.sql(sql)
 
     query.__name__ = name
     return query
@@ -202,6 +269,11 @@ def template_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.fuzzy(spark.sql(form_fields(SPARK)))
 
 
+def template_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    views(spark, sf_dir)
+    return catalog.match(spark.sql(form_fields(SPARK)))
+
+
 def line_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     views(spark, sf_dir)
     samples = classifier.labelled(spark.sql(around(SPARK)))
@@ -212,7 +284,7 @@ def streamed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """event_windows as a stream over the same file."""
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    return stream.run_all(source, "streamed_windows", stream.event_windows).withColumn("start", F.col("start").cast("timestamp_ntz"))
+    return stream.run_all(source, stream.event_windows).withColumn("start", F.col("start").cast("timestamp_ntz"))
 
 
 def event_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -224,7 +296,7 @@ SESSIONS_SQL = """SELECT user_id, min(ts) AS start, count(*) AS n FROM (SELECT *
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = {f.__name__: f for f in (template_fuzzy, line_classifier, streamed_windows, event_sessions)}
+    own = {f.__name__: f for f in (template_fuzzy, template_match, line_classifier, streamed_windows, event_sessions)}
     return {n: run(n) for n in RULES} | own
 
 

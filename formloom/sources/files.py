@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import importlib
+import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -15,9 +17,10 @@ EXTRACTED = "path string, model string, text string, success boolean, error stri
 
 
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
-    """path, text of each file below a folder; bytes that are no UTF-8 are replaced."""
+    """path, text of each file below a folder; a file that isn't UTF-8 is read as Latin-1."""
+    text = F.col("content").cast("string")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(path)
-    return files.select("path", F.decode("content", "UTF-8").alias("text")).filter(usable("text"))
+    return files.select("path", F.when(F.is_valid_utf8(text), text).otherwise(F.decode("content", "ISO-8859-1")).alias("text")).filter(usable("text"))
 
 
 def usable(column: str) -> F.Column:
@@ -37,18 +40,81 @@ def _plumber(content: bytes) -> str:
         return "\n".join(page.extract_text() or "" for page in pdf.pages)
 
 
-def _partition(content: bytes) -> str:
+#: Strategies of the general partitioner in their order: the next is tried when one fails or finds no text.
+STRATEGIES = ("hi_res", "fast", "ocr_only")
+
+
+def _partition(content: bytes, strategies: tuple[str, ...] = STRATEGIES, retries: int = 2) -> str:
+    """Text of a file's elements, tables row by row; each strategy is tried again before the next one."""
+    import io
+
+    partition, last = importlib.import_module("unstructured.partition.auto").partition, None
+    for strategy in strategies:
+        for _ in range(retries):
+            try:
+                text = "\n\n".join(element_text(e) for e in partition(file=io.BytesIO(content), strategy=strategy))
+            except Exception as e:  # noqa: BLE001  the next attempt may do
+                last = e
+                continue
+            if text.strip():
+                return text
+            break
+    if last:
+        raise last
+    return ""
+
+
+def element_text(element: object) -> str:
+    """Text of an extracted element; of a table with HTML its rows, cells parted by bars."""
+    import re
+
+    html = getattr(getattr(element, "metadata", None), "text_as_html", None)
+    if not html:
+        return str(element)
+    rows = re.findall(r"<tr[^>]*>(.*?)</tr>", html, re.S)
+    clean = lambda c: " ".join(re.sub(r"<[^>]*>", " ", c).split())
+    return "\n".join(" | ".join(map(clean, re.findall(r"<t[hd][^>]*>(.*?)</t[hd]>", r, re.S))) for r in rows) or str(element)
+
+
+def _images(content: bytes) -> list:
+    return importlib.import_module("pdf2image").convert_from_bytes(content)
+
+
+def _tesseract(content: bytes) -> str:
+    read = importlib.import_module("pytesseract").image_to_string
+    return "\n".join(read(page) for page in _images(content))
+
+
+def _easyocr(content: bytes) -> str:
+    import numpy as np
+
+    reader = importlib.import_module("easyocr").Reader(["en"])
+    return "\n".join("\n".join(reader.readtext(np.asarray(page), detail=0)) for page in _images(content))
+
+
+def _doctr(content: bytes) -> str:
+    model = importlib.import_module("doctr.models").ocr_predictor(pretrained=True)
+    return model(importlib.import_module("doctr.io").DocumentFile.from_pdf(content)).render()
+
+
+def _ocrmypdf(content: bytes) -> str:
+    """A text layer by OCR in a file of the task's own, read as any PDF is."""
     import io
 
-    return "\n\n".join(str(e) for e in importlib.import_module("unstructured.partition.auto").partition(file=io.BytesIO(content)))
+    out = io.BytesIO()
+    importlib.import_module("ocrmypdf").ocr(io.BytesIO(content), out, force_ocr=True, progress_bar=False)
+    return _plumber(out.getvalue())
 
 
 #: Extractors by model. Their libraries are optional: without one, the row says so.
-EXTRACTORS: dict[str, Callable[[bytes], str]] = {"pdfplumber": _plumber, "unstructured": _partition}
+EXTRACTORS: dict[str, Callable[[bytes], str]] = {
+    "pdfplumber": _plumber, "unstructured": _partition, "tesseract": _tesseract, "easyocr": _easyocr, "doctr": _doctr, "ocrmypdf": _ocrmypdf,
+}
 
 
 def extract(files: DataFrame, model: str, extractors: dict[str, Callable[[bytes], str]] | None = None) -> DataFrame:
-    """One attempt for each file: path, model, text, success, error. Errors are rows, never failures."""
+    """One attempt for each file: path, model, text, success, error. Errors are rows, never failures. Files come in batches
+    as Arrow bounds them by bytes, and one is open at a time."""
     known = extractors or EXTRACTORS
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -67,20 +133,32 @@ def extract(files: DataFrame, model: str, extractors: dict[str, Callable[[bytes]
 
 
 def read_catalog(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Templates (key, title, section, type, ord) and aliases (alias, key) of a JSON dictionary of lists of fields."""
+    """Templates (key, title, section, type, options, ord) and aliases (alias, key) of a JSON dictionary of lists of fields."""
     raw = spark.read.text(path, wholetext=True).select(F.from_json("value", "map<string,string>").alias("m")).select(F.explode("m").alias("name", "body"))
-    item = "array<struct<key:string,title:string,section:string,type:string>>"
-    fields = raw.filter(~F.col("name").startswith("_") & (F.col("name") != "aliases")).select("name", F.posexplode(F.from_json("body", item)).alias("ord", "f")).select("f.*", "name", "ord")
+    item = "array<struct<key:string,title:string,section:string,type:string,control:struct<options:array<struct<name:string>>>>>"
+    fields = raw.filter(~F.col("name").startswith("_") & (F.col("name") != "aliases")).select("name", F.posexplode(F.from_json("body", item)).alias("ord", "f")).select("f.key", "f.title", "f.section", "f.type", F.coalesce(F.array_join("f.control.options.name", "|"), F.lit("")).alias("options"), "name", "ord")
     aliases = raw.filter("name = 'aliases'").select(F.explode(F.from_json("body", "map<string,string>")).alias("alias", "key"))
     return fields.filter("key is not null"), aliases
 
 
-def write_records(fields: DataFrame, path: str) -> None:
-    """One JSON line for each document, its fields in order, nulls kept."""
-    item = F.struct("place", "key", "title", "section", "type", "input_type", "confidence")
-    nested = fields.groupBy("doc_id").agg(F.array_sort(F.collect_list(item)).alias("fields"))
+def write_records(records: DataFrame, path: str) -> None:
+    """One JSON line for each document, its records in order, with control and condition (`if`) as objects; nulls are kept."""
+    control = F.from_json("control", "input_type string, hint string, agree_text string, html_text string, multi boolean, options array<struct<name:string,value:string>>")
+    condition = F.from_json("condition", "array<struct<key:string,value:string>>")
+    item = F.struct("place", "k", "key", "title", "section", "type", control.alias("control"), condition.alias("if"))
+    nested = records.groupBy("doc_id").agg(F.array_sort(F.collect_list(item)).alias("fields"))
     nested.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
 def write_report(report: DataFrame, path: str) -> None:
     report.write.mode("overwrite").option("header", "true").csv(path)
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder below spark.checkpoint.dir, which all executors share; a temporary one only in a local process."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="formloom-")
+    return f"{base.rstrip('/')}/formloom/{name}-{uuid.uuid4().hex}"

@@ -5,6 +5,16 @@ from __future__ import annotations
 from ..functions.dialect import Dialect
 
 
+# A grid as forms have it, and a question with conditions in two columns.
+GRID = (
+    "Appearance          Function            Habits", "[ ] Discolored      [ ] Grinding        [ ] Smoking", "[ ] Worn teeth      [ ] Headaches       [ ] Chewing", "[ ] Spaces          [ ] Jaw joint       [ ] Biting nails", "                    Other habits", "Please mark all",
+)
+SINGLE = ("Medical History", "Diabetes: ____", "Asthma: ____", "Stroke: ____", "Anemia: ____", "Glaucoma: ____", "Thyroid problems: ____")
+CONDITIONS = (
+    "Have you ever had any of the following", "[ ] Diabetes         [ ] Asthma", "[ ] Heart Disease    [ ] Stroke", "[ ] Kidney Disease   [ ] Ulcers", "[ ] Liver Disease    [ ] Cancer", "[ ] Anemia           [ ] Diabetes",
+)
+
+
 def forms(d: Dialect) -> str:
     """doc_id, text: a form for each customer, with headings, labels, boxes, blanks, consent text, repeats and notices."""
     q = d.lit
@@ -16,6 +26,13 @@ def forms(d: Dialect) -> str:
         q("H o w  d i d  y o u"), q("ﬁll1ng and ph0ne number (55O) 123-4567 since 1I2I2020"), q("Oifice Yes]No [J maybe"), "'Comments:'", "'Page 1'", "''",
         q("I understand that treatment may result in swelling and possible complications. I hereby consent."), "CASE WHEN c_custkey % 2 = 0 THEN 'By signing below I acknowledge that I have read the possible risks of treatment and may include pain.' END",
         q("Bleeding of the gums."), q("Pain or discomfort."), "concat('Form F', cast(16000 + c_custkey as varchar(10)), '_REV_A all rights reserved')", q("Patient name (please print)\tSignature of guardian\tDate").replace("\\t", "\t"),
+        q("Apt/Unit/Suite ____"), q("Are you a smoker? (Y or N)"), q("Circle one: Single / Married / Widowed"), q("[ ]      [ ]      [ ]"), q("Aspirin      Penicillin      Latex"),
+        q("Are you allergic to any of the following?"), q("[ ] Codeine"), q("[x] Sulfa Drugs"), q("[ ] Local Anesthesia Other Metals"), q("Sex [ ] Male [ ] Female     Marital Status [ ] Single [ ] Married"),
+        q("What is your preferred method of contact? [ ] Mobile [ ] E-mail"), q("How did you hear about us? [ ] Friend [ ] Internet"), q("How did you hear about us (other)? [ ] Radio [ ] Friend"),
+        q("Do you have pain? [ ] Yes [ ] No If yes, please explain: ______"), q("Are you a student? Yes or No If patient is a minor: Mother DOB    Father DOB"), q("[ ] Yes, send me text alerts about visits"),
+        q("Patient Signature                    Date"), "CASE WHEN c_custkey % 6 = 0 THEN 'Insurance ID # ____ SSN ____' END", q("AptState"), q("Do you react to any of the following? [ ] Aspirin [ ] Iodine"), q("Local Anesthesia Sulfa Drugs Other [ ] Local Anesthesia [ ] Sulfa Drugs [ ] Other"),
+        "CASE WHEN c_custkey % 8 = 1 THEN concat_ws(chr(10), " + ", ".join(map(q, SINGLE)) + ") END", q("Allergies"), q("-----------"),
+        "CASE WHEN c_custkey % 5 = 0 THEN concat_ws(chr(10), " + ", ".join(map(q, GRID)) + ") END", "CASE WHEN c_custkey % 7 = 0 THEN concat_ws(chr(10), " + ", ".join(map(q, CONDITIONS)) + ") END",
         q("Signature: ________ Date: ________"),
     ]
     return f"SELECT c_custkey AS doc_id, concat_ws(chr(10), {', '.join(lines)}) AS text FROM customer JOIN nation ON c_nationkey = n_nationkey"
