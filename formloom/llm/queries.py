@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bottomk, decontam, lattice_lm, mixing, quality, revisit, simhash, token_counts, token_pack, url_reputation
-from .common import lower_ascii, remainder_of_id, small_batches
+from .common import lower_ascii, materialize, remainder_of_id, small_batches
 
 RULES = tuple(url_reputation.Rule(a, t) for a, t in (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")))
 #: Ids of word_bpe_49k.json.
@@ -30,7 +30,9 @@ def op1_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = token_counts.prefix_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), budget=512, tables=False)
+    """The prefix tables are stored; the counts come from what is stored."""
+    tables = token_counts.prefix_tables(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    counts = token_counts.budget_counts(materialize(tables, "prefix-tables"), budget=512)
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"), "n_fit")
 
 

@@ -162,38 +162,64 @@ def counter(path: str) -> PrefixCounter:
     return PrefixCounter(path)
 
 
-def tokens_of_prefix(table: bytes, characters: int) -> int:
+def packed(counts: np.ndarray) -> bytes:
+    """A table as it is stored: for each character by how much the count differs from the one before, in 8 bits where all
+    differences fit, else in 32."""
+    steps = np.diff(counts, prepend=0)
+    small = steps.astype(np.int8)
+    return small.tobytes() if np.array_equal(small, steps) else steps.astype("<i4").tobytes()
+
+
+def unpacked(table: bytes, n_chars: int) -> np.ndarray:
+    """The counts of the prefixes of 1, 2, ... n_chars characters from a stored table."""
+    return np.cumsum(np.frombuffer(table, np.int8 if len(table) == n_chars else "<i4"), dtype=np.int64)
+
+
+def tokens_of_prefix(table: bytes, n_chars: int, characters: int) -> int:
     """Token count of the prefix of that many characters, from a stored table."""
-    return int(np.frombuffer(table, "<i4")[characters - 1]) if characters else 0
+    return int(unpacked(table, n_chars)[characters - 1]) if characters else 0
 
 
-def longest_prefix(table: bytes, budget: int) -> int:
+def longest_prefix(table: bytes, n_chars: int, budget: int) -> int:
     """Characters of the longest prefix of at most `budget` tokens, from a stored table."""
-    fits = np.flatnonzero(np.frombuffer(table, "<i4") <= budget)
+    fits = np.flatnonzero(unpacked(table, n_chars) <= budget)
     return int(fits[-1]) + 1 if len(fits) else 0
 
 
-def prefix_counts(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", budget: int = 512, tables: bool = True) -> DataFrame:
-    """One row for each row of docs: doc_id, n_bytes, n_tokens, n_fit and, with `tables`, prefix_tokens.
+def prefix_tables(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row for each row of docs: doc_id, n_bytes (UTF-8), n_chars and prefix_steps, the exact count at every prefix.
 
-    n_bytes: UTF-8 bytes. n_tokens: exactly the library's, without added special tokens; strings of special tokens in a
-    text are those tokens, as is the library's default. n_fit: characters of the longest prefix of at most `budget`
-    tokens. prefix_tokens: the table itself, one 32-bit count for each character, see tokens_of_prefix() and
-    longest_prefix(). A null text counts as empty, which has no tokens and an empty table; other columns are ignored.
+    See unpacked(), tokens_of_prefix() and longest_prefix() for what prefix_steps answers. Counts are exactly the
+    library's, without added special tokens; strings of special tokens in a text are those tokens, as is the library's
+    default. A null text counts as empty, whose table is empty; texts of any length have a table of all their characters,
+    and repeated rows one each. Other columns are ignored, whatever their names; an empty table gives an empty one.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = counter(tokenizer)
         for b in slices(batches, "text"):
             texts = ["" if t is None else t for t in b.column("text").to_pylist()]
-            found = own.tables(texts)
-            cols = [b.column("doc_id"), pa.array([len(t.encode()) for t in texts], pa.int64()), pa.array([int(c[-1]) if len(c) else 0 for c in found], pa.int64())]
-            fit = [len(c) if not len(c) or c.max() <= budget else longest_prefix(c.tobytes(), budget) for c in found]
-            cols.append(pa.array(fit, pa.int64()))
-            if tables:
-                cols.append(pa.array([c.astype("<i4").tobytes() for c in found], pa.binary()))
-            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_bytes", "n_tokens", "n_fit", "prefix_tokens"][: len(cols)])
+            sizes = pa.array([len(t.encode()) for t in texts], pa.int64()), pa.array([len(t) for t in texts], pa.int64())
+            tables = pa.array([packed(c) for c in own.tables(texts)], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *sizes, tables], ["doc_id", "n_bytes", "n_chars", "prefix_steps"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"doc_id {kind}, n_bytes long, n_tokens long, n_fit long" + ", prefix_tokens binary" * tables
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, n_bytes long, n_chars long, prefix_steps binary")
+
+
+def budget_counts(tables: DataFrame, *, budget: int = 512) -> DataFrame:
+    """Answers from the rows of prefix_tables() alone: doc_id, n_bytes, n_tokens and n_fit, the characters of the longest
+    prefix of at most `budget` tokens. An empty text has 0 of each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "prefix_steps"):
+            tokens, fit = [], []
+            for n, table in zip(b.column("n_chars").to_pylist(), b.column("prefix_steps").to_pylist(), strict=True):
+                counts = unpacked(table, n)
+                fits = np.flatnonzero(counts <= budget)
+                tokens.append(int(counts[-1]) if n else 0)
+                fit.append(int(fits[-1]) + 1 if len(fits) else 0)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("n_bytes"), pa.array(tokens, pa.int64()), pa.array(fit, pa.int64())], ["doc_id", "n_bytes", "n_tokens", "n_fit"])
+
+    kind = tables.schema["doc_id"].dataType.simpleString()
+    return tables.select("doc_id", "n_bytes", "n_chars", "prefix_steps").mapInArrow(run, f"doc_id {kind}, n_bytes long, n_tokens long, n_fit long")

@@ -57,15 +57,19 @@ def test_token_counts(spark, docs, none):
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     own = Tokenizer.from_file(path)
-    got = token_counts.prefix_counts(docs, path, budget=20).join(docs.select("doc_id", "text"), "doc_id").collect()
+    tables = token_counts.prefix_tables(docs, path)
+    got = token_counts.budget_counts(tables, budget=20).join(tables.drop("n_bytes"), "doc_id").join(docs.select("doc_id", "text"), "doc_id").collect()
     assert len(got) == len(texts())
     for r in got:
         t = r["text"] or ""
         assert r["n_tokens"] == len(own.encode(t, add_special_tokens=False).ids) and r["n_bytes"] == len(t.encode())
         for k in random.Random(2).sample(range(len(t) + 1), min(8, len(t))):
             n = len(own.encode(t[:k], add_special_tokens=False).ids)
-            assert token_counts.tokens_of_prefix(r["prefix_tokens"], k) == n and (n > 20 or k <= r["n_fit"])
-    assert token_counts.prefix_counts(none, path).count() == 0
+            assert token_counts.tokens_of_prefix(r["prefix_steps"], len(t), k) == n and (n > 20 or k <= r["n_fit"])
+        assert r["n_fit"] == token_counts.longest_prefix(r["prefix_steps"], len(t), 20)
+    assert token_counts.budget_counts(token_counts.prefix_tables(none, path)).count() == 0
+    far = np.array([1, 300, 2, 3])
+    assert list(token_counts.unpacked(token_counts.packed(far), 4)) == list(far)
 
 
 def test_quality(spark, none):
