@@ -324,6 +324,50 @@ def test_decontamination_recall(spark):
     assert got == want
 
 
+def test_decontamination_recall_by_change(spark):
+    """Shares of an item's words replaced, its rarest first or at random, or moved, against brute force over all regions."""
+    r, s = random.Random(17), decontam.Settings()
+    vocabulary = ["".join(r.choices("abcdefghijklmnop", k=6)) for _ in range(600)]
+    draw = lambda n: r.choices(vocabulary, [1 / (i + 1) for i in range(600)], k=n)
+    items = [(draw(n), draw(5)) for n in range(12, 52, 4)]
+    rank = {w: i for i, w in enumerate(vocabulary)}
+    rows, cells = [], []
+    for share in (0.1, 0.2, 0.3):
+        for how in ("rarest", "random", "moved"):
+            for i, (body, answer) in enumerate(items):
+                w, n = list(body), round(share * len(body))
+                places = sorted(range(len(w)), key=lambda k: -rank[w[k]])[:n] if how == "rarest" else sorted(r.sample(range(len(w)), n))
+                if how == "moved":
+                    taken = [w[k] for k in places]
+                    w = [x for k, x in enumerate(w) if k not in places]
+                    for x in taken:
+                        w.insert(r.randint(0, len(w)), x)
+                else:
+                    for k in places:
+                        w[k] = f"new{k}"
+                rows.append(" ".join([*draw(r.randint(0, 90)), *w, *answer, *draw(r.randint(0, 90))]))
+                cells.append((how, share, i))
+    rows += [" ".join(draw(r.randint(1, 200))) for _ in range(20)]
+    folded = [([x.encode() for x in b + a], [x.encode() for x in a]) for b, a in items]
+    want = set()
+    for d, t in enumerate(rows):
+        words = t.encode().split()
+        for i, (item, answer) in enumerate(folded):
+            regions = (words[max(0, lo - len(item)) : lo + s.window + len(item)] for lo, _ in decontam.windows(len(words), s))
+            if any(decontam.verify(item, answer, x, s)[0] for x in regions):
+                want.add((d, i))
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(b + a), " ".join(a)) for i, (b, a) in enumerate(items)], "item_id long, text string, answer string")
+    got = {(x["doc_id"], x["item_id"]) for x in decontam.contamination(docs, bench, answer_col="answer").collect()}
+    for cell in sorted({c[:2] for c in cells}):
+        planted = {(d, c[2]) for d, c in enumerate(cells) if c[:2] == cell}
+        leaks = planted & want
+        print(*cell, f"planted {len(planted)}, leaks by brute force {len(leaks)}, found {len(leaks & got)}")
+        assert len(leaks & got) >= 0.9 * len(leaks)
+    print(f"all pairs: {len(got & want)} of {len(want)}")
+    assert got <= want and len(got & want) >= 0.9 * len(want) and len(want) >= len(cells) / 2
+
+
 def test_revisits(spark):
     m = lambda **h: {k.replace("_", "-"): v for k, v in h.items()}
     rows = [
