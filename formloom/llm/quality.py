@@ -46,9 +46,11 @@ def features(texts: list[bytes], s: Settings) -> list[tuple[np.ndarray, np.ndarr
     h = word_hashes(buf, starts, ends)
     out = []
     with np.errstate(over="ignore"):
-        out.append(((h * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(64 - s.bits)).astype(np.uint32), np.searchsorted(starts, edges)))
+        first = np.searchsorted(starts, edges)
+        out.append(((h * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(64 - s.bits)).astype(np.uint32), first))
         for back in (1, 2):
             again = np.flatnonzero(h[back:] == h[:-back]) + back
+            again = again[again - back >= first[np.searchsorted(first, again, side="right") - 1]]  # both in one text
             out.append((np.full(len(again), back, np.uint32), np.searchsorted(starts[again], edges)))
         inside = IS_WORD[buf].astype(bool)
         x = buf.astype(np.uint32) + np.uint32(1)

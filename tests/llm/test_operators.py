@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from formloom.llm import bottomk, decontam, lattice_lm, mixing, near_copies, quality, revisit, simhash, token_counts, token_pack, url_reputation
+from formloom.llm import bottomk, common, decontam, lattice_lm, mixing, near_copies, quality, revisit, simhash, token_counts, token_pack, url_reputation
 from formloom.llm.queries import RULES
 
 WORDS = "the of and red blue green stone river tree house light dark over under again never always maybe Ünder naïve 日本 x1 don't".split()
@@ -86,6 +86,37 @@ def test_quality(spark, none):
     assert quality.score(docs, empty).filter("score <> 0.5").count() == 0 and quality.keep_good(docs, empty).count() == docs.count()
 
 
+def test_quality_scores_by_hand():
+    s = quality.Settings(bits=10)
+    m64, m32 = (1 << 64) - 1, (1 << 32) - 1
+
+    def word(w):
+        h = sum((b + 1) * pow(int(common.PRIME), i + 1, 1 << 64) for i, b in enumerate(w)) & m64
+        h = (h ^ h >> 29) * 0xBF58476D1CE4E5B9 & m64
+        return ((h ^ h >> 32) * 0xD6E8FEB86659FD93 & m64) >> (64 - s.bits)
+
+    def gram(g):
+        h = len(g)
+        for b in g:
+            h = (h * 0x01000193 + b + 1) & m32
+        return (h * 0x9E3779B1 & m32) >> (32 - s.bits)
+
+    def by_hand(text):
+        words = text.split()
+        ids = [word(w) for w in words] + [k for k in (1, 2) for a, b in zip(words, words[k:], strict=False) if a == b]
+        padded = [b" " + w + b" " for w in words]
+        return sorted(ids + [gram(w[i : i + n]) for n in s.grams for w in padded for i in range(len(w) - n + 1)])
+
+    # the first word of a text is often the last one of the text before, which is no repetition
+    some = [(t or "").encode() for t in texts()] + [b"tree", b"tree the tree", b"tree tree", b"", b"tree", b"a\tb\x0bb\r\nb"]
+    found = quality.feature_counts(some, s)
+    assert [np.repeat(ids, n).tolist() for ids, n in found] == [by_hand(t) for t in some]
+    model = quality.Model(s, np.random.default_rng(1).normal(size=1 << s.bits).astype(np.float32), 0.3)
+    mean = [np.mean(model.weights[by_hand(t)], dtype=np.float64) if t.split() else 0.0 for t in some]
+    assert np.allclose(model.scores(some), 1 / (1 + np.exp(-np.array(mean) - 0.3)), atol=1e-6)
+    assert np.allclose(model.scores(some), [model.scores([t])[0] for t in some], atol=1e-9)
+
+
 def test_simhash(spark, docs, none):
     def brute(t):
         w = (t or "").encode().lower().split()
@@ -449,6 +480,26 @@ def test_bottomk(spark, docs, none):
     assert bottomk.merge_all(parts, ["g"], "s").first()["s"] == whole
 
 
+def test_bottomk_estimates(spark):
+    r = random.Random(9)
+    own, other = ([str(r.random()) for _ in range(n)] for n in (900, 600))
+    shared = own[:300] + other
+    rows = [(" ".join(own), " ".join(shared), " ".join(own[:60])), ("", "", ""), (None, "a b", "a b")]
+    t = spark.createDataFrame(rows, "x string, y string, z string")
+    t = t.select(*(bottomk.sketch(F.col(c)).alias(c) for c in "xyz"))
+    x, y, z = (F.col(c) for c in "xyz")
+    got = t.select(
+        bottomk.distinct_count(x).alias("n"), bottomk.distinct_count(z).alias("few"), bottomk.containment(z, x).alias("inside"), bottomk.containment(x, y).alias("part"),
+        bottomk.resemblance(x, y).alias("alike"), bottomk.distinct_count(bottomk.merge(x, y)).alias("both"), (bottomk.merge(x, y) == bottomk.merge(y, x)).alias("either"),
+    ).collect()
+    a, b, c = got
+    # 896 and 896 shingles, of which both have 296; 128 hashes estimate within about a tenth
+    assert abs(a["n"] / 896 - 1) < 0.3 and a["few"] == 56 and a["inside"] > 0.7 and abs(a["part"] - 0.33) < 0.12 and abs(a["alike"] - 0.198) < 0.1 and abs(a["both"] / 1496 - 1) < 0.3
+    assert all(g["either"] for g in got)
+    assert (b["n"], b["few"], b["inside"], b["part"], b["alike"], b["both"]) == (0, 0, 1, 1, 1, 0)
+    assert (c["n"], c["few"], c["inside"], c["part"], c["alike"], c["both"]) == (0, 1, 0, 1, 0, 1)
+
+
 def test_encoder_is_the_library():
     """Distinct words go through another path than the library's; the ids are the same, in any script, and for null, blank and special texts."""
     import random
