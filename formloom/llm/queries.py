@@ -1,4 +1,4 @@
-"""The ten operators as queries over the test tables, with the parameters they have in production, and their SQL."""
+"""The operators as queries over the test tables, with the parameters they have in production, and their SQL."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bottomk, decontam, lattice_lm, mixing, quality, revisit, simhash, token_counts, token_pack, url_reputation
+from . import bottomk, decontam, hard_negatives, lattice_lm, merkle, mixing, quality, revisit, simhash, token_counts, token_pack, url_reputation, weak_rules
 from .common import lower_ascii, materialize, remainder_of_id, small_batches
 
 RULES = tuple(url_reputation.Rule(a, t) for a, t in (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")))
@@ -94,10 +94,25 @@ def op10_bottomk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bottomk.edited_pairs(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where 7 divides vec_id the label is the next one, which makes mistaken labels."""
+    given = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(given.select("vec_id", "embedding", label.alias("label")), F.col("id") % 100 == 0)
+
+
+def op12_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_rules.judge(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_url_reputation, op2_token_counts, op3_quality, op4_simhash, op5_mixing, op6_token_pack, op7_decontamination, op8_revisits,
-        op9_lattice_lm, op10_bottomk,
+        op9_lattice_lm, op10_bottomk, op11_hard_negatives, op12_weak_rules, op13_merkle_manifest,
     )
     return {f.__name__: f for f in found}
 
