@@ -208,14 +208,14 @@ def rows_of(docs: DataFrame, kept: DataFrame, all_rows: DataFrame, id_col: str,
 
 def keep_one(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 3, most: int = 3, pivots: int = 24,
-    alike: float | None = None, bands: int = 32, rows: int = 5, limit: int = 2048,
+    alike: float | None = None, bands: int = 32, rows: int = 5, limit: int = 8192,
 ) -> DataFrame:
     """One row of docs of each component, that with the least doc_id (of several texts the least by hash), with all columns.
 
     Fingerprints link at `most` differing bits; or, with `alike`, texts whose sets of shingles have that Jaccard similarity
     or more. Then texts meet in `bands` buckets of `rows` least hashes (two texts of similarity 0.8 share none of 32 buckets
-    of 5 in 1 of 300,000 cases), and of a bucket of over `limit` texts those that are like its leader leave with it, see
-    near_copies. In both ways no two rows that stay are linked, and each row that goes is linked, by a chain, to one that stays.
+    of 5 in 1 of 300,000 cases), where a pivot's distances discard pairs and exact sets decide, see near_copies; `limit`
+    bounds what a worker holds of a bucket and changes no result. In both ways no two rows that stay are linked, and each row that goes is linked, by a chain, to one that stays.
 
     Equal texts, repeated rows and all blank or null texts are one component each; null ids come last; an empty table gives
     an empty result.
