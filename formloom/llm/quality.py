@@ -6,7 +6,7 @@ of words that repeat one of the two words before. A softmax over that average gi
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_SEPARATORS, remainder_of_id, slices, text_bytes, word_hashes, word_spans
+from .common import WORD_SEPARATORS, discard, materialize, remainder_of_id, slices, text_bytes, word_hashes, word_spans
 
 #: Separators become blanks, which mark the edges of a word in its n-grams.
 BLANK = bytes(0x20 if b in WORD_SEPARATORS else b for b in range(256))
@@ -24,13 +24,13 @@ IS_WORD = np.array([b not in WORD_SEPARATORS for b in range(256)], np.int8)
 @dataclass(frozen=True)
 class Settings:
     """bits: of the hashed table. grams: lengths of n-grams in bytes. sample: the bound on labelled rows that are fitted.
-    most: the bound on distinct features of one of them; of a text with more those with the least hashes are fitted."""
+    held: bytes of their features that the driver holds; beyond that each epoch reads them from the shared folder."""
 
     bits: int = 17
     dim: int = 8
     grams: tuple[int, ...] = (3, 4)
     sample: int = 3000
-    most: int = 4096
+    held: int = 256 << 20
     epochs: int = 12
     rate: float = 0.4
     batch: int = 16
@@ -94,8 +94,16 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(sums / np.maximum(n, 1) + self.bias, -60, 60)))
 
 
-def train(texts_ids: list[np.ndarray], texts_counts: list[np.ndarray], labels: np.ndarray, s: Settings) -> Model:
-    """Fit feature vectors and softmax by minibatch gradient descent with a falling rate (AdaGrad steps for each vector)."""
+#: Feature ids of a text and how often it has each.
+Row = tuple[np.ndarray, np.ndarray]
+
+
+def train(rows_in: Callable[[np.ndarray], Iterator[Row]], lengths: np.ndarray, labels: np.ndarray, s: Settings) -> Model:
+    """Fit feature vectors and softmax by minibatch gradient descent with a falling rate (AdaGrad steps for each vector).
+
+    lengths: of each row how many features it has, repeats counted; a row without any is left out. rows_in(order): the
+    features of the rows in an order, which may be read anew for each epoch.
+    """
     rng = np.random.default_rng(s.seed)
     size = 1 << s.bits
     vectors = rng.uniform(-1 / s.dim, 1 / s.dim, (size, s.dim)).astype(np.float32)
@@ -106,17 +114,19 @@ def train(texts_ids: list[np.ndarray], texts_counts: list[np.ndarray], labels: n
     bias[:] = np.log(np.maximum(share, 1e-3))
     seen, seen_out = np.full(size, 1e-6, np.float32), np.full(out.shape, 1e-6, np.float32)
     target = np.eye(2, dtype=np.float32)[labels]
-    lengths = np.array([c.sum() for c in texts_counts], np.float32)
+    lengths = lengths.astype(np.float32)
     for epoch in range(s.epochs):
         rate = s.rate * (1 - epoch / s.epochs)
         order = rng.permutation(len(labels))
+        order = order[lengths[order] > 0]
+        source = rows_in(order)
         for at in range(0, len(order), s.batch):
-            rows = [i for i in order[at : at + s.batch] if lengths[i]]
-            if not rows:
-                continue
-            ids = np.concatenate([texts_ids[i] for i in rows])
-            w = np.concatenate([texts_counts[i] / lengths[i] for i in rows])
-            starts = np.cumsum([0, *(len(texts_ids[i]) for i in rows[:-1])])
+            rows = order[at : at + s.batch]
+            part = [next(source) for _ in rows]
+            sizes = [len(x) for x, _ in part]
+            ids = np.concatenate([x for x, _ in part])
+            w = np.concatenate([c / lengths[i] for i, (_, c) in zip(rows, part, strict=True)])
+            starts = np.cumsum([0, *sizes[:-1]])
             v = vectors[ids]
             hidden = np.add.reduceat(v * w[:, None], starts)
             z = hidden @ out + bias
@@ -127,7 +137,7 @@ def train(texts_ids: list[np.ndarray], texts_counts: list[np.ndarray], labels: n
             seen_out += grad**2
             out -= rate * grad / np.sqrt(seen_out)
             bias -= 0.05 * rate * error.mean(0)
-            g = np.repeat(back, [len(texts_ids[i]) for i in rows], axis=0) * w[:, None]
+            g = np.repeat(back, sizes, axis=0) * w[:, None]
             touched, inverse = np.unique(ids, return_inverse=True)
             sums = np.stack([np.bincount(inverse, g[:, d], len(touched)) for d in range(s.dim)], 1).astype(np.float32)
             seen[touched] += (sums**2).mean(1)
@@ -142,30 +152,41 @@ def fit(
     """Fit on at most s.sample labelled rows, those with the least hashes of their ids, never on the held-out fold.
 
     labels: doc_id, quality (0 or 1; nulls are no label; of several rows of an id the least counts). A null id has no
-    label. Of several rows of docs with one id that with the least features counts. Only the sampled documents' hashed
-    features reach the driver: s.sample rows of s.most features, 8 bytes each. Other columns are ignored.
+    label. Of several rows of docs with one id that with the least features counts. The sampled documents' hashed features,
+    all of them, are a table in the shared folder; the driver holds them if they are s.held bytes or less, and else reads
+    them once an epoch, a partition at a time and in the same order, so the model is the same. Other columns are ignored.
     """
+    spark = docs.sparkSession
     own = labels.filter("quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
     own = own.filter(remainder_of_id("doc_id", folds) != held_out).orderBy(F.xxhash64("doc_id"), "doc_id").limit(s.sample)
 
-    def chosen(ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if len(ids) <= s.most:
-            return ids, counts
-        some = np.sort(np.argsort(ids * np.uint32(0x9E3779B1), kind="stable")[: s.most])
-        return ids[some], counts[some]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", 1 << 20):
-            pairs = [chosen(*p) for p in feature_counts(text_bytes(b.column("text")), s)]
+            pairs = feature_counts(text_bytes(b.column("text")), s)
             cols = [b.column("doc_id"), b.column("quality"), *(pa.array([p[k].astype(t).tobytes() for p in pairs], pa.binary()) for k, t in enumerate(("<u4", "<f4")))]
             yield pa.RecordBatch.from_arrays(cols, ["doc_id", "quality", "ids", "counts"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     given = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(own), "doc_id").select("doc_id", "text", "quality")
     found = given.mapInArrow(run, f"doc_id {kind}, quality int, ids binary, counts binary")
-    rows = [(r["doc_id"], *r["f"]) for r in found.groupBy("doc_id").agg(F.min(F.struct("ids", "counts", "quality")).alias("f")).collect()]
-    rows.sort(key=lambda r: r[0])
-    return train([np.frombuffer(r[1], "<u4") for r in rows], [np.frombuffer(r[2], "<f4") for r in rows], np.array([r[3] for r in rows], np.int64), s)
+    found = materialize(found.groupBy("doc_id").agg(F.min(F.struct("ids", "counts", "quality")).alias("f")).select("doc_id", "f.*"), "features")
+    known = sorted((r["doc_id"], r["quality"], r["n"]) for r in found.select("doc_id", "quality", F.octet_length("ids").alias("n")).collect())  # s.sample rows
+    place = spark.createDataFrame([(r[0], k) for k, r in enumerate(known)], f"doc_id {kind}, k long") if known else None
+    row = lambda r: (np.frombuffer(r["ids"], "<u4"), np.frombuffer(r["counts"], "<f4"))
+
+    def read(order: np.ndarray) -> Iterator[Row]:
+        turn = spark.createDataFrame([(known[k][0], at) for at, k in enumerate(order.tolist())], f"doc_id {kind}, at long")
+        return map(row, found.join(F.broadcast(turn), "doc_id").orderBy("at").select("ids", "counts").toLocalIterator())
+
+    if known and 2 * sum(r[2] for r in known) <= s.held:
+        held = {r["k"]: row(r) for r in found.join(F.broadcast(place), "doc_id").select("k", "ids", "counts").collect()}
+        model = train(lambda order: (held[k] for k in order.tolist()), np.array([held[k][1].sum() for k in range(len(known))]), np.array([r[1] for r in known], np.int64), s)
+    else:
+        order = np.arange(len(known))
+        lengths = np.array([c.sum() for _, c in read(order)] if known else [])
+        model = train(read, lengths, np.array([r[1] for r in known], np.int64), s)
+    discard(found)
+    return model
 
 
 def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", cut: float = 0.3) -> DataFrame:

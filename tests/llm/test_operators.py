@@ -82,10 +82,51 @@ def test_quality(spark, none):
     got = {x["doc_id"]: x["score"] for x in quality.score(docs, quality.fit(docs, labels, s)).collect()}
     held = [i for i in range(240) if zlib.crc32(str(i).encode()) % 5 == 0]
     assert np.mean([(got[i] >= 0.5) == (i < 120) for i in held]) > 0.9 and got[900] == got[901] and 0 <= got[900] <= 1
+    held_none = quality.fit(docs, labels, quality.Settings(bits=12, sample=150, held=0))  # features read anew for each epoch
+    whole = quality.fit(docs, labels, s)
+    assert np.array_equal(held_none.weights, whole.weights) and held_none.bias == whole.bias
     empty = quality.fit(none, labels.limit(0), s)
     assert quality.score(docs, empty).filter("score <> 0.5").count() == 0 and quality.keep_good(docs, empty).count() == docs.count()
 
 
+def test_quality_training_by_hand():
+    """The same descent, written for one text and one number at a time."""
+    s = quality.Settings(bits=6, dim=3, epochs=3, batch=4)
+    r = random.Random(5)
+    some = [(r.choice(WORDS) + " ").encode() * r.randint(1, 5) + r.choice(WORDS).encode() for _ in range(13)] + [b""]
+    labels = np.array([len(t) % 2 for t in some])
+    found = quality.feature_counts(some, s)
+    lengths = np.array([c.sum() for _, c in found])
+    model = quality.train(lambda order: (found[k] for k in order.tolist()), lengths, labels, s)
+    rng = np.random.default_rng(s.seed)
+    size = 1 << s.bits
+    v = rng.uniform(-1 / s.dim, 1 / s.dim, (size, s.dim)).astype(np.float32).astype(float)
+    out = rng.normal(0, 0.1, (s.dim, 2)).astype(np.float32).astype(float)
+    bias = np.log([np.mean(labels == 0), np.mean(labels == 1)])
+    seen, seen_out = np.full(size, 1e-6), np.full((s.dim, 2), 1e-6)
+    for epoch in range(s.epochs):
+        rate = s.rate * (1 - epoch / s.epochs)
+        order = [i for i in rng.permutation(len(some)) if lengths[i]]
+        for at in range(0, len(order), s.batch):
+            grad, step, errors = np.zeros((s.dim, 2)), {}, []
+            for i in order[at : at + s.batch]:
+                share = {int(f): n / lengths[i] for f, n in zip(*found[i], strict=True)}
+                hidden = sum(w * v[f] for f, w in share.items())
+                z = np.exp(hidden @ out + bias)
+                error = z / z.sum() - np.eye(2)[labels[i]]
+                errors.append(error)
+                grad += np.outer(hidden, error)
+                for f, w in share.items():
+                    step[f] = step.get(f, 0) + w * error @ out.T
+            seen_out += grad**2
+            out = out - rate * grad / np.sqrt(seen_out)
+            bias = bias - 0.05 * rate * np.mean(errors, axis=0)
+            for f, g in step.items():
+                seen[f] += (g**2).mean()
+                v[f] -= 0.5 * rate * g / np.sqrt(seen[f])
+    assert np.allclose(model.weights, v @ (out[:, 1] - out[:, 0]), atol=2e-3) and abs(model.bias - (bias[1] - bias[0])) < 1e-4
+
+
 def test_quality_scores_by_hand():
     s = quality.Settings(bits=10)
     m64, m32 = (1 << 64) - 1, (1 << 32) - 1
