@@ -8,9 +8,10 @@ read alike: no look-around, ASCII classes, no backslash-w on text beyond ASCII.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -135,6 +136,21 @@ class Dialect:
             return f"array_join(transform(array_sort(collect_list(struct({order} AS o, {x} AS v)) {over}), e -> e.v), {self.lit(sep)})"
         return f"coalesce(string_agg({x}, {self.lit(sep)} ORDER BY {order}) {over}, '')"
 
+    def stage(self, query: str) -> str:
+        """The query as a view of its own, analysed by itself: Spark gives up on a text that is nested too deeply. Nothing is
+        computed or stored, and the plan of what reads it is optimised as a whole."""
+        if not self.spark:
+            return query
+        spark, view = SparkSession.active(), f"stage_{zlib.crc32(query.encode()):08x}"
+        spark.sql(query).createOrReplaceTempView(view)
+        return f"SELECT * FROM {view}"
+
+    def lookup(self, name: str, value: str, wanted: str, over: str) -> str:
+        """Over a window: the value of the row whose name is the wanted one; null without one. A window's rows are few."""
+        if self.spark:
+            return f"try_element_at(filter(collect_list(struct({name} AS n, {value} AS v)) {over}, e -> e.n = {wanted}), 1).v"
+        return f"list_filter(list({{'n': {name}, 'v': {value}}}) {over}, lambda e: e.n = {wanted})[1].v"
+
     def count_if(self, cond: str) -> str:
         return f"coalesce(sum(CASE WHEN {cond} THEN 1 ELSE 0 END), 0)"
 
@@ -149,6 +165,43 @@ class Dialect:
         frame = f"OVER ({over} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
         return f"last_value({x}) IGNORE NULLS {frame}" if self.spark else f"last_value({x} IGNORE NULLS) {frame}"
 
+    def fold(
+        self, source: str, order: Sequence[str], columns: dict[str, str], state: dict[str, tuple[str, str, str]], out: dict[str, str], emits: Sequence[tuple[str, dict[str, str]]], end: dict[str, str],
+        key: str = "doc_id",
+    ) -> str:
+        """A query: for each key the rows that one pass over its rows, in an order, emits.
+
+        columns: what a step sees of a row `x`, with types. state: of each value of the state `s` the type, what it begins
+        with and what a step makes of it. out: the columns that are emitted, with types; emits: what a step may emit, each a
+        condition and the columns, which refer to the state before the step and to the row. end: the columns of a last row,
+        after all others, at which what is left is emitted.
+
+        Spark folds an array of the key's rows, which one task holds, as it does for a window; DuckDB steps all keys at once
+        in a recursive query, so the check takes another way through.
+        """
+        made = {n: f"cast({e} as {t})" for n, (t, _, e) in state.items()}
+        begun = {n: f"cast({e} as {t})" for n, (t, e, _) in state.items()}
+        told = [(c, {n: f"cast({e[n]} as {t})" for n, t in out.items()}) for c, e in emits]
+        last = {c: f"cast({end[c]} as {t})" for c, t in columns.items()}
+        if self.spark:
+            pack = lambda d: "named_struct(" + ", ".join(f"'{n}', {e}" for n, e in d.items()) + ")"
+            given = pack({f"o{i}": o for i, o in enumerate(order)} | {c: f"cast({c} as {t})" for c, t in columns.items()})
+            rows = f"concat(transform(array_sort(collect_list({given})), r -> {pack({c: f'r.{c}' for c in columns})}), array({pack(last)}))"
+            none = f"cast(array() as array<struct<{', '.join(f'{n}:{t}' for n, t in out.items())}>>)"
+            emitted = f"concat(s.emitted, {', '.join(f'CASE WHEN {c} THEN array({pack(e)}) ELSE {none} END' for c, e in told)})"
+            fold = f"aggregate({rows}, {pack(begun | {'emitted': none})}, (s, x) -> {pack(made | {'emitted': emitted})}, s -> s.emitted)"
+            return f"SELECT {key}, {', '.join(f'f.{n}' for n in out)} FROM (SELECT {key}, explode(f) AS f FROM (SELECT {key}, {fold} AS f FROM ({source}) q GROUP BY {key}) g) e"
+        name = f"fold_{zlib.crc32(source.encode()):08x}"
+        of = lambda d: ", ".join(f"{e} AS {n}" for n, e in d.items())
+        parts = [{f"e{i}": c} | {f"e{i}_{n}": v for n, v in e.items()} for i, (c, e) in enumerate(told)]
+        blank = [{f"e{i}": "false"} | {f"e{i}_{n}": f"cast(NULL as {t})" for n, t in out.items()} for i in range(len(told))]
+        given = of({c: f"cast({c} as {t})" for c, t in columns.items()})
+        return f"""SELECT * FROM (WITH RECURSIVE {name}_given AS MATERIALIZED (SELECT {key}, row_number() OVER (PARTITION BY {key} ORDER BY {", ".join(order)}) AS fold_at, {given} FROM ({source}) q),
+  {name}_rows AS MATERIALIZED (SELECT * FROM {name}_given UNION ALL SELECT {key}, max(fold_at) + 1 AS fold_at, {of(last)} FROM {name}_given GROUP BY {key}),
+  {name} AS (SELECT DISTINCT {key}, cast(0 as bigint) AS fold_at, {of(begun)}, {", ".join(map(of, blank))} FROM {name}_rows
+    UNION ALL SELECT x.{key}, x.fold_at, {of(made)}, {", ".join(map(of, parts))} FROM {name} s JOIN {name}_rows x ON s.{key} = x.{key} AND x.fold_at = s.fold_at + 1)
+  {" UNION ALL ".join(f"SELECT {key}, {', '.join(f'e{i}_{n} AS {n}' for n in out)} FROM {name} WHERE e{i}" for i in range(len(told)))}) folded"""
+
     def case(self, rules: Sequence[tuple[str, str]], other: str) -> str:
         """The value of the first rule that holds, in their order."""
         return "CASE " + " ".join(f"WHEN {c} THEN {v}" for c, v in rules) + f" ELSE {other} END"

@@ -8,15 +8,21 @@ from .dialect import Dialect
 
 # Patterns and words of each known question, one pattern each.
 SEX_GENDER = (
-    r"\b(sex|gender) *[:-]? *(M *or *F|M/F|Male/Female)", r"\b(sex|gender) *\[ *\] *(male|female|M|F)", r"\bsex *(\[ *\]|\[x\]|☐|□) *male *(\[ *\]|\[x\]|☐|□) *female",
-    r"\bgender *(\[ *\]|\[x\]|☐|□) *male *(\[ *\]|\[x\]|☐|□) *female",
+    r"\b(sex|gender)\s*[:-]?\s*(M\s*or\s*F|M/F|Male/Female)", r"\b(sex|gender)\s*\[\s*\]\s*(male|female|M|F)", r"\bsex\s*(\[\s*\]|\[x\]|☐|□)\s*male\s*(\[\s*\]|\[x\]|☐|□)\s*female",
+    r"\bgender\s*(\[\s*\]|\[x\]|☐|□)\s*male\s*(\[\s*\]|\[x\]|☐|□)\s*female",
 )
-MARITAL_STATUS = (r"(please +)?circle +one *:? *(single|married|divorced|separated|widowed)", r"\bmarital +status *:? *(\[ *\]|single|married)", r"\bmarital +status *(\[ *\]|\[x\]|☐|□)")
-PREFERRED_CONTACT = (r"(what +is +your +)?preferred +method +of +contact", r"preferred +contact +method")
-HEAR_ABOUT = r"how +did +you +hear +about +us"
+MARITAL_STATUS = (r"(please\s+)?circle\s+one\s*:?\s*(single|married|divorced|separated|widowed)", r"\bmarital\s+status\s*:?\s*(\[\s*\]|single|married)", r"\bmarital\s+status\s*(\[\s*\]|\[x\]|☐|□)")
+PREFERRED_CONTACT = (r"(what\s+is\s+your\s+)?preferred\s+method\s+of\s+contact", r"preferred\s+contact\s+method")
+HEAR_ABOUT = r"how\s+did\s+you\s+hear\s+about\s+us"
 CONDITION_TOKENS = (
-    "diabetes", "arthritis", "rheumat", "hepatitis", "asthma", "stroke", "ulcer", "thyroid", "cancer", "anemia", "glaucoma", "osteoporosis", "seizure", "tb", "tuberculosis", "hiv", "aids", "blood pressure", "heart",
-    "kidney", "liver", "bleeding", "sinus", "smoke", "chew", "alcohol", "drug", "allergy", "pregnan", "anxiety", "depression", "pacemaker", "cholesterol",
+    "diabetes", "arthritis", "rheumat", "hepatitis", "asthma", "stroke", "ulcer", "thyroid", "cancer", "anemia", "glaucoma", "osteoporosis", "seizure", "tb", "tuberculosis", "hiv", "aids", "blood", "pressure", "heart",
+    "kidney", "liver", "bleeding", "sinus", "smoke", "chew", "alcohol", "drug", "allergy", "pregnan", "anxiety", "depression", "pacemaker", "cholesterol", "radiation", "chemotherapy", "convulsion", "epilepsy", "migraine",
+    "valve", "neurological", "alzheimer",
+)
+# Tokens that tell a control whose options are conditions.
+CONTROL_TOKENS = (
+    "diabetes", "arthritis", "rheumat", "hepatitis", "asthma", "stroke", "ulcer", "thyroid", "cancer", "anemia", "glaucoma", "osteoporosis", "seizure", "tb", "tuberculosis", "hiv", "aids", "blood", "pressure", "heart",
+    "kidney", "liver", "bleeding", "sinus", "smoke", "chew", "alcohol", "drug", "allergy", "pregnan", "anxiety", "depression", "pacemaker", "irregular", "rregular",
 )
 FIELD_KEYWORDS = "apt|apartment|unit|suite|city|state|zip|zipcode|postal|country|address|street|ext|extension"
 WHOLE_LABELS = (
@@ -103,8 +109,9 @@ def compound_label(d: Dialect, x: str) -> str:
 
 def bullet_option(d: Dialect, x: str) -> str:
     """The option of a line that is one bullet or box; null if it isn't."""
-    bare = T.clean_token(d, d.sub(d.sub(d.trim(x), rf"^({L.BOX})[ ]+", ""), r"^[ ]*[-*•·] +", ""))
-    named = d.case([(f"lower({bare}) IN ('yes', 'y')", "'Yes'"), (f"lower({bare}) IN ('no', 'n')", "'No'"), (f"{bare} <> ''", bare)], "NULL")
+    plain = d.trim(d.sub(d.sub(d.trim(x), rf"^({L.BOX})[ ]+", ""), r"^[ ]*[-*•·] +", ""))
+    named = d.case([("lower(bare) IN ('yes', 'y')", "'Yes'"), ("lower(bare) IN ('no', 'n')", "'No'"), ("bare <> ''", "bare")], "NULL")
+    named = d.let(plain, "plain", d.let(T.clean_token(d, "plain"), "bare", named))
     return f"CASE WHEN {d.has(x, rf'^ *([-*•·]|{L.BOX}) +')} AND {d.count(x, L.BOX)} <= 1 THEN {named} END"
 
 
@@ -114,6 +121,11 @@ def spaced_labels(d: Dialect, x: str) -> str:
     return f"CASE WHEN {d.has(x, ' {10,}')} AND {d.size(parts)} >= 2 THEN {parts} ELSE {none(d)} END"
 
 
+def is_boxed_question(d: Dialect, x: str) -> str:
+    """A line such as `[ ] Yes, send me text alerts`, a question of its own rather than an option."""
+    return d.has(x, rf"^ *({L.BOX}) *(Yes|No)[ ,]+[^ ,].{{9,}}$", ci=True)
+
+
 def inline_box_text(d: Dialect, x: str) -> str:
     """Title of a line such as `[ ] Yes, send me text alerts`; null for a plain option."""
     answer, rest = (d.trim(d.first(x, rf"^ *({L.BOX}) *(Yes|No)[ ,]+(.*)$", i, ci=True)) for i in (2, 3))
@@ -127,14 +139,14 @@ def id_and_ssn(d: Dialect, x: str) -> str:
     return f"CASE WHEN {d.has(t, ID_WORDS)} AND {d.has(t, SSN_WORDS)} THEN {keys} ELSE {none(d)} END"
 
 
-def is_condition(d: Dialect, x: str) -> str:
+def is_condition(d: Dialect, x: str, tokens: tuple[str, ...] = CONDITION_TOKENS) -> str:
     """Whether an option's name looks like a medical condition."""
-    return d.any_of(T.plain(d, x), CONDITION_TOKENS)
+    return d.let(T.plain(d, x), "cond", d.any_of("cond", tokens))
 
 
 def is_conditions_field(d: Dialect, kind: str, options: str) -> str:
     """A drop-down of eight options or more, of which three look like conditions. options: names, `|` between them."""
-    names = d.filter(d.split(options, r"\|"), "o", is_condition(d, "o"))
+    names = d.filter(d.split(options, r"\|"), "o", is_condition(d, "o", CONTROL_TOKENS))
     return f"({kind} = 'dropdown' AND {d.size(d.split(options, r'\|'))} >= 8 AND {d.size(names)} >= 3)"
 
 

@@ -6,6 +6,7 @@ from ..functions import lines as L
 from ..functions import questions as Q
 from ..functions import text as T
 from ..functions.dialect import Dialect
+from . import parser
 
 OVER = "OVER (PARTITION BY doc_id ORDER BY pos)"
 
@@ -76,9 +77,10 @@ def gathered_options(d: Dialect, source: str) -> str:
 
 
 def prepared(d: Dialect, source: str) -> str:
-    """Lines as fields are read from them: scrubbed, unwrapped, with options at their prompts, garbled boxes and glyphs mended."""
+    """Lines as fields are read from them: scrubbed, unwrapped, with the options below a prompt in its line, garbled boxes and
+    glyphs mended."""
     clean = f"SELECT doc_id, pos, {T.restore_ligatures(d, T.normalize_glyphs(d, 'line'))} AS line FROM ({scrubbed(d, source)}) s"
-    return gathered_options(d, f"SELECT doc_id, pos, line FROM ({soft_wraps(d, clean)}) w")
+    return f"SELECT doc_id, pos, line FROM ({parser.questions(d, f'SELECT doc_id, pos, line FROM ({soft_wraps(d, clean)}) w')}) p"
 
 
 def soft_wraps(d: Dialect, source: str) -> str:

@@ -9,8 +9,11 @@ from ..functions import text as T
 from ..functions.dialect import Dialect
 from . import grids as G
 from . import lines as O
+from . import parser as P
 from . import splits as S
 
+#: What a field carries through the fold that nests it, with types.
+CARRIED = {"pos": "bigint", "sub": "bigint", "key": "string", "title": "string", "section": "string", "type": "string", "input_type": "string", "n_options": "int", "options": "string", "follow_up": "int", "html": "string"}
 COLUMNS = "doc_id, pos, sub, key, title, section, type, input_type, n_options, options, follow_up"
 
 
@@ -151,14 +154,14 @@ def scored(d: Dialect, source: str, least: float = 0.3) -> str:
 def converted(d: Dialect, source: str) -> str:
     """The whole chain from raw lines: scrubbed, unwrapped and gathered lines, their fields and those of grids, junk and
     excluded titles gone, fields in preferred sections, duplicates once, runs of consent text as one terms field, one
-    signature, keys numbered."""
+    signature, follow-ups under their questions (parent: the place of one), keys numbered in the order of that tree."""
     grid = f"SELECT doc_id, head_pos AS pos, 100 + col AS sub, key, title, coalesce({D.best_section(d, 'title', 'key')}, 'Medical History') AS section, 'checkbox' AS type, 'text' AS input_type, cast(n_options as int) AS n_options, options, 0 AS follow_up FROM ({G.questions(d, G.table_lines(d, source))}) g"
     raw = f"{fields(d, O.prepared(d, source))} UNION ALL {grid}"
     kept = f"SELECT * FROM ({raw}) f WHERE NOT {L.is_junk(d, 'key', 'title')} AND NOT {D.excluded(d, 'title')} AND NOT {D.is_document_title(d, 'title', 'type')}"
     homed = f"SELECT doc_id, pos, sub, key, {D.clean_overflow(d, 'title')} AS title, {D.home_section(d, 'key', 'title', 'section')} AS section, type, input_type, n_options, options, follow_up FROM ({kept}) k"
     order = "OVER (PARTITION BY doc_id ORDER BY pos, sub)"
     is_in = f"(type = 'terms' OR {L.is_consent_paragraph(d, 'title')} OR {L.is_procedure_text(d, 'title')} OR {L.is_risk_item(d, 'title')})"
-    marked = f"SELECT *, {is_in} AS is_in FROM ({semantic_duplicates(d, homed)}) h"
+    marked = f"SELECT *, {is_in} AS is_in FROM ({semantic_duplicates(d, d.stage(homed))}) h"
     runs = f"SELECT *, sum(CASE WHEN is_in AND was_in THEN 0 ELSE 1 END) {order} AS island FROM (SELECT *, coalesce(lag(is_in) {order}, false) AS was_in FROM ({marked}) m) w"
     in_run = "OVER (PARTITION BY doc_id, island ORDER BY pos, sub)"
     text = d.ordered_join("title", "pos * 1000 + sub", "</p><p>", over="OVER (PARTITION BY doc_id, island)")
@@ -167,9 +170,11 @@ def converted(d: Dialect, source: str) -> str:
     final = f"CASE WHEN {terms} THEN 'terms' WHEN type IN ('block_signature', 'terms', 'date') OR n_options = 0 THEN type ELSE {D.radio_or_checkbox(d, 'title', 'n_options', 'false')} END"
     joined = f"""SELECT doc_id, pos, sub, CASE WHEN {terms} THEN 'terms_and_conditions' ELSE key END AS key, CASE WHEN {terms} THEN 'Terms and Conditions' ELSE title END AS title, section, {final} AS type, input_type, n_options, options, follow_up,
     CASE WHEN {terms} OR type = 'terms' THEN concat('<p>', run_text, '</p>') ELSE '' END AS html FROM ({sized}) z WHERE NOT {terms} OR run_place = 1"""
-    return f"""SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY {D.section_rank(d, 'section')}, pos, sub) AS place, pos, sub, CASE WHEN n > 1 THEN concat(key, '_', cast(n as varchar(10))) ELSE key END AS key, title, section,
+    placed = f"""SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY {D.section_rank(d, 'section')}, pos, sub) AS place, pos, sub, key, title, section,
     type, CASE WHEN type = 'input' THEN input_type END AS input_type, n_options, options, follow_up, html FROM (
-    SELECT *, row_number() OVER (PARTITION BY doc_id, key ORDER BY pos, sub) AS n, row_number() OVER (PARTITION BY doc_id, CASE WHEN type = 'block_signature' THEN 'sign' ELSE concat(cast(pos as varchar(20)), '.', cast(sub as varchar(20))) END ORDER BY pos, sub) AS s FROM ({joined}) d) r WHERE s = 1"""
+    SELECT *, row_number() OVER (PARTITION BY doc_id, CASE WHEN type = 'block_signature' THEN 'sign' ELSE concat(cast(pos as varchar(20)), '.', cast(sub as varchar(20))) END ORDER BY pos, sub) AS s FROM ({joined}) d) r WHERE s = 1"""
+    tree = P.nested(d, d.stage(placed), carry=CARRIED)
+    return P.tree_keys(d, tree, ", ".join(["parent", "depth", "answer", *(c for c in CARRIED if c != "key")]))
 
 
 def quoted(d: Dialect, x: str) -> str:
@@ -179,7 +184,8 @@ def quoted(d: Dialect, x: str) -> str:
 
 def records(d: Dialect, source: str) -> str:
     """Output records of converted fields: with the type's control as JSON (input type; options with values and whether
-    several may be chosen; text of terms), and a second row for each follow-up, asked `if` its question is answered yes."""
+    several may be chosen; text of terms), asked `if` the question above it is answered so, and a second row for each
+    follow-up in a question's own line."""
     value = lambda o: f"CASE WHEN lower({o}) IN ('yes', 'no') THEN {D.option_value(d, o)} ELSE {quoted(d, D.option_value(d, o))} END"
     one = lambda o: f"""concat('{{"name":', {quoted(d, o)}, ',"value":', {value(o)}, '}}')"""
     listed = f"concat('[', {d.join(d.map(d.filter(d.split('options', r'[|]'), 'o', chr(111) + ' <> ' + d.lit('')), 'o', one('o')), ',')}, ']')"
@@ -192,9 +198,10 @@ def records(d: Dialect, source: str) -> str:
         ], "'{}'",
     )
     copies = "sequence(0, follow_up)" if d.spark else "range(follow_up + 1)"
-    rows = d.exploded(f"({source}) c", copies, "doc_id, place, key, title, section, type, input_type, n_options, options, html", "again", pos="k")
+    named = f"SELECT *, {d.lookup('place', 'key', 'parent', 'OVER (PARTITION BY doc_id)')} AS parent_key FROM ({source}) n"
+    rows = d.exploded(f"({named}) c", copies, "doc_id, place, key, title, section, type, input_type, n_options, options, html, parent_key, answer", "again", pos="k")
     return f"""SELECT doc_id, place, k, CASE WHEN k = 1 THEN concat(key, '_explanation') ELSE key END AS key, CASE WHEN k = 1 THEN 'Please explain' ELSE title END AS title, section, CASE WHEN k = 1 THEN 'input' ELSE type END AS type,
-  {control} AS control, CASE WHEN k = 1 THEN concat('[{{"key":', {quoted(d, "key")}, ',"value":"yes"}}]') END AS condition FROM ({rows}) r"""
+  {control} AS control, CASE WHEN k = 1 THEN concat('[{{"key":', {quoted(d, "key")}, ',"value":"yes"}}]') WHEN parent_key IS NOT NULL THEN concat('[{{"key":', {quoted(d, "parent_key")}, ',"value":"', answer, '"}}]') END AS condition FROM ({rows}) r"""
 
 
 def section_matrix(d: Dialect, source: str) -> str:

@@ -75,7 +75,8 @@ def yes_no_prompts(d: Dialect, x: str) -> str:
 
 
 def yes_no_follow_up(d: Dialect, x: str) -> str:
-    return f"({L.has_box(d, x)} AND {d.has(x, 'if (yes|so)|explain|please list', ci=True)})"
+    """A follow-up asked for in the line of its boxes, after them."""
+    return d.has(x, rf"({L.BOX}).*(if (yes|so)|explain|please list)", ci=True)
 
 
 def tab_parts(d: Dialect, x: str) -> str:
@@ -128,5 +129,5 @@ def field_parts(d: Dialect, x: str) -> str:
 def options_text(d: Dialect, x: str) -> str:
     """Names of the options after boxes, or else of the choices in words, `|` between them; a follow-up (`If yes, explain`) is
     no part of the last one."""
-    boxed = d.join(options(d, d.sub(d.sub(x, r"\bif (yes|so|no)\b.*$", "", ci=True), r"\|", "/")), "|")
+    boxed = d.join(options(d, d.sub(d.sub(x, r"(\].*)\bif (yes|so|no)\b.*$", "$1", ci=True), r"\|", "/")), "|")
     return f"CASE WHEN {L.has_box(d, x)} THEN {boxed} ELSE {d.join(inline_choices(d, x), '|')} END"

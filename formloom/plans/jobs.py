@@ -27,7 +27,7 @@ def viewed(df: DataFrame) -> str:
     return f"SELECT * FROM {view}"
 
 
-CONVERTED = "doc_id, pos, sub, place, key, title, section, type, input_type, n_options, options, follow_up, html"
+CONVERTED = "doc_id, pos, sub, place, key, title, section, type, input_type, n_options, options, follow_up, html, parent, depth, answer"
 
 
 def convert_texts(spark: SparkSession, texts: DataFrame, out: str, dictionary: str | None = None) -> DataFrame:

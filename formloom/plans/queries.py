@@ -13,7 +13,7 @@ from ..functions import lines as L
 from ..functions import questions as Q
 from ..functions import text as T
 from ..functions.dialect import DUCK, SPARK, Dialect
-from ..operators import catalog, classifier, dictionary, grids, quality, records, reports, splits, validate
+from ..operators import catalog, classifier, dictionary, grids, parser, quality, records, reports, splits, validate
 from ..operators import lines as O
 from ..sources.forms import forms
 from ..streaming import stream
@@ -31,6 +31,11 @@ def form_fields(d: Dialect) -> str:
     return records.fields(d, form_lines(d))
 
 
+def placed_fields(d: Dialect) -> str:
+    """Fields with a place in their document, in its order."""
+    return f"SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos, sub) AS place FROM ({form_fields(d)}) f"
+
+
 def form_converted(d: Dialect) -> str:
     return records.converted(d, form_lines(d))
 
@@ -155,6 +160,9 @@ RULES: dict[str, Make] = {
     "spaced_labels": parts(lambda d: Q.spaced_labels(d, "line")),
     "id_and_ssn": parts(lambda d: Q.id_and_ssn(d, "line")),
     "gathered_options": over(O.gathered_options),
+    "parsed_questions": over(parser.questions),
+    "nested_fields": lambda d: parser.nested(d, placed_fields(d)),
+    "nested_keys": lambda d: parser.tree_keys(d, parser.nested(d, placed_fields(d), carry={"key": "string", "type": "string", "title": "string"}), "title, depth"),
     "prepared_lines": over(O.prepared),
     "grid_tables": form_tables,
     "grid_boxes": over(grids.boxes, form_tables),
@@ -229,7 +237,7 @@ RULES: dict[str, Make] = {
     "subfields_missing": lambda d: reports.subfields_missing(d, form_lines(d), f"SELECT doc_id, title FROM ({form_fields(d)}) f WHERE doc_id % 2 = 0 OR title <> 'Home Phone'"),
     # validation
     "violations": over(validate.violations, form_fields),
-    "structure_violations": lambda d: validate.structure(d, records.records(d, f"SELECT *, pos AS place, '' AS html FROM ({form_fields(d)}) f")),
+    "structure_violations": lambda d: validate.structure(d, records.records(d, f"SELECT *, pos AS place, '' AS html, cast(NULL as bigint) AS parent, '' AS answer FROM ({form_fields(d)}) f")),
     "option_violations": over(validate.option_quality, form_fields),
     "violation_summary": lambda d: validate.summary(d, validate.violations(d, form_fields(d))),
     "general_share": over(validate.general_share, form_fields),
@@ -239,7 +247,7 @@ RULES: dict[str, Make] = {
     "events_in_hour": lambda d: """SELECT p.event_id, count(e.event_id) AS n FROM (SELECT event_id, user_id, ts, h.hour AS hour FROM (SELECT event_id, user_id, ts, date_trunc('hour', ts) AS h0, date_trunc('hour', ts) - INTERVAL 1 HOUR AS h1 FROM events WHERE event_type = 'purchase') q
   CROSS JOIN LATERAL (SELECT q.h0 AS hour UNION ALL SELECT q.h1) h) p LEFT JOIN (SELECT event_id, user_id, ts, date_trunc('hour', ts) AS hour FROM events) e ON p.user_id = e.user_id AND p.hour = e.hour AND e.ts < p.ts AND e.ts >= p.ts - INTERVAL 1 HOUR GROUP BY p.event_id""",
     "last_before": lambda d: f"SELECT event_id, user_id, last_id FROM (SELECT event_id, user_id, event_type, {d.last('CASE WHEN event_type <> ' + d.lit('purchase') + ' THEN event_id END', 'PARTITION BY user_id ORDER BY ts, event_id')} AS last_id FROM events) w WHERE event_type = 'purchase'",
-    "open_orders": lambda d: "SELECT o_custkey, count(*) AS n, max(open) AS most_open FROM (SELECT o_custkey, sum(step) OVER (PARTITION BY o_custkey ORDER BY at, step ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS open FROM (SELECT o_custkey, o_orderdate AS at, 1 AS step FROM orders UNION ALL SELECT o_custkey, o_orderdate + INTERVAL 60 DAY, -1 FROM orders) s) w GROUP BY o_custkey",
+    "open_orders": lambda d: "SELECT o_custkey, count(*) AS n, max(open) AS most_open FROM (SELECT o_custkey, sum(step) OVER (PARTITION BY o_custkey ORDER BY moment, step ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS open FROM (SELECT o_custkey, o_orderdate AS moment, 1 AS step FROM orders UNION ALL SELECT o_custkey, o_orderdate + INTERVAL 60 DAY, -1 FROM orders) s) w GROUP BY o_custkey",
     "event_windows": lambda d: "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY date_trunc('hour', ts), event_type",
 }
 
@@ -256,9 +264,8 @@ def views(spark: SparkSession, sf_dir: str, sql: str = "") -> None:
 
 def run(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        sql = RULES[name](SPARK)
-        views(spark, sf_dir, sql)
-        return spark.sql(sql)
+        views(spark, sf_dir)  # before the rule is rendered, as it may register stages
+        return spark.sql(RULES[name](SPARK))
 
     query.__name__ = name
     return query

@@ -15,6 +15,11 @@ CONDITIONS = (
 )
 
 
+# Options three lines below their prompt, and follow-ups to three levels.
+BELOW = ("Which of these apply to your teeth?", "(check all that apply)", "Please mark clearly", "[ ] Braces", "[ ] Dentures     [ ] Implants")
+NESTED = ("Do you use tobacco? [ ] Yes [ ] No", "If yes, do you want to quit? [ ] Yes [ ] No", "If yes, when would you like to quit: ____", "If no, please explain: ____", "Do you drink? [ ] Yes [ ] No", "If no, please explain: ____")
+
+
 def forms(d: Dialect) -> str:
     """doc_id, text: a form for each customer, with headings, labels, boxes, blanks, consent text, repeats and notices."""
     q = d.lit
@@ -33,6 +38,7 @@ def forms(d: Dialect) -> str:
         q("Patient Signature                    Date"), "CASE WHEN c_custkey % 6 = 0 THEN 'Insurance ID # ____ SSN ____' END", q("AptState"), q("Do you react to any of the following? [ ] Aspirin [ ] Iodine"), q("Local Anesthesia Sulfa Drugs Other [ ] Local Anesthesia [ ] Sulfa Drugs [ ] Other"),
         "CASE WHEN c_custkey % 8 = 1 THEN concat_ws(chr(10), " + ", ".join(map(q, SINGLE)) + ") END", q("Allergies"), q("-----------"),
         "CASE WHEN c_custkey % 5 = 0 THEN concat_ws(chr(10), " + ", ".join(map(q, GRID)) + ") END", "CASE WHEN c_custkey % 7 = 0 THEN concat_ws(chr(10), " + ", ".join(map(q, CONDITIONS)) + ") END",
+        "CASE WHEN c_custkey % 3 = 1 THEN concat_ws(chr(10), " + ", ".join(map(q, BELOW)) + ") END", "CASE WHEN c_custkey % 3 = 2 THEN concat_ws(chr(10), " + ", ".join(map(q, NESTED)) + ") END",
         q("Signature: ________ Date: ________"),
     ]
     return f"SELECT c_custkey AS doc_id, concat_ws(chr(10), {', '.join(lines)}) AS text FROM customer JOIN nation ON c_nationkey = n_nationkey"

@@ -124,7 +124,7 @@ def test_operators_on_lines(spark):
 
 
 def test_records_with_control(spark):
-    source = "SELECT 1 AS doc_id, 1 AS place, 'q' AS key, 'Do you smoke' AS title, 'General' AS section, 'radio' AS type, 'text' AS input_type, 2 AS n_options, 'Yes|It \"depends\"' AS options, 1 AS follow_up, '' AS html"
+    source = "SELECT 1 AS doc_id, 1 AS place, 'q' AS key, 'Do you smoke' AS title, 'General' AS section, 'radio' AS type, 'text' AS input_type, 2 AS n_options, 'Yes|It \"depends\"' AS options, 1 AS follow_up, '' AS html, cast(NULL as bigint) AS parent, '' AS answer"
     rows = sorted(spark.sql(records.records(queries.SPARK, source)).collect(), key=lambda r: r["k"])
     assert json.loads(rows[0]["control"]) == {"options": [{"name": "Yes", "value": True}, {"name": 'It "depends"', "value": "it_depends"}], "multi": False}
     assert (rows[1]["key"], rows[1]["title"], json.loads(rows[1]["condition"])) == ("q_explanation", "Please explain", [{"key": "q", "value": "yes"}])
