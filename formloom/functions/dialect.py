@@ -32,6 +32,10 @@ class Dialect:
             raise ValueError(f"both quotes in {s!r}")
         return f"r{quote}{s}{quote}"
 
+    def code(self, c: str) -> str:
+        """A control character."""
+        return f"{'char' if self.spark else 'chr'}({ord(c)})"
+
     def array(self, items: Sequence[str]) -> str:
         inner = ", ".join(map(self.lit, items))
         return f"array({inner})" if self.spark else f"[{inner}]"
@@ -110,7 +114,7 @@ class Dialect:
         return "(" + " + ".join(f"cast({self.has(x, p, ci)} as int)" for p in patterns) + ")"
 
     def trim(self, x: str) -> str:
-        return self.sub(self.sub(x, r"^[ \t\r\n]+", ""), r"[ \t\r\n]+$", "")
+        return f"btrim({x}, ' \\t\\r\\n')" if self.spark else f"trim({x}, ' ' || chr(9) || chr(13) || chr(10))"
 
     def squeeze(self, x: str) -> str:
         """One blank for each run of white space, none at the ends."""
@@ -151,6 +155,10 @@ class Dialect:
             return f"try_element_at(filter(collect_list(struct({name} AS n, {value} AS v)) {over}, e -> e.n = {wanted}), 1).v"
         return f"list_filter(list({{'n': {name}, 'v': {value}}}) {over}, lambda e: e.n = {wanted})[1].v"
 
+    def place(self, *columns: str) -> str:
+        """Several columns as one value that orders as they do."""
+        return f"struct({', '.join(columns)})" if self.spark else f"row({', '.join(columns)})"
+
     def count_if(self, cond: str) -> str:
         return f"coalesce(sum(CASE WHEN {cond} THEN 1 ELSE 0 END), 0)"
 

@@ -131,6 +131,29 @@ def best_section(d: Dialect, title: str, key: str) -> str:
     return d.let(f"concat(lower({title}), ' ', lower({key}))", "words", best)
 
 
+# Words by which a field of no section gets one, in order of the sections' precedence.
+STRONG_MEDICAL = (
+    "physician", "hospitalized", "surgery", "surgical", "operation", "medication", "medicine", "prescription", "allergy", "allergic", "hiv", "aids", "diabetes", "cancer", "heart", "blood pressure", "hepatitis", "asthma",
+    "arthritis", "alzheimer", "anemia",
+)
+MEDICAL = ("doctor", "hospital", "drug", "pills", "illness", "disease", "condition", "diagnosis", "reaction", "symptom", "discomfort", "health", "care now", "taking any", "have you had", "have you ever")
+DENTAL = ("tooth", "teeth", "gum", "gums", "dental", "dentist", "orthodontic", "orthodontist", "cleaning", "cavity", "cavities", "crown", "filling", "bite", "jaw", "tmj", "smile")
+PATIENT = ("name", "address", "phone", "email", "birth", "dob", "ssn", "social security", "gender", "marital", "employer", "occupation", "contact", "nickname", "preferred name")
+INSURANCE = ("insurance", "policy", "coverage", "carrier", "subscriber", "member id", "group number", "plan", "benefits", "primary insurance", "secondary insurance", "insurance company")
+EMERGENCY = ("emergency contact", "emergency", "notify", "relationship", "emergency phone", "in case of emergency")
+AGREEMENT = ("consent", "acknowledge", "agree", "understand", "authorize", "risks", "complications", "terms", "conditions", "authorization")
+
+
+def told_section(d: Dialect, title: str, key: str) -> str:
+    """The section that a title and key tell by enough of their words; null if they don't."""
+    n = lambda words: d.hits("told", words)
+    rules = [
+        (f"{n(PATIENT)} >= 2", "'Patient Information'"), (f"{n(INSURANCE)} >= 1", "'Insurance'"), (f"{n(EMERGENCY)} >= 1", "'Emergency Contact'"), (f"{n(AGREEMENT)} >= 2 OR ({n(AGREEMENT)} >= 1 AND length({title}) > 100)", "'Consent'"),
+        (f"{d.any_of('told', STRONG_MEDICAL)} AND {n(DENTAL)} = 0", "'Medical History'"), (f"{n(MEDICAL)} >= 2 AND {n(MEDICAL)} > {n(DENTAL)}", "'Medical History'"), (f"{n(DENTAL)} >= 2 AND {n(DENTAL)} > {n(MEDICAL)}", "'Dental History'"),
+    ]
+    return d.let(f"concat(lower({title}), ' ', lower({key}))", "told", d.case(rules, "NULL"))
+
+
 def home_section(d: Dialect, key: str, title: str, section: str) -> str:
     """Insurance and patient fields back in their sections."""
     both = f"concat(lower({key}), ' ', lower({title}))"

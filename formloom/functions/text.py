@@ -10,15 +10,15 @@ from .dialect import Dialect
 LIGATURES = {"ﬁ": "fi", "ﬂ": "fl", "ﬀ": "ff", "ﬃ": "ffi", "ﬄ": "ffl", "ﬆ": "st", "Ꜳ": "AA", "ꜳ": "aa"}
 BOXES = {"☐": "[ ] ", "□": "[ ] ", "■": "[ ] ", "❒": "[ ] ", "◻": "[ ] ", "◽": "[ ] ", "▪": "[ ] ", "✗": "[ ] ", "✘": "[ ] ", "¨": "[ ] ", "☑": "[x] ", "✓": "[x] ", "✔": "[x] ", "•": "• ", "·": "• "}
 LABEL_FIXES = {
-    "ph0ne": "phone", "ema1l": "email", "adress": "address", "b1rthdate": "birthdate", "soc1al": "social", "secur1ty": "security", "pat1ent": "patient", "pat ient": "patient",
+    "ph0ne": "phone", "ema1l": "email", "adress": "address", "b1rthdate": "birthdate", "bir thdate": "birthdate", "soc1al": "social", "secur1ty": "security", "pat1ent": "patient", "pat ient": "patient",
     "insur ance": "insurance", "med1cal": "medical", "h1story": "history", "all ergy": "allergy", "medic ation": "medication", "phys1cian": "physician", "em ergency": "emergency",
-    "c0ntact": "contact", "dent al": "dental", "howdidyouhearaboutus": "how did you hear about us", "dateofbirth": "date of birth", "phonenumber": "phone number", "emailaddress": "email address",
+    "c0ntact": "contact", "nod ental": "no dental", "dent al": "dental", "howdidyouhearaboutus": "how did you hear about us", "hearaboutus": "hear about us", "dateofbirth": "date of birth", "phonenumber": "phone number", "emailaddress": "email address",
 }
 TERM_FIXES = (
     (r"\broot\s+can1l\b", "root canal"), (r"\bfill1ng\b", "filling"), (r"\bextr4ction\b", "extraction"), (r"\bimp1ant\b", "implant"), (r"\bperiodont4l\b", "periodontal"), (r"\bte3th\b", "teeth"),
     (r"\bj4w\b", "jaw"), (r"\bpal4te\b", "palate"), (r"\bcav1ty\b", "cavity"), (r"\btart4r\b", "tartar"), (r"\bbled1ng\b", "bleeding"), (r"\bs3nsitivity\b", "sensitivity"), (r"\bp4in\b", "pain"),
-    (r"\ball3rg[yi]c?\b", "allergic"), (r"\bm3dications?\b", "medications"), (r"\banesthet1c\b", "anesthetic"), (r"\bdiab3tes\b", "diabetes"), (r"\bhypert3nsion\b", "hypertension"),
-    (r"\bph0ne\b", "phone"), (r"\bema1l\b", "email"), (r"\baddr3ss\b", "address"), (r"\bz1pcode\b", "zipcode"), (r"\bs1gnature\b", "signature"), (r"\bcons3nt\b", "consent"),
+    (r"\ball3rg[yi]c?\b", "allergic"), (r"\bm3dicat[i1]ons?\b|\bmedicat1ons?\b", "medications"), (r"\banesthet1c\b", "anesthetic"), (r"\banathesia\b", "anesthesia"), (r"\bdiab3tes\b", "diabetes"), (r"\bhypert3ns[i1]on\b|\bhypertens1on\b", "hypertension"), (r"\bcard1ovasc[a-z]+\b", "cardiovascular"),
+    (r"\bph0ne\b", "phone"), (r"\b3ma[i1]l\b|\bema1l\b", "email"), (r"\baddr3ss\b", "address"), (r"\bz1pcode\b", "zipcode"), (r"\bs1gnature\b", "signature"), (r"\bcons3nt\b", "consent"),
 )
 SPELLING = {"rregular": "Irregular", "hyploglycemia": "Hypoglycemia", "diabates": "Diabetes", "osteoperosis": "Osteoporosis", "artritis": "Arthritis", "rheurnatism": "Rheumatism"}
 SYNONYMS = {"date of birth": "dob", "birth date": "dob", "zip code": "zipcode", "e-mail": "email"}

@@ -3,19 +3,16 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
-from difflib import SequenceMatcher
 from typing import NamedTuple
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from ..functions import fields as D
 from ..functions import questions as Q
+from ..functions import similar as S
 from ..functions import text as T
-from ..functions.dialect import SPARK, Dialect
+from ..functions.dialect import Dialect
 
 #: A small catalogue of templates (key, title, section, options with `|` between) and of aliases (phrase, key), in order.
 TEMPLATES = (
@@ -24,12 +21,23 @@ TEMPLATES = (
     ("gender", "Gender", "Patient Information", "Male|Female"), ("country", "Country", "Patient Information", ""), ("insurance_id_number", "Insurance ID Number", "Insurance", ""), ("insurance_company", "Insurance Company", "Insurance", ""),
     ("taking_medications", "Are you taking any medications", "Medical History", "Yes|No"), ("had_conditions", "Do you have any of the following conditions", "Medical History", "Diabetes|Asthma|Heart Disease|Stroke"), ("signature", "Signature", "Signature", ""), ("date_signed", "Date Signed", "Signature", ""),
 )
+#: What those say of their controls (type, input type, hint, whether several may be chosen, condition as JSON).
+CONTROLS = {
+    "full_name": ("input", "name", "", "", ""), "date_of_birth": ("date", "past", "", "", ""), "mobile_phone": ("input", "phone", "", "", ""), "home_phone": ("input", "phone", "", "", ""), "zipcode": ("input", "zip", "", "", ""),
+    "gender": ("radio", "", "", "false", ""), "insurance_id_number": ("input", "text", "As on your card", "", ""), "taking_medications": ("radio", "", "", "false", ""), "had_conditions": ("dropdown", "", "", "true", ""),
+    "signature": ("block_signature", "", "", "", ""), "date_signed": ("date", "past", "", "", '[{"key":"signature","value":"signed"}]'),
+}
 ALIASES = (
     ("patient name", "full_name"), ("printed name", "full_name"), ("dob", "date_of_birth"), ("birthdate", "date_of_birth"), ("cell phone", "mobile_phone"), ("mobile", "mobile_phone"), ("zip", "zipcode"), ("sex", "gender"),
     ("policy number", "insurance_id_number"), ("member id", "insurance_id_number"), ("subscriber id", "insurance_id_number"), ("primary insurance", "insurance_company"), ("date", "date_signed"), ("signature of guardian", "signature"),
 )
 
 
+#: What a template says of its control: columns of a catalogue, empty where it says nothing.
+CONTROL = ("type", "input_type", "hint", "multi", "condition")
+CHOICES = "('radio', 'checkbox', 'dropdown')"
+
+
 def values(d: Dialect, rows: tuple[tuple[str, ...], ...], names: str) -> str:
     """A small table with the place of each row; its size is that of the source, so it is broadcast."""
     return f"SELECT * FROM (VALUES {', '.join('(' + ', '.join([*map(d.lit, r), str(i)]) + ')' for i, r in enumerate(rows))}) v({names}, ord)"
@@ -44,8 +52,8 @@ class Catalog(NamedTuple):
 
 def templates(d: Dialect, own: Catalog | None = None) -> str:
     """Templates of a catalogue; without one those fixed here."""
-    source = own.templates if own else values(d, TEMPLATES, "key, title, section, options")
-    return f"SELECT key AS t_key, {T.match_text(d, 'title')} AS t_title, section AS t_section, options AS t_options, ord FROM ({source}) t"
+    source = own.templates if own else values(d, tuple((*t, *CONTROLS.get(t[0], ("",) * 5)) for t in TEMPLATES), f"key, title, section, options, {', '.join(CONTROL)}")
+    return f"SELECT key AS t_key, {T.match_text(d, 'title')} AS t_title, section AS t_section, options AS t_options, type AS t_type, input_type AS t_input, hint AS t_hint, multi AS t_multi, condition AS t_if, ord FROM ({source}) t"
 
 
 def aliases(d: Dialect, own: Catalog | None = None) -> str:
@@ -54,12 +62,13 @@ def aliases(d: Dialect, own: Catalog | None = None) -> str:
 
 
 def register(known: DataFrame, phrases: DataFrame, prefix: str | None = None) -> Catalog:
-    """A catalogue of DataFrames: templates (key, title, section, options, ord), aliases (alias, key). The first of equal
+    """A catalogue of DataFrames: templates (key, title, section, options, ord, and what there is of CONTROL), aliases (alias, key). The first of equal
     keys stays. Its views have a name of their own, so several catalogues in a session don't meet."""
     prefix = prefix or f"_catalog_{uuid.uuid4().hex}"
-    once = known.groupBy("key").agg(F.min_by(F.struct("title", "section", "options", "ord"), "ord").alias("t")).select("key", "t.*")
-    text = lambda c, other: F.coalesce(c, F.lit(other)).alias(c)
-    once.select("key", text("title", ""), text("section", "General"), text("options", ""), "ord").createOrReplaceTempView(f"{prefix}_templates")
+    parts = ["title", "section", "options", "ord", *(c for c in CONTROL if c in known.columns)]
+    once = known.groupBy("key").agg(F.min_by(F.struct(*parts), "ord").alias("t")).select("key", "t.*")
+    text = lambda c, other="": (F.coalesce(F.col(c).cast("string"), F.lit(other)) if c in once.columns else F.lit(other)).alias(c)
+    once.select("key", text("title"), text("section", "General"), text("options"), *map(text, CONTROL), "ord").createOrReplaceTempView(f"{prefix}_templates")
     phrases.select(F.col("alias").alias("phrase"), "key", F.lit(0).alias("ord")).filter("phrase IS NOT NULL").createOrReplaceTempView(f"{prefix}_aliases")
     return Catalog(f"SELECT * FROM {prefix}_templates", f"SELECT * FROM {prefix}_aliases")
 
@@ -124,11 +133,8 @@ def cascade(d: Dialect, source: str, own: Catalog | None = None) -> str:
 
 
 def merged(d: Dialect, source: str, own: Catalog | None = None, columns: str = FIELD_COLUMNS) -> str:
-    """Fields overlaid on their templates: title and section stay, the key is the template's, a scope is put back."""
-    scope = d.first("key", "(__(primary|secondary))$", 1)
-    rest = ", ".join(c.strip() for c in columns.split(",") if c.strip() != "key")
-    return f"""SELECT CASE WHEN t_key IS NULL THEN key WHEN {d.contains('t_key', '__')} THEN t_key ELSE concat(t_key, {scope}) END AS key, {rest}, t_key IS NOT NULL AS reused, reason, score
-  FROM ({best(d, source, own, columns)}) b"""
+    """Fields overlaid on the templates that the exact stages give them."""
+    return overlaid(d, best(d, source, own, columns), own, columns)
 
 
 def coverage(d: Dialect, source: str, own: Catalog | None = None) -> str:
@@ -173,56 +179,67 @@ def smart(d: Dialect, source: str, own: Catalog | None = None) -> str:
   SELECT title, section, t_key, ord, cast(round(least(1.0, base + CASE WHEN base > 0 THEN {boost} ELSE 0 END), 4) as double) AS score FROM (SELECT *, {base} AS base FROM ({pairs}) p) b) s WHERE score >= 0.7) r WHERE n = 1"""
 
 
-@F.pandas_udf(DoubleType())
-def ratio(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    """Ratcliff-Obershelp similarity of two texts."""
-    for a, b in pairs:
-        yield pd.Series([SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
-
-
 # Sections where a lower score is enough, and words that count more where both sides have them.
 LENIENT = r"medical|health|patient|insurance|emergency"
 KEYWORDS = ("physician", "hospitalized", "medication", "allergy", "surgery")
 
 
-def fuzzy(fields: DataFrame, own: Catalog | None = None) -> DataFrame:
-    """title, section, options, t_key, score, verdict (`fuzzy`, `near`, `none`) of each distinct title that is near a template.
+def fuzzy(d: Dialect, titles: str, own: Catalog | None = None) -> str:
+    """title, section, options, t_key, t_section, score, verdict (`fuzzy`, `near`, `none`) of each title (title, section,
+    options, norm; distinct) that is near a template.
 
     0.45 Jaccard of tokens and 0.45 Ratcliff-Obershelp decide which template; 0.1 times the overlap of options, the context
     and 0.05 for each keyword on both sides are added. Of templates of over three tokens 0.8 must be covered, else 0.65; a
     score of 0.82, or 0.85 in sections that aren't about the patient, is a match, from 0.75 it is near.
-    Only pairs with enough coverage by shared tokens reach the one Python function, in Arrow batches.
+    Only pairs with enough coverage by shared tokens are compared letter by letter.
+    """
+    near = f"SELECT norm AS n_norm, t_key AS n_key, jaccard, coverage FROM ({coverage(d, f'SELECT title FROM ({titles}) t', own)}) c"
+    enough = f"CASE WHEN {d.size(T.tokens(d, 't_title'))} > 3 THEN 0.8 ELSE 0.65 END"
+    pairs = f"SELECT n_norm, jaccard, t.* FROM ({near}) n JOIN ({templates(d, own)}) t ON n.n_key = t.t_key WHERE coverage >= {enough}"
+    alike = f"SELECT p.*, cast(0.45 as double) * jaccard + cast(0.45 as double) * r.ratio AS alike FROM ({pairs}) p JOIN ({S.ratios(d, f'SELECT n_norm AS a, t_title AS b FROM ({pairs}) q')}) r ON p.n_norm = r.a AND p.t_title = r.b"
+    best_ = f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY n_norm ORDER BY alike DESC, ord, t_key) AS n FROM ({alike}) a) b WHERE n = 1"
+    context = "CASE WHEN coalesce(section, '') = '' THEN 0.0 WHEN section = t_section THEN 0.05 WHEN (section = 'Insurance') <> (t_section = 'Insurance') THEN -0.1 ELSE 0.0 END"
+    boost = " + ".join(f"CASE WHEN {d.contains('norm', k)} AND {d.contains('t_title', k)} THEN 0.05 ELSE 0.0 END" for k in KEYWORDS)
+    score = f"cast(round(alike + cast(0.1 as double) * ({overlap(d, 'options', 't_options')}) + ({context}) + {boost}, 6) as double)"
+    scored = f"SELECT title, section, options, t_key, t_section, {score} AS score FROM ({titles}) t JOIN ({best_}) b ON t.norm = b.n_norm"
+    verdict = d.case([(f"score >= CASE WHEN {d.has('lower(t_section)', LENIENT)} THEN 0.82 ELSE 0.85 END", "'fuzzy'"), ("score >= 0.75", "'near'")], "'none'")
+    return f"SELECT title, section, options, t_key, t_section, score, {verdict} AS verdict FROM ({scored}) s"
+
+
+def unknown(d: Dialect, exact: str) -> str:
+    """The distinct titles of best() that no exact stage knows, for fuzzy()."""
+    return f"SELECT DISTINCT title, section, coalesce(options, '') AS options, norm FROM ({exact}) e WHERE t_key IS NULL AND norm <> '' AND NOT {Q.is_hear_about(d, 'title')}"
+
+
+def match(d: Dialect, exact: str, own: Catalog | None = None, columns: str = FIELD_COLUMNS) -> str:
+    """The whole cascade: the rows of best() (`exact`), and for fields that no stage knows the fuzzy one. One row a field, with
+    t_key, reason, score; reason is `near` where a template almost fits, and null without any."""
+    near = f"SELECT title AS f_title, section AS f_section, options AS f_options, t_key AS f_key, score AS f_score, verdict FROM ({fuzzy(d, unknown(d, exact), own)}) f WHERE verdict <> 'none'"
+    own_ = ", ".join(f"e.{c.strip()}" for c in columns.split(","))
+    return f"""SELECT {own_}, e.norm, coalesce(e.t_key, CASE WHEN verdict = 'fuzzy' THEN f_key END) AS t_key, coalesce(e.reason, verdict) AS reason, coalesce(e.score, f_score) AS score
+  FROM ({exact}) e LEFT JOIN ({near}) f ON e.t_key IS NULL AND e.title = f.f_title AND e.section = f.f_section AND coalesce(e.options, '') = f.f_options"""
+
+
+def overlaid(d: Dialect, matched: str, own: Catalog | None = None, columns: str = FIELD_COLUMNS) -> str:
+    """Matched fields laid over their templates: a template's key, type and control, part by part, with the field's title and
+    section; what the template leaves open is the field's. A scope of the key is put back. Further columns: reused, reason,
+    score, hint, multi, needs (the template's condition, as JSON).
+
+    Options are the template's if it has any; the field's, if the template's type or, without one, the field's takes options.
     """
-    spark, view = fields.sparkSession, f"_fuzzy_{uuid.uuid4().hex}"
-    fields.select("title", "section", F.coalesce("options", F.lit("")).alias("options")).distinct().createOrReplaceTempView(view)
-    near = spark.sql(coverage(SPARK, f"SELECT title FROM {view}", own))
-    known = spark.sql(templates(SPARK, own))
-    pairs = near.join(known, "t_key").filter(F.col("coverage") >= F.when(F.size(F.expr(T.tokens(SPARK, "t_title"))) > 3, 0.8).otherwise(0.65))
-    pairs = pairs.withColumn("alike", 0.45 * F.col("jaccard") + 0.45 * ratio("norm", "t_title"))
-    best_ = pairs.groupBy("norm").agg(F.max_by(F.struct("t_key", "t_title", "t_section", "t_options", "alike"), F.struct("alike", -F.col("ord"))).alias("b")).select("norm", "b.*")
-    titles = spark.table(view).withColumn("norm", F.expr(T.match_text(SPARK, "title")))
-    both = titles.join(best_, "norm")
-    same = F.col("section") == F.col("t_section")
-    context = F.when(F.coalesce("section", F.lit("")) == "", 0.0).when(same, 0.05).when((F.col("section") == "Insurance") != (F.col("t_section") == "Insurance"), -0.1).otherwise(0.0)
-    boost = sum((F.when(F.col("norm").contains(k) & F.col("t_title").contains(k), 0.05).otherwise(0.0) for k in KEYWORDS), F.lit(0.0))
-    score = F.round(F.col("alike") + 0.1 * F.expr(overlap(SPARK, "options", "t_options")) + context + boost, 6)
-    enough = F.when(F.lower("t_section").rlike(LENIENT), 0.82).otherwise(0.85)
-    verdict = F.when(F.col("score") >= enough, "fuzzy").when(F.col("score") >= 0.75, "near").otherwise("none")
-    return both.withColumn("score", score).select("title", "section", "options", "t_key", "score", verdict.alias("verdict"))
-
-
-def match(fields: DataFrame, own: Catalog | None = None) -> DataFrame:
-    """The whole cascade: best(), and for fields that no stage knows the fuzzy one. One row a field: doc_id, pos, sub, key,
-    title, section, t_key, reason, score; reason is `near` where a template almost fits, and null without any."""
-    spark, view = fields.sparkSession, f"_match_{uuid.uuid4().hex}"
-    fields.select(*(c.strip() for c in FIELD_COLUMNS.split(","))).createOrReplaceTempView(view)
-    exact = spark.sql(best(SPARK, f"SELECT * FROM {view}", own))
-    left = exact.filter("t_key is null").filter(f"NOT {Q.is_hear_about(SPARK, 'title')}")
-    near = fuzzy(left, own).filter("verdict <> 'none'").select(*(F.col(c).alias(f"f_{c}") for c in ("title", "section", "options", "t_key", "score")), "verdict")
-    on = (F.col("title") == F.col("f_title")) & F.col("section").eqNullSafe(F.col("f_section")) & (F.coalesce("options", F.lit("")) == F.col("f_options")) & F.col("t_key").isNull()
-    key = F.coalesce("t_key", F.when(F.col("verdict") == "fuzzy", F.col("f_t_key")))
-    out = exact.join(near, on, "left")
-    return out.select("doc_id", "pos", "sub", "key", "title", "section", key.alias("t_key"), F.coalesce("reason", "verdict").alias("reason"), F.coalesce("score", "f_score").alias("score"))
+    names = [c.strip() for c in columns.split(",")]
+    typed = "coalesce(t_type, '') <> ''"
+    kind = f"CASE WHEN {typed} THEN t_type ELSE type END" if "type" in names else "coalesce(t_type, '')"
+    options = f"CASE WHEN {typed} AND t_type NOT IN {CHOICES} THEN '' WHEN coalesce(t_options, '') <> '' THEN t_options ELSE options END"
+    made = {
+        "key": f"CASE WHEN t_key IS NULL THEN key WHEN {d.contains('t_key', '__')} THEN t_key ELSE concat(t_key, {d.first('key', '(__(primary|secondary))$', 1)}) END",
+        "section": "CASE WHEN coalesce(section, '') = '' THEN coalesce(k_section, section) ELSE section END", "type": kind, "options": options,
+        "n_options": f"CASE WHEN {options} = '' THEN 0 ELSE {d.count(options, '[|]')} + 1 END", "input_type": f"CASE WHEN NOT ({typed}) THEN input_type WHEN t_type = 'input' THEN coalesce(nullif(t_input, ''), input_type, 'text') END",
+    }
+    known = f"SELECT t_key AS k_key, t_section AS k_section, t_options, t_type, t_input, t_hint, t_multi, t_if FROM ({templates(d, own)}) t"
+    shown = ", ".join(f"{made.get(c, c)} AS {c}" if c in made else c for c in names)
+    return f"""SELECT {shown}, t_key IS NOT NULL AS reused, reason, score, coalesce(t_hint, '') AS hint, coalesce(t_multi, '') AS multi, coalesce(t_if, '') AS needs
+  FROM ({matched}) m LEFT JOIN ({known}) k ON m.t_key = k.k_key"""
 
 
 def match_log(d: Dialect, source: str, own: Catalog | None = None) -> str:

@@ -11,7 +11,7 @@ TYPES = ("input", "radio", "checkbox", "dropdown", "date", "states", "block_sign
 INPUT_TYPES = ("text", "email", "phone", "ssn", "name", "date", "past", "future", "zip")
 #: Aliases (phrase, key) that an expansion adds where they are missing.
 NEW_ALIASES = (
-    ("are_you_under_a_physicians_care_now", "under_care"), ("are_you_under_physician_care", "under_care"), ("under_doctors_care", "under_care"), ("have_you_ever_been_hospitalized", "hospitalized"), ("have_you_had_surgery", "hospitalized"),
+    ("are_you_under_a_physicians_care_now", "1.under_care"), ("are_you_under_physician_care", "1.under_care"), ("under_doctors_care", "1.under_care"), ("have_you_ever_been_hospitalized", "hospitalized"), ("have_you_had_surgery", "hospitalized"),
     ("have_you_ever_had_major_surgery", "hospitalized"), ("are_you_taking_any_medications", "taking_medication"), ("taking_any_medicine", "taking_medication"), ("current_medications", "taking_medication"), ("do_you_have_allergies", "allergies"),
     ("allergic_to_any_medications", "allergies"), ("medical_conditions", "medical_conditions"), ("medical_history", "medical_conditions"), ("health_conditions", "medical_conditions"),
 )
@@ -28,14 +28,17 @@ def from_parts(d: Dialect) -> str:
 
 def violations(d: Dialect, source: str) -> str:
     """category, idx, key, rule, severity: fields without key or type, unusual types, bad controls and options, versions that
-    aren't three numbers, and conditions on keys that no field has, by an anti join."""
+    aren't three numbers, and conditions on keys that no field has. The source is read once: each field is a row as the owner of its key and one as the
+    asker of its condition's, and those of one key meet in a window."""
     names = d.split("options", r"\|")
     rules = [
         ("key_missing", "error", "key IS NULL"), ("type_missing", "error", "key IS NOT NULL AND type IS NULL"), ("type_unusual", "warning", f"key IS NOT NULL AND type NOT IN ({', '.join(map(d.lit, TYPES))})"),
         ("input_type_unusual", "warning", f"key IS NOT NULL AND input_type NOT IN ({', '.join(map(d.lit, INPUT_TYPES))})"), ("option_name_missing", "error", f"key IS NOT NULL AND type IN ('radio', 'checkbox', 'dropdown') AND options <> '' AND {d.size(d.filter(names, 'o', chr(111) + ' = ' + d.lit('')))} > 0"),
         ("version_form", "warning", f"NOT {d.has('version', '^[0-9]+[.][0-9]+[.][0-9]+$')}"), ("if_unknown", "warning", "key IS NOT NULL AND if_key IS NOT NULL AND known IS NULL"),
     ]
-    checked = f"SELECT s.*, k.known FROM ({source}) s LEFT JOIN (SELECT DISTINCT key AS known FROM ({source}) x WHERE key IS NOT NULL) k ON s.if_key = k.known"
+    both = "array(key, if_key)" if d.spark else "[key, if_key]"
+    roles = d.exploded(f"({source}) s", both, "category, idx, key, type, input_type, options, if_key, version", "named", pos="part")
+    checked = f"SELECT * FROM (SELECT *, max(CASE WHEN part = 0 AND named IS NOT NULL THEN 1 END) OVER (PARTITION BY named) AS known FROM ({roles}) r) k WHERE part = 1"
     return validate.as_rows(d, checked, rules, "category, idx")
 
 

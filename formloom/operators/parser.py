@@ -109,3 +109,32 @@ def tree_keys(d: Dialect, source: str, columns: str = "") -> str:
     more = f", {columns}" if columns else ""
     once = f"SELECT doc_id, place, path, type AS kind_, numbered AS made{more}, CASE WHEN numbered = key THEN 0 ELSE 1 END AS new FROM ({number('key', source, '')}) a"
     return f"SELECT doc_id, place, numbered AS key{more} FROM ({number('made', once, 'new, ', 'kind_')}) b"
+
+
+# What the lines of a signature block hold.
+SIGNS, NAMES, DATES, WITNESSES, GUARDIANS = r"\bsignature\b|\bsigned\b|\bsign +here\b", r"\b(print(ed)?|full|patient('s)?|legal) +name\b|\bname +\(?print", r"\bdate\b", r"\bwitness\b", r"\b(guardian|parent|responsible +party)\b"
+
+
+def signature_blocks(d: Dialect, source: str, within: int = 3) -> str:
+    """doc_id, pos, last_pos, n_lines, has_name, has_witness, variant: blocks of lines with a signature and a date, in any
+    order, each at most `within` lines after the one before it that has a part of a block.
+
+    One pass with the open block's parts as its state. A line of over 12 words is prose, which has no part. A block without
+    a signature or a date isn't one: `Date of Birth: ____` alone, or a signature alone.
+    """
+    prose = f"{d.words('line')} > 12"
+    part = lambda p, but="false": f"CASE WHEN NOT ({prose}) AND {d.has('line', p, ci=True)} AND NOT ({but}) THEN 1 ELSE 0 END"
+    seen = f"""SELECT doc_id, pos, {part(SIGNS)} AS sign, {part(NAMES)} AS name, {part(DATES, d.has('line', r'date +of +birth|birth *date', ci=True))} AS dated, {part(WITNESSES)} AS witness,
+  {part(GUARDIANS)} AS guardian FROM ({source}) l"""
+    parts = ("sign", "name", "dated", "witness", "guardian")
+    any_ = "(x.sign + x.name + x.dated + x.witness > 0)"
+    near = f"(s.at <> {NOWHERE} AND x.pos - s.upto <= {within})"
+    state = {
+        "at": ("bigint", NOWHERE, f"CASE WHEN {near} THEN s.at WHEN {any_} THEN x.pos ELSE {NOWHERE} END"), "upto": ("bigint", NOWHERE, f"CASE WHEN {any_} THEN x.pos WHEN {near} THEN s.upto ELSE {NOWHERE} END"),
+        **{p: ("int", "0", f"CASE WHEN {near} THEN greatest(s.{p}, x.{p}) WHEN {any_} THEN x.{p} ELSE 0 END") for p in parts},
+    }
+    row = {"pos": "s.at", "last_pos": "s.upto", "n_lines": "s.upto - s.at + 1", "has_name": "s.name = 1", "has_witness": "s.witness = 1", "variant": "CASE WHEN s.guardian = 1 THEN 'adult_with_guardian_details' ELSE 'adult_no_guardian_details' END"}
+    out = {"pos": "bigint", "last_pos": "bigint", "n_lines": "bigint", "has_name": "boolean", "has_witness": "boolean", "variant": "string"}
+    columns = {"pos": "bigint"} | dict.fromkeys(parts, "int")
+    end = {"pos": AFTER} | dict.fromkeys(parts, "0")
+    return d.fold(seen, ["pos"], columns, state, out, [(f"s.at <> {NOWHERE} AND NOT {near} AND s.sign = 1 AND s.dated = 1", row)], end)

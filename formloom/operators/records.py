@@ -14,6 +14,8 @@ from . import splits as S
 
 #: What a field carries through the fold that nests it, with types.
 CARRIED = {"pos": "bigint", "sub": "bigint", "key": "string", "title": "string", "section": "string", "type": "string", "input_type": "string", "n_options": "int", "options": "string", "follow_up": "int", "html": "string"}
+#: Columns of converted().
+CONVERTED = "doc_id, pos, sub, place, key, title, section, type, input_type, n_options, options, follow_up, html, parent, depth, answer"
 COLUMNS = "doc_id, pos, sub, key, title, section, type, input_type, n_options, options, follow_up"
 
 
@@ -64,7 +66,7 @@ def islands(d: Dialect, source: str, member: str, title: str, least: int = 1) ->
     CASE WHEN is_in AND count(*) > {least} THEN 'terms' ELSE min(type) END AS type, concat('<p>', {d.ordered_join("title", "place", "</p><p>")}, '</p>') AS html FROM (
     SELECT *, sum(starts) OVER (PARTITION BY doc_id ORDER BY place) AS island FROM (
       SELECT *, CASE WHEN is_in AND lag(is_in) OVER (PARTITION BY doc_id ORDER BY place) THEN 0 ELSE 1 END AS starts FROM (
-        SELECT doc_id, pos, pos * 1000 + sub AS place, title, type, {member} AS is_in FROM ({source}) f) a) b) c GROUP BY doc_id, island, is_in"""
+        SELECT doc_id, pos, {d.place("pos", "sub")} AS place, title, type, {member} AS is_in FROM ({source}) f) a) b) c GROUP BY doc_id, island, is_in"""
 
 
 def consent_islands(d: Dialect, source: str) -> str:
@@ -88,6 +90,68 @@ def inferred_sections(d: Dialect, source: str) -> str:
   SELECT *, CASE WHEN section IN ('General', 'Signature') THEN {best} END AS best FROM ({source}) f) b"""
 
 
+#: Weights of the fields before and after, by distance; the one before counts a little more.
+BEFORE, BEHIND = (13, 7, 5), (12, 6, 4)
+
+
+def voted_sections(d: Dialect, source: str, columns: str = COLUMNS) -> str:
+    """Fields of no section (General) with the one that their words tell, else that of most votes of their neighbours.
+
+    Neighbours vote if their own section is known, by headings or words, up to three fields before and behind, nearer ones
+    more; never across a change point, where the heading's section changes. The fields of other sections stay.
+    """
+    over = "OVER (PARTITION BY doc_id ORDER BY pos, sub)"
+    own = f"CASE WHEN section <> 'General' THEN section ELSE coalesce({D.told_section(d, 'title', 'key')}, {D.best_section(d, 'title', 'key')}) END"
+    changes = f"SELECT *, CASE WHEN section <> lag(section) {over} THEN 1 ELSE 0 END AS changed FROM (SELECT *, {own} AS known FROM ({source}) f) k"
+    parted = f"SELECT *, sum(changed) {over} AS part FROM ({changes}) c"
+    near = [(f"{way}{i + 1}", w[i], f"{fn}(known, {i + 1}) {over}", f"{fn}(part, {i + 1}) {over}") for way, fn, w in (("b", "lag", BEFORE), ("a", "lead", BEHIND)) for i in range(3)]
+    seen = f"SELECT *, {', '.join(f'{k} AS {n}, {p} AS {n}_part' for n, _, k, p in near)} FROM ({parted}) p"
+    votes = {s: "(" + " + ".join(f"CASE WHEN {n} = {d.lit(s)} AND {n}_part = part THEN {w} ELSE 0 END" for n, w, _, _ in near) + ")" for s in D.SECTION_WORDS}
+    most = f"greatest({', '.join(f'v_{i}' for i in range(len(votes)))})"
+    counted = f"SELECT *, {', '.join(f'{v} AS v_{i}' for i, v in enumerate(votes.values()))} FROM ({seen}) s"
+    chosen = d.case([(f"{most} = 0", "'General'"), *((f"v_{i} = {most}", d.lit(s)) for i, s in enumerate(votes))], "'General'")
+    rest = ", ".join(c.strip() for c in columns.split(",") if c.strip() != "section")
+    return f"SELECT {rest}, coalesce(known, {chosen}) AS section FROM ({counted}) v"
+
+
+# Words of conditions that run together in the title of a broken grid, and what a whole question says.
+RUN_WORDS = (
+    "therapy", "disease", "disorder", "condition", "illness", "syndrome", "pain", "fever", "bleeding", "valve", "joint", "respiratory", "cardiovascular", "hematologic", "psychiatric", "gastrointestinal", "arthritis",
+    "diabetes", "asthma", "seizure", "allergy", "nursing", "teeth", "grinding", "clenching", "sucking", "biting", "chewing", "discolored", "worn", "crooked", "spaces", "overbite", "sensitivity", "anesthesia", "sulfa", "drugs",
+)
+ASKING = r"\b(please|mark|any|conditions|apply|do you|have you)\b"
+
+
+def is_broken_grid(d: Dialect) -> str:
+    """A drop-down of a history whose title is a run of its options' names: four capitalised words or four words of
+    conditions, and nothing that asks."""
+    run = f"{d.count('title', '(^| )[A-Z][^ ]{2,}')} >= 4 OR {d.hits('lower(title)', RUN_WORDS)} >= 4"
+    return f"(section IN ('Medical History', 'Dental History') AND type = 'dropdown' AND n_options >= 2 AND NOT {d.has('lower(title)', ASKING)} AND ({run}))"
+
+
+def consolidated(d: Dialect, source: str, columns: str = COLUMNS) -> str:
+    """Fields that are parts of one question as that question, at the first one's place, with all their options once: how one
+    heard of the practice; the broken grids of a section, two or more with five options or more; the condition fields of a
+    section (see merged_conditions). Other fields stay; all is one pass with windows within a document."""
+    single = f"type IN ('checkbox', 'radio', 'input', 'dropdown') AND n_options <= 1 AND {Q.is_condition(d, 'title')}"
+    history = "section IN ('Medical History', 'Dental History', 'General', 'Allergies')"
+    listed = f"n_options >= 5 AND {d.size(d.filter(d.split('options', r'[|]'), 'o', Q.is_condition(d, 'o')))} >= 3"
+    kind = d.case([(Q.is_hear_about(d, "title"), "'hear'"), (is_broken_grid(d), "'broken'"), (f"{history} AND ({L.is_option_dump(d, 'title')} OR ({listed}))", "'grid'"), (f"{history} AND ({single})", "'single'")], "NULL")
+    classed = f"SELECT *, CASE WHEN part_kind IN ('grid', 'single') THEN concat('conditions|', section) WHEN part_kind = 'broken' THEN concat('broken|', section) ELSE part_kind END AS whole FROM (SELECT *, {kind} AS part_kind FROM ({source}) f) k"
+    over = "OVER (PARTITION BY doc_id, whole)"
+    options = all_options(d, over, "CASE WHEN part_kind = 'single' THEN title WHEN part_kind IS NOT NULL THEN options END")
+    count = lambda c: f"sum(CASE WHEN {c} THEN 1 ELSE 0 END) {over}"
+    counts = ", ".join(f"{count(d.lit(k) + ' = part_kind')} AS {n}" for n, k in (("n_grids", "grid"), ("n_singles", "single")))
+    gathered = f"SELECT *, {options} AS all_options, count(*) {over} AS n_parts, {counts}, row_number() OVER (PARTITION BY doc_id, whole ORDER BY pos, sub) AS nth FROM ({classed}) c"
+    n_all = f"({d.count('all_options', '[|]')} + 1)"
+    joins = f"(whole IS NOT NULL AND n_parts > 1 AND CASE WHEN part_kind = 'hear' THEN true WHEN part_kind = 'broken' THEN {n_all} >= 5 ELSE n_grids >= 1 OR n_singles >= 5 END)"
+    title = "CASE WHEN part_kind = 'hear' THEN title WHEN section IN ('Medical History', 'Dental History') THEN concat(section, ' - Please mark any conditions that apply') ELSE concat(section, ' - Please mark any that apply') END"
+    keys = d.case([("part_kind = 'hear'", "key"), ("part_kind <> 'broken'", "'medical_conditions'"), ("section = 'Dental History'", "'dental_conditions_consolidated'")], "'medical_conditions_consolidated'")
+    made = {"key": keys, "title": title, "type": "CASE WHEN part_kind = 'hear' THEN type ELSE 'dropdown' END", "options": "all_options", "n_options": n_all}
+    shown = ", ".join(f"CASE WHEN joined THEN {made[c]} ELSE {c} END AS {c}" if c in made else c for c in (x.strip() for x in columns.split(",")))
+    return f"SELECT {shown} FROM (SELECT *, {joins} AS joined FROM ({gathered}) g) j WHERE NOT joined OR nth = 1"
+
+
 def unique_titles(d: Dialect, source: str) -> str:
     """Generic follow-up titles take the title before; equal titles of a section are numbered."""
     asked = f"CASE WHEN {d.has('lower(title)', '^(if yes|please explain|explain|comments|details|other)')} AND before IS NOT NULL THEN concat(before, ' - ', title) ELSE title END"
@@ -108,11 +172,11 @@ def one_signature(d: Dialect, source: str) -> str:
     return f"{first} UNION ALL {missing}"
 
 
-def all_options(d: Dialect, over: str) -> str:
+def all_options(d: Dialect, over: str, options: str = "options") -> str:
     """Options of several rows as one text, each once, in order. over: the aggregate's rows, or a window's."""
     if d.spark:
-        return f"array_join(filter(array_sort(array_distinct(split(array_join(collect_list(options) {over}, '|'), '[|]'))), o -> o <> ''), '|')"
-    return f"array_to_string(list_filter(list_sort(list_distinct(string_split(coalesce(string_agg(options, '|') {over}, ''), '|'))), lambda o: o <> ''), '|')"
+        return f"array_join(filter(array_sort(array_distinct(split(array_join(collect_list({options}) {over}, '|'), '[|]'))), o -> o <> ''), '|')"
+    return f"array_to_string(list_filter(list_sort(list_distinct(string_split(coalesce(string_agg({options}, '|') {over}, ''), '|'))), lambda o: o <> ''), '|')"
 
 
 def merged_options(d: Dialect, source: str) -> str:
@@ -129,18 +193,34 @@ def merged_conditions(d: Dialect, source: str) -> str:
   GROUP BY doc_id, section HAVING {d.count_if("kind = 'grid'")} >= 1 OR {d.count_if("kind = 'single'")} >= 5"""
 
 
+def continues(d: Dialect) -> str:
+    """Whether a title is made of its own options' names and the title `before` asks for a selection."""
+    own = d.filter(d.split("options", r"[|]"), "o", "o <> '' AND contains(title, o)")
+    asks = d.any_of("lower(before)", ("allergic", "any of the following", "select", "choose", "check", "mark"))
+    return f"{d.count('title', '(^| )[A-Z]')} >= 3 AND NOT {d.contains('title', '?')} AND type IN ('dropdown', 'radio', 'checkbox') AND {d.size(own)} >= 2 AND {asks}"
+
+
 def continued_options(d: Dialect, source: str) -> str:
     """A row whose title is made of its option names goes into the selection question before it, with its options."""
-    own = d.filter(d.split("options", r"[|]"), "o", "o <> '' AND contains(title, o)" if d.spark else "o <> '' AND contains(title, o)")
-    dumps = f"{d.count('title', '(^| )[A-Z]')} >= 3 AND NOT {d.contains('title', '?')} AND type IN ('dropdown', 'radio', 'checkbox') AND {d.size(own)} >= 2"
-    asks = lambda x: d.any_of(f"lower({x})", ("allergic", "any of the following", "select", "choose", "check", "mark"))
     order = "OVER (PARTITION BY doc_id, section ORDER BY pos, sub)"
-    return f"""SELECT doc_id, min(pos) AS pos, {d.ordered_join("CASE WHEN joins THEN NULL ELSE title END", "pos * 100 + sub", "")} AS title, count(*) AS n_merged, {all_options(d, "")} AS options FROM (
+    return f"""SELECT doc_id, min(pos) AS pos, {d.ordered_join("CASE WHEN joins THEN NULL ELSE title END", d.place("pos", "sub"), "")} AS title, count(*) AS n_merged, {all_options(d, "")} AS options FROM (
     SELECT *, sum(CASE WHEN joins THEN 0 ELSE 1 END) {order} AS island FROM (
-      SELECT *, coalesce({dumps} AND {asks("before")} AND before_options > 0, false) AS joins FROM (SELECT *, lag(title) {order} AS before, lag(n_options) {order} AS before_options FROM ({source}) f) b) j) i
+      SELECT *, coalesce({continues(d)} AND before_options > 0, false) AS joins FROM (SELECT *, lag(title) {order} AS before, lag(n_options) {order} AS before_options FROM ({source}) f) b) j) i
   GROUP BY doc_id, section, island HAVING count(*) > 1"""
 
 
+def joined_continuations(d: Dialect, source: str, columns: str = COLUMNS) -> str:
+    """All fields, those of continued_options() in the question before them."""
+    order = "OVER (PARTITION BY doc_id, section ORDER BY pos, sub)"
+    marked = f"SELECT *, coalesce({continues(d)} AND before_options > 0, false) AS joins FROM (SELECT *, lag(title) {order} AS before, lag(n_options) {order} AS before_options FROM ({source}) f) b"
+    island = f"SELECT *, sum(CASE WHEN joins THEN 0 ELSE 1 END) {order} AS island FROM ({marked}) j"
+    over = "OVER (PARTITION BY doc_id, section, island)"
+    sized = f"SELECT *, count(*) {over} AS n_rows, {all_options(d, over)} AS all_options FROM ({island}) i"
+    made = {"options": "all_options", "n_options": f"{d.count('all_options', '[|]')} + 1"}
+    shown = ", ".join(f"CASE WHEN n_rows > 1 THEN {made[c]} ELSE {c} END AS {c}" if c in made else c for c in (x.strip() for x in columns.split(",")))
+    return f"SELECT {shown} FROM ({sized}) s WHERE NOT joins"
+
+
 def final_types(d: Dialect, source: str) -> str:
     """Fields with options are radio or checkbox in the end; signatures, terms and dates stay."""
     return f"""SELECT doc_id, pos, sub, key, CASE WHEN type IN ('block_signature', 'terms', 'date') OR n_options = 0 THEN type ELSE {D.radio_or_checkbox(d, 'title', 'n_options', 'false')} END AS type FROM ({source}) f"""
@@ -158,13 +238,14 @@ def converted(d: Dialect, source: str) -> str:
     grid = f"SELECT doc_id, head_pos AS pos, 100 + col AS sub, key, title, coalesce({D.best_section(d, 'title', 'key')}, 'Medical History') AS section, 'checkbox' AS type, 'text' AS input_type, cast(n_options as int) AS n_options, options, 0 AS follow_up FROM ({G.questions(d, G.table_lines(d, source))}) g"
     raw = f"{fields(d, O.prepared(d, source))} UNION ALL {grid}"
     kept = f"SELECT * FROM ({raw}) f WHERE NOT {L.is_junk(d, 'key', 'title')} AND NOT {D.excluded(d, 'title')} AND NOT {D.is_document_title(d, 'title', 'type')}"
+    kept = d.stage(consolidated(d, d.stage(voted_sections(d, d.stage(joined_continuations(d, d.stage(kept)))))))
     homed = f"SELECT doc_id, pos, sub, key, {D.clean_overflow(d, 'title')} AS title, {D.home_section(d, 'key', 'title', 'section')} AS section, type, input_type, n_options, options, follow_up FROM ({kept}) k"
     order = "OVER (PARTITION BY doc_id ORDER BY pos, sub)"
     is_in = f"(type = 'terms' OR {L.is_consent_paragraph(d, 'title')} OR {L.is_procedure_text(d, 'title')} OR {L.is_risk_item(d, 'title')})"
     marked = f"SELECT *, {is_in} AS is_in FROM ({semantic_duplicates(d, d.stage(homed))}) h"
     runs = f"SELECT *, sum(CASE WHEN is_in AND was_in THEN 0 ELSE 1 END) {order} AS island FROM (SELECT *, coalesce(lag(is_in) {order}, false) AS was_in FROM ({marked}) m) w"
     in_run = "OVER (PARTITION BY doc_id, island ORDER BY pos, sub)"
-    text = d.ordered_join("title", "pos * 1000 + sub", "</p><p>", over="OVER (PARTITION BY doc_id, island)")
+    text = d.ordered_join("title", d.place("pos", "sub"), "</p><p>", over="OVER (PARTITION BY doc_id, island)")
     sized = f"SELECT *, row_number() {in_run} AS run_place, count(*) OVER (PARTITION BY doc_id, island) AS run_size, {text} AS run_text FROM ({runs}) r"
     terms = "(is_in AND run_size > 1)"
     final = f"CASE WHEN {terms} THEN 'terms' WHEN type IN ('block_signature', 'terms', 'date') OR n_options = 0 THEN type ELSE {D.radio_or_checkbox(d, 'title', 'n_options', 'false')} END"
@@ -184,24 +265,24 @@ def quoted(d: Dialect, x: str) -> str:
 
 def records(d: Dialect, source: str) -> str:
     """Output records of converted fields: with the type's control as JSON (input type; options with values and whether
-    several may be chosen; text of terms), asked `if` the question above it is answered so, and a second row for each
+    several may be chosen; text of terms; hints and conditions as a template has them), asked `if` the question above it is answered so, and a second row for each
     follow-up in a question's own line."""
     value = lambda o: f"CASE WHEN lower({o}) IN ('yes', 'no') THEN {D.option_value(d, o)} ELSE {quoted(d, D.option_value(d, o))} END"
     one = lambda o: f"""concat('{{"name":', {quoted(d, o)}, ',"value":', {value(o)}, '}}')"""
     listed = f"concat('[', {d.join(d.map(d.filter(d.split('options', r'[|]'), 'o', chr(111) + ' <> ' + d.lit('')), 'o', one('o')), ',')}, ']')"
-    multi = f"CASE WHEN type = 'checkbox' OR {D.is_multi(d, 'title', 'n_options')} THEN 'true' ELSE 'false' END"
+    multi = f"CASE WHEN multi <> '' THEN multi WHEN type = 'checkbox' OR {D.is_multi(d, 'title', 'n_options')} THEN 'true' ELSE 'false' END"
     control = d.case(
         [
-            ("k = 1", """'{"input_type":"text","hint":"Please provide details"}'"""), ("type IN ('radio', 'checkbox', 'dropdown')", f"""concat('{{"options":', {listed}, ',"multi":', {multi}, '}}')"""),
+            ("k = 1", """'{"input_type":"text","hint":"Please provide details"}'"""), ("type = 'input' AND hint <> ''", f"""concat('{{"input_type":"', coalesce(input_type, 'text'), '","hint":', {quoted(d, 'hint')}, '}}')"""), ("type IN ('radio', 'checkbox', 'dropdown')", f"""concat('{{"options":', {listed}, ',"multi":', {multi}, '}}')"""),
             ("type = 'terms'", f"""concat('{{"agree_text":"I have read and agree to the terms.","html_text":', {quoted(d, 'html')}, '}}')"""), ("type = 'date'", f"""concat('{{"input_type":"', {D.date_type(d, 'title')}, '"}}')"""),
             ("type = 'input'", """concat('{"input_type":"', coalesce(input_type, 'text'), '"}')"""),
         ], "'{}'",
     )
     copies = "sequence(0, follow_up)" if d.spark else "range(follow_up + 1)"
     named = f"SELECT *, {d.lookup('place', 'key', 'parent', 'OVER (PARTITION BY doc_id)')} AS parent_key FROM ({source}) n"
-    rows = d.exploded(f"({named}) c", copies, "doc_id, place, key, title, section, type, input_type, n_options, options, html, parent_key, answer", "again", pos="k")
+    rows = d.exploded(f"({named}) c", copies, "doc_id, place, key, title, section, type, input_type, n_options, options, html, parent_key, answer, hint, multi, needs", "again", pos="k")
     return f"""SELECT doc_id, place, k, CASE WHEN k = 1 THEN concat(key, '_explanation') ELSE key END AS key, CASE WHEN k = 1 THEN 'Please explain' ELSE title END AS title, section, CASE WHEN k = 1 THEN 'input' ELSE type END AS type,
-  {control} AS control, CASE WHEN k = 1 THEN concat('[{{"key":', {quoted(d, "key")}, ',"value":"yes"}}]') WHEN parent_key IS NOT NULL THEN concat('[{{"key":', {quoted(d, "parent_key")}, ',"value":"', answer, '"}}]') END AS condition FROM ({rows}) r"""
+  {control} AS control, CASE WHEN k = 1 THEN concat('[{{"key":', {quoted(d, "key")}, ',"value":"yes"}}]') WHEN parent_key IS NOT NULL THEN concat('[{{"key":', {quoted(d, "parent_key")}, ',"value":"', answer, '"}}]') WHEN needs <> '' THEN needs END AS condition FROM ({rows}) r"""
 
 
 def section_matrix(d: Dialect, source: str) -> str:

@@ -93,7 +93,7 @@ def missing_patterns(d: Dialect, lines: str, fields: str) -> str:
 
 def detailed(d: Dialect, merged: str) -> str:
     """Per document: fields, matched ones, the rate, and the titles of those that weren't, in order."""
-    titles = d.ordered_join("CASE WHEN NOT reused THEN title END", "pos * 1000 + sub", "; ")
+    titles = d.ordered_join("CASE WHEN NOT reused THEN title END", d.place("pos", "sub"), "; ")
     return f"SELECT doc_id, count(*) AS n, cast({d.count_if('reused')} as bigint) AS matched, cast(round({d.count_if('reused')} * 100.0 / count(*), 4) as double) AS rate, {titles} AS unmatched FROM ({merged}) m GROUP BY doc_id"
 
 

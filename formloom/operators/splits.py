@@ -117,13 +117,34 @@ def generated(d: Dialect, source: str, array: str, name: str = "part") -> str:
 
 
 def field_parts(d: Dialect, x: str) -> str:
-    """The fields of a line, by the first splitter that makes several of it; else the line."""
-    several = [
-        (f"{d.has(x, '^[A-Za-z]+:.*_')} AND {d.size(subfields(d, x))} > 0", subfields(d, x)), (f"{d.has(x, ' {10}')} AND {d.size(Q.spaced_labels(d, x))} > 0", Q.spaced_labels(d, x)),
-        (f"{d.has(x, '^[A-Za-z]+/.*___')} AND {d.size(slash_parts(d, x))} > 0", slash_parts(d, x)),
-        (d.has(x, r"\bif +[^:]{5,40}:", ci=True), Q.conditional_parts(d, x)), (f"{L.has_box(d, x)} AND {d.has(x, ' {4,}')}", Q.boxed_parts(d, x)), (d.has(x, "^[A-Za-z#]+ ?[A-Za-z#]+$"), Q.compound_label(d, x)),
+    """The fields of a line, by the first splitter that makes several of it; else the line. A splitter runs once, and only
+    where a plain search finds what it looks for."""
+    if_any = lambda gate, parts: f"CASE WHEN {gate} THEN {d.let(parts, 'parts_', f'CASE WHEN {d.size("parts_")} > 0 THEN parts_ END')} END"
+    tries = [
+        f"CASE WHEN {d.contains(x, chr(9))} THEN CASE WHEN {L.is_tabulated_signature(d, x)} THEN {tab_parts(d, x)} END END",
+        if_any(f"{d.contains(x, '_')} AND {d.has(x, '^[A-Za-z]+:.*_')}", subfields(d, x)), if_any(d.contains(x, " " * 10), Q.spaced_labels(d, x)),
+        if_any(f"{d.contains(x, '___')} AND {d.has(x, '^[A-Za-z]+/.*___')}", slash_parts(d, x)),
+        d.case([(f"{d.contains(x, ':')} AND {d.has(x, r'\bif +[^:]{5,40}:', ci=True)}", Q.conditional_parts(d, x)), (f"{d.contains(x, '    ')} AND {L.has_box(d, x)}", Q.boxed_parts(d, x)), (d.has(x, "^[A-Za-z#]+ ?[A-Za-z#]+$"), Q.compound_label(d, x))], "NULL"),
     ]
-    return d.case([(L.is_tabulated_signature(d, x), tab_parts(d, x)), *several], labelled_parts(d, x))
+    return f"coalesce({', '.join(tries)}, {labelled_parts(d, x)})"
+
+
+def alike_lists(d: Dialect, lists: str, least: float = 0.25) -> str:
+    """a, b, jaccard: pairs of distinct lists of options (column `options`, `|` between) that are alike by `least` or more.
+
+    Lists meet by the rarest of their options only: two that are alike share one of the first n - ceil(least * n) + 1 in the
+    order of frequency, so an option that most lists have brings nothing together, and no pair is lost or met twice.
+    """
+    names = d.filter(d.distinct(d.map(d.split("options", r"[|]"), "o", T.option_name(d, "o"))), "o", "o <> ''")
+    sets = f"SELECT options, {names} AS names FROM ({lists}) l"
+    items = d.exploded(f"({sets}) s", "names", "options, names", "name", pos="k")
+    counted = f"SELECT *, count(*) OVER (PARTITION BY name) AS times FROM ({items}) i"
+    ranked = f"SELECT *, row_number() OVER (PARTITION BY options ORDER BY times, name) AS place FROM ({counted}) c"
+    first = f"SELECT options, names, name FROM ({ranked}) r WHERE place <= {d.size('names')} - ceil({least} * {d.size('names')}) + 1"
+    met = f"SELECT DISTINCT a.options AS a, b.options AS b, a.names AS a_names, b.names AS b_names FROM ({first}) a JOIN ({first}) b ON a.name = b.name AND a.options < b.options"
+    common = d.size(d.common("a_names", "b_names"))
+    jaccard = f"{common} * 1.0 / ({d.size('a_names')} + {d.size('b_names')} - {common})"
+    return f"SELECT a, b, cast(round({jaccard}, 6) as double) AS jaccard FROM ({met}) m WHERE {jaccard} >= {least}"
 
 
 def options_text(d: Dialect, x: str) -> str:

@@ -70,4 +70,4 @@ def general_share(d: Dialect, source: str, most: float = 0.5) -> str:
 
 def orphans(d: Dialect, child: str, child_key: str, parent: str, parent_key: str) -> str:
     """References without a target, by an anti join."""
-    return f"SELECT {child_key} AS missing, count(*) AS n FROM {child} c LEFT JOIN {parent} p ON c.{child_key} = p.{parent_key} WHERE p.{parent_key} IS NULL GROUP BY {child_key}"
+    return f"SELECT c.{child_key} AS missing, count(*) AS n FROM {child} c LEFT JOIN {parent} p ON c.{child_key} = p.{parent_key} WHERE p.{parent_key} IS NULL GROUP BY c.{child_key}"

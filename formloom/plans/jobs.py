@@ -27,9 +27,6 @@ def viewed(df: DataFrame) -> str:
     return f"SELECT * FROM {view}"
 
 
-CONVERTED = "doc_id, pos, sub, place, key, title, section, type, input_type, n_options, options, follow_up, html, parent, depth, answer"
-
-
 def convert_texts(spark: SparkSession, texts: DataFrame, out: str, dictionary: str | None = None) -> DataFrame:
     """Texts (doc_id, text) to folders below `out`: converted fields matched with the catalogue and stats (Parquet), records
     (JSON, with control, options and conditions), and the reports rates, suggestions, violations, skipped (CSV). Returns the
@@ -44,7 +41,8 @@ def convert_texts(spark: SparkSession, texts: DataFrame, out: str, dictionary: s
     given = viewed(saved(texts.select("doc_id", "text").filter(usable), f"{out}/texts"))
     own = catalog.register(*files.read_catalog(spark, dictionary)) if dictionary else None
     converted = viewed(saved(spark.sql(records.converted(SPARK, lines.lines(SPARK, f"({given})"))), f"{out}/converted"))
-    matched = viewed(saved(spark.sql(catalog.merged(SPARK, converted, own, CONVERTED)), f"{out}/matched"))
+    exact = viewed(saved(spark.sql(catalog.best(SPARK, converted, own, records.CONVERTED)), f"{out}/exact"))
+    matched = viewed(saved(spark.sql(catalog.overlaid(SPARK, catalog.match(SPARK, exact, own, records.CONVERTED), own, records.CONVERTED)), f"{out}/matched"))
     files.write_records(spark.sql(records.records(SPARK, matched)), f"{out}/records")
     stats = spark.sql(reports.stats(SPARK, matched)).join(spark.sql(reports.input_sizes(SPARK, given)), "doc_id")
     stats.join(spark.sql(reports.detailed(SPARK, matched)).select("doc_id", "matched", "rate", "unmatched"), "doc_id").write.mode("overwrite").parquet(f"{out}/stats")

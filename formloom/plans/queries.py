@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from ..functions import fields as D
 from ..functions import lines as L
 from ..functions import questions as Q
+from ..functions import similar as S
 from ..functions import text as T
 from ..functions.dialect import DUCK, SPARK, Dialect
-from ..operators import catalog, classifier, dictionary, grids, parser, quality, records, reports, splits, validate
+from ..operators import catalog, classifier, dictionary, grids, joins, parser, quality, records, reports, splits, validate
 from ..operators import lines as O
 from ..sources.forms import forms
 from ..streaming import stream
@@ -99,6 +100,8 @@ RULES: dict[str, Make] = {
     # text normalisation
     "restore_ligatures": per_line(t=lambda d: T.restore_ligatures(d, "line")),
     "normalize_whitespace": per_line(t=lambda d: T.normalize_whitespace(d, "line")),
+    "close_labels": lambda d: S.close_pairs(d, "SELECT DISTINCT p_name AS text FROM part", "SELECT DISTINCT p_name AS label FROM part"),
+    "corrected_words": lambda d: S.corrected_words(d, f"SELECT word FROM ({d.exploded('(' + form_lines(d) + ') l', d.split('line', '[^A-Za-z0-9]+'), 'doc_id', 'word', pos='k')}) w UNION ALL SELECT word FROM ({d.exploded('conversations', d.split('text', '[^A-Za-z0-9]+'), 'conv_id', 'word', pos='k')}) c"),
     "label_characters": per_line(t=lambda d: T.preprocess(d, "line", label=True)),
     "checkbox_artifacts": per_line(t=lambda d: T.clean_checkboxes(d, "line"), checked=lambda d: T.is_checked(d, "line")),
     "term_corrections": per_line(t=lambda d: T.fix_terms(d, "line")),
@@ -126,7 +129,7 @@ RULES: dict[str, Make] = {
     "signature_lines": per_line(signature=lambda d: L.is_signature(d, "line"), on_line=lambda d: L.is_signature_line(d, "line"), tabbed=lambda d: L.is_tabulated_signature(d, "line")),
     "weak_labels": per_line(label=lambda d: L.weak_label(d, "line")),
     "line_features": lambda d: f"SELECT doc_id, pos, {', '.join(f'{e} AS {n}' for n, e in L.features(d, 'line', chr(99) + 'oalesce(before, ' + d.lit('') + ')', 'coalesce(following, ' + d.lit('') + ')', 'pos', 'total').items())} FROM ({around(d)}) a",
-    "information_sheets": lambda d: O.information_sheets(d, O.lines(d, "(SELECT doc_id, CASE WHEN doc_id % 50 = 3 THEN concat('Welcome to the practice.', chr(10), 'Important: read this.', chr(10), text, chr(10), 'Thank you', chr(10), 'Note well') ELSE text END AS text FROM documents) n")),
+    "information_sheets": over(O.information_sheets),
     "placed_headings": per_line(heading=lambda d: L.is_heading_in_place(d, "line", "following", "pos"), underline=lambda d: L.is_underline(d, "line"), split=lambda d: Q.should_split(d, "line")),
     "conditions": lambda d: f"SELECT doc_id, pos, sub, {Q.is_condition(d, 'title')} AS condition, {Q.is_conditions_field(d, 'type', 'options')} AS control, {L.is_option_dump(d, 'title')} AS dump FROM ({form_fields(d)}) f",
     "known_questions": per_line(sex=lambda d: Q.sex_gender(d, "line"), marital=lambda d: Q.marital_status(d, "line"), contact=lambda d: Q.preferred_contact(d, "line"), hear=lambda d: Q.is_hear_about(d, "line"), boxed=lambda d: Q.inline_box_text(d, "line"), bullet=lambda d: Q.bullet_option(d, "line")),
@@ -172,7 +175,7 @@ RULES: dict[str, Make] = {
     "grid_questions": over(grids.questions, form_tables),
     "grid_conditions": over(grids.conditions),
     "grid_headers": per_line(is_header=lambda d: grids.is_header(d, "line")),
-    "grid_chunks": lambda d: f"SELECT doc_id, pos, {d.join(grids.chunks(d, 'line', 3), '|')} AS cells FROM ({form_tables(d)}) t",
+    "grid_chunks": lambda d: f"SELECT doc_id, pos, {d.join(grids.chunks(d, 'line', grids.n_columns(d, 'head')), '|')} AS cells FROM ({form_tables(d)}) t",
     # fields
     "fields": form_fields,
     "field_types": per_field(kind=lambda d: D.field_type(d, "title", "n_options"), control=lambda d: D.label_control(d, "title"), multi=lambda d: D.is_multi(d, "title", "n_options"), date=lambda d: D.date_type(d, "title")),
@@ -190,13 +193,17 @@ RULES: dict[str, Make] = {
     "risk_islands": over(records.risk_islands, form_fields),
     "event_islands": lambda d: "SELECT user_id, island, count(*) AS n FROM (SELECT *, sum(starts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS island FROM (SELECT *, CASE WHEN event_type IN ('signup', 'error') AND lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) IN ('signup', 'error') THEN 0 ELSE 1 END AS starts FROM events) a) b GROUP BY user_id, island HAVING count(*) > 1",
     "inferred_sections": over(records.inferred_sections, form_fields),
+    "voted_sections": over(records.voted_sections, form_fields),
+    "consolidated": lambda d: records.consolidated(d, d.stage(form_fields(d))),
+    "joined_continuations": over(records.joined_continuations, form_fields),
+    "signature_blocks": over(parser.signature_blocks),
     "unique_titles": over(records.unique_titles, form_fields),
     "ordered_sections": over(records.ordered_sections, form_fields),
     "one_signature": over(records.one_signature, form_fields),
     "merged_options": over(records.merged_options, form_fields),
     "merged_conditions": over(records.merged_conditions, form_fields),
     "continued_options": over(records.continued_options, form_fields),
-    "records": lambda d: records.records(d, form_converted(d)),
+    "records": lambda d: records.records(d, d.stage(catalog.merged(d, d.stage(form_converted(d)), None, records.CONVERTED))),
     "section_matrix": over(records.section_matrix, form_fields),
     "sorted_options": lambda d: f"SELECT doc_id, pos, sub, {d.join(d.distinct(d.split('options', '[|]')), '|')} AS options FROM ({form_fields(d)}) f WHERE n_options > 0",
     "labels_by_length": lambda d: f"SELECT doc_id, title, row_number() OVER (PARTITION BY doc_id ORDER BY length(title) DESC, title, pos, sub) AS place FROM ({form_fields(d)}) f",
@@ -209,6 +216,9 @@ RULES: dict[str, Make] = {
     "template_cascade": over(catalog.cascade, form_fields),
     "template_coverage": over(catalog.coverage, form_fields),
     "template_merge": matched,
+    "template_fuzzy": lambda d: catalog.fuzzy(d, catalog.unknown(d, d.stage(form_best(d)))),
+    "template_match": lambda d: catalog.match(d, d.stage(form_best(d))),
+    "template_overlay": lambda d: catalog.merged(d, form_fields(d), None, f"{catalog.FIELD_COLUMNS}, type, input_type, n_options"),
     "template_smart": over(catalog.smart, form_fields),
     "template_log": over(catalog.match_log, form_fields),
     "template_keys_symmetric": lambda d: f"SELECT key, 'field' AS side FROM (SELECT key FROM ({form_fields(d)}) f EXCEPT SELECT t_key FROM ({catalog.templates(d)}) t) a UNION ALL SELECT key, 'template' AS side FROM (SELECT t_key AS key FROM ({catalog.templates(d)}) t EXCEPT SELECT key FROM ({form_fields(d)}) f) b",
@@ -219,11 +229,11 @@ RULES: dict[str, Make] = {
     "dictionary_aliases": lambda d: dictionary.expanded_aliases(d, f"SELECT {T.catalog_key(d, 'p_name')} AS phrase, min({T.catalog_key(d, 'p_type')}) AS key FROM part GROUP BY {T.catalog_key(d, 'p_name')} UNION ALL SELECT 'medical_history' AS phrase, 'own' AS key"),
     "dictionary_versions": lambda d: f"SELECT idx, {dictionary.next_version(d, 'version')} AS version FROM ({dictionary.from_parts(d)}) p",
     "template_unmatched": lambda d: f"SELECT key, title FROM ({matched(d)}) m WHERE NOT reused",
-    "options_jaccard": lambda d: f"SELECT b.item_id, count(*) AS n FROM ({d.exploded('(SELECT item_id, ' + T.tokens(d, 'text') + ' AS t FROM benchmark) b', 't', 'item_id', 'token')}) b JOIN ({d.exploded('(SELECT page_id, ' + T.tokens(d, 'url') + ' AS t FROM pages) p', 't', 'page_id', 'token')}) p ON b.token = p.token GROUP BY b.item_id",
+    "options_jaccard": lambda d: splits.alike_lists(d, f"SELECT DISTINCT options FROM ({form_fields(d)}) f WHERE n_options > 0"),
     # reports
     "stats": over(reports.stats, form_fields),
     "match_rates": over(reports.rates, matched),
-    "label_rates": lambda d: reports.rates(d, "SELECT length(d.lang) * 0 + ascii(substr(d.lang, 1, 1)) AS doc_id, l.quality = 1 AS reused FROM labels l JOIN documents d ON l.doc_id = d.doc_id"),
+    "label_rates": lambda d: reports.rates(d, "SELECT d.doc_id, l.quality = 1 AS reused FROM labels l JOIN documents d ON l.doc_id = d.doc_id"),
     "extremes": lambda d: reports.extremes(d, document_quality(d), "chars"),
     "subtotals": over(reports.subtotals, form_fields),
     "parity": lambda d: reports.parity(d, form_lines(d), matched(d)),
@@ -231,17 +241,18 @@ RULES: dict[str, Make] = {
     "indicators": over(reports.indicators),
     "improvement": over(reports.improvement, form_best),
     "input_sizes": lambda d: reports.input_sizes(d, "documents"),
-    "missing_patterns": lambda d: reports.missing_patterns(d, form_lines(d), f"SELECT * FROM ({form_fields(d)}) f WHERE doc_id % 3 <> 0 OR NOT {d.has('title', 'date', ci=True)}"),
+    "missing_patterns": lambda d: reports.missing_patterns(d, form_lines(d), form_fields(d)),
     "detailed": over(reports.detailed, matched),
     "text_coverage": lambda d: reports.text_coverage(d, form_lines(d), form_fields(d)),
-    "subfields_missing": lambda d: reports.subfields_missing(d, form_lines(d), f"SELECT doc_id, title FROM ({form_fields(d)}) f WHERE doc_id % 2 = 0 OR title <> 'Home Phone'"),
+    "subfields_missing": lambda d: reports.subfields_missing(d, form_lines(d), form_fields(d)),
     # validation
     "violations": over(validate.violations, form_fields),
-    "structure_violations": lambda d: validate.structure(d, records.records(d, f"SELECT *, pos AS place, '' AS html, cast(NULL as bigint) AS parent, '' AS answer FROM ({form_fields(d)}) f")),
+    "structure_violations": lambda d: validate.structure(d, records.records(d, f"SELECT *, pos AS place, '' AS html, cast(NULL as bigint) AS parent, '' AS answer, '' AS hint, '' AS multi, '' AS needs FROM ({form_fields(d)}) f")),
     "option_violations": over(validate.option_quality, form_fields),
     "violation_summary": lambda d: validate.summary(d, validate.violations(d, form_fields(d))),
     "general_share": over(validate.general_share, form_fields),
-    "orphan_orders": lambda d: validate.orphans(d, "orders", "o_custkey", "(SELECT * FROM customer WHERE c_acctbal > 0)", "c_custkey"),
+    "orphan_orders": lambda d: validate.orphans(d, "orders", "o_orderkey", "lineitem", "l_orderkey"),
+    "unlabelled_documents": lambda d: validate.orphans(d, "documents", "doc_id", "labels", "doc_id"),
     "event_maps": lambda d: f"SELECT user_id, {'cardinality(m)' if d.spark else 'cardinality(m)'} AS kinds, coalesce({'try_element_at(m, ' if d.spark else 'map_extract_value(m, '}'purchase'), 0) AS purchases FROM (SELECT user_id, map_from_entries({'collect_list(struct(event_type, n))' if d.spark else 'list(row(event_type, n))'}) AS m FROM (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY user_id, event_type) e GROUP BY user_id) u",
     "event_json": lambda d: f"SELECT event_id, {'from_json(props, ' + d.lit('k INT') + ').k' if d.spark else 'cast(json_extract_string(props, ' + d.lit('$.k') + ') as int)'} AS k, {'to_json(named_struct(' + d.lit('type') + ', event_type, ' + d.lit('user') + ', user_id))' if d.spark else 'cast(to_json(struct_pack(type := event_type, ' + chr(34) + 'user' + chr(34) + ' := user_id)) as varchar)'} AS made FROM events",
     "events_in_hour": lambda d: """SELECT p.event_id, count(e.event_id) AS n FROM (SELECT event_id, user_id, ts, h.hour AS hour FROM (SELECT event_id, user_id, ts, date_trunc('hour', ts) AS h0, date_trunc('hour', ts) - INTERVAL 1 HOUR AS h1 FROM events WHERE event_type = 'purchase') q
@@ -271,16 +282,6 @@ def run(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return query
 
 
-def template_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    views(spark, sf_dir)
-    return catalog.fuzzy(spark.sql(form_fields(SPARK)))
-
-
-def template_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    views(spark, sf_dir)
-    return catalog.match(spark.sql(form_fields(SPARK)))
-
-
 def line_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     views(spark, sf_dir)
     samples = classifier.labelled(spark.sql(around(SPARK)))
@@ -294,6 +295,51 @@ def streamed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream.run_all(source, stream.event_windows).withColumn("start", F.col("start").cast("timestamp_ntz"))
 
 
+def streamed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+
+
+def streamed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions that a stream has closed."""
+    return stream.appended(streamed_events(spark, sf_dir), stream.closed_sessions)[0].withColumn("start", F.col("start").cast("timestamp_ntz"))
+
+
+def streamed_followed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clicks with the purchases within the hour after, by a join of the stream with itself."""
+    return stream.appended(streamed_events(spark, sf_dir), stream.followed)[0]
+
+
+def streamed_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event once, with its customer's segment, of a stream joined with a table."""
+    known = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_mktsegment")
+    shape = lambda s: stream.with_known(stream.distinct_events(s), known, "user_id", "c_custkey").select("event_id", "user_id", "c_mktsegment")
+    return stream.appended(streamed_events(spark, sf_dir), shape)[0]
+
+
+def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of orders with the time that they are under way: a day for each line number."""
+    lines_ = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    return lines_.select("l_suppkey", (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.col("l_shipdate").alias("start"), (F.col("l_shipdate") + F.expr("make_dt_interval(l_linenumber)")).alias("end"))
+
+
+def overlapping_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each supplier how many pairs of shipments are under way at one time, and for how many hours in all."""
+    given = shipments(spark, sf_dir)
+    pairs = joins.overlap_join(given, given, ["l_suppkey"], seconds=8 * 86_400).filter("id < r_id")
+    hours = (F.unix_micros(F.least("end", "r_end").cast("timestamp")) - F.unix_micros(F.greatest("start", "r_start").cast("timestamp"))) / F.lit(3_600_000_000)
+    return pairs.groupBy("l_suppkey").agg(F.count("*").alias("n"), F.round(F.sum(hours), 3).alias("hours"))
+
+
+def status_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of orders by status with the priorities of the orders of that status: a few keys hold all rows, so they are
+    joined in parts of 20,000 rows."""
+    big = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.col("l_linestatus").alias("status"), "l_orderkey", "l_quantity")
+    small = spark.read.parquet(f"{sf_dir}/orders.parquet").groupBy(F.col("o_orderstatus").alias("status"), "o_orderpriority").agg(F.count("*").alias("orders"))
+    joined = joins.skewed_join(big, small, ["status"], per=20_000)
+    return joined.groupBy("status", "o_orderpriority").agg(F.count("*").alias("lines"), F.sum("l_quantity").cast("long").alias("quantity"), F.max("orders").alias("orders"))
+
+
 def event_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream.sessions(spark.read.parquet(f"{sf_dir}/events.parquet"))
 
@@ -302,10 +348,25 @@ SESSIONS_SQL = """SELECT user_id, min(ts) AS start, count(*) AS n FROM (SELECT *
   SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS starts FROM events) a) b GROUP BY user_id, s"""
 
 
+#: Queries whose check goes another way than their plan: all pairs, plain joins and batches.
+OTHER_WAYS = {
+    "close_labels": """WITH p AS (SELECT DISTINCT p_name AS x FROM part WHERE p_name <> '')
+SELECT a.x AS text, b.x AS label, round(1 - (2 * levenshtein(a.x, b.x) - abs(length(a.x) - length(b.x))) / (length(a.x) + length(b.x))::DOUBLE, 6) AS alike FROM p a CROSS JOIN p b
+WHERE levenshtein(a.x, b.x) <= 2 AND 1 - (2 * levenshtein(a.x, b.x) - abs(length(a.x) - length(b.x))) / (length(a.x) + length(b.x))::DOUBLE >= 0.85 AND (a.x = b.x OR (length(a.x) <= 40 AND length(b.x) <= 40))""",
+    "streamed_sessions": f"SELECT user_id, start, n FROM ({SESSIONS_SQL.replace('count(*) AS n', 'count(*) AS n, max(ts) AS last')}) s WHERE last + INTERVAL 30 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE",
+    "streamed_followed": "SELECT a.user_id, a.event_id AS first_id, b.event_id AS then_id FROM events a JOIN events b ON a.user_id = b.user_id AND a.event_type = 'click' AND b.event_type = 'purchase' AND b.ts BETWEEN a.ts AND a.ts + INTERVAL 1 HOUR",
+    "streamed_segments": "SELECT DISTINCT event_id, user_id, c_mktsegment FROM events LEFT JOIN customer ON user_id = c_custkey",
+    "overlapping_shipments": """WITH s AS (SELECT l_suppkey, l_orderkey * 10 + l_linenumber AS id, l_shipdate AS a, l_shipdate + to_days(l_linenumber) AS b FROM lineitem)
+SELECT x.l_suppkey, count(*) AS n, round(sum((epoch_us(least(x.b, y.b)) - epoch_us(greatest(x.a, y.a))) / 3600000000.0), 3) AS hours FROM s x JOIN s y ON x.l_suppkey = y.l_suppkey AND x.id < y.id AND x.a < y.b AND y.a < x.b GROUP BY x.l_suppkey""",
+    "status_shares": """SELECT status, o_orderpriority, count(*) AS lines, sum(l_quantity)::BIGINT AS quantity, max(orders) AS orders FROM (SELECT l_linestatus AS status, l_quantity FROM lineitem) l
+JOIN (SELECT o_orderstatus AS status, o_orderpriority, count(*) AS orders FROM orders GROUP BY ALL) o USING (status) GROUP BY ALL""",
+}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = {f.__name__: f for f in (template_fuzzy, template_match, line_classifier, streamed_windows, event_sessions)}
+    own = {f.__name__: f for f in (line_classifier, streamed_windows, event_sessions, streamed_sessions, streamed_followed, streamed_segments, overlapping_shipments, status_shares)}
     return {n: run(n) for n in RULES} | own
 
 
 def oracle_sql() -> dict[str, str]:
-    return {n: rule(DUCK) for n, rule in RULES.items()} | {"event_sessions": SESSIONS_SQL, "streamed_windows": RULES["event_windows"](DUCK)}
+    return {n: rule(DUCK) for n, rule in RULES.items()} | {"event_sessions": SESSIONS_SQL, "streamed_windows": RULES["event_windows"](DUCK)} | OTHER_WAYS

@@ -133,10 +133,16 @@ def extract(files: DataFrame, model: str, extractors: dict[str, Callable[[bytes]
 
 
 def read_catalog(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Templates (key, title, section, type, options, ord) and aliases (alias, key) of a JSON dictionary of lists of fields."""
-    raw = spark.read.text(path, wholetext=True).select(F.from_json("value", "map<string,string>").alias("m")).select(F.explode("m").alias("name", "body"))
-    item = "array<struct<key:string,title:string,section:string,type:string,control:struct<options:array<struct<name:string>>>>>"
-    fields = raw.filter(~F.col("name").startswith("_") & (F.col("name") != "aliases")).select("name", F.posexplode(F.from_json("body", item)).alias("ord", "f")).select("f.key", "f.title", "f.section", "f.type", F.coalesce(F.array_join("f.control.options.name", "|"), F.lit("")).alias("options"), "name", "ord")
+    """Templates (key, title, section, type, input_type, hint, multi, condition, options, ord) and aliases (alias, key) of a
+    JSON dictionary of lists of fields. `ord` goes by the lists' order and then by the place, so the first of equal keys is
+    the same in every run; a condition is the JSON of the field's `if`."""
+    raw = spark.read.text(path, wholetext=True).select(F.posexplode(F.map_entries(F.from_json("value", "map<string,string>"))).alias("list", "m")).select("list", F.col("m.key").alias("name"), F.col("m.value").alias("body"))
+    item = "array<struct<key:string,title:string,section:string,type:string,control:struct<input_type:string,hint:string,multi:boolean,options:array<struct<name:string>>>,`if`:array<struct<key:string,value:string>>>>"
+    listed = raw.filter(~F.col("name").startswith("_") & (F.col("name") != "aliases")).select("name", "list", F.posexplode(F.from_json("body", item)).alias("at", "f"))
+    fields = listed.select(
+        "f.key", "f.title", "f.section", "f.type", "f.control.input_type", "f.control.hint", F.col("f.control.multi").cast("string").alias("multi"), F.when(F.size("f.if") > 0, F.to_json("f.if")).alias("condition"),
+        F.coalesce(F.array_join("f.control.options.name", "|"), F.lit("")).alias("options"), "name", (F.col("list").cast("long") * 1_000_000_000 + F.col("at")).alias("ord"),
+    )
     aliases = raw.filter("name = 'aliases'").select(F.explode(F.from_json("body", "map<string,string>")).alias("alias", "key"))
     return fields.filter("key is not null"), aliases
 

@@ -20,8 +20,22 @@ BELOW = ("Which of these apply to your teeth?", "(check all that apply)", "Pleas
 NESTED = ("Do you use tobacco? [ ] Yes [ ] No", "If yes, do you want to quit? [ ] Yes [ ] No", "If yes, when would you like to quit: ____", "If no, please explain: ____", "Do you drink? [ ] Yes [ ] No", "If no, please explain: ____")
 
 
+# A grid whose rows were read as questions, fields without a heading of their own, and a block to sign.
+BROKEN = (
+    "Medical History", "Radiation Therapy Jaundice Jaw Joint Pain [ ] Radiation Therapy [ ] Jaundice [ ] Jaw Joint Pain [ ] Rheumatic Fever [ ] Scarlet Fever [ ] Shingles [ ] Sickle Cell",
+    "Spina Bifida Stomach Disease Swelling Limbs [ ] Spina Bifida [ ] Stomach Disease [ ] Swelling Limbs [ ] Tonsillitis [ ] Tumors [ ] Yellow Jaundice [ ] Jaundice",
+)
+LOOSE = ("General", "Subscriber: ____", "Effective: ____", "Colour of eyes: ____", "Do you like your smile and teeth? [ ] Yes [ ] No", "Do you have any of these conditions? [ ] Diabetes [ ] Stroke", "Are you taking any medication now: ____")
+TO_SIGN = ("Parent or guardian signature: ________", "Printed name: ________", "Today's date: ________", "Witness: ________")
+
+
+# A sheet that only informs, though it speaks of names, dates and telephones.
+SHEET = ("Welcome to the practice.", "Important: please read this.", "We keep the date of your last visit.", "Your name stays with us, and so does your signature.", "Phone: Mobile ____ Home ____", "Thank you")
+
+
 def forms(d: Dialect) -> str:
-    """doc_id, text: a form for each customer, with headings, labels, boxes, blanks, consent text, repeats and notices."""
+    """doc_id, text: a form for each customer, with headings, labels, boxes, blanks, consent text, repeats and notices; for
+    some a sheet that only informs."""
     q = d.lit
     lines = [
         q("123 N Main St, Springfield, IL 62704"), "CASE WHEN c_custkey % 4 = 0 THEN 'Smile Dental Care' END", "''", q("PATIENT INFORMATION"), f"concat('Name: ', c_name, {q('____')})",
@@ -39,6 +53,8 @@ def forms(d: Dialect) -> str:
         "CASE WHEN c_custkey % 8 = 1 THEN concat_ws(chr(10), " + ", ".join(map(q, SINGLE)) + ") END", q("Allergies"), q("-----------"),
         "CASE WHEN c_custkey % 5 = 0 THEN concat_ws(chr(10), " + ", ".join(map(q, GRID)) + ") END", "CASE WHEN c_custkey % 7 = 0 THEN concat_ws(chr(10), " + ", ".join(map(q, CONDITIONS)) + ") END",
         "CASE WHEN c_custkey % 3 = 1 THEN concat_ws(chr(10), " + ", ".join(map(q, BELOW)) + ") END", "CASE WHEN c_custkey % 3 = 2 THEN concat_ws(chr(10), " + ", ".join(map(q, NESTED)) + ") END",
+        "CASE WHEN c_custkey % 4 = 1 THEN concat_ws(chr(10), " + ", ".join(map(q, BROKEN)) + ") END", "CASE WHEN c_custkey % 4 = 2 THEN concat_ws(chr(10), " + ", ".join(map(q, LOOSE)) + ") END", "CASE WHEN c_custkey % 6 = 1 THEN concat_ws(chr(10), " + ", ".join(map(q, TO_SIGN)) + ") END",
         q("Signature: ________ Date: ________"),
     ]
-    return f"SELECT c_custkey AS doc_id, concat_ws(chr(10), {', '.join(lines)}) AS text FROM customer JOIN nation ON c_nationkey = n_nationkey"
+    sheet = f"concat_ws(chr(10), {', '.join(map(q, SHEET))})"
+    return f"SELECT c_custkey AS doc_id, CASE WHEN c_custkey % 9 = 4 THEN {sheet} ELSE concat_ws(chr(10), {', '.join(lines)}) END AS text FROM customer JOIN nation ON c_nationkey = n_nationkey"

@@ -124,7 +124,7 @@ def test_operators_on_lines(spark):
 
 
 def test_records_with_control(spark):
-    source = "SELECT 1 AS doc_id, 1 AS place, 'q' AS key, 'Do you smoke' AS title, 'General' AS section, 'radio' AS type, 'text' AS input_type, 2 AS n_options, 'Yes|It \"depends\"' AS options, 1 AS follow_up, '' AS html, cast(NULL as bigint) AS parent, '' AS answer"
+    source = "SELECT 1 AS doc_id, 1 AS place, 'q' AS key, 'Do you smoke' AS title, 'General' AS section, 'radio' AS type, 'text' AS input_type, 2 AS n_options, 'Yes|It \"depends\"' AS options, 1 AS follow_up, '' AS html, cast(NULL as bigint) AS parent, '' AS answer, '' AS hint, '' AS multi, '' AS needs"
     rows = sorted(spark.sql(records.records(queries.SPARK, source)).collect(), key=lambda r: r["k"])
     assert json.loads(rows[0]["control"]) == {"options": [{"name": "Yes", "value": True}, {"name": 'It "depends"', "value": "it_depends"}], "multi": False}
     assert (rows[1]["key"], rows[1]["title"], json.loads(rows[1]["condition"])) == ("q_explanation", "Please explain", [{"key": "q", "value": "yes"}])
@@ -133,7 +133,8 @@ def test_records_with_control(spark):
 def test_matching(spark):
     rows = [(1, i, 0, text_, text_, section, "") for i, (text_, section) in enumerate([("first_name", "Patient Information"), ("Date of Birth", "Patient Information"), ("Cell Phone", "Patient Information"), ("Your Policy Number please", "Insurance"), ("Your Policy Number please", "General"), ("Are you taking medications", "Medical History"), ("Weather", "General")])]
     fields_ = spark.createDataFrame(rows, "doc_id int, pos int, sub int, key string, title string, section string, options string")
-    got = {r["pos"]: (r["t_key"], r["reason"]) for r in catalog.match(fields_).collect()}
+    fields_.createOrReplaceTempView("_match")
+    got = {r["pos"]: (r["t_key"], r["reason"]) for r in spark.sql(catalog.match(queries.SPARK, catalog.best(queries.SPARK, "SELECT * FROM _match"))).collect()}
     assert got == {0: ("first_name", "key_exact"), 1: ("date_of_birth", "title_exact"), 2: ("mobile_phone", "alias_exact"), 3: ("insurance_id_number", "alias_contains"), 4: (None, None), 5: ("taking_medications", "fuzzy"), 6: (None, None)}
     view = "_smart"
     fields_.createOrReplaceTempView(view)
