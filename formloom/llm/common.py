@@ -42,16 +42,21 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._own_path = path  # what discard() may delete: nothing but what was written here
+    return out
 
 
 def discard(df: DataFrame) -> None:
-    """Delete a table that materialize() wrote, once nothing reads it any more."""
-    spark = df.sparkSession
-    for name in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        if "/formloom/" in name:
-            path = spark._jvm.org.apache.hadoop.fs.Path(name)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    """Delete a table that materialize() wrote, once nothing reads it any more; other DataFrames are left alone."""
+    if name := getattr(df, "_own_path", None):
+        discard_path(df.sparkSession, name)
+
+
+def discard_path(spark: SparkSession, name: str) -> None:
+    """Delete a path that shared_path() gave."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 #: Settings of batches: Spark's default, made for narrow rows, and what suits rows of whole texts.

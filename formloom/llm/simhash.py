@@ -208,7 +208,7 @@ def rows_of(docs: DataFrame, kept: DataFrame, all_rows: DataFrame, id_col: str,
 
 def keep_one(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 3, most: int = 3, pivots: int = 24,
-    alike: float | None = None, bands: int = 32, rows: int = 5, limit: int = 8192,
+    alike: float | None = None, bands: int = 32, rows: int = 5, limit: int = 1024,
 ) -> DataFrame:
     """One row of docs of each component, that with the least doc_id (of several texts the least by hash), with all columns.
 
