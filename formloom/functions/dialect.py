@@ -48,7 +48,13 @@ class Dialect:
     def has(self, x: str, pattern: str, ci: bool = False) -> str:
         return f"regexp_like({x}, {self.lit('(?i)' * ci + pattern)})" if self.spark else f"regexp_matches({x}, {self.lit('(?i)' * ci + pattern)})"
 
+    def any_match(self, x: str, patterns: Sequence[str], ci: bool = False) -> str:
+        """Whether any of the patterns is in x, in one search: most of a search's cost on a short line is its beginning."""
+        return self.has(x, "|".join(f"({p})" for p in patterns), ci)
+
     def count(self, x: str, pattern: str, ci: bool = False) -> str:
+        if len(pattern) == 1 and pattern not in r".^$*+?()[]{}|\\":
+            return f"(length({x}) - length(replace({x}, {self.lit(pattern)}, '')))"
         p = self.lit("(?i)" * ci + pattern)
         return f"regexp_count({x}, {p})" if self.spark else f"len(regexp_extract_all({x}, {p}))"
 

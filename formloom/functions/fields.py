@@ -81,7 +81,7 @@ def label_control(d: Dialect, label: str) -> str:
 
 def is_multi(d: Dialect, title: str, options: str) -> str:
     low = f"lower({title})"
-    return d.case([(f"{d.matches(low, MULTI)} > 0", "true"), (f"{d.matches(low, SINGLE)} > 0", "false")], f"{options} >= 5")
+    return d.case([(f"{d.any_match(low, MULTI)}", "true"), (f"{d.any_match(low, SINGLE)}", "false")], f"{options} >= 5")
 
 
 def radio_or_checkbox(d: Dialect, label: str, options: str, yes_no: str) -> str:

@@ -91,7 +91,7 @@ def is_category_header(d: Dialect, x: str, following: str) -> str:
     known = d.any_of(low, CATEGORY_WORDS)
     return d.case(
         [
-            (f"{t} = '' OR length({t}) > 80", "false"), (f"{has_box(d, t)} OR {d.ends(t, '?')} OR {d.ends(t, ':')} OR {d.has(t, ': *[^ ]')}", "false"), (f"{d.matches(t, FIELD_WORDS, ci=True)} > 0", "false"),
+            (f"{t} = '' OR length({t}) > 80", "false"), (f"{has_box(d, t)} OR {d.ends(t, '?')} OR {d.ends(t, ':')} OR {d.has(t, ': *[^ ]')}", "false"), (f"{d.any_match(t, FIELD_WORDS, ci=True)}", "false"),
             (f"coalesce({has_box(d, following)}, false) AND ({d.words(t)} <= 6 OR {known})", "true"), (f"{known} AND {d.words(t)} <= 3", "true"),
         ], "false",
     )
@@ -109,7 +109,7 @@ def is_instruction(d: Dialect, x: str) -> str:
     return d.case(
         [
             (f"length({t}) < 30", "false"), (f"{d.count(t, '_{3,}')} >= 3 OR {d.count(t, ':')} >= 5", "false"), (d.has(t, r"_{3,} *\([^)]{3,40}\)"), "false"),
-            (f"{d.words(t)} > 50 OR length({t}) > 250", "true"), (f"{sentences} >= 2", "true"), (f"{d.matches(low, INSTRUCTION_STARTS)} > 0 AND {d.words(t)} > 6", "true"),
+            (f"{d.words(t)} > 50 OR length({t}) > 250", "true"), (f"{sentences} >= 2", "true"), (f"{d.any_match(low, INSTRUCTION_STARTS)} AND {d.words(t)} > 6", "true"),
             (f"{d.words(t)} > 20 AND {d.any_of(low, RISK_TERMS)}", "true"), (f"{d.words(t)} > 25 AND {d.any_of(low, EXPLAINING)}", "true"),
         ], "false",
     )
@@ -119,7 +119,7 @@ def is_metadata(d: Dialect, x: str) -> str:
     """Form codes, revisions and notices. A lone token is one only if digits and letters or underscores mix in it."""
     low = f"lower({d.trim(x)})"
     code = f"length({low}) BETWEEN 3 AND 12 AND {d.has(low, '^[a-z0-9_-]+$')} AND {d.has(low, '[0-9_]')} AND {d.has(low, '[a-z]')}"
-    return f"(length({low}) >= 3 AND ({d.matches(low, METADATA)} > 0 OR ({code})))"
+    return f"(length({low}) >= 3 AND ({d.any_match(low, METADATA)} OR ({code})))"
 
 
 def has_address(d: Dialect, x: str) -> str:
@@ -147,7 +147,7 @@ def is_consent_heading(d: Dialect, x: str) -> str:
 def is_terms(d: Dialect, x: str) -> str:
     """Legal text: two indications, or one strong one, or one in a long text."""
     low = f"lower({x})"
-    return f"({d.matches(low, CONSENT)} >= 2 OR (length({x}) > 30 AND {d.matches(low, CONSENT[:3])} > 0) OR (length({x}) > 80 AND {d.matches(low, CONSENT[3:])} > 0))"
+    return f"({d.matches(low, CONSENT)} >= 2 OR (length({x}) > 30 AND {d.any_match(low, CONSENT[:3])}) OR (length({x}) > 80 AND {d.any_match(low, CONSENT[3:])}))"
 
 
 def should_be_terms(d: Dialect, x: str) -> str:

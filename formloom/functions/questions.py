@@ -58,6 +58,14 @@ def sex_gender(d: Dialect, x: str) -> str:
     return f"CASE WHEN {boxed} THEN {d.trim(whole)} ELSE {upto('')} END"
 
 
+def sex_segment(d: Dialect, x: str) -> str:
+    """The question of sex or gender alone, without what stands before it: its choice, or its boxes up to the next field."""
+    at = from_match(d, x, SEX_GENDER)
+    choice = d.case([(d.has(x, p, ci=True), d.first(x, p, 0, ci=True)) for p in SEX_GENDER], "''")
+    boxed = d.sub(d.sub("at_", r" {4,}[A-Z].*$", ""), r"\bmarital +status.*$", "", ci=True)
+    return d.let(at, "at_", f"CASE WHEN {d.has('at_', L.BOX)} THEN {d.trim(boxed)} ELSE {d.trim(choice)} END")
+
+
 def marital_status(d: Dialect, x: str) -> str:
     return d.trim(from_match(d, x, MARITAL_STATUS))
 

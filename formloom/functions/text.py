@@ -48,13 +48,10 @@ def restore_ligatures(d: Dialect, x: str) -> str:
 
 
 def collapse_spaced(d: Dialect, x: str) -> str:
-    """Letters set apart by single blanks are joined, where two blanks part words: "P h o n e  N o" is "Phone No".
-
-    Only lines that are nothing but single letters are touched, so prose keeps its one-letter words.
-    """
-    spaced = d.has(x, r"^[ ]*([A-Za-z][ ]+){3,}[A-Za-z][ ]*$")
-    joined = f"replace(replace({d.sub(x, '[ ]{2,}', chr(1))}, ' ', ''), {d.lit(chr(1))}, ' ')"
-    return f"CASE WHEN {spaced} THEN {d.trim(joined)} ELSE {d.squeeze(x)} END"
+    """Runs of four letters or more set apart by single blanks are joined, where two blanks part words: "P h o n e  N o: 5" is
+    "Phone No: 5". Fewer single letters stay, so prose keeps its one-letter words."""
+    joined = lambda m: f"replace(replace({d.sub(m, '[ ]{2,}', chr(1))}, ' ', ''), {d.lit(chr(1))}, ' ')"
+    return d.squeeze(in_matches(d, x, r"\b([A-Za-z] +){3,}[A-Za-z]\b", joined))
 
 
 def normalize_whitespace(d: Dialect, x: str) -> str:

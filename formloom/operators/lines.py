@@ -84,12 +84,13 @@ def prepared(d: Dialect, source: str) -> str:
 
 
 def soft_wraps(d: Dialect, source: str) -> str:
-    """Lines joined to those that the page's width parted: gaps and islands over a flag that the neighbours decide."""
+    """Lines joined to those that the page's width parted: gaps and islands over a flag that the neighbours decide. A follow-up
+    with something to fill (`If yes, ...: ____`) is a line of its own."""
     a, b = d.sub("before", r"[ \t]+$", ""), d.trim("line")
     end = f"substr({a}, length({a}), 1)"
     small = d.has(b, r"^[a-z(]|^(and|or|if|but|then|with|of|for|to)\b") + " OR " + d.has(f"lower({b})", r"^(and|or|if|but|then|with|of|for|to)\b")
     boxes = d.has(a, r"/ *\[ *\] *(Yes|No) *(\[ *\] *(Yes|No) *)?$", ci=True)
-    joins = f"""before IS NOT NULL AND {d.trim("before")} <> '' AND {b} <> '' AND NOT {L.is_heading(d, b)} AND NOT {d.has(b, r'^([-*•]|\[)')}
+    joins = f"""before IS NOT NULL AND {d.trim("before")} <> '' AND {b} <> '' AND NOT {L.is_heading(d, b)} AND NOT {d.has(b, r'^([-*•]|\[)')} AND NOT {d.has(b, rf'^if +(yes|no|so)\b.*(:|__|{L.BOX})', ci=True)}
     AND ({end} IN ('-', '/') OR ({end} NOT IN ('.', ':', ';', '?', '!') AND ({small})) OR ({boxes} AND {d.has(b, '^[a-z(]')}))"""
     return f"""SELECT doc_id, island, min(pos) AS pos, count(*) AS n_lines, {d.ordered_join("part", "pos", " ")} AS line FROM (
     SELECT doc_id, pos, {d.sub(d.trim("line"), "[- ]+$", "")} AS part, sum(CASE WHEN joined THEN 0 ELSE 1 END) {OVER} AS island FROM (

@@ -14,6 +14,11 @@ AFTER, NOWHERE = "9000000000", "-1"
 GUIDANCE = r"^[(]|\b(check|mark|circle|select|choose|tick) +(all|any|one|those|the|each|clearly|below)|\bplease +(check|mark|circle|select|choose|tick|list)|\ball that apply\b|^(if any|leave blank)"
 
 
+def is_guidance(d: Dialect, x: str) -> str:
+    """A short line that only says how to answer: no box, no blank to fill, and nothing after a colon."""
+    return f"(NOT {L.has_box(d, x)} AND NOT {d.contains(x, '__')} AND length({x}) <= 80 AND {d.has(d.trim(x), GUIDANCE, ci=True)} AND NOT {d.has(x, ': *[^ ]')})"
+
+
 def line_kinds(d: Dialect, source: str) -> str:
     """doc_id, pos, line, part (a line of options as boxes) and kind: blank, option, prompt, guidance or other.
 
@@ -23,8 +28,7 @@ def line_kinds(d: Dialect, source: str) -> str:
     several = f"{d.has('line', f'^ *({L.BOX})')} AND {d.count('line', L.BOX)} >= 2"
     option = f"CASE WHEN NOT {Q.is_boxed_question(d, 'line')} THEN coalesce({Q.bullet_option(d, 'line')}, CASE WHEN {several} THEN line END) END"
     prompt = f"NOT {L.has_box(d, 'line')} AND NOT {d.contains('line', '__')} AND ({d.has('line', '[?:] *$')} OR {d.has('line', 'following', ci=True)})"
-    guidance = f"NOT {L.has_box(d, 'line')} AND NOT {d.contains('line', '__')} AND length(line) <= 80 AND {d.has(d.trim('line'), GUIDANCE, ci=True)}"
-    kind = d.case([(f"{d.trim('line')} = ''", "'blank'"), ("option IS NOT NULL", "'option'"), (guidance, "'guidance'"), (prompt, "'prompt'")], "'other'")
+    kind = d.case([(f"{d.trim('line')} = ''", "'blank'"), ("option IS NOT NULL", "'option'"), (is_guidance(d, "line"), "'guidance'"), (prompt, "'prompt'")], "'other'")
     part = f"CASE WHEN option IS NULL THEN line WHEN {L.has_box(d, 'line')} THEN {d.trim('line')} ELSE concat('[ ] ', option) END"
     return f"SELECT doc_id, pos, line, {part} AS part, {kind} AS kind FROM (SELECT doc_id, pos, line, {option} AS option FROM ({source}) l) o"
 

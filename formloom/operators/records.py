@@ -22,7 +22,7 @@ COLUMNS = "doc_id, pos, sub, key, title, section, type, input_type, n_options, o
 def fields(d: Dialect, source: str) -> str:
     """The fields of some lines: labels with colon or blank, boxes and signatures in columns, typed, with section, key, options
     and whether a follow-up is asked for. The lines are read once and dealt once, by document."""
-    kept = f"SELECT doc_id, pos, line, section, scope FROM (SELECT *, {O.is_information_sheet(d)} AS informs FROM ({O.sections(d, source)}) s) i WHERE NOT informs AND heading IS NULL AND NOT {L.is_metadata(d, 'line')} AND NOT {L.is_numbered_item(d, 'line')} AND NOT {L.is_underline(d, 'line')}"
+    kept = f"SELECT doc_id, pos, line, section, scope FROM (SELECT *, {O.is_information_sheet(d)} AS informs FROM ({O.sections(d, source)}) s) i WHERE NOT informs AND heading IS NULL AND NOT {L.is_metadata(d, 'line')} AND NOT {L.is_numbered_item(d, 'line')} AND NOT {L.is_underline(d, 'line')} AND NOT ({P.is_guidance(d, 'line')} AND NOT {d.has('line', '[:?] *$')})"
     expanded = d.exploded(f"({kept}) k", S.field_parts(d, "line"), "doc_id, pos, section, scope", "part", pos="sub")
     title = T.clean_title(d, f"CASE WHEN {L.has_box(d, 'part')} THEN {S.option_label(d, 'part')} WHEN {d.contains('part', ':')} THEN {d.first('part', '^([^:]*):', 1)} ELSE part END")
     follows = f"cast({S.yes_no_follow_up(d, 'part')} as int)"

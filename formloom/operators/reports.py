@@ -97,6 +97,36 @@ def detailed(d: Dialect, merged: str) -> str:
     return f"SELECT doc_id, count(*) AS n, cast({d.count_if('reused')} as bigint) AS matched, cast(round({d.count_if('reused')} * 100.0 / count(*), 4) as double) AS rate, {titles} AS unmatched FROM ({merged}) m GROUP BY doc_id"
 
 
+def performance(d: Dialect, merged: str, sizes: str, templates: str) -> str:
+    """A report in parts (part, label, value, share): the dictionary against what was found, statistics over all documents, the
+    distribution of match rates, the five best and worst documents, and fields by type and by section with their shares.
+
+    merged: doc_id, type, section, key, reused; sizes: doc_id, n_bytes, n_chars, n_lines; templates: t_key, t_section.
+    """
+    per = f"SELECT doc_id, count(*) AS n, {d.count_if('reused')} AS hits, count(DISTINCT section) AS sections FROM ({merged}) m GROUP BY doc_id"
+    docs = d.stage(f"SELECT p.*, s.n_bytes, s.n_chars, s.n_lines, cast(round(p.hits * 100.0 / p.n, 4) as double) AS rate FROM ({per}) p JOIN ({sizes}) s ON p.doc_id = s.doc_id")
+
+    def told(part: str, source: str, values: dict[str, str]) -> str:
+        """One row of aggregates as a row for each label."""
+        row = f"SELECT {', '.join(f'cast({e} as double) AS v{i}' for i, e in enumerate(values.values()))} FROM ({source}) t"
+        label = d.case([(f"place = {i}", d.lit(n)) for i, n in enumerate(values)], "''")
+        numbers = ", ".join(f"v{i}" for i in range(len(values)))
+        rows = d.exploded(f"({row}) r", f"array({numbers})" if d.spark else f"[{numbers}]", "1 AS one", "value", pos="place")
+        return f"SELECT '{part}' AS part, {label} AS label, cast(round(value, 4) as double) AS value, cast(NULL as double) AS share FROM ({rows}) v"
+
+    known = f"SELECT count(*) AS fields, count(DISTINCT t_section) AS sections FROM ({templates}) t"
+    used = f"SELECT count(*) AS items, {d.count_if('reused')} AS hits, count(DISTINCT CASE WHEN reused THEN key END) AS keys FROM ({merged}) m"
+    dictionary = told("dictionary", f"SELECT * FROM ({known}) k CROSS JOIN ({used}) u", {"fields": "fields", "sections": "sections", "found": "items", "matched": "hits", "not in it": "items - hits", "used keys": "keys", "match rate": "hits * 100.0 / greatest(items, 1)"})
+    overall = told("overall", docs, {
+        "documents": "count(*)", "fields": "sum(n)", "matched": "sum(hits)", "match rate": "sum(hits) * 100.0 / sum(n)", "mean rate": "avg(rate)", "fields a document": "avg(n)", "sections a document": "avg(sections)",
+        "kilobytes": "sum(n_bytes) / 1024.0", "characters": "sum(n_chars)", "lines": "sum(n_lines)", "lines a document": "avg(n_lines)",
+    })
+    bands = f"SELECT 'rates' AS part, bucket AS label, cast(n as double) AS value, share FROM ({histogram(d, docs, 'rate')}) h"
+    ends = f"SELECT side AS part, cast(doc_id as varchar(400)) AS label, value, cast(NULL as double) AS share FROM ({extremes(d, docs, 'rate')}) e"
+    of = lambda c: f"SELECT '{c}' AS part, {c} AS label, cast(n as double) AS value, cast(round(n * 100.0 / sum(n) OVER (), 4) as double) AS share FROM (SELECT {c}, count(*) AS n FROM ({merged}) m GROUP BY {c}) c"
+    return " UNION ALL ".join((dictionary, overall, bands, ends, of("type"), of("section")))
+
+
 # What makes a line look like a field.
 INDICATORS = (r"_{3,}", r"\[ *\]", r"^ *[A-Z][^:]{1,60}: *$")
 
@@ -104,7 +134,7 @@ INDICATORS = (r"_{3,}", r"\[ *\]", r"^ *[A-Z][^:]{1,60}: *$")
 def text_coverage(d: Dialect, lines: str, fields: str) -> str:
     """Per document: lines that look like fields, fields, and their ratio."""
     t = d.trim("line")
-    likely = f"SELECT doc_id, {d.count_if(f'length({t}) >= 3 AND {d.matches(t, INDICATORS)} > 0')} AS potential FROM ({lines}) l GROUP BY doc_id"
+    likely = f"SELECT doc_id, {d.count_if(f'length({t}) >= 3 AND {d.any_match(t, INDICATORS)}')} AS potential FROM ({lines}) l GROUP BY doc_id"
     got = f"SELECT doc_id, count(*) AS actual FROM ({fields}) f GROUP BY doc_id"
     return f"SELECT p.doc_id, cast(potential as bigint) AS potential, coalesce(actual, 0) AS actual, cast(round(CASE WHEN potential = 0 THEN 1.0 ELSE coalesce(actual, 0) * 1.0 / potential END, 6) as double) AS coverage FROM ({likely}) p LEFT JOIN ({got}) g ON p.doc_id = g.doc_id"
 

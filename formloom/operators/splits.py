@@ -116,6 +116,23 @@ def generated(d: Dialect, source: str, array: str, name: str = "part") -> str:
     return d.exploded(f"(SELECT doc_id, pos, line FROM ({source}) g) g", array, "doc_id, pos", name, pos="sub")
 
 
+def known_parts(d: Dialect, x: str) -> str:
+    """A line that asks a known question beside others, in parts: what stands before and after the question of sex or gender,
+    and that with its choice; what stands before a question of marital status or contact, and that; an insurance number and a social security number. Null for other lines."""
+    join = lambda *a: f"concat({', '.join(a)})" if d.spark else f"list_concat({', '.join(a)})"
+    rest = lambda y: d.filter(labelled_parts(d, y), "r_", "r_ <> ''")
+    upto = lambda seg: d.let(d.trim(f"substr({x}, 1, cast(instr({x}, {seg}) as int) - 1)"), "head_", join(rest("head_"), Q.only(d, seg)))
+    partly = lambda seg: f"{seg} <> '' AND {seg} <> {d.trim(x)}"
+    both = d.array(["Insurance ID Number: ____", "SSN: ____"])
+    tail = d.let(Q.preferred_contact(d, x), "contact_", f"CASE WHEN {partly('contact_')} THEN {upto('contact_')} END")
+    tail = d.let(Q.marital_status(d, x), "marital_", f"CASE WHEN {partly('marital_')} THEN {upto('marital_')} ELSE {tail} END")
+    after = lambda seg: d.let(d.trim(f"substr({x}, cast(instr({x}, {seg}) as int) + length({seg}))"), "tail_", rest("tail_"))
+    sex = d.let(Q.sex_segment(d, x), "sex_", f"CASE WHEN {partly('sex_')} THEN {join(upto('sex_'), after('sex_'))} ELSE {tail} END")
+    asked = d.has(x, r"\b(sex|gender|marital|circle\s+one|preferred)\b", ci=True)
+    numbers = f"{d.has(x, r'\b(ssn|social +security)\b', ci=True)} AND {d.size(Q.id_and_ssn(d, x))} > 0"
+    return d.case([(numbers, both), (asked, sex)], "NULL")
+
+
 def field_parts(d: Dialect, x: str) -> str:
     """The fields of a line, by the first splitter that makes several of it; else the line. A splitter runs once, and only
     where a plain search finds what it looks for."""
@@ -124,6 +141,9 @@ def field_parts(d: Dialect, x: str) -> str:
         f"CASE WHEN {d.contains(x, chr(9))} THEN CASE WHEN {L.is_tabulated_signature(d, x)} THEN {tab_parts(d, x)} END END",
         if_any(f"{d.contains(x, '_')} AND {d.has(x, '^[A-Za-z]+:.*_')}", subfields(d, x)), if_any(d.contains(x, " " * 10), Q.spaced_labels(d, x)),
         if_any(f"{d.contains(x, '___')} AND {d.has(x, '^[A-Za-z]+/.*___')}", slash_parts(d, x)),
+        f"CASE WHEN NOT ({d.contains(x, '    ')} AND {L.has_box(d, x)}) THEN {known_parts(d, x)} END",
+        f"CASE WHEN {d.contains(x, '    ')} AND {L.has_box(d, x)} THEN {d.let(question_parts(d, x), 'parts_', f'CASE WHEN {d.size("parts_")} > 1 THEN parts_ END')} END",
+        f"CASE WHEN NOT {L.has_box(d, x)} AND {d.has(x, '(__|  |' + chr(9) + ')(' + '|'.join(LABELS) + ')')} THEN {d.let(known_label_parts(d, x), 'parts_', f'CASE WHEN {d.size("parts_")} > 1 THEN parts_ END')} END",
         d.case([(f"{d.contains(x, ':')} AND {d.has(x, r'\bif +[^:]{5,40}:', ci=True)}", Q.conditional_parts(d, x)), (f"{d.contains(x, '    ')} AND {L.has_box(d, x)}", Q.boxed_parts(d, x)), (d.has(x, "^[A-Za-z#]+ ?[A-Za-z#]+$"), Q.compound_label(d, x))], "NULL"),
     ]
     return f"coalesce({', '.join(tries)}, {labelled_parts(d, x)})"
@@ -151,4 +171,5 @@ def options_text(d: Dialect, x: str) -> str:
     """Names of the options after boxes, or else of the choices in words, `|` between them; a follow-up (`If yes, explain`) is
     no part of the last one."""
     boxed = d.join(options(d, d.sub(d.sub(x, r"(\].*)\bif (yes|so|no)\b.*$", "$1", ci=True), r"\|", "/")), "|")
-    return f"CASE WHEN {L.has_box(d, x)} THEN {boxed} ELSE {d.join(inline_choices(d, x), '|')} END"
+    in_words = d.has(x, r"\b(yes|y|m) *(or|/)|circle one", ci=True)
+    return f"CASE WHEN {L.has_box(d, x)} THEN {boxed} WHEN {in_words} THEN {d.join(inline_choices(d, x), '|')} ELSE '' END"

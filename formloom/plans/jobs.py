@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dialect import SPARK
 from ..operators import catalog, lines, quality, records, reports, validate
+from ..operators import dictionary as dictionaries
 from ..sources import files
 
 
@@ -29,7 +30,7 @@ def viewed(df: DataFrame) -> str:
 
 def convert_texts(spark: SparkSession, texts: DataFrame, out: str, dictionary: str | None = None) -> DataFrame:
     """Texts (doc_id, text) to folders below `out`: converted fields matched with the catalogue and stats (Parquet), records
-    (JSON, with control, options and conditions), and the reports rates, suggestions, violations, skipped (CSV). Returns the
+    (JSON, with control, options and conditions), and the reports rates, performance, suggestions, violations, skipped (CSV). Returns the
     rates, one row. doc_id may be of any type, such as a path.
 
     dictionary: a JSON file of templates and aliases, see files.read_catalog(); without one the fixed catalogue is used.
@@ -48,11 +49,33 @@ def convert_texts(spark: SparkSession, texts: DataFrame, out: str, dictionary: s
     stats.join(spark.sql(reports.detailed(SPARK, matched)).select("doc_id", "matched", "rate", "unmatched"), "doc_id").write.mode("overwrite").parquet(f"{out}/stats")
     rates = saved(spark.sql(reports.rates(SPARK, matched)), f"{out}/rates_table")
     files.write_report(rates, f"{out}/rates")
+    files.write_report(spark.sql(reports.performance(SPARK, matched, reports.input_sizes(SPARK, given), catalog.templates(SPARK, own))).orderBy("part", F.desc("value"), "label"), f"{out}/performance")
     files.write_report(spark.sql(reports.suggestions(SPARK, f"SELECT key, title FROM ({matched}) m WHERE NOT reused")), f"{out}/suggestions")
     files.write_report(spark.sql(validate.summary(SPARK, validate.violations(SPARK, converted))), f"{out}/violations")
     return rates
 
 
+def check_dictionary(spark: SparkSession, path: str, out: str) -> DataFrame:
+    """A JSON dictionary checked: folders `violations` (of fields), `problems` (of the file) and `structure` (CSV) below out.
+    Returns category, idx, key, rule, severity of all, those of the file with the category `_file`."""
+    fields_, problems = files.read_dictionary(spark, path)
+    view = viewed(saved(fields_, f"{out}/fields"))
+    problems = saved(problems, f"{out}/problems_table")
+    found = spark.sql(dictionaries.violations(SPARK, view)).unionByName(problems.select(F.lit("_file").alias("category"), F.lit(None).cast("int").alias("idx"), F.col("what").alias("key"), "rule", "severity"))
+    found = saved(found.distinct(), f"{out}/violations_table")  # a field with several conditions has a row for each
+    files.write_report(found, f"{out}/violations")
+    files.write_report(spark.sql(dictionaries.structure(SPARK, f"SELECT DISTINCT category, idx, key FROM ({view}) v")), f"{out}/structure")
+    return found
+
+
+def expand_dictionary(spark: SparkSession, path: str, out: str) -> DataFrame:
+    """A JSON dictionary with the conditions template, the aliases it lacks and the next version, written below out as text.
+    The given file stays as it is."""
+    made = files.expanded_dictionary(spark, path, dictionaries.NEW_ALIASES, "medical_conditions", dictionaries.conditions_template(), lambda c: dictionaries.next_version(SPARK, c))
+    made.coalesce(1).write.mode("overwrite").text(out)
+    return spark.read.text(out, wholetext=True)
+
+
 def extract_folder(spark: SparkSession, source: str, out: str, mode: str = "auto", extractors: dict[str, Callable[[bytes], str]] | None = None) -> DataFrame:
     """PDF and DOCX files below a folder to texts: doc_id (the path), model, score, text.
 

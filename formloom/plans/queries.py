@@ -237,6 +237,7 @@ RULES: dict[str, Make] = {
     "extremes": lambda d: reports.extremes(d, document_quality(d), "chars"),
     "subtotals": over(reports.subtotals, form_fields),
     "parity": lambda d: reports.parity(d, form_lines(d), matched(d)),
+    "performance": lambda d: reports.performance(d, d.stage(catalog.merged(d, form_fields(d), None, f"{catalog.FIELD_COLUMNS}, type, input_type, n_options")), reports.input_sizes(d, f"({forms(d)}) t"), catalog.templates(d)),
     "suggestions": lambda d: reports.suggestions(d, f"SELECT key, title FROM ({matched(d)}) m WHERE NOT reused"),
     "indicators": over(reports.indicators),
     "improvement": over(reports.improvement, form_best),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -147,6 +147,49 @@ def read_catalog(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return fields.filter("key is not null"), aliases
 
 
+def read_dictionary(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The fields of a JSON dictionary for dictionary.violations() (category, idx, key, type, input_type, options, option_values,
+    if_key, version; a row for each condition of a field), and what is wrong with the file as a whole (rule, severity, what)."""
+    whole = spark.read.text(path, wholetext=True).select(F.from_json("value", "map<string,string>").alias("m"))
+    meta = F.from_json(F.col("m")["_meta"], "map<string,string>")
+    names = F.filter(F.map_keys("m"), lambda k: ~k.startswith("_") & (k != "aliases"))
+    no_lists = F.filter(names, lambda k: ~F.ltrim(F.element_at("m", k)).startswith("["))
+    say = lambda rule, severity, what: F.struct(F.lit(rule).alias("rule"), F.lit(severity).alias("severity"), what.alias("what"))
+    lacks = [F.when(F.col("m")["_meta"].isNotNull() & F.coalesce(meta[k], F.lit("")).eqNullSafe(""), say("meta_field_missing", "error", F.lit(k))) for k in ("name", "version")]
+    first = [
+        F.when(F.col("m").isNull() | (F.size("m") == 0), say("empty_or_no_json", "error", F.lit(path))), F.when(F.col("m")["_meta"].isNull(), say("meta_missing", "warning", F.lit("_meta"))),
+        F.when(F.size(names) == 0, say("no_categories", "error", F.lit(""))), *lacks,
+    ]
+    told = F.filter(F.array(*first), lambda x: x.isNotNull())
+    found = F.coalesce(F.concat(told, F.transform(no_lists, lambda k: say("category_no_list", "error", k))), told)  # no names without JSON
+    problems = whole.select(F.explode(found).alias("p")).select("p.*")
+    item = "array<struct<key:string,type:string,control:struct<input_type:string,options:array<struct<name:string,value:string>>>,`if`:array<struct<key:string>>>>"
+    listed = whole.select(F.coalesce(meta["version"], F.lit("")).alias("version"), F.explode(F.map_filter("m", lambda k, v: F.array_contains(names, k))).alias("category", "body")).filter(F.ltrim("body").startswith("["))
+    rows = listed.select("version", "category", F.posexplode(F.from_json("body", item)).alias("idx", "f")).withColumn("asks", F.explode_outer("f.if"))
+    text = lambda part: F.coalesce(F.array_join(F.transform("f.control.options", lambda o: F.coalesce(o[part], F.lit(""))), "|"), F.lit(""))
+    return rows.select("category", "idx", "f.key", "f.type", "f.control.input_type", text("name").alias("options"), text("value").alias("option_values"), F.col("asks.key").alias("if_key"), "version"), problems
+
+
+def expanded_dictionary(spark: SparkSession, path: str, aliases: Sequence[tuple[str, str]], category: str, body: str, version: Callable[[str], str]) -> DataFrame:
+    """One row, `value`: the dictionary's JSON with a category and aliases that it lacks, its version raised by a rule over a
+    column and a note of that. Categories stay as they are written; values of `_meta` become texts."""
+    given = F.from_json("value", "map<string,string>")
+    own = F.from_json(F.coalesce(F.col("m")["aliases"], F.lit("{}")), "map<string,string>")
+    new = F.map_from_entries(F.array(*(F.struct(F.lit(a).alias("key"), F.lit(k).alias("value")) for a, k in aliases)))
+    meta = F.from_json(F.coalesce(F.col("m")["_meta"], F.lit("{}")), "map<string,string>")
+    whole = spark.read.text(path, wholetext=True).select(given.alias("m")).withColumns({"own": own, "meta": meta})
+    whole = whole.withColumn("was", F.coalesce(F.col("meta")["version"], F.lit("1.2.0"))).withColumn("version", F.expr(version("was")))
+    note = F.concat(F.coalesce(F.col("meta")["notes"], F.lit("")), F.lit(" v"), F.col("version"), F.lit(f" adds the {category} template and aliases"))
+    kept = lambda m, *names: F.map_filter(m, lambda k, _: ~k.isin(*names))
+    raised = F.map_concat(kept("meta", "version", "notes"), F.create_map(F.lit("version"), F.col("version"), F.lit("notes"), note))
+    every = F.map_concat(F.map_filter(new, lambda k, _: ~F.array_contains(F.map_keys("own"), k)), F.col("own"))
+    added = F.when(F.col("m")[category].isNull(), F.create_map(F.lit(category), F.lit(body))).otherwise(F.from_json(F.lit("{}"), "map<string,string>"))
+    parts = F.map_concat(F.create_map(F.lit("_meta"), F.to_json(raised)), kept("m", "_meta", "aliases"), added, F.create_map(F.lit("aliases"), F.to_json(every)))
+    quoted = lambda k: F.substring(F.to_json(F.array(k)), 2, 1_000_000)  # noqa: E731  with the closing bracket still on
+    pair = lambda e: F.concat(F.regexp_replace(quoted(e["key"]), r"\]$", ""), F.lit(": "), e["value"])
+    return whole.select(F.concat(F.lit("{"), F.array_join(F.transform(F.map_entries(parts), pair), ", "), F.lit("}")).alias("value"))
+
+
 def write_records(records: DataFrame, path: str) -> None:
     """One JSON line for each document, its records in order, with control and condition (`if`) as objects; nulls are kept."""
     control = F.from_json("control", "input_type string, hint string, agree_text string, html_text string, multi boolean, options array<struct<name:string,value:string>>")

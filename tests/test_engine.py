@@ -26,7 +26,7 @@ def values(spark, rule, *texts, **options):
 
 def test_normalisation(spark):
     assert values(spark, text.restore_ligatures, "oﬃce ﬁle") == ["office file"]
-    assert values(spark, text.collapse_spaced, "H o w  d i d  y o u", "a note to all") == ["How did you", "a note to all"]
+    assert values(spark, text.collapse_spaced, "H o w  d i d  y o u", "a note to all", "Form: N a m e  of a pet", "I a m") == ["How did you", "a note to all", "Form: Name of a pet", "I a m"]
     assert values(spark, text.fix_phones, "(55O) 123-4567") == ["(550) 123-4567"]
     assert values(spark, text.clean_option, "Blood Blood Transfusion", "AIDS/HIV") == ["Blood Transfusion", "AIDS/HIV"]
     assert values(spark, text.slugify, "First Name", "", "2nd visit", "x" * 80) == ["first_name", "q", "q_2nd_visit", "x" * 64]
@@ -42,9 +42,17 @@ def test_predicates(spark):
     assert values(spark, lines.is_valid_key, "a_1", "1a", "A") == [True, False, False]
 
 
+def told_section(d, x):
+    return fields.told_section(d, x, "''")
+
+
 # FIXTURES.md, section B: literal cases with one that isn't, each written by hand
 CASES = [
     (text.clean_checkboxes, {"[x] Yes": " [x] Yes", "[ X ] a": " [x] a", "Yes]No": "Yes [ ] No", "[J a": "[J a"}),
+    (text.fix_terms, {"hypertens1on 3mail": "hypertension email", "Medication and teeth": "Medication and teeth", "card1ovascular anathesia": "cardiovascular anesthesia", "medicat1ons": "medications"}),
+    (text.fix_label_characters, {"bir thdate nod ental": "birthdate no dental", "hearaboutus": "hear about us", "Address": "Address"}),
+    (splits.field_parts, {"Name: ____ Sex: M or F Age: ____": ["Name: ____", "Sex: M or F", "Age: ____"], "Insurance ID # ____ SSN ____": ["Insurance ID Number: ____", "SSN: ____"], "Height: ____ Marital Status: [ ] Single [ ] Married": ["Height: ____", "Marital Status: [ ] Single [ ] Married"], "Name ____  City ____": ["Name ____", "City ____"], "Gender: [ ] M [ ] F": ["Gender: [ ] M [ ] F"]}),
+    (told_section, {"Patient name": "Patient Information", "Heart surgery": "Medical History", "Crown of a tooth": "Dental History", "Colour": None}),
     (text.fix_phones, {"(55O) 123-4567": "(550) 123-4567", "call 5I5-l23-45O7 now": "call 515-123-4507 now", "Oil 12": "Oil 12"}),
     (text.fix_dates, {"on 1I2I2020": "on 1/2/2020", "O1/l2/2O20": "01/12/2020", "II/IV": "II/IV"}),
     (text.normalize_glyphs, {"☐ a": "[ ]  a", "☑ b": "[x]  b", "! c": "[ ] c", "wow!": "wow!"}),
@@ -79,7 +87,7 @@ CASES = [
     (questions.spaced_labels, {"Patient Signature            Date": ["Patient Signature", "Date"], "Signature Date": []}),
     (questions.inline_box_text, {"[ ] Yes, send me text alerts": "Yes, send me text alerts", "[ ] Yes": None}),
     (questions.id_and_ssn, {"Member ID # and SSN": ["insurance_id_number", "ssn"], "Member ID": []}),
-    (questions.is_condition, {"High Blood Pressure": True, "Telephone": False}),
+    (questions.is_condition, {"High Blood Pressure": True, "Epilepsy": True, "Telephone": False}),
     (splits.subfields, {"Phone: Mobile _ Home _ Work _": ["Mobile Phone", "Home Phone", "Work Phone"], "Phone: ____": [], "Phone: 555-1234": []}),
     (splits.yes_no_prompts, {"Do you smoke? [ ] Yes [ ] No": ["Do you smoke?"], "Name": []}),
     (splits.question_parts, {"Sex? [ ] M     Age? [ ] 18": ["Sex? [ ] M", "Age? [ ] 18"]}),
