@@ -37,10 +37,16 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/formloom/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df as a table in the shared folder and read it back: cuts lineage, and lost executors lose none of it."""
+def materialize(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
+    """Write df as a table in the shared folder and read it back: cuts lineage, and lost executors lose none of it.
+
+    narrow: rows of a few numbers, of which partitions made for texts hold little; eight such go into one file, as long as
+    there are four files for each core, so tables of ids don't become heaps of small files.
+    """
     spark = df.sparkSession
     path = shared_path(spark, name)
+    if narrow:
+        df = df.coalesce(max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8))
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._own_path = path  # what discard() may delete: nothing but what was written here

@@ -145,13 +145,13 @@ def links(distinct: DataFrame, *, most: int = 3, pivots: int = 24) -> DataFrame:
     return spread.mapInArrow(run, "a long, b long").distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, narrow: bool = False) -> DataFrame:
     """`node` and `root`, the same for all nodes that edges join: alternating large-star and small-star contraction.
 
     Each round replaces a star's edges by edges to its least node, which ends after about the logarithm of the longest
     path; the edges of a round are a table in the shared folder, nothing but their number reaches the driver.
     """
-    e = materialize(edges.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).filter("lo < hi").distinct(), "edges")
+    e = materialize(edges.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).filter("lo < hi").distinct(), "edges", narrow)
     stamp = lambda df: df.agg(F.count("*").alias("n"), F.sum(F.xxhash64("lo", "hi").cast("decimal(38,0)")).alias("s")).first()
     before = stamp(e)
     while before["n"]:
@@ -161,7 +161,7 @@ def components(edges: DataFrame) -> DataFrame:
         down = large.groupBy(F.col("hi").alias("u")).agg(F.min("lo").alias("m"))
         small = large.withColumnRenamed("hi", "u").join(down, "u")
         small = small.select(F.col("m").alias("lo"), F.col("u").alias("hi")).unionAll(small.select(F.col("m").alias("lo"), F.col("lo").alias("hi")))
-        new = materialize(small.filter("lo < hi").distinct(), "edges")
+        new = materialize(small.filter("lo < hi").distinct(), "edges", narrow)
         after = stamp(new)
         discard(e)
         e = new

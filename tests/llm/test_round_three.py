@@ -9,7 +9,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from formloom.llm import hard_negatives, merkle, weak_rules
+from formloom.llm import hard_negatives, merkle, mixing, revisit, url_reputation, weak_rules
+from formloom.llm.queries import RULES
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, leaf string, grp string"
 
@@ -176,3 +177,35 @@ def test_expectation_maximisation():
     assert np.allclose(fitted.posterior(patterns)[at.ravel()], p, atol=1e-6)
     assert np.abs(fitted.right - np.array(right)).max() < 0.05 and abs(fitted.prior - 0.8) < 0.03
     assert ((p > 0.5) == y).mean() > ((v == 2).sum(1) > (v == 1).sum(1)).__eq__(y).mean()
+
+
+def test_burst_of_one_url(spark):
+    """Hundreds of records of one URL in a short time, with long URLs and headers, against brute force."""
+    r = random.Random(8)
+    url, pad = "http://a.org/x?" + "q" * 5000, "h" * 2000
+    rows = [(i, url, 1000 + r.randint(0, 400), "response", {"ETag": f'"{i % 3}"', "X": pad}) for i in range(250)] + [(5000 + i, url, 1000 + r.randint(0, 400), "revisit", {"ETag": f'"{i % 3}"'}) for i in range(250)]
+    rows += [(9000, "http://b.org/", 5, "response", {"ETag": '"b"'}), (9001, "http://b.org/", 10**9, "revisit", {"ETag": '"b"'})]  # far apart
+    got = {x["record_id"]: x["response_id"] for x in revisit.resolve_revisits(spark.createDataFrame(rows, "record_id long, url string, ts long, kind string, headers map<string,string>")).collect()}
+    for i, u, ts, kind, _ in rows:
+        if kind == "revisit":
+            before = [(x[2], x[0]) for x in rows if x[3] == "response" and x[1] == u and x[2] < ts]
+            latest = [k for t, k in before if t == max(before)[0]] if before else [None]
+            assert got[i] in latest, i
+
+
+def test_many_sources(spark):
+    r = random.Random(2)
+    rows = [(i, "w " * r.randint(0, 9), f"s{r.randint(0, 700):04d}") for i in range(2500)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    by = {x["source"]: x for x in got}
+    total = sum(x["size"] for x in got)
+    assert len(got) == 2500 and abs(sum(x["target"] for x in by.values()) - 1.5 * total) < 1e-6 * total
+    assert all(x["target"] <= 2 * x["source_size"] + 1e-9 for x in by.values())
+    taken = {s: sum(x["taken"] for x in got if x["source"] == s) for s in by}
+    assert all(abs(taken[s] - by[s]["target"]) <= 9 for s in by)
+
+
+def test_long_urls(spark):
+    pages = spark.createDataFrame([(1, "http://" + "a" * 70_000 + ".org/" + "b" * 200_000), (2, "http://x.com/fr/" + "c" * 300_000)], "page_id long, url string")
+    got = {x["page_id"]: x for x in url_reputation.host_reputation(pages, spark.createDataFrame([], "id long, bad int"), RULES).collect()}
+    assert got[1]["rule"] == "org/" and len(got[1]["path"]) == 200_001 and got[2]["rule"] == "com/fr/"
