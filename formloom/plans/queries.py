@@ -16,6 +16,7 @@ from ..functions import text as T
 from ..functions.dialect import DUCK, SPARK, Dialect
 from ..operators import catalog, classifier, dictionary, grids, joins, parser, quality, records, reports, splits, validate
 from ..operators import lines as O
+from ..sources.files import shared_folder
 from ..sources.forms import forms
 from ..streaming import stream
 
@@ -49,6 +50,18 @@ def form_best(d: Dialect) -> str:
     return catalog.best(d, form_fields(d))
 
 
+def stored(d: Dialect, query: str) -> str:
+    """The query as a table in the shared folder, for what reads it several times; in DuckDB the query itself."""
+    if not d.spark:
+        return query
+    spark, path = SparkSession.active(), shared_folder(SparkSession.active(), "stored")
+    df = spark.sql(query)
+    df.write.parquet(path)
+    view = "stored_" + path.rpartition("-")[2]
+    spark.read.schema(df.schema).parquet(path).createOrReplaceTempView(view)
+    return f"SELECT * FROM {view}"
+
+
 def around(d: Dialect) -> str:
     return O.around(d, form_lines(d))
 
@@ -216,8 +229,8 @@ RULES: dict[str, Make] = {
     "template_cascade": over(catalog.cascade, form_fields),
     "template_coverage": over(catalog.coverage, form_fields),
     "template_merge": matched,
-    "template_fuzzy": lambda d: catalog.fuzzy(d, catalog.unknown(d, d.stage(form_best(d)))),
-    "template_match": lambda d: catalog.match(d, d.stage(form_best(d))),
+    "template_fuzzy": lambda d: catalog.fuzzy(d, catalog.unknown(d, stored(d, form_best(d)))),
+    "template_match": lambda d: catalog.match(d, stored(d, form_best(d))),
     "template_overlay": lambda d: catalog.merged(d, form_fields(d), None, f"{catalog.FIELD_COLUMNS}, type, input_type, n_options"),
     "template_smart": over(catalog.smart, form_fields),
     "template_log": over(catalog.match_log, form_fields),

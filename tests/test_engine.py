@@ -52,7 +52,7 @@ CASES = [
     (text.fix_terms, {"hypertens1on 3mail": "hypertension email", "Medication and teeth": "Medication and teeth", "card1ovascular anathesia": "cardiovascular anesthesia", "medicat1ons": "medications"}),
     (text.fix_label_characters, {"bir thdate nod ental": "birthdate no dental", "hearaboutus": "hear about us", "Address": "Address"}),
     (splits.field_parts, {"Name: ____ Sex: M or F Age: ____": ["Name: ____", "Sex: M or F", "Age: ____"], "Insurance ID # ____ SSN ____": ["Insurance ID Number: ____", "SSN: ____"], "Height: ____ Marital Status: [ ] Single [ ] Married": ["Height: ____", "Marital Status: [ ] Single [ ] Married"], "Name ____  City ____": ["Name ____", "City ____"], "Gender: [ ] M [ ] F": ["Gender: [ ] M [ ] F"]}),
-    (told_section, {"Patient name": "Patient Information", "Heart surgery": "Medical History", "Crown of a tooth": "Dental History", "Colour": None}),
+    (told_section, {"Name and address": "Patient Information", "Heart surgery": "Medical History", "Crown of a tooth": "Dental History", "Colour": None}),
     (text.fix_phones, {"(55O) 123-4567": "(550) 123-4567", "call 5I5-l23-45O7 now": "call 515-123-4507 now", "Oil 12": "Oil 12"}),
     (text.fix_dates, {"on 1I2I2020": "on 1/2/2020", "O1/l2/2O20": "01/12/2020", "II/IV": "II/IV"}),
     (text.normalize_glyphs, {"☐ a": "[ ]  a", "☑ b": "[x]  b", "! c": "[ ] c", "wow!": "wow!"}),
