@@ -46,7 +46,8 @@ SECTION_RANK = ("Patient Information", "Insurance", "Emergency Contact", "Dental
 
 
 def input_type(d: Dialect, label: str) -> str:
-    return d.case([(d.has(f"lower({label})", p), d.lit(k)) for k, p in KINDS], "'text'")
+    """One search tells whether any kind is there, as most labels have none."""
+    return d.let(f"lower({label})", "low_", d.case([(f"NOT {d.any_match('low_', [p for _, p in KINDS])}", "'text'"), *((d.has("low_", p), d.lit(k)) for k, p in KINDS)], "'text'"))
 
 
 def date_type(d: Dialect, label: str) -> str:

@@ -71,7 +71,7 @@ def is_heading(d: Dialect, x: str) -> str:
 def is_heading_in_place(d: Dialect, x: str, following: str, pos: str) -> str:
     """A heading by itself, or by what stands around it: an underlined next line, a centred short line, or an early one in
     title case. Lines with a box, a blank or a question never are."""
-    bare = f"NOT {has_box(d, 't')} AND NOT {d.contains('t', '?')} AND NOT {d.contains('t', '__')} AND NOT {d.contains('t', ':')} AND length(t) BETWEEN 3 AND 60 AND {d.has('t', '^[A-Z]')} AND NOT {d.ends('t', '.')}"
+    bare = f"length(t) BETWEEN 3 AND 60 AND NOT {d.contains('t', '?')} AND NOT {d.contains('t', '__')} AND NOT {d.contains('t', ':')} AND NOT {d.ends('t', '.')} AND {d.has('t', '^[A-Z]')} AND NOT {has_box(d, 't')}"
     underlined = f"coalesce({d.has(following, r'^ *[-=_]{3,} *$')}, false)"
     known = d.has("t", KNOWN_LABELS, ci=True)
     centred = f"({d.has(x, '^ {8,}[A-Z]')} AND {d.words('t')} BETWEEN 2 AND 8 AND NOT {known})"
@@ -145,9 +145,9 @@ def is_consent_heading(d: Dialect, x: str) -> str:
 
 
 def is_terms(d: Dialect, x: str) -> str:
-    """Legal text: two indications, or one strong one, or one in a long text."""
+    """Legal text: two indications, or one strong one, or one in a long text. One search tells that there is none at all."""
     low = f"lower({x})"
-    return f"({d.matches(low, CONSENT)} >= 2 OR (length({x}) > 30 AND {d.any_match(low, CONSENT[:3])}) OR (length({x}) > 80 AND {d.any_match(low, CONSENT[3:])}))"
+    return f"({d.any_match(low, CONSENT)} AND ({d.matches(low, CONSENT)} >= 2 OR (length({x}) > 30 AND {d.any_match(low, CONSENT[:3])}) OR (length({x}) > 80 AND {d.any_match(low, CONSENT[3:])})))"
 
 
 def should_be_terms(d: Dialect, x: str) -> str:
