@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import SparkSession
+
 from ..functions.dialect import Dialect
 
 
@@ -57,4 +59,13 @@ def forms(d: Dialect) -> str:
         q("Signature: ________ Date: ________"),
     ]
     sheet = f"concat_ws(chr(10), {', '.join(map(q, SHEET))})"
-    return f"SELECT c_custkey AS doc_id, CASE WHEN c_custkey % 9 = 4 THEN {sheet} ELSE concat_ws(chr(10), {', '.join(lines)}) END AS text FROM customer JOIN nation ON c_nationkey = n_nationkey"
+    return f"SELECT c_custkey AS doc_id, CASE WHEN c_custkey % 9 = 4 THEN {sheet} ELSE concat_ws(chr(10), {', '.join(lines)}) END AS text FROM {customers(d)} JOIN nation ON c_nationkey = n_nationkey"
+
+
+def customers(d: Dialect) -> str:
+    """The customers, in Spark dealt by key before the forms are made of them: a file of one row group is one task, whatever
+    the number of cores, and the lines of a form stay where it was dealt to."""
+    if not d.spark:
+        return "customer"
+    n = int(SparkSession.active().conf.get("spark.sql.shuffle.partitions"))
+    return f"(SELECT /*+ REPARTITION({n}, c_custkey) */ * FROM customer) customer"
