@@ -222,7 +222,7 @@ def keep_one(
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     if alike is not None:
-        kept, found = near_copies.groups(docs, id_col, text_col, words, alike, bands, rows, limit)
+        kept, found = near_copies.groups(docs, id_col, text_col, words, alike, bands, rows, limit, pivots)
         return rows_of(docs, kept, found, id_col, text)
     fps, of_fp = _grouped(docs, id_col, text_col, words, most, pivots)
     return rows_of(docs, of_fp.select("first").distinct(), fps.select("doc_id", "h"), id_col, text)
