@@ -5,7 +5,8 @@ import os
 import pytest
 
 from formloom.functions import text
-from formloom.operators import known, records
+from formloom.operators import classifier, known, records
+from formloom.operators import lines as line_operators
 from formloom.operators.known import with_rules
 from formloom.plans import queries
 
@@ -43,3 +44,11 @@ def test_rules_are_looked_up(spark):
     """The fields' plan joins a table of known lines and one of known parts by broadcast."""
     plan = spark.sql(records.fields(queries.SPARK, lines(spark, "_looked")))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
+
+
+def test_samples_are_stored_and_the_same(spark):
+    """The classifier's samples are computed once, not in each pass of its training."""
+    around = line_operators.around(queries.SPARK, lines(spark, "_samples"))
+    got, want = classifier.labelled_once(spark, around), classifier.labelled(spark.sql(around))
+    assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
