@@ -183,6 +183,10 @@ def ordered_sections(d: Dialect, source: str) -> str:
 
 def one_signature(d: Dialect, source: str) -> str:
     """Exactly one signature a document: the first stays, and a document without one gets one."""
+    if d.spark:  # one pass: the first signature or, without one, the first field
+        signs = "type IN ('signature', 'block_signature')"
+        ranked = f"SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY CASE WHEN {signs} THEN 0 ELSE 1 END, pos, sub) AS n FROM ({source}) f"
+        return f"SELECT doc_id, CASE WHEN {signs} THEN cast(pos as bigint) END AS pos, CASE WHEN {signs} THEN cast(sub as bigint) END AS sub, CASE WHEN {signs} THEN title ELSE 'Signature' END AS title FROM ({ranked}) r WHERE n = 1"
     first = first_of(d, f"SELECT * FROM ({source}) f WHERE type IN ('signature', 'block_signature')", "doc_id", "pos, sub", "doc_id, pos, sub, title")
     missing = f"SELECT a.doc_id, cast(NULL as bigint) AS pos, cast(NULL as bigint) AS sub, 'Signature' AS title FROM (SELECT DISTINCT doc_id FROM ({source}) f) a LEFT JOIN ({first}) s ON a.doc_id = s.doc_id WHERE s.doc_id IS NULL"
     return f"{first} UNION ALL {missing}"
