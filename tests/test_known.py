@@ -5,7 +5,7 @@ import os
 import pytest
 
 from formloom.functions import text
-from formloom.operators import classifier, known, records
+from formloom.operators import catalog, classifier, known, records
 from formloom.operators import lines as line_operators
 from formloom.operators.known import with_rules
 from formloom.plans import queries
@@ -52,3 +52,21 @@ def test_samples_are_stored_and_the_same(spark):
     got, want = classifier.labelled_once(spark, around), classifier.labelled(spark.sql(around))
     assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
     assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("most", [0, 2, 8192])
+def test_known_fields_are_matched_alike(spark, monkeypatch, most):
+    monkeypatch.setattr(known, "MOST", most)
+    d = queries.SPARK
+    of = [("first_name", "First Name", "Patient Information", ""), ("x", "Policy Number", "Insurance", ""), ("q", "Weather", "General", "a|b"), ("y", "Sex", "General", None)]
+    rows = [(doc, i, 0, *f) for doc in range(3) for i, f in enumerate([*of, (f"own_{doc}", "Date of Birth", "General", "")])]
+    spark.createDataFrame(rows, "doc_id long, pos long, sub long, key string, title string, section string, options string").createOrReplaceTempView("_alike")
+    got, want = spark.sql(catalog.best(d, "SELECT * FROM _alike")), spark.sql(catalog.staged_best(d, "SELECT * FROM _alike"))
+    assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and want.count() == 15
+
+
+def test_one_signature_reads_fields_once(spark):
+    spark.createDataFrame([(1, 0, 0, "a", "input"), (1, 1, 0, "b", "block_signature"), (1, 2, 0, "c", "signature"), (2, 0, 0, "d", "input")], "doc_id long, pos long, sub long, title string, type string").createOrReplaceTempView("_sign")
+    got = spark.sql(records.one_signature(queries.SPARK, "SELECT * FROM _sign"))
+    assert sorted(map(tuple, got.collect())) == [(1, 1, 0, "b"), (2, None, None, "Signature")]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
