@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from ..functions import lines as L
 from ..functions.dialect import Dialect
+from . import known as K
 
 
 #: Types and input types that the output schema knows.
@@ -27,15 +28,18 @@ def violations(d: Dialect, source: str) -> str:
     """doc_id, key, rule, severity for each rule that a field or document breaks; one pass, with windows for the rules that
     look at a whole document."""
     low = "lower(key)"
+    told = {"valid": L.is_valid_key(d, "key"), "phone": d.contains(low, "phone"), "dated": d.has(low, "(^|_)date(_|$)"), "insures": d.contains(low, "insurance"), "named": d.contains(low, "name"), "born": d.any_of(low, ("birth", "dob"))}
+    if d.spark:  # what a key tells, once for each that is known
+        source, told = K.ruled(d, source, ["key"], {f"key_{n}": e for n, e in told.items()}), {n: f"key_{n}" for n in told}
     rules = [
-        ("key_format", "error", f"NOT {L.is_valid_key(d, 'key')}"), ("key_length", "error", "length(key) > 80"), ("type_known", "error", f"type NOT IN ({', '.join(map(d.lit, TYPES))})"),
-        ("phone_type", "warning", f"{d.contains(low, 'phone')} AND type = 'input' AND coalesce(input_type, '') <> 'phone'"), ("date_type", "warning", f"{d.has(low, '(^|_)date(_|$)')} AND type NOT IN ('date', 'input')"),
-        ("insurance_section", "warning", f"{d.contains(low, 'insurance')} AND section <> 'Insurance'"), ("signature_section", "warning", "type = 'block_signature' AND section NOT IN ('Signature', 'Consent', 'Medical History')"), ("title_short", "warning", "length(title) < 3"),
+        ("key_format", "error", f"NOT {told['valid']}"), ("key_length", "error", "length(key) > 80"), ("type_known", "error", f"type NOT IN ({', '.join(map(d.lit, TYPES))})"),
+        ("phone_type", "warning", f"{told['phone']} AND type = 'input' AND coalesce(input_type, '') <> 'phone'"), ("date_type", "warning", f"{told['dated']} AND type NOT IN ('date', 'input')"),
+        ("insurance_section", "warning", f"{told['insures']} AND section <> 'Insurance'"), ("signature_section", "warning", "type = 'block_signature' AND section NOT IN ('Signature', 'Consent', 'Medical History')"), ("title_short", "warning", "length(title) < 3"),
         ("key_unique", "error", "same_key > 1 AND of_key = 1"), ("one_signature", "error", "of_doc = 1 AND signatures <> 1"), ("missing_name", "warning", "of_doc = 1 AND names = 0"), ("missing_dob", "warning", "of_doc = 1 AND births = 0"),
     ]
     per = "OVER (PARTITION BY doc_id)"
     counted = f"""SELECT *, count(*) OVER (PARTITION BY doc_id, key) AS same_key, row_number() OVER (PARTITION BY doc_id, key ORDER BY pos, sub) AS of_key, row_number() OVER (PARTITION BY doc_id ORDER BY pos, sub) AS of_doc,
-    sum(CASE WHEN type = 'block_signature' THEN 1 ELSE 0 END) {per} AS signatures, sum(CASE WHEN {d.contains(low, 'name')} THEN 1 ELSE 0 END) {per} AS names, sum(CASE WHEN {d.any_of(low, ('birth', 'dob'))} THEN 1 ELSE 0 END) {per} AS births
+    sum(CASE WHEN type = 'block_signature' THEN 1 ELSE 0 END) {per} AS signatures, sum(CASE WHEN {told['named']} THEN 1 ELSE 0 END) {per} AS names, sum(CASE WHEN {told['born']} THEN 1 ELSE 0 END) {per} AS births
   FROM ({source}) f"""
     return as_rows(d, counted, rules, "doc_id")
 
