@@ -57,7 +57,14 @@ def numbered_keys(d: Dialect, source: str) -> str:
 
 
 def first_of(d: Dialect, source: str, keys: str, order: str, columns: str = COLUMNS) -> str:
-    """The first row, by an order, of those with equal keys."""
+    """The first row, by an order, of those with equal keys. Of documents' keys there are about as many as rows, and a window of
+    each costs Spark more than its rows do; so there it is one of a document's rows by key, in which a key's first row is the
+    one after another key."""
+    group, *rest = keys.split(", ")
+    if d.spark and rest:
+        over = f"OVER (PARTITION BY {group} ORDER BY {', '.join(rest)}, {order})"
+        again = " AND ".join(f"{k} <=> lag({k}) {over}" for k in rest)
+        return f"SELECT {columns} FROM (SELECT *, row_number() {over} AS n, {again} AS again FROM ({source}) f) r WHERE n = 1 OR NOT again"
     return f"SELECT {columns} FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY {order}) AS n FROM ({source}) f) r WHERE n = 1"
 
 
