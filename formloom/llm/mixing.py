@@ -72,7 +72,8 @@ def mix(
     same = lambda a, b, *names: [a[n].eqNullSafe(b[n]) for n in names]
     at = at.join(targets, same(at, targets, "source"), "inner").drop(targets["source"])
     at = at.withColumn("kind", F.when(F.col("rest") <= 0, 0).when(F.col("before") + F.col("bin_size") <= F.col("rest"), 2).when(F.col("before") >= F.col("rest"), 0).otherwise(1))
-    all_ = d.join(at, same(d, at, "source", "bin"), "inner").drop(at["source"], at["bin"])
+    # without a hint the documents are what Spark broadcasts, twice, as their stored table is small for its rows
+    all_ = d.join(at.hint("merge"), same(d, at, "source", "bin"), "inner").drop(at["source"], at["bin"])
     edge = Window.partitionBy("source").orderBy("digest", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     last = all_.filter("kind = 1").withColumn("fits", F.col("before") + F.sum("size").over(edge) - F.col("size") / 2 <= F.col("rest"))
     rest = all_.filter("kind <> 1").withColumn("fits", F.col("kind") == 2)
