@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ..functions.dialect import Dialect
+from . import known as K
 
 
 def as_json(d: Dialect, key: str, value: str) -> str:
@@ -104,7 +105,8 @@ def performance(d: Dialect, merged: str, sizes: str, templates: str) -> str:
     merged: doc_id, type, section, key, reused; sizes: doc_id, n_bytes, n_chars, n_lines; templates: t_key, t_section.
     """
     per = f"SELECT doc_id, count(*) AS n, {d.count_if('reused')} AS hits, count(DISTINCT section) AS sections FROM ({merged}) m GROUP BY doc_id"
-    docs = d.stage(f"SELECT p.*, s.n_bytes, s.n_chars, s.n_lines, cast(round(p.hits * 100.0 / p.n, 4) as double) AS rate FROM ({per}) p JOIN ({sizes}) s ON p.doc_id = s.doc_id")
+    docs = f"SELECT p.*, s.n_bytes, s.n_chars, s.n_lines, cast(round(p.hits * 100.0 / p.n, 4) as double) AS rate FROM ({per}) p JOIN ({sizes}) s ON p.doc_id = s.doc_id"
+    docs = K.stored(d, docs) if d.spark else d.stage(docs)  # read four times, with other columns each
 
     def told(part: str, source: str, values: dict[str, str]) -> str:
         """One row of aggregates as a row for each label."""
