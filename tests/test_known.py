@@ -54,6 +54,18 @@ def test_samples_are_stored_and_the_same(spark):
     assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
 
 
+def test_samples_are_known_by_their_line_alone(spark, monkeypatch):
+    """A line beside one that no other document has was judged anew; now only lines of which there is one are."""
+    tables, learn = [], known.learn
+    monkeypatch.setattr(known, "learn", lambda *given: tables.append(learn(*given)) or tables[-1])
+    rows = [(doc, pos, line) for doc in range(3) for pos, line in enumerate([f"Name {doc}: ____", "Date of Birth: ____", f"Form {doc}"])]
+    spark.createDataFrame(rows, "doc_id long, pos long, line string").createOrReplaceTempView("_beside")
+    around = line_operators.around(queries.SPARK, "SELECT * FROM _beside")
+    got, want = classifier.labelled_once(spark, around), classifier.labelled(spark.sql(around))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and want.count() == 9
+    assert [r["line"] for r in spark.sql(tables[0]).collect()] == ["Date of Birth: ____"]
+
+
 @pytest.mark.parametrize("most", [0, 2, 8192])
 def test_known_fields_are_matched_alike(spark, monkeypatch, most):
     monkeypatch.setattr(known, "MOST", most)
